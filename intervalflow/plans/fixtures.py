@@ -116,3 +116,127 @@ def order_tariff_code(o: DataFrame) -> Column:
     full = F.concat(letter, F.lit("-1R-"), F.regexp_replace("o_orderpriority", " ", ""),
                     F.when(F.pmod("o_orderkey", F.lit(2)) == 1, F.lit("-BB")).otherwise(F.lit("-A")))
     return F.when(F.pmod("o_orderkey", F.lit(11)) == 0, F.concat(letter, F.lit("-1R"))).otherwise(full)
+
+
+# ---------------------------------------------------------------- documents
+DAY_US = 86_400_000_000
+AS_OF = "1998-01-01 00:00:00"
+
+
+def _agreement(o: DataFrame) -> Column:
+    vf = F.when(F.pmod("o_orderkey", F.lit(13)) == 0, F.lit("n/a")).otherwise(format_zulu("o_orderdate"))
+    vt = F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("string")) \
+          .otherwise(format_zulu(plus_micros("o_orderdate", 365 * DAY_US)))
+    return F.struct(F.col("o_orderkey").alias("k"),
+                    F.struct(order_tariff_code(o).alias("tariff_code"), vf.alias("valid_from"),
+                             vt.alias("valid_to")).alias("a"))
+
+
+def accounts_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5 account document per customer, as JSON text in column ``value``.
+
+    Points: electricity #0 (orders with key%4 in 0,1), electricity #1 (key%4=3), gas (key%4=2);
+    agreements in order-key order.  Alias keys vary by customer to exercise P18.
+    """
+    o = table(spark, sf_dir, "orders")
+    point = (F.when(F.pmod("o_orderkey", F.lit(4)) == 2, F.lit("g0"))
+              .when(F.pmod("o_orderkey", F.lit(4)) == 3, F.lit("e1")).otherwise(F.lit("e0")))
+    ag = o.select(F.col("o_custkey").alias("c_custkey"), point.alias("pt"), _agreement(o).alias("x"))
+
+    def lst(p):
+        return F.transform(F.sort_array(F.collect_list(F.when(F.col("pt") == p, F.col("x")))), lambda e: e["a"])
+
+    per = ag.groupBy("c_custkey").agg(lst("e0").alias("e0"), lst("e1").alias("e1"), lst("g0").alias("g0"))
+    c = table(spark, sf_dir, "customer").select("c_custkey").join(per, "c_custkey", "left")
+    k = F.col("c_custkey")
+    ks = k.cast("string")
+    pad = F.lpad(ks, 9, "0")
+    none = F.lit(None).cast("string")
+
+    def meter(serial_number, serial=None):
+        return F.struct(serial_number.alias("serial_number"), (serial if serial is not None else none).alias("serial"))
+
+    e0 = F.struct(F.when(F.pmod(k, F.lit(5)) == 0, none).otherwise(F.concat(F.lit("E"), pad)).alias("mpan"),
+                  F.when(F.pmod(k, F.lit(5)) == 0, F.concat(F.lit("E"), pad)).otherwise(none).alias("mpan_number"),
+                  F.array(meter(F.when(F.pmod(k, F.lit(4)) == 0, none).otherwise(F.concat(F.lit("ES"), ks)),
+                                F.when(F.pmod(k, F.lit(4)) == 0, F.concat(F.lit("ES"), ks)).otherwise(none))
+                          ).alias("meters"),
+                  F.col("e0").alias("agreements"))
+    e1 = F.struct(F.concat(F.lit("X"), pad).alias("mpan"), none.alias("mpan_number"),
+                  F.array(meter(F.when(F.pmod(k, F.lit(6)) == 0, F.lit("")).otherwise(F.concat(F.lit("XS"), ks)))
+                          ).alias("meters"),
+                  F.col("e1").alias("agreements"))
+    g0 = F.struct(F.concat(F.lit("G"), pad).alias("mprn"),
+                  F.array(meter(F.concat(F.lit("GS"), ks))).alias("meters"), F.col("g0").alias("agreements"))
+    doc = F.struct(F.concat(F.lit("A-"), ks).alias("number"), F.array(e0, e1).alias("electricity_meter_points"),
+                   F.array(g0).alias("gas_meter_points"))
+    return c.select("c_custkey", F.to_json(doc).alias("value"))
+
+
+def customer_deployments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account -> deployment (market segment) and the per-meter override rule (key%10=0)."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(F.concat(F.lit("A-"), F.col("c_custkey").cast("string")).alias("account"),
+                    F.col("c_mktsegment").alias("deployment"), "c_custkey")
+
+
+# Deployments that configure global tariffs, and those tariffs.
+GLOBAL_SEGMENTS = ("AUTOMOBILE", "BUILDING")
+GLOBAL_TARIFFS = {"electricity": "E-1R-GLOBAL-E-A", "gas": "G-1R-GLOBAL-G-A"}
+
+
+def global_tariffs(spark: SparkSession) -> DataFrame:
+    """Configuration table (deployment, kind, tariff_code); a handful of rows."""
+    rows = [(seg, kind, code) for seg in GLOBAL_SEGMENTS for kind, code in GLOBAL_TARIFFS.items()]
+    return spark.createDataFrame(rows, "deployment string, kind string, tariff_code string")
+
+
+PAGE_ORDERS = 64
+
+
+def lineitem_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 pages of lineitem rows: orders ``[64p, 64p+64)`` form page ``p`` (about 250 rows);
+    ``next`` names the following page, NULL on the last one."""
+    li = table(spark, sf_dir, "lineitem")
+    last_page = li.agg(F.max("l_orderkey")).collect()[0][0] // PAGE_ORDERS
+    page = F.floor(F.col("l_orderkey") / PAGE_ORDERS).cast("long")
+    row = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                   format_zulu("l_shipdate").alias("l_shipdate"))
+    g = li.groupBy(page.alias("page_no")).agg(F.sort_array(F.collect_list(row)).alias("results"))
+    nxt = F.when(F.col("page_no") < F.lit(last_page), F.concat(F.lit("page-"), (F.col("page_no") + 1).cast("string")))
+    return g.select("page_no", F.to_json(F.struct("results", nxt.alias("next"))).alias("value"))
+
+
+def zones_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone lists of homes: suppliers grouped ten per home; type by nation parity; every
+    9th zone lacks a name (device name defaults to ``TRV``)."""
+    s = table(spark, sf_dir, "supplier")
+    z = F.struct(F.col("s_suppkey").alias("id"),
+                 F.when(F.pmod("s_suppkey", F.lit(9)) == 0, F.lit(None).cast("string")).otherwise(F.col("s_name")).alias("name"),
+                 F.when(_even(F.col("s_nationkey")), F.lit("HEATING")).otherwise(F.lit("HOT_WATER")).alias("type"))
+    home = F.floor(F.col("s_suppkey") / 10).cast("long").alias("home_id")
+    g = s.groupBy(home).agg(F.sort_array(F.collect_list(z)).alias("zones"))
+    return g.select("home_id", F.to_json("zones").alias("value"))
+
+
+def homes_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``/me`` documents from customers; every 10th has no ``homes`` key."""
+    c = table(spark, sf_dir, "customer")
+    h = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                 F.lit("Europe/London").alias("dateTimeZone"), F.lit("CELSIUS").alias("temperatureUnit"))
+    doc = F.when(F.pmod("c_custkey", F.lit(10)) == 0, F.lit("{}")).otherwise(F.to_json(F.struct(F.array(h).alias("homes"))))
+    return c.select(doc.alias("value"))
+
+
+def meter_config_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meter list text per supplier: valid JSON for even keys, unquoted keys for odd keys."""
+    s = table(spark, sf_dir, "supplier")
+    ks = F.col("s_suppkey").cast("string")
+    e = F.struct(F.lit("electricity").alias("kind"), F.lpad(ks, 10, "0").alias("mpan_or_mprn"),
+                 F.concat(F.lit("M"), ks).alias("serial"), F.lit(None).cast("string").alias("tariff_code"))
+    g = F.struct(F.lit("gas").alias("kind"), F.concat(F.lit("G"), F.lpad(ks, 9, "0")).alias("mpan_or_mprn"),
+                 F.concat(F.lit("N"), ks).alias("serial"), F.lit(TARIFF_GAS).alias("tariff_code"))
+    lst = F.when(_even(F.col("s_nationkey")), F.array(e, g)).otherwise(F.array(e))
+    js = F.to_json(lst)
+    text = F.when(_even(F.col("s_suppkey")), js).otherwise(F.regexp_replace(js, r'"([a-z_]+)":', "$1:"))
+    return s.select("s_suppkey", text.alias("value"))

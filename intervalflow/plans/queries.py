@@ -227,3 +227,129 @@ def tariff_parse(spark, sf):
     return t.select("o_orderkey", "tariff_code", p["kind"].alias("kind"), p["register"].alias("register"),
                     p["product_code"].alias("product_code"), p["region"].alias("region"),
                     energy_from_code("tariff_code").alias("energy"))
+
+
+# ---------------------------------------------------------------- accounts and tariffs
+from ..operators import tariffs as tariff_ops  # noqa: E402
+from ..sources import documents as docs  # noqa: E402
+
+_PAD9 = "lpad(CAST(c_custkey AS VARCHAR), 9, '0')"
+
+
+@query("list_meters", f"""
+SELECT 'A-' || CAST(c_custkey AS VARCHAR) AS account, 'electricity' AS kind, 0 AS point_pos,
+       'E' || {_PAD9} AS mpan_mprn, 'ES' || CAST(c_custkey AS VARCHAR) AS serial FROM customer
+UNION ALL
+SELECT 'A-' || CAST(c_custkey AS VARCHAR), 'electricity', 1, 'X' || {_PAD9}, 'XS' || CAST(c_custkey AS VARCHAR)
+FROM customer WHERE c_custkey % 6 <> 0
+UNION ALL
+SELECT 'A-' || CAST(c_custkey AS VARCHAR), 'gas', 0, 'G' || {_PAD9}, 'GS' || CAST(c_custkey AS VARCHAR) FROM customer""")
+def list_meters(spark, sf):
+    acc = docs.read_accounts(fx.accounts_json(spark, sf))
+    return docs.list_meters(acc).select("account", "kind", "point_pos", "mpan_mprn", "serial")
+
+
+_AG_SQL = f"""
+ag AS (
+  SELECT 'A-' || CAST(o_custkey AS VARCHAR) AS account,
+         CASE WHEN o_orderkey % 4 = 2 THEN 'gas' ELSE 'electricity' END AS kind,
+         CASE WHEN o_orderkey % 4 = 3 THEN 1 ELSE 0 END AS point_pos, o_orderkey,
+         {tariff_code_sql()} AS tariff_code,
+         CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE date_trunc('second', o_orderdate) END AS valid_from,
+         CASE WHEN o_orderstatus = 'O' THEN NULL
+              ELSE date_trunc('second', o_orderdate) + INTERVAL 365 DAY END AS valid_to
+  FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)),
+agp AS (SELECT *, {_P['product_code']} AS product_code FROM ag),
+active AS (
+  SELECT account, kind, tariff_code, product_code, valid_from, valid_to FROM (
+    SELECT *, row_number() OVER (PARTITION BY account, kind ORDER BY point_pos, valid_from DESC, o_orderkey) AS rn
+    FROM agp WHERE valid_from IS NOT NULL AND valid_from <= TIMESTAMP '{fx.AS_OF}'
+      AND (valid_to IS NULL OR TIMESTAMP '{fx.AS_OF}' < valid_to)
+      AND product_code IS NOT NULL AND product_code <> '') WHERE rn = 1)
+"""
+
+
+@query("active_tariffs", "WITH " + _AG_SQL + "SELECT * FROM active")
+def active_tariffs(spark, sf):
+    acc = docs.read_accounts(fx.accounts_json(spark, sf))
+    a = tariff_ops.active_tariffs(acc, dt.datetime.fromisoformat(fx.AS_OF))
+    return a.select("account", "kind", "tariff_code", "product_code", "valid_from", "valid_to")
+
+
+_GLOBALS_SQL = ", ".join(f"('{s}', '{k}', '{c}')" for s in fx.GLOBAL_SEGMENTS for k, c in fx.GLOBAL_TARIFFS.items())
+
+
+@query("tariff_resolution", "WITH " + _AG_SQL + f""",
+meters AS (
+  SELECT c_custkey, c_mktsegment, 'electricity' AS kind, 'E' || {_PAD9} AS mpan_mprn, 'ES' || CAST(c_custkey AS VARCHAR) AS serial FROM customer
+  UNION ALL SELECT c_custkey, c_mktsegment, 'electricity', 'X' || {_PAD9}, 'XS' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 6 <> 0
+  UNION ALL SELECT c_custkey, c_mktsegment, 'gas', 'G' || {_PAD9}, 'GS' || CAST(c_custkey AS VARCHAR) FROM customer),
+g(deployment, kind, tariff_code) AS (VALUES {_GLOBALS_SQL}),
+m2 AS (SELECT 'A-' || CAST(c_custkey AS VARCHAR) AS account, c_mktsegment AS deployment, kind, mpan_mprn, serial,
+              CASE WHEN c_custkey % 10 = 0 THEN (CASE WHEN kind = 'electricity' THEN 'E' ELSE 'G' END)
+                   || '-1R-OVR' || CAST(c_custkey AS VARCHAR) || '-A' END AS override FROM meters)
+SELECT m2.account, m2.kind, m2.mpan_mprn, m2.serial,
+       coalesce(m2.override, g.tariff_code, a.tariff_code) AS resolved_tariff,
+       CASE WHEN m2.override IS NOT NULL THEN 'override' WHEN g.tariff_code IS NOT NULL THEN 'global'
+            WHEN a.tariff_code IS NOT NULL THEN 'discovered' END AS tariff_source
+FROM m2 LEFT JOIN g ON m2.deployment = g.deployment AND m2.kind = g.kind
+        LEFT JOIN active a ON m2.account = a.account AND m2.kind = a.kind""")
+def tariff_resolution(spark, sf):
+    acc = docs.read_accounts(fx.accounts_json(spark, sf)).cache()
+    meters = docs.list_meters(acc).join(fx.customer_deployments(spark, sf), "account")
+    k = F.col("c_custkey")
+    override = F.when(F.pmod(k, F.lit(10)) == 0,
+                      F.concat(F.when(F.col("kind") == "electricity", F.lit("E")).otherwise(F.lit("G")),
+                               F.lit("-1R-OVR"), k.cast("string"), F.lit("-A")))
+    meters = meters.withColumn("tariff_code", override)
+    found = tariff_ops.active_tariffs(acc, dt.datetime.fromisoformat(fx.AS_OF))
+    r = tariff_ops.resolve_tariff(meters, fx.global_tariffs(spark), found)
+    return r.select("account", "kind", "mpan_mprn", "serial", "resolved_tariff", "tariff_source")
+
+
+# ---------------------------------------------------------------- pages, config, homes, zones
+@query("paged_results", f"""
+SELECT l_orderkey // {fx.PAGE_ORDERS} AS page_no,
+       CAST(row_number() OVER (PARTITION BY l_orderkey // {fx.PAGE_ORDERS}
+            ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS INTEGER) AS page_pos,
+       (l_orderkey // {fx.PAGE_ORDERS} = (SELECT max(l_orderkey) // {fx.PAGE_ORDERS} FROM lineitem)) AS is_last_page,
+       l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+       date_trunc('second', l_shipdate) AS l_shipdate
+FROM lineitem""")
+def paged_results(spark, sf):
+    from pyspark.sql import types as T
+    rt = T.StructType([T.StructField(n, t) for n, t in [
+        ("l_orderkey", T.LongType()), ("l_linenumber", T.IntegerType()), ("l_partkey", T.LongType()),
+        ("l_suppkey", T.LongType()), ("l_quantity", T.DoubleType()), ("l_extendedprice", T.DoubleType()),
+        ("l_shipdate", T.StringType())]])
+    rows = docs.read_pages(fx.lineitem_pages(spark, sf), rt)
+    from ..functions.timefns import to_utc
+    return rows.withColumn("l_shipdate", to_utc("l_shipdate"))
+
+
+@query("meter_config_repair", """
+SELECT s_suppkey, (s_suppkey % 2 <> 0) AS repaired, 0 AS entry_pos, 'electricity' AS kind,
+       lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS mpan_or_mprn, 'M' || CAST(s_suppkey AS VARCHAR) AS serial,
+       CAST(NULL AS VARCHAR) AS tariff_code FROM supplier
+UNION ALL
+SELECT s_suppkey, (s_suppkey % 2 <> 0), 1, 'gas', 'G' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0'),
+       'N' || CAST(s_suppkey AS VARCHAR), '""" + fx.TARIFF_GAS + """' FROM supplier WHERE s_nationkey % 2 = 0""")
+def meter_config_repair(spark, sf):
+    return docs.parse_meter_config(fx.meter_config_text(spark, sf)).select(
+        "s_suppkey", "repaired", "entry_pos", "kind", "mpan_or_mprn", "serial", "tariff_code")
+
+
+@query("homes", """
+SELECT c_custkey AS id, c_name AS name, 'Europe/London' AS dateTimeZone, 'CELSIUS' AS temperatureUnit
+FROM customer WHERE c_custkey % 10 <> 0""")
+def homes(spark, sf):
+    return docs.homes(fx.homes_json(spark, sf))
+
+
+@query("homes_devices", """
+SELECT s_suppkey // 10 AS home_id, CAST(s_suppkey AS VARCHAR) AS device_id,
+       CASE WHEN s_suppkey % 9 = 0 THEN 'TRV' ELSE s_name END AS name, 'trv' AS device_type,
+       CAST(s_suppkey AS VARCHAR) AS zone_id
+FROM supplier WHERE s_nationkey % 2 = 0""")
+def homes_devices(spark, sf):
+    return docs.devices_from_zones(fx.zones_json(spark, sf))

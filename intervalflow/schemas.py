@@ -47,14 +47,15 @@ def page_envelope(result_type: T.DataType) -> T.StructType:
 
 # E7 heating day report (timestamps stay strings, as landed)
 _CELSIUS = _st(("celsius", D))
+_CALL_INTERVAL = _st(("from", S), ("to", S), ("value", S))
+_INSIDE_POINT = _st(("timestamp", S), ("value", _CELSIUS))
+_HUMIDITY_POINT = _st(("timestamp", S), ("value", D))
+_SETTING = _st(("from", S), ("to", S), ("value", _st(("power", S), ("temperature", _CELSIUS))))
 DAY_REPORT = _st(
-    ("callForHeat", _st(("dataIntervals", T.ArrayType(_st(("from", S), ("to", S), ("value", S))))))),
-    ("measuredData", _st(
-        ("insideTemperature", _st(("dataPoints", T.ArrayType(_st(("timestamp", S), ("value", _CELSIUS)))))),
-        ("humidity", _st(("dataPoints", T.ArrayType(_st(("timestamp", S), ("value", D)))))),
-    )),
-    ("settings", _st(("dataIntervals", T.ArrayType(_st(
-        ("from", S), ("to", S), ("value", _st(("power", S), ("temperature", _CELSIUS))))))))),
+    ("callForHeat", _st(("dataIntervals", T.ArrayType(_CALL_INTERVAL)))),
+    ("measuredData", _st(("insideTemperature", _st(("dataPoints", T.ArrayType(_INSIDE_POINT)))),
+                         ("humidity", _st(("dataPoints", T.ArrayType(_HUMIDITY_POINT)))))),
+    ("settings", _st(("dataIntervals", T.ArrayType(_SETTING)))),
 )
 
 # E8 demand event, E9 temperature record
