@@ -240,3 +240,54 @@ def meter_config_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     js = F.to_json(lst)
     text = F.when(_even(F.col("s_suppkey")), js).otherwise(F.regexp_replace(js, r'"([a-z_]+)":', "$1:"))
     return s.select("s_suppkey", text.alias("value"))
+
+
+# ---------------------------------------------------------------- heating
+# Call-for-heat levels by k % 4.
+HEAT_LEVELS = ("NONE", "LOW", "MEDIUM", "HIGH")
+
+
+def day_reports_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E7 day report per (user, UTC day) from events, arrays in event-id order.
+
+    click/view -> callForHeat (value by k%4, ``to`` = +k minutes, absent when k%13=0);
+    purchase -> insideTemperature (celsius = value) and humidity = k when k is even;
+    error -> settings (power OFF when k%3=0, target celsius = value, ``to`` = +30 min).
+    """
+    ev = table(spark, sf_dir, "events")
+    k = prop_k(F.col("props"))
+    stamp = format_zulu("ts")
+    t = F.col("event_type")
+    level = F.element_at(F.array(*[F.lit(v) for v in HEAT_LEVELS]), (F.pmod(k, F.lit(4)) + 1).cast("int"))
+    to = F.when(F.pmod(k, F.lit(13)) == 0, F.lit(None).cast("string")).otherwise(
+        format_zulu(plus_micros("ts", k.cast("long") * MINUTE_US)))
+    cfh = F.when(t.isin("click", "view"), F.struct(F.col("event_id").alias("o"), F.struct(
+        stamp.alias("from"), to.alias("to"), level.alias("value")).alias("x")))
+    inside = F.when(t == "purchase", F.struct(F.col("event_id").alias("o"), F.struct(
+        stamp.alias("timestamp"), F.struct(F.col("value").alias("celsius")).alias("value")).alias("x")))
+    hum = F.when((t == "purchase") & (F.pmod(k, F.lit(2)) == 0), F.struct(F.col("event_id").alias("o"), F.struct(
+        stamp.alias("timestamp"), k.cast("double").alias("value")).alias("x")))
+    power = F.when(F.pmod(k, F.lit(3)) == 0, F.lit("OFF")).otherwise(F.lit("ON"))
+    sett = F.when(t == "error", F.struct(F.col("event_id").alias("o"), F.struct(
+        stamp.alias("from"), format_zulu(plus_micros("ts", HALF_HOUR_US)).alias("to"),
+        F.struct(power.alias("power"), F.struct(F.col("value").alias("celsius")).alias("temperature")).alias("value")
+    ).alias("x")))
+
+    def lst(c):
+        return F.transform(F.sort_array(F.collect_list(c)), lambda e: e["x"])
+
+    g = ev.groupBy("user_id", F.to_date("ts").alias("date")).agg(
+        lst(cfh).alias("cfh"), lst(inside).alias("inside"), lst(hum).alias("hum"), lst(sett).alias("sett"))
+    doc = F.struct(F.struct(F.col("cfh").alias("dataIntervals")).alias("callForHeat"),
+                   F.struct(F.struct(F.col("inside").alias("dataPoints")).alias("insideTemperature"),
+                            F.struct(F.col("hum").alias("dataPoints")).alias("humidity")).alias("measuredData"),
+                   F.struct(F.col("sett").alias("dataIntervals")).alias("settings"))
+    uid = F.col("user_id").cast("string")
+    return g.select(uid.alias("device_id"), uid.alias("zone_id"), "date", F.to_json(doc).alias("value"))
+
+
+def heating_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E13 heating state: per device, max ``ts`` of its error events; ids with id%9=0 have none."""
+    ev = table(spark, sf_dir, "events").filter((F.col("event_type") == "error") & (F.pmod("user_id", F.lit(9)) != 0))
+    uid = F.col("user_id").cast("string")
+    return ev.groupBy(uid.alias("device_id"), uid.alias("zone_id")).agg(F.max("ts").alias("last_interval"))

@@ -353,3 +353,173 @@ SELECT s_suppkey // 10 AS home_id, CAST(s_suppkey AS VARCHAR) AS device_id,
 FROM supplier WHERE s_nationkey % 2 = 0""")
 def homes_devices(spark, sf):
     return docs.devices_from_zones(fx.zones_json(spark, sf))
+
+
+# ---------------------------------------------------------------- heating
+from ..operators import heating as heat  # noqa: E402
+from ..streaming import state as st  # noqa: E402
+
+_EV_SQL = """ev AS (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k, date_trunc('second', ts) AS st,
+                  CAST(user_id AS VARCHAR) AS dev FROM events)"""
+_DEMAND_SQL = """demand AS (
+  SELECT dev AS trv_id, dev AS zone_id, true AS requested,
+         CASE k % 4 WHEN 1 THEN 'LOW' WHEN 2 THEN 'MEDIUM' WHEN 3 THEN 'HIGH' END AS heat_demand,
+         st AS timestamp, CASE WHEN k % 13 = 0 THEN NULL ELSE k END AS duration_minutes
+  FROM ev WHERE event_type IN ('click', 'view') AND k % 4 <> 0)"""
+_TEMPS_SQL = """temps AS (
+  SELECT dev AS device_id, dev AS zone_id, value AS temperature, st AS timestamp, 'inside' AS sensor_type,
+         CASE WHEN k % 2 = 0 THEN CAST(k AS DOUBLE) END AS humidity
+  FROM ev WHERE event_type = 'purchase'
+  UNION ALL
+  SELECT dev, dev, value, st, 'target', CAST(NULL AS DOUBLE) FROM ev WHERE event_type = 'error' AND k % 3 <> 0)"""
+_UNIFIED_SQL = """unified AS (
+  SELECT 'demand' AS record_kind, * FROM demand UNION ALL BY NAME SELECT 'temperature' AS record_kind, * FROM temps)"""
+_HSTATE_SQL = """hstate AS (
+  SELECT CAST(user_id AS VARCHAR) AS device_id, max(ts) AS last_interval FROM events
+  WHERE event_type = 'error' AND user_id % 9 <> 0 GROUP BY user_id)"""
+
+
+def _parsed_reports(spark, sf):
+    return heat.parse_day_reports(fx.day_reports_json(spark, sf))
+
+
+def _unified(spark, sf):
+    p = _parsed_reports(spark, sf)
+    return heat.heating_unified(heat.demand_events(p), heat.temperature_records(p))
+
+
+@query("day_report_demand", f"""WITH {_EV_SQL}, {_DEMAND_SQL}
+SELECT * REPLACE (CAST(duration_minutes AS DOUBLE) AS duration_minutes) FROM demand""")
+def day_report_demand(spark, sf):
+    d = heat.demand_events(_parsed_reports(spark, sf))
+    return d.withColumn("duration_minutes", F.col("duration_minutes").cast("double"))
+
+
+@query("day_report_temperature", f"WITH {_EV_SQL}, {_TEMPS_SQL} SELECT * FROM temps")
+def day_report_temperature(spark, sf):
+    return heat.temperature_records(_parsed_reports(spark, sf))
+
+
+@query("heating_unified", f"""WITH {_EV_SQL}, {_DEMAND_SQL}, {_TEMPS_SQL}, {_UNIFIED_SQL}
+SELECT * REPLACE ({day_sql('timestamp')} AS date, CAST(duration_minutes AS DOUBLE) AS duration_minutes,
+                  CAST(requested AS VARCHAR) AS requested)
+FROM (SELECT *, NULL AS date FROM unified)""")
+def heating_unified(spark, sf):
+    u = _unified(spark, sf)
+    return u.withColumn("date", day("date")).withColumn("duration_minutes", F.col("duration_minutes").cast("double")) \
+            .withColumn("requested", F.col("requested").cast("string"))
+
+
+PERIOD = (dt.datetime(2024, 1, 10, 6, 0), dt.datetime(2024, 1, 12, 18, 0))
+
+
+@query("temperature_period", f"""WITH {_EV_SQL}, {_TEMPS_SQL}
+SELECT * FROM temps WHERE timestamp BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-12 18:00:00'""")
+def temperature_period(spark, sf):
+    return heat.in_period(heat.temperature_records(_parsed_reports(spark, sf)), *PERIOD)
+
+
+_RECS_SQL = """recs AS (SELECT coalesce(trv_id, device_id) AS device_id, timestamp FROM unified)"""
+
+
+@query("heating_newer_than_state", f"""WITH {_EV_SQL}, {_DEMAND_SQL}, {_TEMPS_SQL}, {_UNIFIED_SQL}, {_HSTATE_SQL},
+{_RECS_SQL},
+fresh AS (SELECT r.* FROM recs r LEFT JOIN hstate s ON r.device_id = s.device_id
+          WHERE s.last_interval IS NULL OR r.timestamp > s.last_interval),
+marks AS (SELECT device_id, count(*) AS n_new, max(timestamp) AS mx FROM fresh GROUP BY device_id)
+SELECT coalesce(s.device_id, m.device_id) || ':' || coalesce(s.device_id, m.device_id) AS source_key,
+       s.last_interval AS last_before, coalesce(m.n_new, 0) AS n_new,
+       greatest(s.last_interval, m.mx) AS last_after
+FROM hstate s FULL OUTER JOIN marks m ON s.device_id = m.device_id""")
+def heating_newer_than_state(spark, sf):
+    u = _unified(spark, sf).select(F.coalesce("trv_id", "device_id").alias("device_id"), "timestamp")
+    state = fx.heating_state(spark, sf).select("device_id", "last_interval")
+    fresh = st.newer_than_state(u, state, ["device_id"])
+    marks = fresh.groupBy("device_id").agg(F.count(F.lit(1)).alias("n_new"), F.max("timestamp").alias("last_interval"))
+    new_state = st.advance_state(state, marks.select("device_id", "last_interval"), ["device_id"])
+    out = (state.withColumnRenamed("last_interval", "last_before")
+           .join(marks.select("device_id", "n_new"), "device_id", "full_outer")
+           .join(new_state.withColumnRenamed("last_interval", "last_after"), "device_id", "left"))
+    from ..functions.codes import state_key
+    return out.select(state_key("device_id", "device_id").alias("source_key"), "last_before",
+                      F.coalesce("n_new", F.lit(0).cast("long")).alias("n_new"), "last_after")
+
+
+@query("late_heating_dropped", f"""WITH {_EV_SQL}, {_DEMAND_SQL}, {_TEMPS_SQL}, {_UNIFIED_SQL}, {_HSTATE_SQL},
+{_RECS_SQL}
+SELECT r.device_id, count(*) AS n_late, max(r.timestamp) AS latest_late
+FROM recs r JOIN hstate s ON r.device_id = s.device_id WHERE r.timestamp <= s.last_interval
+GROUP BY r.device_id""")
+def late_heating_dropped(spark, sf):
+    u = _unified(spark, sf).select(F.coalesce("trv_id", "device_id").alias("device_id"), "timestamp")
+    late = st.newer_than_state(u, fx.heating_state(spark, sf).select("device_id", "last_interval"),
+                               ["device_id"], keep="late")
+    return late.groupBy("device_id").agg(F.count(F.lit(1)).alias("n_late"), F.max("timestamp").alias("latest_late"))
+
+
+GRID = (dt.date(2024, 1, 1), dt.date(2024, 1, 30))
+
+
+@query("device_day_grid", f"""WITH {_HSTATE_SQL},
+dev AS (SELECT CAST(s_suppkey AS VARCHAR) AS device_id FROM supplier WHERE s_nationkey % 2 = 0),
+grid AS (SELECT d.device_id,
+           unnest(generate_series(greatest(TIMESTAMP '2024-01-01', coalesce(date_trunc('day', s.last_interval), TIMESTAMP '2024-01-01')),
+                                  TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS date
+         FROM dev d LEFT JOIN hstate s ON d.device_id = s.device_id),
+landed AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS zone_id, date_trunc('day', ts) AS date FROM events)
+SELECT g.device_id, g.date FROM grid g
+WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.zone_id = g.device_id AND l.date = g.date)""")
+def device_day_grid(spark, sf):
+    devices = docs.devices_from_zones(fx.zones_json(spark, sf))
+    state = fx.heating_state(spark, sf).select("device_id", "last_interval")
+    d = devices.join(state, "device_id", "left").withColumn(
+        "start", F.when(F.col("last_interval").isNotNull(), st.heating_resume_start("last_interval", dt.datetime(2024, 1, 1))))
+    grid = heat.device_day_grid(d, *GRID, device_cols=["device_id"], device_start_col="start")
+    landed = fx.day_reports_json(spark, sf).select(F.col("zone_id").alias("device_id"), "date")
+    todo = heat.days_to_fetch(grid, landed, ["device_id", "date"])
+    return todo.select("device_id", day("date").alias("date"))
+
+
+NOW = dt.datetime(2024, 2, 1)
+
+
+@query("resume_window", with_ctes("cons") + f""",
+mstate AS (SELECT mpan_mprn, serial, max(interval_start) AS last_interval FROM cons
+           WHERE CAST(mpan_mprn AS BIGINT) % 9 <> 0 GROUP BY mpan_mprn, serial),
+meters AS (SELECT DISTINCT mpan_mprn, serial FROM cons),
+{_HSTATE_SQL},
+devs AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS device_id FROM events)
+SELECT m.mpan_mprn || ':' || m.serial AS source_key, 'meter' AS source, s.last_interval,
+       CASE WHEN s.last_interval IS NULL THEN TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 7 DAY
+            ELSE greatest(s.last_interval - INTERVAL 1801 SECOND, TIMESTAMP '2015-01-01 00:00:00') END AS resume_start
+FROM meters m LEFT JOIN mstate s ON m.mpan_mprn = s.mpan_mprn AND m.serial = s.serial
+UNION ALL
+SELECT d.device_id || ':' || d.device_id, 'heating', s.last_interval,
+       CASE WHEN s.last_interval IS NULL THEN TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 1 HOUR
+            ELSE date_trunc('day', s.last_interval) END
+FROM devs d LEFT JOIN hstate s ON d.device_id = s.device_id""")
+def resume_window(spark, sf):
+    from ..functions.codes import state_key
+    c = fx.consumption(spark, sf)
+    marks = st.high_water(c.filter(F.pmod(F.col("mpan_mprn").cast("long"), F.lit(9)) != 0),
+                          ["mpan_mprn", "serial"], "interval_start")
+    meters = c.select("mpan_mprn", "serial").distinct().join(marks, ["mpan_mprn", "serial"], "left")
+    m = meters.select(state_key("mpan_mprn", "serial").alias("source_key"), F.lit("meter").alias("source"),
+                      "last_interval", st.resume_start("last_interval", NOW).alias("resume_start"))
+    devs = fx.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("device_id")).distinct()
+    h = devs.join(fx.heating_state(spark, sf).select("device_id", "last_interval"), "device_id", "left")
+    h = h.select(state_key("device_id", "device_id").alias("source_key"), F.lit("heating").alias("source"),
+                 "last_interval", st.heating_resume_start("last_interval", NOW).alias("resume_start"))
+    return m.unionByName(h)
+
+
+@query("load_audit", f"""WITH {_EV_SQL}, {_DEMAND_SQL}, {_TEMPS_SQL}, {_UNIFIED_SQL}
+SELECT coalesce(trv_id, device_id) AS device_id, {day_sql('timestamp')} AS date,
+       CAST(sum(CASE WHEN record_kind = 'demand' THEN 1 ELSE 0 END) AS BIGINT) AS n_demand,
+       CAST(sum(CASE WHEN record_kind = 'temperature' THEN 1 ELSE 0 END) AS BIGINT) AS n_temperature,
+       count(*) AS n_rows
+FROM unified GROUP BY ALL""")
+def load_audit(spark, sf):
+    u = _unified(spark, sf).withColumn("device_id", F.coalesce("trv_id", "device_id"))
+    a = quality.load_audit(u, ["device_id"])
+    return a.select("device_id", day("date").alias("date"), "n_demand", "n_temperature", "n_rows")
