@@ -37,18 +37,20 @@ def usage_rollup(df: DataFrame, by: Sequence[str], ts_col: str = "interval_start
     return g.agg(*_sums(measures), F.count(F.lit(1)).alias("n_intervals"), level.alias("grain"))
 
 
-def bill(daily: DataFrame, charges: DataFrame, by: Sequence[str], month_col: str = "usage_month") -> DataFrame:
+def bill(daily: DataFrame, charges: DataFrame, by: Sequence[str], charge_keys: Sequence[str],
+         month_col: str = "usage_month") -> DataFrame:
     """Energy cost plus standing charge per group and month.
 
-    ``charges`` holds ``standing_charge`` per day for each ``by`` key; the join is on the
-    group key, so both sides shuffle once and no side needs to be small.
+    ``daily`` is :func:`usage_daily` output; ``charges`` holds ``standing_charge`` per day
+    keyed by ``charge_keys`` (a configuration table).  Standing cost = charge x days with data.
     """
     d = daily.withColumn(month_col, F.trunc("usage_date", "month"))
     m = d.groupBy(*by, month_col).agg(F.sum("kwh").alias("kwh"), F.sum("cost").alias("energy_cost"),
                                       F.count(F.lit(1)).alias("days"))
-    j = m.join(charges, list(by), "left")
-    return j.withColumn("standing_cost", F.col("standing_charge") * F.col("days")) \
-            .withColumn("total_cost", F.col("energy_cost") + F.coalesce(F.col("standing_cost"), F.lit(0)))
+    j = m.join(charges, list(charge_keys), "left")
+    std = F.col("standing_charge") * F.col("days")
+    return j.withColumn("standing_cost", std) \
+            .withColumn("total_cost", F.col("energy_cost") + F.coalesce(std, F.lit(0)))
 
 
 def daily_cross_domain(energy_daily: DataFrame, heating_daily: DataFrame, keys: Sequence[str]) -> DataFrame:

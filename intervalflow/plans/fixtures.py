@@ -291,3 +291,33 @@ def heating_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").filter((F.col("event_type") == "error") & (F.pmod("user_id", F.lit(9)) != 0))
     uid = F.col("user_id").cast("string")
     return ev.groupBy(uid.alias("device_id"), uid.alias("zone_id")).agg(F.max("ts").alias("last_interval"))
+
+
+# ---------------------------------------------------------------- landing, arrival, state codec
+def land_event_splits(spark: SparkSession, sf_dir: str, root: str, splits: int = 8, repeat: int = 3) -> None:
+    """Landing files for streams: events split by ``event_id % splits`` (one append each),
+    plus one re-delivered split to prove de-duplication."""
+    ev = table(spark, sf_dir, "events")
+    for i in [*range(splits), repeat]:
+        ev.filter(F.pmod("event_id", F.lit(splits)) == i).write.mode("append").parquet(root)
+
+
+def arrival_time(event_id: Column, ts: Column) -> Column:
+    """``ingested_at`` = ts + (event_id % 60) min; event_id % 97 = 0 arrives two days late."""
+    late = F.when(F.pmod(event_id, F.lit(97)) == 0, F.lit(2 * 1440)).otherwise(F.lit(0))
+    return plus_micros(ts, (F.pmod(event_id, F.lit(60)) + late).cast("long") * MINUTE_US)
+
+
+def state_json_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Existing JSON state maps ``{"<id>:<id>": iso}`` with Z, +01:00, naive and unreadable values."""
+    s = heating_state(spark, sf_dir)
+    uid = F.col("device_id").cast("long")
+    t = F.col("last_interval")
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    val = (F.when(F.pmod(uid, F.lit(11)) == 0, F.lit("garbage"))
+            .when(F.pmod(uid, F.lit(3)) == 0, F.concat(F.date_format(t, iso), F.lit("Z")))
+            .when(F.pmod(uid, F.lit(3)) == 1,
+                  F.concat(F.date_format(plus_micros(t, 3600 * 1_000_000), iso), F.lit("+01:00")))
+            .otherwise(F.date_format(t, iso)))
+    key = F.concat_ws(":", F.col("device_id"), F.col("zone_id"))
+    return s.select(F.to_json(F.create_map(key, val)).alias("value"))

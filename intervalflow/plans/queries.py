@@ -523,3 +523,257 @@ def load_audit(spark, sf):
     u = _unified(spark, sf).withColumn("device_id", F.coalesce("trv_id", "device_id"))
     a = quality.load_audit(u, ["device_id"])
     return a.select("device_id", day("date").alias("date"), "n_demand", "n_temperature", "n_rows")
+
+
+# ---------------------------------------------------------------- lake, streams, backfills
+from ..sinks import lake  # noqa: E402
+from ..streaming import ingest  # noqa: E402
+
+_LAKE_OUT_SQL = f"""SELECT event_id, {MSQL}, interval_start, interval_end, {money_sql('consumption')} AS consumption,
+       {day_sql('interval_end')} AS date"""
+
+
+def _lake_out(df):
+    return df.select("event_id", *M, "interval_start", "interval_end", money("consumption").alias("consumption"),
+                     day("date").alias("date"))
+
+
+@query("lake_roundtrip", with_ctes("cons") + _LAKE_OUT_SQL + " FROM cons")
+def lake_roundtrip(spark, sf):
+    root = lake.new_lake_root(spark, "roundtrip")
+    lake.write_consumption(fx.consumption_raw(spark, sf), root)
+    return _lake_out(lake.read_lake(spark, root, lake.CONSUMPTION_LAKE))
+
+
+@query("lake_merge_idempotent", with_ctes("cons_raw") + f""",
+kept AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY {MSQL}, interval_start, interval_end ORDER BY event_id) AS rn
+  FROM cons_raw WHERE event_id % 3 <> 0 OR event_id % 2 = 0) WHERE rn = 1)
+""" + _LAKE_OUT_SQL + " FROM kept")
+def lake_merge_idempotent(spark, sf):
+    root = lake.new_lake_root(spark, "merge")
+    raw = fx.consumption_raw(spark, sf)
+    lake.write_consumption(raw.filter(F.pmod("event_id", F.lit(3)) != 0), root)
+    second = raw.filter(F.pmod("event_id", F.lit(2)) == 0)
+    lake.write_consumption(second, root)
+    lake.write_consumption(second, root)  # replay: must not change the table
+    return _lake_out(lake.read_lake(spark, root, lake.CONSUMPTION_LAKE))
+
+
+@query("compaction", with_ctes("cons") + _LAKE_OUT_SQL + " FROM cons")
+def compaction(spark, sf):
+    root = lake.new_lake_root(spark, "compact")
+    c = lake.prepare_consumption(fx.consumption(spark, sf)).select(*lake.CONSUMPTION_LAKE.fieldNames())
+    for i in range(4):  # four appends -> several small files per partition
+        lake.write_partitioned(c.filter(F.pmod("event_id", F.lit(4)) == i), root, lake.CONSUMPTION_PARTS, mode="append")
+    lake.compact(spark, root, lake.CONSUMPTION_LAKE, lake.CONSUMPTION_PARTS)
+    return _lake_out(lake.read_lake(spark, root, lake.CONSUMPTION_LAKE))
+
+
+@query("backfill_range", with_ctes("cons") + _LAKE_OUT_SQL + """ FROM cons
+WHERE CAST(interval_start AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""")
+def backfill_range(spark, sf):
+    root = lake.new_lake_root(spark, "backfill")
+    ingest.backfill(fx.consumption_raw(spark, sf), root, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+    return _lake_out(lake.read_lake(spark, root, lake.CONSUMPTION_LAKE))
+
+
+@query("backfill_chunked", with_ctes("cons") + f"""SELECT event_id, {MSQL}, interval_start, interval_end,
+  {money_sql("CASE WHEN interval_start >= TIMESTAMP '2024-01-15 00:00:00' THEN consumption * 2 ELSE consumption END")}
+  AS consumption, {day_sql('interval_end')} AS date FROM cons""")
+def backfill_chunked(spark, sf):
+    root = lake.new_lake_root(spark, "chunked")
+    newer = fx.consumption(spark, sf).filter(F.col("interval_start") >= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    newer = newer.withColumn("consumption", (F.col("consumption") * 2).cast("decimal(18,2)"))
+    lake.write_consumption(newer, root)
+    ingest.backfill(fx.consumption_raw(spark, sf), root, dt.date(2024, 1, 1), dt.date(2024, 1, 31),
+                    step_days=10, prefer="existing")
+    return _lake_out(lake.read_lake(spark, root, lake.CONSUMPTION_LAKE))
+
+
+def _events_to_readings(batch):
+    from ..functions.timefns import floor_time, plus_micros
+    slot = floor_time("ts", 1800)
+    return batch.select("event_id", *fx.meter_columns(F.col("user_id")), slot.alias("interval_start"),
+                        plus_micros(slot, fx.HALF_HOUR_US).alias("interval_end"),
+                        F.col("value").cast("decimal(18,2)").alias("consumption"))
+
+
+@query("stream_dedup_state", with_ctes("cons") + f""",
+hw AS (SELECT mpan_mprn, serial, max(interval_start) AS last_interval FROM cons GROUP BY mpan_mprn, serial)
+SELECT c.event_id, c.kind, c.mpan_mprn, c.serial, c.interval_start, c.interval_end,
+       {money_sql('c.consumption')} AS consumption, {day_sql('c.interval_end')} AS date, hw.last_interval
+FROM cons c JOIN hw ON c.mpan_mprn = hw.mpan_mprn AND c.serial = hw.serial""")
+def stream_dedup_state(spark, sf):
+    landing = lake.new_lake_root(spark, "landing")
+    fx.land_event_splits(spark, sf, landing)
+    root, state_root = lake.new_lake_root(spark, "stream"), lake.new_lake_root(spark, "state") + "/state"
+    schema = fx.table(spark, sf, "events").schema
+    # Files of the fixture arrive out of event-time order, so the re-delivery horizon spans the data.
+    ingest.stream_consumption(spark, landing, schema, _events_to_readings, root, state_root,
+                              max_files_per_trigger=4, delay="31 days")
+    out = _lake_out(lake.read_lake(spark, root, lake.CONSUMPTION_LAKE))
+    state = ingest.read_state(spark, state_root)
+    from ..functions.codes import state_key
+    return out.withColumn("source_key", state_key("mpan_mprn", "serial")).join(state, "source_key", "left").drop("source_key")
+
+
+@query("late_reprocess", with_ctes("cons", "cons_raw") + f""",
+ontime_hw AS (SELECT mpan_mprn, serial, max(interval_start) AS hw FROM cons_raw WHERE event_id % 97 <> 0
+              GROUP BY mpan_mprn, serial),
+late AS (SELECT r.mpan_mprn, r.serial, count(*) AS n_late FROM cons_raw r JOIN ontime_hw h
+           ON r.mpan_mprn = h.mpan_mprn AND r.serial = h.serial
+         WHERE r.event_id % 97 = 0 AND r.interval_end <= h.hw GROUP BY r.mpan_mprn, r.serial),
+fin AS (SELECT mpan_mprn, serial, count(*) AS n_rows, max(interval_start) AS last_interval FROM cons GROUP BY ALL)
+SELECT f.mpan_mprn, f.serial, f.n_rows, coalesce(l.n_late, 0) AS n_late, f.last_interval
+FROM fin f LEFT JOIN late l ON f.mpan_mprn = l.mpan_mprn AND f.serial = l.serial""")
+def late_reprocess(spark, sf):
+    from ..functions.codes import state_key
+    root, state_root = lake.new_lake_root(spark, "late"), lake.new_lake_root(spark, "late-state") + "/state"
+    raw = fx.consumption_raw(spark, sf)
+    on_time = raw.filter(F.pmod("event_id", F.lit(97)) != 0)
+    lake.write_consumption(on_time, root)
+    ingest.update_state(spark, on_time, state_root, ["mpan_mprn", "serial"])
+    arrivals = raw.filter(F.pmod("event_id", F.lit(97)) == 0)
+    fresh, late = ingest.split_late(arrivals, ingest.read_state(spark, state_root), state_key("mpan_mprn", "serial"))
+    # The state table is replaced below, so pin the split (it was computed against the old state).
+    fresh, late = fresh.checkpoint(eager=True), late.checkpoint(eager=True)
+    lake.write_consumption(fresh.unionByName(late), root)  # K9 recomputes the touched partitions
+    ingest.update_state(spark, arrivals, state_root, ["mpan_mprn", "serial"])
+    final = lake.read_lake(spark, root, lake.CONSUMPTION_LAKE)
+    fin = final.groupBy("mpan_mprn", "serial").agg(F.count(F.lit(1)).alias("n_rows"))
+    n_late = late.groupBy("mpan_mprn", "serial").agg(F.count(F.lit(1)).alias("n_late"))
+    state = ingest.read_state(spark, state_root).withColumnRenamed("source_key", "_k")
+    out = fin.join(n_late, ["mpan_mprn", "serial"], "left") \
+             .join(state, state_key("mpan_mprn", "serial") == F.col("_k"), "left")
+    return out.select("mpan_mprn", "serial", "n_rows", F.coalesce("n_late", F.lit(0).cast("long")).alias("n_late"),
+                      "last_interval")
+
+
+# ---------------------------------------------------------------- profile, audits, bills, codecs
+@query("profile", with_ctes("cons") + """
+SELECT count(*) AS n_rows, min(interval_start) AS min_interval_start, max(interval_start) AS max_interval_start,
+       min(interval_end) AS min_interval_end, max(interval_end) AS max_interval_end,
+       count(DISTINCT mpan_mprn) AS distinct_mpan_mprn, count(DISTINCT serial) AS distinct_serial FROM cons""")
+def profile(spark, sf):
+    c = fx.consumption(spark, sf).select(*M, "interval_start", "interval_end", "consumption")
+    return quality.profile(c)
+
+
+@query("dedup_keep_first", """
+SELECT event_id, user_id, event_type, day, value FROM (
+  SELECT event_id, user_id, event_type, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, value,
+         row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY event_id) AS rn
+  FROM events) WHERE rn = 1""")
+def dedup_keep_first(spark, sf):
+    from ..operators.dedup import keep_first
+    ev = fx.table(spark, sf, "events").select("event_id", "user_id", "event_type", day("ts").alias("day"), "value")
+    return keep_first(ev, ["user_id", "event_type", "day"], "event_id")
+
+
+@query("top_meters", with_ctes("cons") + f"""
+SELECT {MSQL}, {money_sql('sum(consumption)')} AS kwh FROM cons GROUP BY {MSQL}
+ORDER BY sum(consumption) DESC, mpan_mprn, serial LIMIT 10""")
+def top_meters(spark, sf):
+    t = fx.consumption(spark, sf).groupBy(*M).agg(F.sum("consumption").alias("_kwh"))
+    top = scans.head(t, 10, [F.col("_kwh").desc(), "mpan_mprn", "serial"])
+    return top.select(*M, money("_kwh").alias("kwh"))
+
+
+@query("ingest_latency", with_ctes("cons_raw") + """,
+lat AS (SELECT kind, mpan_mprn, serial,
+          epoch_us(e.ts + to_minutes(CAST(e.event_id % 60 + CASE WHEN e.event_id % 97 = 0 THEN 2880 ELSE 0 END AS BIGINT)))
+          - epoch_us(c.interval_end) AS us
+        FROM cons_raw c JOIN events e ON c.event_id = e.event_id)
+SELECT kind, mpan_mprn, serial, count(*) AS n, max(us) / 1000000.0 AS max_latency_s,
+       quantile_cont(us, 0.5) / 1000000.0 AS median_latency_s
+FROM lat GROUP BY ALL""")
+def ingest_latency(spark, sf):
+    from ..functions.timefns import micros_between
+    ev = fx.table(spark, sf, "events").select("event_id", fx.arrival_time(F.col("event_id"), F.col("ts")).alias("ingested_at"))
+    c = fx.consumption_raw(spark, sf).join(ev, "event_id")
+    lat = c.select(*M, micros_between("interval_end", "ingested_at").alias("us"))
+    g = lat.groupBy(*M).agg(F.count(F.lit(1)).alias("n"), F.max("us").alias("mx"), F.percentile("us", 0.5).alias("md"))
+    return g.select(*M, "n", (F.col("mx") / F.lit(1_000_000.0)).alias("max_latency_s"),
+                    (F.col("md") / F.lit(1_000_000.0)).alias("median_latency_s"))
+
+
+# Daily standing charge per kind (a small configuration table).
+STANDING = {"electricity": "0.4500", "gas": "0.3000"}
+
+
+@query("bill", with_ctes("costed_left") + f""",
+daily AS (SELECT {MSQL}, CAST(interval_start AS DATE) AS usage_date, sum(consumption) AS kwh, sum(cost) AS cost
+          FROM costed_left GROUP BY ALL),
+m AS (SELECT {MSQL}, CAST(date_trunc('month', usage_date) AS DATE) AS usage_month, sum(kwh) AS kwh,
+             sum(cost) AS energy_cost, count(*) AS days FROM daily GROUP BY ALL),
+ch(kind, standing_charge) AS (VALUES {", ".join(f"('{k}', CAST({v} AS DECIMAL(18,4)))" for k, v in STANDING.items())})
+SELECT {MSQL}, {day_sql('usage_month')} AS usage_month, {money_sql('kwh')} AS kwh,
+       {money_sql('energy_cost')} AS energy_cost, days, {money_sql('standing_charge * days')} AS standing_cost,
+       {money_sql('energy_cost + coalesce(standing_charge * days, 0)')} AS total_cost
+FROM m LEFT JOIN ch USING (kind)""")
+def bill(spark, sf):
+    j = rate_ops.rate_join(fx.consumption(spark, sf), fx.rates(spark, sf), how="left")
+    daily = rollups.usage_daily(j, M)
+    charges = spark.createDataFrame([(k, v) for k, v in STANDING.items()], "kind string, standing_charge string") \
+                   .select("kind", F.col("standing_charge").cast("decimal(18,4)").alias("standing_charge"))
+    b = rollups.bill(daily, charges, M, ["kind"])
+    return b.select(*M, day("usage_month").alias("usage_month"), money("kwh").alias("kwh"),
+                    money("energy_cost").alias("energy_cost"), "days", money("standing_cost").alias("standing_cost"),
+                    money("total_cost").alias("total_cost"))
+
+
+@query("cross_domain_daily", with_ctes("cons") + f""", {_EV_SQL}, {_DEMAND_SQL}, {_TEMPS_SQL},
+energy AS (SELECT CAST(CAST(mpan_mprn AS BIGINT) AS VARCHAR) AS home_id, CAST(interval_start AS DATE) AS date,
+                  sum(consumption) AS kwh FROM cons GROUP BY ALL),
+heat AS (SELECT home_id, date, sum(nd) AS n_demand, max(mt) AS max_inside_temp FROM (
+           SELECT trv_id AS home_id, CAST(timestamp AS DATE) AS date, 1 AS nd, CAST(NULL AS DOUBLE) AS mt FROM demand
+           UNION ALL SELECT device_id, CAST(timestamp AS DATE), 0, temperature FROM temps WHERE sensor_type = 'inside')
+         GROUP BY ALL)
+SELECT coalesce(e.home_id, h.home_id) AS home_id, {day_sql('coalesce(e.date, h.date)')} AS date,
+       {money_sql('e.kwh')} AS kwh, CAST(coalesce(h.n_demand, 0) AS BIGINT) AS n_demand, h.max_inside_temp
+FROM energy e FULL OUTER JOIN heat h ON e.home_id = h.home_id AND e.date = h.date""")
+def cross_domain_daily(spark, sf):
+    c = fx.consumption(spark, sf).withColumn("home_id", F.col("mpan_mprn").cast("long").cast("string"))
+    energy = rollups.usage_daily(c, ["home_id"], measures={"kwh": "consumption"}) \
+                    .select("home_id", F.col("usage_date").alias("date"), "kwh")
+    p = _parsed_reports(spark, sf)
+    d = heat.demand_events(p).select(F.col("trv_id").alias("home_id"), F.to_date("timestamp").alias("date"),
+                                     F.lit(1).alias("nd"), F.lit(None).cast("double").alias("mt"))
+    t = heat.temperature_records(p).filter(F.col("sensor_type") == "inside") \
+            .select(F.col("device_id").alias("home_id"), F.to_date("timestamp").alias("date"),
+                    F.lit(0).alias("nd"), F.col("temperature").alias("mt"))
+    hd = d.unionByName(t).groupBy("home_id", "date").agg(F.sum("nd").cast("long").alias("n_demand"),
+                                                       F.max("mt").alias("max_inside_temp"))
+    joined = rollups.daily_cross_domain(energy, hd, ["home_id", "date"])
+    root = lake.new_lake_root(spark, "curated")
+    lake.write_curated(joined, root, "cross_domain")
+    schema = "home_id string, kwh decimal(28,2), n_demand bigint, max_inside_temp double, domain string, date date"
+    back = spark.read.schema(schema).option("basePath", root).parquet(root)
+    return back.select("home_id", day("date").alias("date"), money("kwh").alias("kwh"),
+                       F.coalesce("n_demand", F.lit(0).cast("long")).alias("n_demand"), "max_inside_temp")
+
+
+@query("scalar_codec", with_ctes("cons") + f"""
+SELECT event_id, mpan_mprn || ':' || serial AS source_key,
+       strftime(interval_start, '%Y-%m-%dT%H:%M:%SZ') AS interval_start_zulu,
+       time_bucket(INTERVAL 30 MINUTE, interval_end - INTERVAL 1 HOUR) AS safe_horizon,
+       {money_sql('consumption')} AS kwh_normalised
+FROM cons""")
+def scalar_codec(spark, sf):
+    from ..functions.codes import state_key
+    from ..functions.timefns import format_zulu, safe_horizon
+    c = fx.consumption(spark, sf)
+    factor = F.when(F.col("kind") == "gas", F.lit(1).cast("decimal(18,6)")).otherwise(F.lit(1).cast("decimal(18,6)"))
+    return c.select("event_id", state_key("mpan_mprn", "serial").alias("source_key"),
+                    format_zulu("interval_start").alias("interval_start_zulu"),
+                    safe_horizon("interval_end", 60).alias("safe_horizon"),
+                    money(F.col("consumption") * factor).alias("kwh_normalised"))
+
+
+@query("state_import", f"""WITH {_HSTATE_SQL}
+SELECT device_id || ':' || device_id AS source_key,
+       CASE WHEN CAST(device_id AS BIGINT) % 11 = 0 THEN NULL ELSE last_interval END AS last_interval
+FROM hstate""")
+def state_import(spark, sf):
+    return st.import_state_json(fx.state_json_docs(spark, sf))
