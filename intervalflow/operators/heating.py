@@ -26,49 +26,103 @@ def parse_day_reports(reports: DataFrame, text_col: str = "value") -> DataFrame:
     return reports.select(*keep, F.from_json(F.col(text_col), schemas.DAY_REPORT).alias("rep"))
 
 
+def _record(kind, sensor, ts, to, demand, temp, hum):
+    """Uniform record struct so the three arrays of a report can be concatenated."""
+    ts, to, demand, temp, hum = [F.lit(None) if v is None else v for v in (ts, to, demand, temp, hum)]
+    return F.struct(F.lit(kind).alias("record_kind"), F.lit(sensor).cast("string").alias("sensor_type"),
+                    ts.cast("string").alias("ts_raw"), to.cast("string").alias("to_raw"),
+                    demand.cast("string").alias("heat_demand"), temp.cast("double").alias("temperature"),
+                    hum.cast("double").alias("humidity"))
+
+
+_NULL = None
+
+
+def _demand_array():
+    """NULL elements and ``NONE`` skipped; a missing value is kept (NULL demand)."""
+    arr = F.coalesce(F.col("rep.callForHeat.dataIntervals"), F.array())
+    kept = F.filter(arr, lambda i: i.isNotNull() & ~i["value"].eqNullSafe("NONE"))
+    return F.transform(kept, lambda i: _record("demand", None, i["from"], i["to"], i["value"], _NULL, _NULL))
+
+
+def _inside_array():
+    """F4 + J3: inside points with a time stamp and numeric celsius; humidity of the same
+    report and stamp, last one wins."""
+    hum = F.filter(F.coalesce(F.col("rep.measuredData.humidity.dataPoints"), F.array()),
+                   lambda h: h.isNotNull() & h["value"].isNotNull() & h["timestamp"].isNotNull() & (h["timestamp"] != ""))
+    pts = F.filter(F.coalesce(F.col("rep.measuredData.insideTemperature.dataPoints"), F.array()),
+                   lambda p: p.isNotNull() & p["timestamp"].isNotNull() & (p["timestamp"] != "")
+                   & p["value"]["celsius"].isNotNull())
+
+    def rec(p):
+        match = F.try_element_at(F.filter(hum, lambda h: h["timestamp"] == p["timestamp"]), F.lit(-1))
+        return _record("temperature", "inside", p["timestamp"], _NULL, _NULL, p["value"]["celsius"], match["value"])
+    return F.transform(pts, rec)
+
+
+def _target_array():
+    """target settings kept iff power ON, ``from`` non-empty, celsius numeric."""
+    arr = F.filter(F.coalesce(F.col("rep.settings.dataIntervals"), F.array()),
+                   lambda s: s.isNotNull() & (s["value"]["power"] == "ON") & s["from"].isNotNull() & (s["from"] != "")
+                   & s["value"]["temperature"]["celsius"].isNotNull())
+    return F.transform(arr, lambda s: _record("temperature", "target", s["from"], _NULL, _NULL,
+                                              s["value"]["temperature"]["celsius"], _NULL))
+
+
+def _explode_records(parsed: DataFrame, arrays, device_col: str, zone_col: str) -> DataFrame:
+    rec = F.concat(*arrays) if len(arrays) > 1 else arrays[0]
+    return parsed.select(F.col(device_col).alias("_device"), F.col(zone_col).alias("_zone"),
+                         F.explode(rec).alias("r")).select("_device", "_zone", "r.*")
+
+
+def _demand_cols(r: DataFrame, keep_invalid: bool) -> DataFrame:
+    f, t = F.col("ts_raw"), F.col("to_raw")
+    both = f.isNotNull() & (f != "") & t.isNotNull() & (t != "")
+    bad_end = both & (to_utc(f).isNull() | to_utc(t).isNull())
+    out = r.filter(~bad_end).select(
+        F.col("_device").alias("trv_id"), F.col("_zone").alias("zone_id"), F.lit(True).alias("requested"),
+        "heat_demand", to_utc(f).alias("timestamp"), interval_minutes(f, t).alias("duration_minutes"))
+    out = out.withColumn("valid", F.col("timestamp").isNotNull())
+    return out if keep_invalid else out.filter("valid").drop("valid")
+
+
+def _temperature_cols(r: DataFrame) -> DataFrame:
+    return r.select(F.col("_device").alias("device_id"), F.col("_zone").alias("zone_id"), "temperature",
+                    to_utc("ts_raw").alias("timestamp"), "sensor_type", "humidity") \
+            .filter(F.col("timestamp").isNotNull())
+
+
 def demand_events(parsed: DataFrame, device_col: str = "device_id", zone_col: str = "zone_id",
                   keep_invalid: bool = False) -> DataFrame:
     """E8 rows from ``callForHeat.dataIntervals``.
 
-    F2: NULL elements and value ``NONE`` are skipped; a missing value is kept (NULL demand).
     P9: duration in whole minutes when both ends are present; an end that is present but
     does not parse drops the event.  Rows without a usable start time (X14) are flagged
     ``valid = false`` and removed unless ``keep_invalid`` (quarantine).
     """
-    i = parsed.select(F.col(device_col).alias("trv_id"), F.col(zone_col).alias("zone_id"),
-                      F.explode("rep.callForHeat.dataIntervals").alias("i"))
-    i = i.filter(F.col("i").isNotNull() & ~F.col("i.value").eqNullSafe("NONE"))
-    f, t = F.col("i.from"), F.col("i.to")
-    both = f.isNotNull() & (f != "") & t.isNotNull() & (t != "")
-    bad_end = both & (to_utc(f).isNull() | to_utc(t).isNull())
-    out = i.filter(~bad_end).select(
-        "trv_id", "zone_id", F.lit(True).alias("requested"), F.col("i.value").alias("heat_demand"),
-        to_utc(f).alias("timestamp"), interval_minutes(f, t).alias("duration_minutes"))
-    out = out.withColumn("valid", F.col("timestamp").isNotNull())
-    return out if keep_invalid else out.filter("valid").drop("valid")
+    return _demand_cols(_explode_records(parsed, [_demand_array()], device_col, zone_col), keep_invalid)
 
 
 def temperature_records(parsed: DataFrame, device_col: str = "device_id", zone_col: str = "zone_id") -> DataFrame:
-    """E9 rows: inside points (F4) with humidity (J3), then target settings."""
-    hum = F.filter("rep.measuredData.humidity.dataPoints",
-                   lambda h: h.isNotNull() & h["value"].isNotNull() & h["timestamp"].isNotNull() & (h["timestamp"] != ""))
-    p = parsed.select(F.col(device_col).alias("device_id"), F.col(zone_col).alias("zone_id"), hum.alias("_hum"),
-                      F.explode("rep.measuredData.insideTemperature.dataPoints").alias("p"))
-    ts = F.col("p.timestamp")
-    p = p.filter(ts.isNotNull() & (ts != "") & F.col("p.value.celsius").isNotNull())
-    match = F.try_element_at(F.filter("_hum", lambda h: h["timestamp"] == ts), F.lit(-1))
-    inside = p.select("device_id", "zone_id", F.col("p.value.celsius").alias("temperature"),
-                      to_utc(ts).alias("timestamp"), F.lit("inside").alias("sensor_type"),
-                      match["value"].alias("humidity"))
-    s = parsed.select(F.col(device_col).alias("device_id"), F.col(zone_col).alias("zone_id"),
-                      F.explode("rep.settings.dataIntervals").alias("s"))
-    sf = F.col("s.from")
-    s = s.filter((F.col("s.value.power") == "ON") & sf.isNotNull() & (sf != "")
-                 & F.col("s.value.temperature.celsius").isNotNull())
-    target = s.select("device_id", "zone_id", F.col("s.value.temperature.celsius").alias("temperature"),
-                      to_utc(sf).alias("timestamp"), F.lit("target").alias("sensor_type"),
-                      F.lit(None).cast("double").alias("humidity"))
-    return inside.unionByName(target).filter(F.col("timestamp").isNotNull())
+    """E9 rows: inside points (F4) with humidity (J3), then target settings (F3); one explode."""
+    return _temperature_cols(_explode_records(parsed, [_inside_array(), _target_array()], device_col, zone_col))
+
+
+def heating_records(parsed: DataFrame, device_col: str = "device_id", zone_col: str = "zone_id") -> DataFrame:
+    """U1 in one pass (R5): demand and temperature rows of every report from a single
+    explode, tagged ``record_kind``, with ``date`` from the UTC time stamp."""
+    r = _explode_records(parsed, [_demand_array(), _inside_array(), _target_array()], device_col, zone_col)
+    f, t = F.col("ts_raw"), F.col("to_raw")
+    is_d = F.col("record_kind") == "demand"
+    bad_end = is_d & f.isNotNull() & (f != "") & t.isNotNull() & (t != "") & (to_utc(f).isNull() | to_utc(t).isNull())
+    ts = to_utc(f)
+    out = r.filter(~bad_end & ts.isNotNull()).select(
+        "record_kind",
+        F.when(is_d, F.col("_device")).alias("trv_id"), F.col("_zone").alias("zone_id"),
+        F.when(is_d, F.lit(True)).alias("requested"), "heat_demand", ts.alias("timestamp"),
+        F.when(is_d, interval_minutes(f, t)).alias("duration_minutes"),
+        F.when(~is_d, F.col("_device")).alias("device_id"), "temperature", "sensor_type", "humidity")
+    return out.withColumn("date", F.to_date("timestamp"))
 
 
 def heating_unified(demand: DataFrame, temps: DataFrame) -> DataFrame:

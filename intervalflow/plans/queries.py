@@ -295,7 +295,7 @@ SELECT m2.account, m2.kind, m2.mpan_mprn, m2.serial,
 FROM m2 LEFT JOIN g ON m2.deployment = g.deployment AND m2.kind = g.kind
         LEFT JOIN active a ON m2.account = a.account AND m2.kind = a.kind""")
 def tariff_resolution(spark, sf):
-    acc = docs.read_accounts(fx.accounts_json(spark, sf)).cache()
+    acc = docs.read_accounts(fx.accounts_json(spark, sf))
     meters = docs.list_meters(acc).join(fx.customer_deployments(spark, sf), "account")
     k = F.col("c_custkey")
     override = F.when(F.pmod(k, F.lit(10)) == 0,
@@ -384,8 +384,7 @@ def _parsed_reports(spark, sf):
 
 
 def _unified(spark, sf):
-    p = _parsed_reports(spark, sf)
-    return heat.heating_unified(heat.demand_events(p), heat.temperature_records(p))
+    return heat.heating_records(_parsed_reports(spark, sf))
 
 
 @query("day_report_demand", f"""WITH {_EV_SQL}, {_DEMAND_SQL}
