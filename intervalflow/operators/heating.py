@@ -144,7 +144,9 @@ def device_day_grid(devices: DataFrame, start: dt.date, end: dt.date, device_col
     lo = F.lit(start)
     if device_start_col:
         lo = F.greatest(lo, F.coalesce(F.to_date(device_start_col), lo))
-    days = F.sequence(lo, F.lit(end))
+    hi = F.lit(end)
+    # sequence() counts down when lo > hi; an empty range must give no rows
+    days = F.filter(F.sequence(lo, F.greatest(lo, hi)), lambda d: d <= hi)
     return devices.select(*device_cols, F.explode(days).alias("date"))
 
 

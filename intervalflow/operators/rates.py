@@ -49,16 +49,23 @@ class CandidateStats:
         return "key" if self.max_per_key <= KEY_JOIN_MAX_CANDIDATES else "bucket"
 
 
-def _candidate_stats(cand: DataFrame, by: Sequence[str], lo: str, hi: str) -> CandidateStats:
-    """One small job over the rate side: counts, per-key maximum, clip instant, bucket rows."""
+def _candidate_stats(cand: DataFrame, by: Sequence[str], lo: str, hi: str | None) -> CandidateStats:
+    """One small job over the rate side: row count, largest key, clip instant, and an upper
+    bound of the exploded day rows.
+
+    ``hi=None`` means the candidates are as-of segments of ``cand`` (not yet computed): they
+    are disjoint per key and end by the key's last instant, so a key covers at most
+    ``days(first valid_from .. last instant) + rows`` day buckets - no window is needed here.
+    """
+    top = F.greatest(F.col(lo), F.col(hi)) if hi else \
+        F.greatest(*[F.col(c) for c in (lo, "valid_to") if c in cand.columns])
     per_key = cand.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("k"),
-        F.max(F.greatest(F.col(lo), F.col(hi))).alias("kmax"),
-        F.sum(F.when(F.col(hi).isNotNull(),
-                     F.datediff(utc_date(plus_micros(hi, -1)), utc_date(lo)) + 1)).alias("fin_days"),
-        F.sum(F.when(F.col(hi).isNull(), 1).otherwise(0)).alias("n_open"),
-        F.min(F.when(F.col(hi).isNull(), F.col(lo))).alias("open_min"),
+        F.count(F.lit(1)).alias("k"), F.max(top).alias("kmax"), F.min(lo).alias("kmin"),
+        (F.sum(F.datediff(utc_date(plus_micros(hi, -1)), utc_date(lo)) + 1) if hi else F.lit(None)).alias("fin_days"),
+        (F.sum(F.when(F.col(hi).isNull(), 1).otherwise(0)) if hi else F.lit(0)).alias("n_open"),
+        (F.min(F.when(F.col(hi).isNull(), F.col(lo))) if hi else F.lit(None)).alias("open_min"),
     )
+    span = F.datediff(F.to_date("kmax"), F.to_date("kmin")) + 1 + F.col("k")
     row = per_key.agg(
         F.coalesce(F.sum("k"), F.lit(0)).alias("rows"),
         F.coalesce(F.max("k"), F.lit(0)).alias("max_per_key"),
@@ -66,7 +73,10 @@ def _candidate_stats(cand: DataFrame, by: Sequence[str], lo: str, hi: str) -> Ca
         F.coalesce(F.sum("fin_days"), F.lit(0)).alias("fin_days"),
         F.coalesce(F.sum("n_open"), F.lit(0)).alias("n_open"),
         F.min("open_min").alias("open_min"),
+        F.coalesce(F.sum(span), F.lit(0)).alias("seg_days"),
     ).collect()[0]
+    if not hi:
+        return CandidateStats(int(row["rows"]), int(row["max_per_key"]), row["clip"], int(row["seg_days"]))
     bucket_rows = int(row["fin_days"])
     if row["n_open"] and row["clip"] is not None and row["open_min"] is not None:
         bucket_rows += int(row["n_open"]) * ((row["clip"].date() - row["open_min"].date()).days + 1)
@@ -173,12 +183,12 @@ def rate_join(cons: DataFrame, rates: DataFrame, by: Sequence[str] = ("tariff_co
     cons = normalise_readings(cons)
     if "valid_from" not in rates.columns:
         return cons
-    segs = rate_segments(normalise_rates(rates), by)
-    stats = _candidate_stats(segs, by, "valid_from", "_seg_end")
+    norm = normalise_rates(rates)
+    stats = _candidate_stats(norm, by, "valid_from", None)
     if stats.rows == 0:
         return cons
     strategy = stats.strategy() if strategy == "auto" else strategy
-    cand = _prefixed(segs, by)
+    cand = _prefixed(rate_segments(norm, by), by)
     out = _point_join(cons, cand, by, "interval_start", "rate_valid_from", "_seg_end", how,
                       strategy, stats, broadcast_max_rows)
     rate_cols = [c for c in cand.columns if c.startswith("rate_")]
@@ -212,11 +222,11 @@ def rate_join_prorated(cons: DataFrame, rates: DataFrame, by: Sequence[str] = ("
     """
     by = list(by)
     cons = normalise_readings(cons)
-    segs = rate_segments(normalise_rates(rates), by)
-    stats = _candidate_stats(segs, by, "valid_from", "_seg_end")
+    norm = normalise_rates(rates)
+    stats = _candidate_stats(norm, by, "valid_from", None)
     if stats.rows == 0:
         return cons
-    cand = _prefixed(segs, by).filter(F.col("_seg_end").isNull() | (F.col("_seg_end") > F.col("rate_valid_from")))
+    cand = _prefixed(rate_segments(norm, by), by).filter(F.col("_seg_end").isNull() | (F.col("_seg_end") > F.col("rate_valid_from")))
     clip_day = F.to_date(_ts_lit(stats.clip))
     s, e, a, b = F.col("interval_start"), F.col("interval_end"), F.col("rate_valid_from"), F.col("_seg_end")
     cand = cand.withColumn("_rb", F.explode(F.sequence(utc_date(a), F.coalesce(utc_date(plus_micros(b, -1)), clip_day))))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timefns import to_utc_col
+from ..operators.rates import normalise_readings
 from ..operators.dedup import keep_first
 from ..session import scratch_path
 
@@ -149,21 +149,28 @@ def prepare_consumption(df: DataFrame, meter: dict | None = None, buckets: int =
     out = df
     for k, v in (meter or {}).items():
         out = out.withColumn(k, F.lit(v))
-    for c in ("interval_start", "interval_end"):
-        if c in out.columns:
-            out = out.withColumn(c, to_utc_col(out, c))
-    return out.withColumn("date", F.to_date("interval_end")).withColumn("meter_bucket", meter_bucket(buckets))
+    out = normalise_readings(out)  # P1 + P2 (interval_start derived from the end when absent)
+    out = out.withColumn("date", F.to_date("interval_end"))
+    if {"kind", "mpan_mprn", "serial"}.issubset(out.columns):
+        out = out.withColumn("meter_bucket", meter_bucket(buckets))
+    return out
 
 
 def write_consumption(df: DataFrame, root: str, order: str | None = "event_id", prefer: str = "order",
                       schema: T.StructType = CONSUMPTION_LAKE,
-                      partition_cols: Sequence[str] = tuple(CONSUMPTION_PARTS)) -> None:
+                      partition_cols: Sequence[str] = tuple(CONSUMPTION_PARTS),
+                      quarantine_root: str | None = None) -> None:
     """K2 + D2 + K9: de-duplicate on (meter, interval) and merge into the lake.
 
-    ``partition_cols=REFERENCE_CONSUMPTION_PARTS`` writes the per-meter folder layout."""
+    ``partition_cols=REFERENCE_CONSUMPTION_PARTS`` writes the per-meter folder layout.
+    Rows whose ``interval_end`` does not parse (no ``date``) are appended to
+    ``quarantine_root`` when given (X12) instead of vanishing."""
     # D2 happens inside the merge: its keep-first over (batch + stored) also resolves
     # duplicates within the batch, so no separate de-dup shuffle is needed.
-    p = prepare_consumption(df).filter(F.col("date").isNotNull())
+    prepared = prepare_consumption(df)
+    p, bad = quarantine(prepared, ["date"])
+    if quarantine_root:
+        bad.write.mode("append").parquet(quarantine_root)
     merge_partitions(p, root, schema, list(partition_cols), ["kind", "mpan_mprn", "serial", "interval_start", "interval_end"],
                      order=[order] if order else None, prefer=prefer)
 
