@@ -13,11 +13,13 @@ from pyspark.sql import types as T
 
 
 
+_OFFSET_RE = r"([Zz]|[+-][0-9]{2}(:?[0-9]{2})?)$"
+
+
 def epoch_ntz() -> Column:
     """1970-01-01 00:00:00 as TIMESTAMP_NTZ (built lazily: columns need an active session)."""
     return F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
 
-_OFFSET_RE = r"([Zz]|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
 
 def _c(c) -> Column:
@@ -51,8 +53,11 @@ def to_utc(c, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, T.TimestampType):
         return F.timestamp_add("MICROSECOND", F.unix_micros(col), epoch_ntz())
     s = F.trim(col.cast("string"))
+    # Naive strings get a 'Z' (naive = UTC), so every string carries its zone; Spark's cast
+    # parser (try_cast) then reads Z or +hh:mm without raising and without the session zone.
+    # The regex guard keeps parses from failing, which is the slow path.
     with_zone = F.when(s.rlike(_OFFSET_RE), s).otherwise(F.concat(s, F.lit("Z")))
-    instant = F.try_to_timestamp(F.nullif(with_zone, F.lit("Z")))
+    instant = F.nullif(with_zone, F.lit("Z")).try_cast("timestamp")
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch_ntz())
 
 

@@ -26,6 +26,16 @@ def parse_day_reports(reports: DataFrame, text_col: str = "value") -> DataFrame:
     return reports.select(*keep, F.from_json(F.col(text_col), schemas.DAY_REPORT).alias("rep"))
 
 
+def unparsable_reports(parsed: DataFrame) -> DataFrame:
+    """S9 quarantine: reports whose JSON did not parse ("warn and continue")."""
+    return parsed.filter(F.col("rep").isNull()).drop("rep")
+
+
+def trv_devices(devices: DataFrame, type_col: str = "device_type") -> DataFrame:
+    """only TRV devices take part in heating loads."""
+    return devices.filter(F.col(type_col) == "trv")
+
+
 def _record(kind, sensor, ts, to, demand, temp, hum):
     """Uniform record struct so the three arrays of a report can be concatenated."""
     ts, to, demand, temp, hum = [F.lit(None) if v is None else v for v in (ts, to, demand, temp, hum)]

@@ -469,7 +469,7 @@ landed AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS zone_id, date_trunc('day'
 SELECT g.device_id, g.date FROM grid g
 WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.zone_id = g.device_id AND l.date = g.date)""")
 def device_day_grid(spark, sf):
-    devices = docs.devices_from_zones(fx.zones_json(spark, sf))
+    devices = heat.trv_devices(docs.devices_from_zones(fx.zones_json(spark, sf)))
     state = fx.heating_state(spark, sf).select("device_id", "last_interval")
     d = devices.join(state, "device_id", "left").withColumn(
         "start", F.when(F.col("last_interval").isNotNull(), st.heating_resume_start("last_interval", dt.datetime(2024, 1, 1))))
@@ -776,3 +776,43 @@ SELECT device_id || ':' || device_id AS source_key,
 FROM hstate""")
 def state_import(spark, sf):
     return st.import_state_json(fx.state_json_docs(spark, sf))
+
+
+@query("earliest_resume", f"""WITH {_HSTATE_SQL},
+devs AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS device_id FROM events)
+SELECT min(CASE WHEN s.last_interval IS NULL THEN TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 1 HOUR
+                ELSE date_trunc('day', s.last_interval) END) AS earliest_resume
+FROM devs d LEFT JOIN hstate s ON d.device_id = s.device_id""")
+def earliest_resume(spark, sf):
+    devs = fx.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("device_id")).distinct()
+    h = devs.join(fx.heating_state(spark, sf).select("device_id", "last_interval"), "device_id", "left")
+    return st.earliest_resume(h.select(st.heating_resume_start("last_interval", NOW).alias("resume_start")))
+
+
+@query("heating_lake_roundtrip", f"""WITH {_EV_SQL}, {_DEMAND_SQL}, {_TEMPS_SQL}, {_UNIFIED_SQL}
+SELECT record_kind, coalesce(trv_id, device_id) AS trv, zone_id, heat_demand, timestamp,
+       CAST(duration_minutes AS DOUBLE) AS duration_minutes, temperature, sensor_type, humidity,
+       {day_sql('timestamp')} AS date
+FROM unified""")
+def heating_lake_roundtrip(spark, sf):
+    root = lake.new_lake_root(spark, "heating")
+    lake.write_heating(_unified(spark, sf), root)
+    back = spark.read.option("basePath", root).parquet(root)
+    return back.select("record_kind", "trv", "zone_id", "heat_demand", "timestamp",
+                       F.col("duration_minutes").cast("double").alias("duration_minutes"), "temperature",
+                       "sensor_type", "humidity", day("date").alias("date"))
+
+
+@query("rates_lake_roundtrip", with_ctes("rates") + f"""
+SELECT tariff_code AS tariff, {_P['product_code']} AS product, {energy_sql('tariff_code')} AS energy,
+       valid_from, valid_to, {money_sql('value_inc_vat')} AS value_inc_vat, {day_sql('valid_from')} AS date
+FROM rates""")
+def rates_lake_roundtrip(spark, sf):
+    from ..operators.rates import stamp_rates
+    root = lake.new_lake_root(spark, "rates")
+    lake.write_unit_rates(stamp_rates(fx.rates(spark, sf)), root)
+    schema = ("valid_from timestamp_ntz, valid_to timestamp_ntz, value_inc_vat decimal(18,4), "
+              "energy string, product string, tariff string, date date")
+    back = spark.read.schema(schema).option("basePath", root).parquet(root)
+    return back.select("tariff", "product", "energy", "valid_from", "valid_to",
+                       money("value_inc_vat").alias("value_inc_vat"), day("date").alias("date"))
