@@ -147,7 +147,11 @@ def accounts_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.transform(F.sort_array(F.collect_list(F.when(F.col("pt") == p, F.col("x")))), lambda e: e["a"])
 
     per = ag.groupBy("c_custkey").agg(lst("e0").alias("e0"), lst("e1").alias("e1"), lst("g0").alias("g0"))
-    c = table(spark, sf_dir, "customer").select("c_custkey").join(per, "c_custkey", "left")
+    # Hash-partition the customers by key (as a sort-merge join would): the document build and
+    # everything downstream then runs in parallel tasks even when the customer table is one file.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cust = table(spark, sf_dir, "customer").select("c_custkey").repartition(n, "c_custkey")
+    c = cust.join(per, "c_custkey", "left")
     k = F.col("c_custkey")
     ks = k.cast("string")
     pad = F.lpad(ks, 9, "0")
