@@ -102,6 +102,24 @@ def read_lake(spark: SparkSession, root: str, schema: T.StructType, legacy_root:
         both.drop("_src").distinct()
 
 
+def touched_partitions(spark: SparkSession, root: str, schema: T.StructType, batch: DataFrame,
+                       partition_cols: Sequence[str]) -> DataFrame | None:
+    """Stored rows of the partitions a batch touches (None for an empty batch).
+
+    Static pruning that holds for any batch size - the batch's ``date`` range from a one-row,
+    column-pruned aggregate - plus dynamic partition pruning from the semi-join on the exact
+    partition values.  Only these partitions are read, however large the lake is.
+    """
+    stored = read_lake(spark, root, schema)
+    if "date" in partition_cols:
+        lo, hi = batch.agg(F.min("date"), F.max("date")).first()
+        if lo is None:
+            return None
+        stored = stored.filter(F.col("date").between(F.lit(lo), F.lit(hi)))
+    touched = batch.select(*partition_cols).distinct()
+    return stored.join(touched, list(partition_cols), "left_semi").select(*schema.fieldNames())
+
+
 def merge_partitions(df: DataFrame, root: str, schema: T.StructType, partition_cols: Sequence[str],
                      keys: Sequence[str], order: Sequence[str] | str | None = None,
                      prefer: str = "order") -> None:
@@ -116,9 +134,9 @@ def merge_partitions(df: DataFrame, root: str, schema: T.StructType, partition_c
     spark = df.sparkSession
     cols = schema.fieldNames()
     batch = df.select(*cols)
-    stored = read_lake(spark, root, schema)
-    touched = batch.select(*partition_cols).distinct()
-    old = stored.join(touched, list(partition_cols), "left_semi").select(*cols)
+    old = touched_partitions(spark, root, schema, batch, partition_cols)
+    if old is None:
+        return
     rank_new, rank_old = {"new": (0, 1), "existing": (1, 0)}.get(prefer, (0, 0))
     both = batch.withColumn("_side", F.lit(rank_new)).unionByName(old.withColumn("_side", F.lit(rank_old)))
     order = [order] if isinstance(order, str) else list(order or [])

@@ -93,3 +93,15 @@ def test_compaction_preserves_rows(spark):
     before = lake.read_lake(spark, root, lake.CONSUMPTION_LAKE).count()
     lake.compact(spark, root, lake.CONSUMPTION_LAKE, lake.CONSUMPTION_PARTS)
     assert lake.read_lake(spark, root, lake.CONSUMPTION_LAKE).count() == before == c.count()
+
+
+def test_merge_reads_only_touched_partitions(spark):
+    root = lake.new_lake_root(spark, "t-dpp")
+    raw = fx.consumption_raw(spark, SF_SMALL)
+    lake.write_consumption(raw, root)
+    batch = lake.prepare_consumption(raw.filter("event_id % 50 = 0")).select(*lake.CONSUMPTION_LAKE.fieldNames())
+    old = lake.touched_partitions(spark, root, lake.CONSUMPTION_LAKE, batch, lake.CONSUMPTION_PARTS)
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):]
+    assert "dynamicpruning" in filters                       # exact touched partitions (DPP)
+    assert ">= 2024-01-01" in filters.split("]")[0]          # static date range of the batch
