@@ -249,6 +249,7 @@ def meter_config_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- heating
 # Call-for-heat levels by k % 4.
 HEAT_LEVELS = ("NONE", "LOW", "MEDIUM", "HIGH")
+REPORT_EVENTS = 256
 
 
 def day_reports_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,7 +281,11 @@ def day_reports_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     def lst(c):
         return F.transform(F.sort_array(F.collect_list(c)), lambda e: e["x"])
 
-    g = ev.groupBy("user_id", F.to_date("ts").alias("date")).agg(
+    # One report per (device, day) and block of REPORT_EVENTS event ids: every document is
+    # bounded even if one device produced most events of a day.  A humidity point and the
+    # inside point it belongs to come from the same event, so they always share a report.
+    chunk = F.floor(F.col("event_id") / REPORT_EVENTS).alias("chunk")
+    g = ev.groupBy("user_id", F.to_date("ts").alias("date"), chunk).agg(
         lst(cfh).alias("cfh"), lst(inside).alias("inside"), lst(hum).alias("hum"), lst(sett).alias("sett"))
     doc = F.struct(F.struct(F.col("cfh").alias("dataIntervals")).alias("callForHeat"),
                    F.struct(F.struct(F.col("inside").alias("dataPoints")).alias("insideTemperature"),
