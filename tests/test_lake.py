@@ -105,3 +105,13 @@ def test_merge_reads_only_touched_partitions(spark):
     filters = plan[plan.index("PartitionFilters"):]
     assert "dynamicpruning" in filters                       # exact touched partitions (DPP)
     assert ">= 2024-01-01" in filters.split("]")[0]          # static date range of the batch
+
+
+def test_profile_file_sizes_and_counts(spark):
+    from intervalflow.operators import quality
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    sizes = quality.file_sizes(ev).collect()
+    import os
+    assert [r.file_size for r in sizes] == [os.path.getsize(f"{SF_SMALL}/events.parquet")]
+    prof = quality.profile(fx.consumption(spark, SF_SMALL), exact=False).first()
+    assert prof.n_rows == fx.consumption(spark, SF_SMALL).count() and prof.distinct_mpan_mprn > 0
