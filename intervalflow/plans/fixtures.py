@@ -249,7 +249,7 @@ def meter_config_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- heating
 # Call-for-heat levels by k % 4.
 HEAT_LEVELS = ("NONE", "LOW", "MEDIUM", "HIGH")
-REPORT_EVENTS = 256
+REPORT_EVENTS = 65536
 
 
 def day_reports_json(spark: SparkSession, sf_dir: str) -> DataFrame:
