@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from ..operators.rates import normalise_readings
 from ..operators.dedup import keep_first
-from ..session import scratch_path
+from ..session import checkpoint_root, scratch_path
 
 # Default layout: day x meter hash bucket.  The reference's one-folder-per-meter-per-day
 # layout (``REFERENCE_CONSUMPTION_PARTS``) yields 48-row files - about 10^10 files at
@@ -132,6 +132,7 @@ def merge_partitions(df: DataFrame, root: str, schema: T.StructType, partition_c
     partition pruning.
     """
     spark = df.sparkSession
+    checkpoint_root(spark)  # checkpoint() below needs the shared folder registered
     cols = schema.fieldNames()
     batch = df.select(*cols)
     old = touched_partitions(spark, root, schema, batch, partition_cols)
@@ -223,6 +224,7 @@ def write_curated(df: DataFrame, root: str, domain: str, date_col: str = "date")
 def compact(spark: SparkSession, root: str, schema: T.StructType, partition_cols: Sequence[str],
             where=None) -> None:
     """Rewrite (some) partitions into fewer, larger files via a staged dynamic overwrite."""
+    checkpoint_root(spark)
     df = read_lake(spark, root, schema)
     if where is not None:
         df = df.filter(where)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import checkpoint_root, scratch_path
 from ..sinks import lake
 from . import state as st
 
@@ -35,6 +35,7 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
 
 def save_state(spark: SparkSession, state: DataFrame, root: str) -> None:
     """Replace the state table from a checkpointed copy (never overwrite a path being read)."""
+    checkpoint_root(spark)
     state.checkpoint(eager=True).write.mode("overwrite").parquet(root)
 
 
