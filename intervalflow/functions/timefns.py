@@ -26,9 +26,19 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def epoch_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 of an NTZ value, from its date and time fields.
+
+    Built from fields so no session time zone is involved (``timestamp_diff`` casts NTZ to a
+    session-zone TIMESTAMP, which shifts wall-clock times that fall in a DST gap)."""
+    c = _c(ts)
+    return (F.unix_date(F.to_date(c)).cast("long") * 86_400_000_000 + F.hour(c).cast("long") * 3_600_000_000
+            + F.minute(c).cast("long") * 60_000_000 + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long"))
+
+
 def micros_between(start, end) -> Column:
     """Microseconds from ``start`` to ``end`` (both NTZ)."""
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+    return epoch_micros(end) - epoch_micros(start)
 
 
 def plus_micros(ts, micros) -> Column:
@@ -38,7 +48,7 @@ def plus_micros(ts, micros) -> Column:
 def floor_time(ts, seconds: int) -> Column:
     """Floor an NTZ instant to a multiple of ``seconds`` since the epoch (30 min -> half hour)."""
     step = int(seconds) * 1_000_000
-    us = micros_between(epoch_ntz(), ts)
+    us = epoch_micros(ts)
     return F.timestamp_add("MICROSECOND", us - F.pmod(us, F.lit(step)), epoch_ntz())
 
 
@@ -72,8 +82,8 @@ def utc_date(ts) -> Column:
 
 
 def format_zulu(ts) -> Column:
-    """Second-precision ``yyyy-MM-ddTHH:mm:ssZ``."""
-    return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """Second-precision ``yyyy-MM-ddTHH:mm:ssZ`` (from the NTZ text form: no session zone)."""
+    return F.concat(F.regexp_replace(F.substring(_c(ts).cast("string"), 1, 19), " ", "T"), F.lit("Z"))
 
 
 def interval_minutes(from_s, to_s) -> Column:

@@ -87,4 +87,5 @@ def import_state_json(df: DataFrame, text_col: str = "value") -> DataFrame:
 
 def export_state_value(ts_col: str) -> Column:
     """P14 (write side): UTC instant as ``yyyy-MM-ddTHH:mm:ssZ``-style ISO string."""
-    return F.concat(F.date_format(F.col(ts_col), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    from ..functions.timefns import format_zulu
+    return format_zulu(ts_col)

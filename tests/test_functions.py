@@ -65,3 +65,20 @@ def test_repair_json_keys_then_parse(spark):
 
 def test_state_key(spark):
     assert _one(spark, codes.state_key("a", "b"), "a string, b string", [("123", "ABC")]) == ["123:ABC"]
+
+
+def test_time_functions_ignore_session_zone(spark):
+    # 02:45 on 2024-03-10 does not exist in New York; NTZ arithmetic must not shift it.
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 45), dt.datetime(2024, 3, 10, 3, 15))],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        r = df.select(timefns.floor_time("a", 1800).alias("f"), timefns.micros_between("a", "b").alias("d"),
+                      timefns.format_zulu("a").alias("z"), timefns.to_utc(F.lit("2024-03-10T02:45:00")).alias("u")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r.f == dt.datetime(2024, 3, 10, 2, 30)
+    assert r.d == 30 * 60 * 1_000_000
+    assert r.z == "2024-03-10T02:45:00Z"
+    assert r.u == dt.datetime(2024, 3, 10, 2, 45)
