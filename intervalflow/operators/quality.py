@@ -83,6 +83,14 @@ def load_audit(df: DataFrame, by: Sequence[str], kind_col: str = "record_kind",
                      for k in kinds], F.count(F.lit(1)).alias("n_rows")))
 
 
+def audit_days(df: DataFrame, by: Sequence[str], kind_col: str = "record_kind", date_col: str = "date") -> DataFrame:
+    """Per group, the number of days with at least one demand / temperature row."""
+    return df.groupBy(*by).agg(
+        F.count_distinct(F.when(F.col(kind_col) == "demand", F.col(date_col))).alias("days_with_demand"),
+        F.count_distinct(F.when(F.col(kind_col) == "temperature", F.col(date_col))).alias("days_with_temperature"),
+        F.count(F.lit(1)).alias("n_rows"))
+
+
 def ingest_latency(df: DataFrame, by: Sequence[str], arrived_col: str = "ingested_at",
                    end_col: str = "interval_end") -> DataFrame:
     """Latency minutes from interval end to arrival: count, max and median per group."""

@@ -816,3 +816,14 @@ def rates_lake_roundtrip(spark, sf):
     back = spark.read.schema(schema).option("basePath", root).parquet(root)
     return back.select("tariff", "product", "energy", "valid_from", "valid_to",
                        money("value_inc_vat").alias("value_inc_vat"), day("date").alias("date"))
+
+
+@query("load_audit_days", f"""WITH {_EV_SQL}, {_DEMAND_SQL}, {_TEMPS_SQL}, {_UNIFIED_SQL}
+SELECT coalesce(trv_id, device_id) AS device_id,
+       count(DISTINCT CASE WHEN record_kind = 'demand' THEN CAST(timestamp AS DATE) END) AS days_with_demand,
+       count(DISTINCT CASE WHEN record_kind = 'temperature' THEN CAST(timestamp AS DATE) END) AS days_with_temperature,
+       count(*) AS n_rows
+FROM unified GROUP BY ALL""")
+def load_audit_days(spark, sf):
+    u = _unified(spark, sf).withColumn("device_id", F.coalesce("trv_id", "device_id"))
+    return quality.audit_days(u, ["device_id"])
