@@ -27,7 +27,8 @@ def build_session(master: str = "local[8]", app: str = "intervalflow",
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC"))
+         .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()

@@ -129,3 +129,22 @@ def test_prorated_weights_sum_to_coverage(spark):
     r = rates_df(spark, [("2024-01-01T00:00:00Z", "2024-01-01T00:15:00Z", 0.30), ("2024-01-01T00:20:00Z", None, 0.10)])
     out = R.rate_join_prorated(cons_df(spark), r).orderBy("interval_start", "rate_valid_from").collect()
     assert [(x.weight, round(x.cost, 6)) for x in out] == [(0.5, 0.075), (1 / 3, round(0.5 * 0.1 / 3, 6)), (1.0, 0.07)]
+
+
+def test_missing_intervals_reference_cases(spark):
+    from intervalflow.operators.quality import missing_intervals
+
+    def run(ends):
+        df = spark.createDataFrame([("m", e) for e in ends], "m string, e string") \
+                  .withColumn("interval_end", F.to_timestamp_ntz(F.regexp_replace("e", "Z$", "")))
+        r = missing_intervals(df, ["m"]).first()
+        return r.expected, r.actual, r.missing
+
+    assert run(["2024-01-01T00:30:00Z", "2024-01-01T01:00:00Z"]) == (2, 2, 0)   # contiguous
+    assert run(["2024-01-01T00:30:00Z", "2024-01-01T01:30:00Z"]) == (3, 2, 1)   # one slot missing
+    assert run(["2024-01-01T00:30:00Z"]) == (1, 1, 0)                            # fewer than two rows
+    # duplicates count as actual rows (reference rule) but not in the distinct variant
+    df = spark.createDataFrame([("m", "2024-01-01 00:30:00"), ("m", "2024-01-01 00:30:00"), ("m", "2024-01-01 01:30:00")],
+                               "m string, e string").withColumn("interval_end", F.to_timestamp_ntz("e"))
+    r = missing_intervals(df, ["m"]).first()
+    assert (r.expected, r.actual, r.missing, r.missing_distinct) == (3, 3, 0, 1)
