@@ -762,12 +762,12 @@ FROM cons""")
 def scalar_codec(spark, sf):
     from ..functions.codes import state_key
     from ..functions.timefns import format_zulu, safe_horizon
+    from ..functions.codes import normalise_units
     c = fx.consumption(spark, sf)
-    factor = F.when(F.col("kind") == "gas", F.lit(1).cast("decimal(18,6)")).otherwise(F.lit(1).cast("decimal(18,6)"))
     return c.select("event_id", state_key("mpan_mprn", "serial").alias("source_key"),
                     format_zulu("interval_start").alias("interval_start_zulu"),
                     safe_horizon("interval_end", 60).alias("safe_horizon"),
-                    money(F.col("consumption") * factor).alias("kwh_normalised"))
+                    money(normalise_units("consumption", "kind")).alias("kwh_normalised"))
 
 
 @query("state_import", f"""WITH {_HSTATE_SQL}

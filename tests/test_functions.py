@@ -82,3 +82,10 @@ def test_time_functions_ignore_session_zone(spark):
     assert r.d == 30 * 60 * 1_000_000
     assert r.z == "2024-03-10T02:45:00Z"
     assert r.u == dt.datetime(2024, 3, 10, 2, 45)
+
+
+def test_normalise_units(spark):
+    df = spark.createDataFrame([("gas", 2.0), ("electricity", 2.0)], "kind string, v double") \
+              .withColumn("v", F.col("v").cast("decimal(18,2)"))
+    got = [float(r[0]) for r in df.select(codes.normalise_units("v", "kind", {"gas": "11.1"})).collect()]
+    assert got == [22.2, 2.0]

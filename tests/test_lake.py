@@ -115,3 +115,13 @@ def test_profile_file_sizes_and_counts(spark):
     assert [r.file_size for r in sizes] == [os.path.getsize(f"{SF_SMALL}/events.parquet")]
     prof = quality.profile(fx.consumption(spark, SF_SMALL), exact=False).first()
     assert prof.n_rows == fx.consumption(spark, SF_SMALL).count() and prof.distinct_mpan_mprn > 0
+
+
+def test_costed_sink_roundtrip(spark):
+    from intervalflow.operators.rates import rate_join
+    root = lake.new_lake_root(spark, "t-costed")
+    costed = rate_join(fx.consumption(spark, SF_SMALL), fx.rates(spark, SF_SMALL))
+    lake.write_costed(costed, root)
+    back = spark.read.option("basePath", root).parquet(root)
+    assert back.count() == costed.count()
+    assert {"cost", "unit_rate", "rate_valid_from", "date", "meter_bucket"} <= set(back.columns)
