@@ -827,3 +827,21 @@ FROM unified GROUP BY ALL""")
 def load_audit_days(spark, sf):
     u = _unified(spark, sf).withColumn("device_id", F.coalesce("trv_id", "device_id"))
     return quality.audit_days(u, ["device_id"])
+
+
+LOAD_NOW = dt.datetime(2024, 1, 20, 12, 10)
+
+
+@query("scheduled_load", with_ctes("costed_left") + f"""
+SELECT event_id, {MSQL}, interval_start, interval_end, {money_sql('consumption')} AS consumption,
+       rate_valid_from, {money_sql('unit_rate')} AS unit_rate, {money_sql('cost')} AS cost,
+       {day_sql('interval_end')} AS date
+FROM costed_left WHERE interval_end <= TIMESTAMP '2024-01-20 11:00:00'""")
+def scheduled_load(spark, sf):
+    roots = [lake.new_lake_root(spark, t) for t in ("sched-lake", "sched-costed", "sched-state")]
+    ingest.scheduled_load(spark, fx.consumption_raw(spark, sf), fx.rates(spark, sf), roots[0], roots[1],
+                          roots[2] + "/state", LOAD_NOW)
+    back = spark.read.option("basePath", roots[1]).parquet(roots[1])
+    return back.select("event_id", *M, "interval_start", "interval_end", money("consumption").alias("consumption"),
+                       "rate_valid_from", money("unit_rate").alias("unit_rate"), money("cost").alias("cost"),
+                       day("date").alias("date"))

@@ -118,3 +118,27 @@ def split_late(batch: DataFrame, state: DataFrame, key: F.Column, ts_col: str =
     j = batch.withColumn("_k", key).join(s, "_k", "left")
     late = F.col("_last").isNotNull() & (F.col(ts_col) <= F.col("_last"))
     return j.filter(~late).drop("_k", "_last"), j.filter(late).drop("_k", "_last")
+
+
+def scheduled_load(spark: SparkSession, readings: DataFrame, rates: DataFrame, lake_root: str, costed_root: str,
+                   state_root: str, now: dt.datetime, by: Sequence[str] = ("tariff_code",)) -> DataFrame:
+    """L1 + L3 wired as one batch run (X8): safe horizon (P19), merge into the lake (K2/K9),
+    advance state (ST1/ST6), then cost exactly the touched lake partitions (J1, K4) and return
+    the per-meter completeness of the batch (A1).
+
+    Re-running the same batch gives the same lake, state and costed tables.
+    """
+    from ..functions.timefns import safe_horizon
+    from ..operators.quality import missing_intervals
+    from ..operators.rates import normalise_readings, rate_join
+
+    horizon = safe_horizon(F.lit(now).cast("timestamp_ntz"))
+    ready = normalise_readings(readings).filter(F.col("interval_end") <= horizon)
+    lake.write_consumption(ready, lake_root)
+    update_state(spark, ready, state_root, ["mpan_mprn", "serial"])
+    batch = lake.prepare_consumption(ready).select(*lake.CONSUMPTION_LAKE.fieldNames())
+    touched = lake.touched_partitions(spark, lake_root, lake.CONSUMPTION_LAKE, batch, lake.CONSUMPTION_PARTS)
+    if touched is not None:
+        costed = rate_join(touched.drop("date", "meter_bucket"), rates, by=list(by), how="left")
+        lake.write_costed(costed.checkpoint(eager=True), costed_root)
+    return missing_intervals(ready, ["kind", "mpan_mprn", "serial"])

@@ -23,3 +23,17 @@ def test_stream_equals_batch(spark):
     state = ingest.read_state(spark, state_root)
     hw = batch.groupBy(F.concat_ws(":", "mpan_mprn", "serial").alias("source_key")).agg(F.max("interval_start").alias("last_interval"))
     assert state.exceptAll(hw).count() == 0 and hw.exceptAll(state).count() == 0
+
+
+def test_scheduled_load_is_idempotent(spark):
+    import datetime as dt
+    roots = [lake.new_lake_root(spark, t) for t in ("t-sl", "t-slc", "t-sls")]
+    run = lambda: ingest.scheduled_load(spark, fx.consumption_raw(spark, SF_SMALL), fx.rates(spark, SF_SMALL),
+                                        roots[0], roots[1], roots[2] + "/s", dt.datetime(2024, 1, 20, 12, 10))
+    q1 = run().collect()
+    first = spark.read.option("basePath", roots[1]).parquet(roots[1]).checkpoint()
+    q2 = run().collect()
+    second = spark.read.option("basePath", roots[1]).parquet(roots[1])
+    assert sorted(map(tuple, q1)) == sorted(map(tuple, q2))
+    assert first.count() > 0 and first.exceptAll(second).count() == 0 and second.exceptAll(first).count() == 0
+    assert first.filter(F.col("interval_end") > F.lit("2024-01-20 11:00:00").cast("timestamp_ntz")).count() == 0
