@@ -148,3 +148,31 @@ def test_missing_intervals_reference_cases(spark):
                                "m string, e string").withColumn("interval_end", F.to_timestamp_ntz("e"))
     r = missing_intervals(df, ["m"]).first()
     assert (r.expected, r.actual, r.missing, r.missing_distinct) == (3, 3, 0, 1)
+
+
+def _plan(df):
+    df.collect()  # AQE: read the final plan
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_asof_plan_broadcasts_checked_side_and_skips_reading_shuffle(spark):
+    cons = fx.consumption(spark, SF_SMALL).checkpoint()
+    rates = fx.rates(spark, SF_SMALL)
+    plan = _plan(R.rate_join(cons, rates, strategy="bucket"))
+    segs = _plan(R.rate_segments(R.normalise_rates(rates), ["tariff_code"]))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    # every hash exchange belongs to building the rate segments: readings are not shuffled
+    assert plan.count("Exchange hashpartitioning") == segs.count("Exchange hashpartitioning")
+
+
+def test_asof_plan_over_bound_shuffles_on_tariff_and_day(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = R.rate_join(fx.consumption(spark, SF_SMALL), fx.rates(spark, SF_SMALL), strategy="bucket",
+                        broadcast_max_rows=0)
+        plan = _plan(j)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "_lb" in plan and "_rb" in plan
