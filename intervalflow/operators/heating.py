@@ -14,21 +14,34 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.timefns import interval_minutes, to_utc
 from .dedup import union_tagged
 
 
+CORRUPT = "_corrupt_record"
+
+
 def parse_day_reports(reports: DataFrame, text_col: str = "value") -> DataFrame:
-    """Parse landed day-report JSON into column ``rep`` (unparsable -> NULL ``rep``)."""
+    """Parse landed day-report JSON into column ``rep``.
+
+    Malformed text keeps its raw value in ``rep._corrupt_record`` (Spark's permissive mode),
+    so it can be quarantined; its arrays are NULL and yield no rows."""
     keep = [c for c in reports.columns if c != text_col]
-    return reports.select(*keep, F.from_json(F.col(text_col), schemas.DAY_REPORT).alias("rep"))
+    schema = T.StructType(schemas.DAY_REPORT.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    rep = F.from_json(F.col(text_col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return reports.select(*keep, rep.alias("rep"))
 
 
 def unparsable_reports(parsed: DataFrame) -> DataFrame:
-    """S9 quarantine: reports whose JSON did not parse ("warn and continue")."""
-    return parsed.filter(F.col("rep").isNull()).drop("rep")
+    """S9 quarantine: reports whose JSON did not parse at all ("warn and continue").
+
+    Spark also flags a report with one ill-typed point as corrupt while parsing the rest; such
+    a report is kept (the bad point is dropped by the flatteners), as in the reference."""
+    nothing = F.col("rep.callForHeat").isNull() & F.col("rep.measuredData").isNull() & F.col("rep.settings").isNull()
+    return parsed.filter(F.col("rep").isNull() | (F.col(f"rep.{CORRUPT}").isNotNull() & nothing)).drop("rep")
 
 
 def trv_devices(devices: DataFrame, type_col: str = "device_type") -> DataFrame:

@@ -3,6 +3,7 @@
 import json
 
 from conftest import ts
+from pyspark.sql import functions as F
 from intervalflow.operators import heating as H
 
 REPORT = {
@@ -77,3 +78,15 @@ def test_device_day_grid_skips_days_before_start(spark):
     assert got == [("a", 1), ("a", 2), ("a", 3), ("b", 3)]
     late = spark.createDataFrame([("c", dt.datetime(2024, 2, 1))], "device_id string, start timestamp_ntz")
     assert H.device_day_grid(late, dt.date(2024, 1, 1), dt.date(2024, 1, 3), device_start_col="start").count() == 0
+
+
+def test_landed_report_files_and_quarantine(spark, tmp_path):
+    from intervalflow.sources.documents import read_text_documents
+    (tmp_path / "zone1-2024-01-01.json").write_text(json.dumps(REPORT, indent=2))
+    (tmp_path / "zone2-2024-01-01.json").write_text("{broken")
+    docs = read_text_documents(spark, str(tmp_path))
+    docs = docs.withColumn("device_id", F.regexp_extract("source_file", r"(zone[0-9]+)", 1)) \
+               .withColumn("zone_id", F.col("device_id"))
+    parsed = H.parse_day_reports(docs)
+    assert H.demand_events(parsed).count() == 3
+    assert [r.device_id for r in H.unparsable_reports(parsed).collect()] == ["zone2"]
