@@ -793,7 +793,7 @@ FROM unified""")
 def heating_lake_roundtrip(spark, sf):
     root = lake.new_lake_root(spark, "heating")
     lake.write_heating(_unified(spark, sf), root)
-    back = spark.read.option("basePath", root).parquet(root)
+    back = lake.read_lake(spark, root, lake.HEATING_LAKE)
     return back.select("record_kind", "trv", "zone_id", "heat_demand", "timestamp",
                        F.col("duration_minutes").cast("double").alias("duration_minutes"), "temperature",
                        "sensor_type", "humidity", day("date").alias("date"))

@@ -157,6 +157,17 @@ CONSUMPTION_LAKE = T.StructType([
 ])
 
 
+HEATING_LAKE = T.StructType([
+    T.StructField("trv_id", T.StringType()), T.StructField("zone_id", T.StringType()),
+    T.StructField("requested", T.BooleanType()), T.StructField("heat_demand", T.StringType()),
+    T.StructField("timestamp", T.TimestampNTZType()), T.StructField("duration_minutes", T.IntegerType()),
+    T.StructField("device_id", T.StringType()), T.StructField("temperature", T.DoubleType()),
+    T.StructField("sensor_type", T.StringType()), T.StructField("humidity", T.DoubleType()),
+    T.StructField("trv", T.StringType()),
+    T.StructField("record_kind", T.StringType()), T.StructField("date", T.DateType()),
+])
+
+
 def meter_bucket(buckets: int = METER_BUCKETS) -> F.Column:
     return F.pmod(F.xxhash64("kind", "mpan_mprn", "serial"), F.lit(buckets)).cast("int")
 
