@@ -16,6 +16,17 @@ from pyspark.sql import types as T
 _OFFSET_RE = r"([Zz]|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
 
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a naive datetime / ISO string, without any time zone.
+
+    ``F.lit(datetime)`` builds a session-zone TIMESTAMP, whose cast to NTZ shifts the value
+    when the session zone is not UTC; going through the text form avoids that."""
+    if value is None:
+        return F.lit(None).cast(T.TimestampNTZType())
+    text = value.strftime("%Y-%m-%d %H:%M:%S.%f") if hasattr(value, "strftime") else str(value)
+    return F.lit(text).cast(T.TimestampNTZType())
+
+
 def epoch_ntz() -> Column:
     """1970-01-01 00:00:00 as TIMESTAMP_NTZ (built lazily: columns need an active session)."""
     return F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())

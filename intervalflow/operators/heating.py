@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.timefns import interval_minutes, to_utc
+from ..functions.timefns import interval_minutes, to_utc, ntz_lit
 from .dedup import union_tagged
 
 
@@ -156,7 +156,7 @@ def heating_unified(demand: DataFrame, temps: DataFrame) -> DataFrame:
 
 def in_period(df: DataFrame, start: dt.datetime, end: dt.datetime, ts_col: str = "timestamp") -> DataFrame:
     """``start <= ts <= end`` (both inclusive)."""
-    lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+    lo, hi = ntz_lit(start), ntz_lit(end)
     return df.filter(F.col(ts_col).between(lo, hi))
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import energy_from_code, parse_tariff_code
-from ..functions.timefns import micros_between, plus_micros, to_utc_col, utc_date
+from ..functions.timefns import micros_between, plus_micros, to_utc_col, utc_date, ntz_lit
 
 HALF_HOUR_US = 1_800_000_000
 KEY_JOIN_MAX_CANDIDATES = 64
@@ -84,7 +84,7 @@ def _candidate_stats(cand: DataFrame, by: Sequence[str], lo: str, hi: str | None
 
 
 def _ts_lit(value) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
+    return ntz_lit(value)
 
 
 def normalise_readings(cons: DataFrame) -> DataFrame:

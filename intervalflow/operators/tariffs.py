@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import first_present, parse_tariff_code
-from ..functions.timefns import epoch_ntz, micros_between, to_utc
+from ..functions.timefns import epoch_ntz, micros_between, to_utc, ntz_lit
 from ..sources.documents import meter_points
 
 
@@ -28,7 +28,7 @@ def agreements(accounts: DataFrame, account_col: str = "account") -> DataFrame:
 
 def active_filter(ag: DataFrame, as_of: dt.datetime) -> DataFrame:
     """``valid_from <= as_of < valid_to`` (open end allowed); unparsable dates are out."""
-    t = F.lit(as_of).cast("timestamp_ntz")
+    t = ntz_lit(as_of)
     vt_bad = F.coalesce(F.col("valid_to_raw"), F.lit("")).__ne__("") & F.col("valid_to").isNull()
     return ag.filter(F.col("tariff_code").isNotNull() & F.col("valid_from").isNotNull() & ~vt_bad
                      & (F.col("valid_from") <= t) & (F.col("valid_to").isNull() | (t < F.col("valid_to"))))

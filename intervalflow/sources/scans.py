@@ -14,12 +14,14 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timefns import ntz_lit
+
 HALF_HOUR = dt.timedelta(minutes=30)
 BASELINE = dt.datetime(2015, 1, 1)
 
 
 def _ts(v) -> F.Column:
-    return F.lit(v).cast("timestamp_ntz")
+    return ntz_lit(v)
 
 
 def consumption_range(df: DataFrame, start: dt.datetime, end: dt.datetime,

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timefns import ntz_lit
 from ..session import checkpoint_root, scratch_path
 from ..sinks import lake
 from . import state as st
@@ -132,7 +133,7 @@ def scheduled_load(spark: SparkSession, readings: DataFrame, rates: DataFrame, l
     from ..operators.quality import missing_intervals
     from ..operators.rates import normalise_readings, rate_join
 
-    horizon = safe_horizon(F.lit(now).cast("timestamp_ntz"))
+    horizon = safe_horizon(ntz_lit(now))
     ready = normalise_readings(readings).filter(F.col("interval_end") <= horizon)
     lake.write_consumption(ready, lake_root)
     update_state(spark, ready, state_root, ["mpan_mprn", "serial"])

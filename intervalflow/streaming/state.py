@@ -10,7 +10,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefns import floor_time, plus_micros, to_utc
+from ..functions.timefns import floor_time, plus_micros, to_utc, ntz_lit
 
 SECOND_US = 1_000_000
 MINUTE_US = 60 * SECOND_US
@@ -23,7 +23,7 @@ HEATING_LOOKBACK_US = 60 * MINUTE_US
 
 
 def _ts(v) -> Column:
-    return F.lit(v).cast("timestamp_ntz")
+    return ntz_lit(v)
 
 
 def high_water(df: DataFrame, keys: Sequence[str], ts_col: str = "interval_start",

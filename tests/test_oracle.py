@@ -45,3 +45,16 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "cost" in df.columns
+
+
+@pytest.mark.parametrize("name", ["rate_asof_cost", "day_report_demand", "active_tariffs", "scalar_codec",
+                                  "missing_intervals", "resume_window"])
+def test_query_results_do_not_depend_on_session_zone(spark, name):
+    utc = _rows(E.queries()[name](spark, SF_SMALL).toPandas())
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ny = _rows(E.queries()[name](spark, SF_SMALL).toPandas())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert utc == ny
