@@ -1,14 +1,14 @@
 """Session helpers: a shared scratch location and tuned defaults.
 
 On a cluster the scratch location must be a shared filesystem, so it is taken
-from ``spark.checkpoint.dir`` of the running session.  Only when that setting is
-absent (a bare local test session) do we create one under the system temp dir
-and register it, so ``DataFrame.checkpoint()`` works too.
+from ``spark.checkpoint.dir`` of the running session; without that setting library
+code raises.  Only a ``local[...]`` session gets a folder of its own, registered so
+that ``DataFrame.checkpoint()`` works too.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -38,9 +38,12 @@ def build_session(master: str = "local[8]", app: str = "intervalflow",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session; set one only when unset."""
+    """The shared checkpoint folder named by the session.  Only a ``local[...]`` session, whose
+    tasks all run on this machine, gets one of its own when the setting is absent."""
     root = spark.conf.get(_CKPT_KEY, None) or spark.sparkContext.getConf().get(_CKPT_KEY, None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {_CKPT_KEY} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="intervalflow-ckpt-")
         spark.conf.set(_CKPT_KEY, root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -49,9 +52,6 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A fresh, never reused folder below the shared checkpoint root."""
+    """A fresh, never reused path below the shared checkpoint root; its writer creates it."""
     root = checkpoint_root(spark)
-    path = f"{root.rstrip('/')}/intervalflow-scratch/{tag}-{uuid.uuid4().hex}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{root.rstrip('/')}/intervalflow-scratch/{tag}-{uuid.uuid4().hex}"
