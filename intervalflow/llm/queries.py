@@ -3,20 +3,77 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import langid, mixing, quality, rules
 from .minhash import near_duplicates
+from .sampling import split_of
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = langid.train(docs)
+    rows = docs.select("doc_id", (split_of("doc_id") == 2).alias("held_out"), "text")
+    return langid.predict(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "documents").select("doc_id", (split_of("doc_id") == 2).alias("held_out"), "text")
+    scored = quality.quality_scores(rows, _read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), k=4).withColumnRenamed("id", "doc_id")
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rules.ledger(_read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       rules.rejected(rules.BASE).alias("base_failed"), (~rules.rejected(rules.CURRENT)).alias("kept"), "fail_bits")
+
+
+OP8_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words FROM d),
+win AS (SELECT rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+        FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM win) WHERE n > 1),
+rep AS (SELECT rid, count(DISTINCT i + j) AS n_repeat_words FROM twice, (SELECT unnest([0, 1, 2]) AS j) GROUP BY rid),
+lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d),
+dup AS (SELECT rid, sum(n) AS n_lines, sum(n - 1) AS n_dup_lines
+        FROM (SELECT rid, line, count(*) AS n FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY rid, line) GROUP BY rid),
+m AS (SELECT doc_id, len(words) AS n_words, length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g')) AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, coalesce(n_lines, 0) AS n_lines,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        length(regexp_replace(text, '[^A-Za-z\\x{C0}-\\x{10FFFF}]+', '', 'g')) AS n_letters,
+        length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS n_upper
+      FROM w LEFT JOIN rep USING (rid) LEFT JOIN dup USING (rid)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT + 4 * (10 * n_symbols > n_words)::BIGINT
+        + 8 * (n_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines)::BIGINT + 16 * (2 * word_chars < 5 * n_words)::BIGINT
+        + 32 * (word_chars > 15 * n_words)::BIGINT + 64 * (100 * n_letters < 60 * word_chars)::BIGINT
+        + 128 * (2 * n_upper > n_letters)::BIGINT AS fail_bits FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed, fail_bits = 0 AS kept, fail_bits FROM b
+"""
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
+    "op4_language_id": op4_language_id,
+    "op5_quality_classifier": op5_quality_classifier,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_mixing": op9_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_quality_rules": OP8_SQL}
