@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, quality, rules
+from intervalflow.session import scratch_path
+
+from . import langid, mixing, quality, rules, tokenfile
 from .minhash import near_duplicates
 from .sampling import split_of
 
@@ -68,12 +70,19 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    tokenfile.write_tokens(_read(spark, sf_dir, "documents"), path)
+    return tokenfile.digests(tokenfile.read_tokens(spark, path))
+
+
 QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLE: dict[str, str] = {"op8_quality_rules": OP8_SQL}
