@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from intervalflow.session import scratch_path
 
 from . import langid, mixing, quality, rules, tokenfile
+from .capfilter import similar
 from .minhash import near_duplicates
 from .sampling import split_of
 
@@ -29,6 +30,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar(_read(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), k=4).withColumnRenamed("id", "doc_id")
 
@@ -79,6 +84,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
