@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from intervalflow.session import scratch_path
 
-from . import langid, mixing, quality, rules, tokenfile
+from . import langid, mixing, quality, rules, tokenfile, warc
 from .capfilter import similar
 from .minhash import near_duplicates
 from .sampling import split_of
@@ -17,6 +17,21 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(warc.plan_records(_read(spark, sf_dir, "pages")), scratch_path(spark, "archives"))
+    return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+k AS (SELECT html, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY html)
+SELECT page_id, n AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM p LEFT JOIN k ON p.html = k.html AND n >= 1000
+"""
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     model = langid.train(docs)
@@ -82,6 +97,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_warc_archives": op2_warc_archives,
     "op4_language_id": op4_language_id,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
@@ -91,4 +107,4 @@ QUERIES = {
     "op10_token_files": op10_token_files,
 }
 
-ORACLE: dict[str, str] = {"op8_quality_rules": OP8_SQL}
+ORACLE: dict[str, str] = {"op2_warc_archives": OP2_SQL, "op8_quality_rules": OP8_SQL}
