@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from intervalflow.session import scratch_path
 
-from . import langid, mixing, quality, rules, tokenfile, warc
+from . import langid, mixing, pii, quality, rules, tokenfile, warc
 from .capfilter import similar
 from .minhash import near_duplicates
 from .sampling import split_of
@@ -32,6 +32,11 @@ FROM p LEFT JOIN k ON p.html = k.html AND n >= 1000
 """
 
 
+def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with pseudonymised texts, and where the pseudonyms are."""
+    return pii.pseudonymise(_read(spark, sf_dir, "documents").select("doc_id", "text"), spans_col="spans")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     model = langid.train(docs)
@@ -98,6 +103,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_warc_archives": op2_warc_archives,
+    "op3_pii_pseudonyms": op3_pii_pseudonyms,
     "op4_language_id": op4_language_id,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
