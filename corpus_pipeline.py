@@ -1,22 +1,55 @@
-"""Corpus pipeline over ``documents``; see ``STAGES``."""
+"""Corpus pipeline over ``documents``: five stages, each written as Parquet and read again as the next one's input.
+
+All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from intervalflow.llm import mixing, pii, quality, sentencepieces
 from intervalflow.llm.minhash import near_duplicates
 from intervalflow.llm.storage import stage
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores below its threshold go."""
+    scored = quality.quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.where("predicted = 1").select(*docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    drop = near_duplicates(docs).where("NOT kept").select("id")
-    return docs.join(drop, docs.doc_id.cast("long") == drop.id, "left_anti")
+    """One document of each group of near copies (five words, similarity 0.8) stays; rows that repeat a kept id stay with it."""
+    gone = near_duplicates(docs).where("NOT kept").select(F.col("id").alias("__gone"))
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data become format-preserving pseudonyms; ``n_chars`` follows the new text."""
+    return pii.pseudonymise(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at their target weights: documents repeat, or go, by their source's rate."""
+    return mixing.repeat(mixing.mix(docs), docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every document that is left, repeats included, with the text that they decode to."""
+    model = sentencepieces.Model.load()
+    coded = sentencepieces.decode(sentencepieces.encode(docs, model=model), model=model)
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").alias("text"))
 
 
 STAGES = [
+    ("quality_classifier", quality_filter),
     ("minhash_near_dedup", near_dedup),
+    ("pii_pseudonyms", pseudonyms),
+    ("mixing", mixed),
+    ("sentencepiece", tokens),
 ]
+#: Trained models and hashes cannot be said in SQL; tests/llm compare every stage with brute force.
 ORACLE_SQL = None
 
 

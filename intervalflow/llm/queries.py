@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from intervalflow.session import scratch_path
 
-from . import langid, mixing, pii, quality, rules, tokenfile, warc
+from . import langid, mixing, pii, quality, rules, sentencepieces, tokenfile, warc
 from .capfilter import similar
 from .minhash import near_duplicates
 from .sampling import split_of
@@ -17,6 +17,15 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and whether they decode to it (the model writes a space for the character U+2581)."""
+    model = sentencepieces.Model.load()
+    coded = sentencepieces.encode(_read(spark, sf_dir, "documents").select("doc_id", "text"), model=model)
+    back = sentencepieces.decode(coded, model=model)
+    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), sentencepieces.SPACE, " ")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+
+
 def op2_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(warc.plan_records(_read(spark, sf_dir, "pages")), scratch_path(spark, "archives"))
     return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -102,6 +111,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_warc_archives": op2_warc_archives,
     "op3_pii_pseudonyms": op3_pii_pseudonyms,
     "op4_language_id": op4_language_id,
