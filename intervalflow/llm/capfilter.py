@@ -143,6 +143,7 @@ def _compare(rows: pa.Table, threshold: float) -> pa.RecordBatch:
         small = mine[size[group[mine]] <= FEW]
         for step in range(1, int(size[group[small]].max(initial=1))):
             p = small[:-step][group[small[:-step]] == group[small[step:]]]
+            p = p[(ids[3, p] == ids[4, p]) | (tile[p] != tile[p + step])]       # between two tiles, only pairs across
             hit = np.einsum("ij,ij->i", unit[p], unit[p + step]) >= threshold
             p = p[hit]
             q = p + step

@@ -149,7 +149,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     fitted = [d for i, d in enumerate(data) if i % 5]
     held = [d for i, d in enumerate(data) if not i % 5]
     w = fit_ftrl(fitted, max(1, len(langs)), buckets)
-    logits = np.array([x @ w[at] + w[buckets] for at, x, _ in held]).reshape(len(held), -1)
+    logits = np.array([x @ w[at] + w[buckets] for at, x, _ in held]).reshape(len(held), w.shape[1])
     temperature = fit_temperature(logits, np.array([c for *_, c in held], int))
     return langs, (SCALE * idf[:, None] * w[:buckets]).astype(np.float32), w[buckets], temperature, sizes, buckets
 
