@@ -5,5 +5,5 @@ from .timefns import (  # noqa: F401
     safe_horizon, to_utc, utc_date,
 )
 from .codes import (  # noqa: F401
-    energy_from_code, first_present, parse_tariff_code, repair_json_keys, state_key,
+    energy_from_code, first_present, parse_tariff_code, state_key,
 )

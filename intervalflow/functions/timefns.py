@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 
 
-_OFFSET_RE = r"([Zz]|[+-][0-9]{2}(:?[0-9]{2})?)$"
+# An offset follows a time part; the last field of a plain date is none.
+_OFFSET_RE = r"[0-9]{1,2}:[0-9]{2}.*([Zz]|[+-][0-9]{2}(:?[0-9]{2})?)$|T[0-9]{2}([Zz]|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
 
 def ntz_lit(value) -> Column:
@@ -77,8 +78,9 @@ def to_utc(c, dtype: T.DataType | None = None) -> Column:
     # Naive strings get a 'Z' (naive = UTC), so every string carries its zone; Spark's cast
     # parser (try_cast) then reads Z or +hh:mm without raising and without the session zone.
     # The regex guard keeps parses from failing, which is the slow path.
-    with_zone = F.when(s.rlike(_OFFSET_RE), s).otherwise(F.concat(s, F.lit("Z")))
-    instant = F.nullif(with_zone, F.lit("Z")).try_cast("timestamp")
+    zone = F.when(F.length(s) <= 10, F.lit("T00:00:00Z")).otherwise(F.lit("Z"))     # a plain date is its midnight
+    with_zone = F.when(s.rlike(_OFFSET_RE), s).otherwise(F.concat(F.nullif(s, F.lit("")), zone))
+    instant = with_zone.try_cast("timestamp")
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch_ntz())
 
 

@@ -15,17 +15,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str) -> DataFrame:
-    """One row per ``keys``; the row with the smallest ``order`` wins.
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str | None = None) -> DataFrame:
+    """One row per ``keys``; the row with the smallest ``order`` wins, nulls last.
 
-    Null keys form their own group (as ``drop_duplicates`` does).
+    Ties, and inputs without an order, resolve by a hash of the other columns, so the result does not
+    depend on the data's layout.  Null keys form their own group (as
+    ``drop_duplicates`` does).
     """
-    order = [order] if isinstance(order, str) else list(order)
+    order = [order] if isinstance(order, str) else list(order or [])
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)
-    rank = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
+    # A struct is never null itself, so a row whose order is null still counts.
+    tie = [c for c in rest if c not in order]
+    rank = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))], *([F.xxhash64(*tie)] if tie else [F.lit(0)]))
     picked = F.min_by(F.struct(*[F.col(c) for c in rest]), rank).alias("_kf")
     return df.groupBy(*keys).agg(picked).select(*keys, "_kf.*").select(*df.columns)
 
@@ -36,9 +40,7 @@ def dedup_consumption(df: DataFrame, meter_cols: Sequence[str] = ("kind", "mpan_
     meter = [c for c in meter_cols if c in df.columns]
     if {"interval_start", "interval_end"}.issubset(df.columns):
         keys = meter + ["interval_start", "interval_end"]
-        if order:
-            return keep_first(df, keys, order)
-        return df.dropDuplicates(keys)
+        return keep_first(df, keys, order)
     return df.distinct()
 
 
@@ -47,7 +49,7 @@ def dedup_rates(df: DataFrame, order: str | None = None) -> DataFrame:
     keys = [c for c in ("valid_from", "valid_to", "tariff_code") if c in df.columns]
     if not keys:
         return df
-    return keep_first(df, keys, order) if order else df.dropDuplicates(keys)
+    return keep_first(df, keys, order)
 
 
 def union_tagged(frames: Iterable[tuple[str, DataFrame]], tag_col: str = "record_kind") -> DataFrame:

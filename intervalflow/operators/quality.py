@@ -8,7 +8,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefns import micros_between, plus_micros
+from ..functions.timefns import micros_between, plus_micros, to_utc_col
 
 HALF_HOUR_US = 1_800_000_000
 
@@ -18,10 +18,17 @@ def missing_intervals(df: DataFrame, by: Sequence[str], end_col: str = "interval
     """A1: (expected, actual, missing) of fixed-length intervals per group.
 
     ``expected`` = whole steps from (first end - one step) to the last end; ``actual`` counts
-    rows *including* duplicates (reference rule); fewer than two rows gives (n, n, 0).
+    rows *including* duplicates (reference rule); fewer than two rows gives (n, n, 0), and so does a
+    table without ``end_col``.  ISO strings of any offset are compared as UTC instants.
     With ``distinct`` the duplicate-free variant is added as ``*_distinct`` columns.
     One partial aggregation per group, so a hot meter costs one combined row per task.
     """
+    if end_col not in df.columns:
+        n = df.groupBy(*by).agg(F.count(F.lit(1)).alias("actual")).withColumn("expected", F.col("actual"))
+        zero = F.lit(0).cast("long")
+        n = n.withColumn("missing", zero)
+        return n.withColumn("actual_distinct", F.col("actual")).withColumn("missing_distinct", zero) if distinct else n
+    df = df.withColumn(end_col, to_utc_col(df, end_col))
     agg = [F.count(F.lit(1)).alias("actual"), F.min(end_col).alias("_mn"), F.max(end_col).alias("_mx")]
     if distinct:
         agg.append(F.count_distinct(end_col).alias("actual_distinct"))

@@ -36,6 +36,8 @@ from ..functions.timefns import micros_between, plus_micros, to_utc_col, utc_dat
 HALF_HOUR_US = 1_800_000_000
 KEY_JOIN_MAX_CANDIDATES = 64
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
+CLIP_SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -43,44 +45,37 @@ class CandidateStats:
     rows: int
     max_per_key: int
     clip: object          # python datetime (NTZ) or None
-    bucket_rows: int      # upper bound of exploded day rows
+    row_bytes: float      # mean text size of a row
 
     def strategy(self) -> str:
         return "key" if self.max_per_key <= KEY_JOIN_MAX_CANDIDATES else "bucket"
 
+    def may_broadcast(self, rows: int, max_rows: int) -> bool:
+        """A hint overrides Spark's own byte limit, so it needs a row bound and a byte bound."""
+        return rows <= max_rows and rows * max(self.row_bytes, 1) <= BROADCAST_MAX_BYTES
 
-def _candidate_stats(cand: DataFrame, by: Sequence[str], lo: str, hi: str | None) -> CandidateStats:
-    """One small job over the rate side: row count, largest key, clip instant, and an upper
-    bound of the exploded day rows.
 
-    ``hi=None`` means the candidates are as-of segments of ``cand`` (not yet computed): they
-    are disjoint per key and end by the key's last instant, so a key covers at most
-    ``days(first valid_from .. last instant) + rows`` day buckets - no window is needed here.
+def _candidate_stats(cand: DataFrame, by: Sequence[str], lo: str) -> CandidateStats:
+    """One small job over the rate side: row count, largest key, size, and the clip instant.
+
+    The clip is the last ``lo``: no later day tells two candidates apart, so an end that is open or far in the
+    future needs no day rows beyond it.
     """
-    top = F.greatest(F.col(lo), F.col(hi)) if hi else \
-        F.greatest(*[F.col(c) for c in (lo, "valid_to") if c in cand.columns])
-    per_key = cand.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("k"), F.max(top).alias("kmax"), F.min(lo).alias("kmin"),
-        (F.sum(F.datediff(utc_date(plus_micros(hi, -1)), utc_date(lo)) + 1) if hi else F.lit(None)).alias("fin_days"),
-        (F.sum(F.when(F.col(hi).isNull(), 1).otherwise(0)) if hi else F.lit(0)).alias("n_open"),
-        (F.min(F.when(F.col(hi).isNull(), F.col(lo))) if hi else F.lit(None)).alias("open_min"),
-    )
-    span = F.datediff(F.to_date("kmax"), F.to_date("kmin")) + 1 + F.col("k")
-    row = per_key.agg(
-        F.coalesce(F.sum("k"), F.lit(0)).alias("rows"),
-        F.coalesce(F.max("k"), F.lit(0)).alias("max_per_key"),
-        F.max("kmax").alias("clip"),
-        F.coalesce(F.sum("fin_days"), F.lit(0)).alias("fin_days"),
-        F.coalesce(F.sum("n_open"), F.lit(0)).alias("n_open"),
-        F.min("open_min").alias("open_min"),
-        F.coalesce(F.sum(span), F.lit(0)).alias("seg_days"),
-    ).collect()[0]
-    if not hi:
-        return CandidateStats(int(row["rows"]), int(row["max_per_key"]), row["clip"], int(row["seg_days"]))
-    bucket_rows = int(row["fin_days"])
-    if row["n_open"] and row["clip"] is not None and row["open_min"] is not None:
-        bucket_rows += int(row["n_open"]) * ((row["clip"].date() - row["open_min"].date()).days + 1)
-    return CandidateStats(int(row["rows"]), int(row["max_per_key"]), row["clip"], bucket_rows)
+    size = F.octet_length(F.to_csv(F.struct(*[F.col(c).cast("string") for c in cand.columns])))
+    per_key = cand.groupBy(*by).agg(F.count(F.lit(1)).alias("k"), F.max(lo).alias("kmax"), F.sum(size).alias("bytes"))
+    row = per_key.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("rows"), F.coalesce(F.max("k"), F.lit(0)).alias("max_per_key"),
+                      F.max("kmax").alias("clip"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).collect()[0]
+    return CandidateStats(int(row["rows"]), int(row["max_per_key"]), row["clip"], row["bytes"] / max(int(row["rows"]), 1))
+
+
+def _day_range(cand: DataFrame, lo: str, hi: str, clip_day: Column) -> Column:
+    """The UTC days of ``[lo, hi)`` up to the clip day."""
+    return F.sequence(utc_date(lo), F.greatest(utc_date(lo), F.least(F.coalesce(utc_date(plus_micros(hi, -1)), clip_day), clip_day)))
+
+
+def _day_rows(cand: DataFrame, lo: str, hi: str, clip_day: Column) -> int:
+    """How many (candidate, day) rows the bucket join makes of the rate side."""
+    return cand.agg(F.coalesce(F.sum(F.size(_day_range(cand, lo, hi, clip_day))), F.lit(0))).first()[0]
 
 
 def _ts_lit(value) -> Column:
@@ -135,20 +130,23 @@ def _point_join(left: DataFrame, cand: DataFrame, by: Sequence[str], t: str, lo:
     rng = (F.col(t) >= F.col(lo)) & (F.col(hi).isNull() | (F.col(t) < F.col(hi)))
     if strategy == "bucket":
         clip_day = F.to_date(_ts_lit(stats.clip))
-        last_day = F.coalesce(utc_date(plus_micros(hi, -1)), clip_day)
-        cand = cand.withColumn("_rb", F.explode(F.sequence(utc_date(lo), last_day)))
+        rows = _day_rows(cand, lo, hi, clip_day)
+        cand = cand.withColumn("_rb", F.explode(_day_range(cand, lo, hi, clip_day)))
         left = left.withColumn("_lb", F.least(utc_date(t), clip_day))
-        eq = [left[b] == cand["rate_" + b] for b in by] + [left["_lb"] == cand["_rb"]]
-        rows = stats.bucket_rows
+        # All readings from the last rate change on meet on the clip day: their key is salted, and that day's candidates repeat.
+        salts = F.sequence(F.lit(0), F.lit(CLIP_SALTS - 1))
+        cand = cand.withColumn("_rs", F.explode(F.when(F.col("_rb") == clip_day, salts).otherwise(F.array(F.lit(0)))))
+        left = left.withColumn("_ls", F.when(F.col("_lb") == clip_day, F.pmod(F.xxhash64(*left.columns), F.lit(CLIP_SALTS)).cast("int")).otherwise(0))
+        eq = [left[b] == cand["rate_" + b] for b in by] + [left["_lb"] == cand["_rb"], left["_ls"] == cand["_rs"]]
     else:
         rows = stats.rows
-    if rows <= broadcast_max_rows:
+    if stats.may_broadcast(rows, broadcast_max_rows):
         cand = F.broadcast(cand)
     cond = eq[0]
     for e in eq[1:]:
         cond = cond & e
     joined = left.join(cand, cond & rng, how)
-    return joined.drop(*[c for c in ("_lb", "_rb", "_seg_end") if c in joined.columns])
+    return joined.drop(*[c for c in ("_lb", "_rb", "_ls", "_rs", "_seg_end") if c in joined.columns])
 
 
 def _with_cost(df: DataFrame, rate_cols: Sequence[str], per_row: bool = False) -> DataFrame:
@@ -168,6 +166,15 @@ def _with_cost(df: DataFrame, rate_cols: Sequence[str], per_row: bool = False) -
     return out
 
 
+def _no_rates(cons: DataFrame, rates: DataFrame, by: Sequence[str], how: str) -> DataFrame:
+    """Readings when there is no rate: NULL rate columns of the right types for a left join."""
+    if how != "left":
+        return cons
+    cand = _prefixed(rates, by)
+    out = cons.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in cand.schema if f.name.startswith("rate_")])
+    return _with_cost(out, cand.columns)
+
+
 def rate_join(cons: DataFrame, rates: DataFrame, by: Sequence[str] = ("tariff_code",), how: str = "inner",
               strategy: str = "auto", per_row_rate: bool = False,
               broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -177,16 +184,17 @@ def rate_join(cons: DataFrame, rates: DataFrame, by: Sequence[str] = ("tariff_co
     then kept only if ``valid_to`` is NULL or later (F1).  ``how='inner'`` drops unmatched
     readings (reference behaviour); ``how='left'`` keeps them with NULL rate columns.
     Rate columns are prefixed ``rate_`` (P12); ``unit_rate`` and ``cost`` follow P10/P11.
-    Empty rates, or rates without ``valid_from``, return the readings unchanged.
+    Empty rates, or rates without ``valid_from``, return the readings unchanged, with ``how='left'`` with
+    the rate columns that there are, all NULL, so later steps find them.
     """
     by = list(by)
     cons = normalise_readings(cons)
     if "valid_from" not in rates.columns:
         return cons
     norm = normalise_rates(rates)
-    stats = _candidate_stats(norm, by, "valid_from", None)
+    stats = _candidate_stats(norm, by, "valid_from")
     if stats.rows == 0:
-        return cons
+        return _no_rates(cons, norm, by, how)
     strategy = stats.strategy() if strategy == "auto" else strategy
     cand = _prefixed(rate_segments(norm, by), by)
     out = _point_join(cons, cand, by, "interval_start", "rate_valid_from", "_seg_end", how,
@@ -202,9 +210,9 @@ def rate_join_interval(cons: DataFrame, rates: DataFrame, by: Sequence[str] = ("
     by = list(by)
     cons = normalise_readings(cons)
     r = normalise_rates(rates)
-    stats = _candidate_stats(r, by, "valid_from", "valid_to")
+    stats = _candidate_stats(r, by, "valid_from")
     if stats.rows == 0:
-        return cons
+        return _no_rates(cons, r, by, how)
     strategy = stats.strategy() if strategy == "auto" else strategy
     cand = _prefixed(r, by)
     out = _point_join(cons, cand, by, "interval_start", "rate_valid_from", "rate_valid_to", how,
@@ -223,16 +231,17 @@ def rate_join_prorated(cons: DataFrame, rates: DataFrame, by: Sequence[str] = ("
     by = list(by)
     cons = normalise_readings(cons)
     norm = normalise_rates(rates)
-    stats = _candidate_stats(norm, by, "valid_from", None)
+    stats = _candidate_stats(norm, by, "valid_from")
     if stats.rows == 0:
         return cons
     cand = _prefixed(rate_segments(norm, by), by).filter(F.col("_seg_end").isNull() | (F.col("_seg_end") > F.col("rate_valid_from")))
     clip_day = F.to_date(_ts_lit(stats.clip))
     s, e, a, b = F.col("interval_start"), F.col("interval_end"), F.col("rate_valid_from"), F.col("_seg_end")
-    cand = cand.withColumn("_rb", F.explode(F.sequence(utc_date(a), F.coalesce(utc_date(plus_micros(b, -1)), clip_day))))
+    rows = _day_rows(cand, "rate_valid_from", "_seg_end", clip_day)
+    cand = cand.withColumn("_rb", F.explode(_day_range(cand, "rate_valid_from", "_seg_end", clip_day)))
     left = cons.withColumn("_lb", F.explode(F.sequence(F.least(utc_date(s), clip_day),
                                                           F.least(utc_date(plus_micros(e, -1)), clip_day))))
-    if stats.bucket_rows <= broadcast_max_rows:
+    if stats.may_broadcast(rows, broadcast_max_rows):
         cand = F.broadcast(cand)
     cond = F.col("_lb") == F.col("_rb")
     for k in by:

@@ -249,7 +249,7 @@ def meter_config_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- heating
 # Call-for-heat levels by k % 4.
 HEAT_LEVELS = ("NONE", "LOW", "MEDIUM", "HIGH")
-REPORT_EVENTS = 65536
+SENSOR_CLOCK_S = 600
 
 
 def day_reports_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,7 +261,8 @@ def day_reports_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = table(spark, sf_dir, "events")
     k = prop_k(F.col("props"))
-    stamp = format_zulu("ts")
+    # Sensors report on a ten-minute clock, so one report can hold several points of one stamp.
+    stamp = format_zulu(F.when(F.col("event_type") == "purchase", floor_time("ts", SENSOR_CLOCK_S)).otherwise(F.col("ts")))
     t = F.col("event_type")
     level = F.element_at(F.array(*[F.lit(v) for v in HEAT_LEVELS]), (F.pmod(k, F.lit(4)) + 1).cast("int"))
     to = F.when(F.pmod(k, F.lit(13)) == 0, F.lit(None).cast("string")).otherwise(
@@ -281,11 +282,8 @@ def day_reports_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     def lst(c):
         return F.transform(F.sort_array(F.collect_list(c)), lambda e: e["x"])
 
-    # One report per (device, day) and block of REPORT_EVENTS event ids: every document is
-    # bounded even if one device produced most events of a day.  A humidity point and the
-    # inside point it belongs to come from the same event, so they always share a report.
-    chunk = F.floor(F.col("event_id") / REPORT_EVENTS).alias("chunk")
-    g = ev.groupBy("user_id", F.to_date("ts").alias("date"), chunk).agg(
+    # One report per (device, day), as it lands.
+    g = ev.groupBy("user_id", F.to_date("ts").alias("date")).agg(
         lst(cfh).alias("cfh"), lst(inside).alias("inside"), lst(hum).alias("hum"), lst(sett).alias("sett"))
     doc = F.struct(F.struct(F.col("cfh").alias("dataIntervals")).alias("callForHeat"),
                    F.struct(F.struct(F.col("inside").alias("dataPoints")).alias("insideTemperature"),

@@ -367,9 +367,12 @@ _DEMAND_SQL = """demand AS (
          st AS timestamp, CASE WHEN k % 13 = 0 THEN NULL ELSE k END AS duration_minutes
   FROM ev WHERE event_type IN ('click', 'view') AND k % 4 <> 0)"""
 _TEMPS_SQL = """temps AS (
-  SELECT dev AS device_id, dev AS zone_id, value AS temperature, st AS timestamp, 'inside' AS sensor_type,
-         CASE WHEN k % 2 = 0 THEN CAST(k AS DOUBLE) END AS humidity
-  FROM ev WHERE event_type = 'purchase'
+  SELECT p.dev AS device_id, p.dev AS zone_id, p.value AS temperature, p.slot AS timestamp, 'inside' AS sensor_type, h.humidity
+  FROM (SELECT *, time_bucket(INTERVAL 10 MINUTES, ts, TIMESTAMP '1970-01-01') AS slot FROM ev WHERE event_type = 'purchase') p
+  LEFT JOIN (SELECT dev, CAST(ts AS DATE) AS d, time_bucket(INTERVAL 10 MINUTES, ts, TIMESTAMP '1970-01-01') AS slot,
+                    arg_max(CAST(k AS DOUBLE), event_id) AS humidity
+             FROM ev WHERE event_type = 'purchase' AND k % 2 = 0 GROUP BY ALL) h
+    ON p.dev = h.dev AND CAST(p.ts AS DATE) = h.d AND p.slot = h.slot
   UNION ALL
   SELECT dev, dev, value, st, 'target', CAST(NULL AS DOUBLE) FROM ev WHERE event_type = 'error' AND k % 3 <> 0)"""
 _UNIFIED_SQL = """unified AS (
@@ -558,18 +561,23 @@ def lake_merge_idempotent(spark, sf):
 @query("compaction", with_ctes("cons") + _LAKE_OUT_SQL + " FROM cons")
 def compaction(spark, sf):
     root = lake.new_lake_root(spark, "compact")
-    c = lake.prepare_consumption(fx.consumption(spark, sf)).select(*lake.CONSUMPTION_LAKE.fieldNames())
+    c = lake.lake_rows(fx.consumption(spark, sf))
     for i in range(4):  # four appends -> several small files per partition
         lake.write_partitioned(c.filter(F.pmod("event_id", F.lit(4)) == i), root, lake.CONSUMPTION_PARTS, mode="append")
     lake.compact(spark, root, lake.CONSUMPTION_LAKE, lake.CONSUMPTION_PARTS)
     return _lake_out(lake.read_lake(spark, root, lake.CONSUMPTION_LAKE))
 
 
-@query("backfill_range", with_ctes("cons") + _LAKE_OUT_SQL + """ FROM cons
-WHERE CAST(interval_start AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'""")
+def _days_of(readings):
+    """First and last UTC day of a table: the range that a full backfill is asked for."""
+    return readings.agg(F.min(F.to_date("interval_start")), F.max(F.to_date("interval_start"))).first()
+
+
+@query("backfill_range", with_ctes("cons") + _LAKE_OUT_SQL + """ FROM cons""")
 def backfill_range(spark, sf):
     root = lake.new_lake_root(spark, "backfill")
-    ingest.backfill(fx.consumption_raw(spark, sf), root, dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    raw = fx.consumption_raw(spark, sf)
+    ingest.backfill(raw, root, *_days_of(raw))
     return _lake_out(lake.read_lake(spark, root, lake.CONSUMPTION_LAKE))
 
 
@@ -581,8 +589,8 @@ def backfill_chunked(spark, sf):
     newer = fx.consumption(spark, sf).filter(F.col("interval_start") >= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
     newer = newer.withColumn("consumption", (F.col("consumption") * 2).cast("decimal(18,2)"))
     lake.write_consumption(newer, root)
-    ingest.backfill(fx.consumption_raw(spark, sf), root, dt.date(2024, 1, 1), dt.date(2024, 1, 31),
-                    step_days=10, prefer="existing")
+    raw = fx.consumption_raw(spark, sf)
+    ingest.backfill(raw, root, *_days_of(raw), step_days=10, prefer="existing")
     return _lake_out(lake.read_lake(spark, root, lake.CONSUMPTION_LAKE))
 
 
@@ -604,9 +612,8 @@ def stream_dedup_state(spark, sf):
     fx.land_event_splits(spark, sf, landing)
     root, state_root = lake.new_lake_root(spark, "stream"), lake.new_lake_root(spark, "state") + "/state"
     schema = fx.table(spark, sf, "events").schema
-    # Files of the fixture arrive out of event-time order, so the re-delivery horizon spans the data.
-    ingest.stream_consumption(spark, landing, schema, _events_to_readings, root, state_root,
-                              max_files_per_trigger=4, delay="31 days")
+    # Splits by event id arrive out of event-time order: nothing is dropped for its age.
+    ingest.stream_consumption(spark, landing, schema, _events_to_readings, root, state_root, max_files_per_trigger=4)
     out = _lake_out(lake.read_lake(spark, root, lake.CONSUMPTION_LAKE))
     state = ingest.read_state(spark, state_root)
     from ..functions.codes import state_key
@@ -645,6 +652,26 @@ def late_reprocess(spark, sf):
                       "last_interval")
 
 
+@query("stream_late", with_ctes("cons_raw") + """,
+ontime_hw AS (SELECT mpan_mprn, serial, max(interval_start) AS hw FROM cons_raw WHERE event_id % 97 <> 0
+              GROUP BY mpan_mprn, serial)
+SELECT r.event_id, r.mpan_mprn, r.serial, r.interval_start, r.interval_end FROM cons_raw r
+JOIN ontime_hw h ON r.mpan_mprn = h.mpan_mprn AND r.serial = h.serial
+WHERE r.event_id % 97 = 0 AND r.interval_end <= h.hw""")
+def stream_late(spark, sf):
+    """The side table of late readings: on-time files are streamed first, the late ones land afterwards."""
+    landing, root = lake.new_lake_root(spark, "late-landing"), lake.new_lake_root(spark, "late-stream")
+    state_root, ckpt = lake.new_lake_root(spark, "late-state") + "/state", lake.new_lake_root(spark, "late-ckpt")
+    ev = fx.table(spark, sf, "events")
+    late = F.pmod("event_id", F.lit(97)) == 0
+    for part in (~late, late):
+        ev.filter(part).write.mode("append").parquet(landing)
+        ingest.stream_consumption(spark, landing, ev.schema, _events_to_readings, root, state_root,
+                                  max_files_per_trigger=1_000_000, checkpoint=ckpt)
+    side = spark.read.parquet(*[f"{root}-late/epoch={i}" for i in (0, 1)])
+    return side.select("event_id", "mpan_mprn", "serial", "interval_start", "interval_end")
+
+
 # ---------------------------------------------------------------- profile, audits, bills, codecs
 @query("profile", with_ctes("cons") + """
 SELECT count(*) AS n_rows, min(interval_start) AS min_interval_start, max(interval_start) AS max_interval_start,
@@ -791,8 +818,12 @@ SELECT record_kind, coalesce(trv_id, device_id) AS trv, zone_id, heat_demand, ti
        {day_sql('timestamp')} AS date
 FROM unified""")
 def heating_lake_roundtrip(spark, sf):
+    """Disjoint loads by device, then by half of the day, and a replay: every row stays, once."""
     root = lake.new_lake_root(spark, "heating")
-    lake.write_heating(_unified(spark, sf), root)
+    u = _unified(spark, sf)
+    even = F.pmod(F.coalesce("trv_id", "device_id").cast("long"), F.lit(2)) == 0
+    for part in (even, ~even & (F.hour("timestamp") < 12), ~even & (F.hour("timestamp") >= 12), even):
+        lake.write_heating(u.filter(part), root)
     back = lake.read_lake(spark, root, lake.HEATING_LAKE)
     return back.select("record_kind", "trv", "zone_id", "heat_demand", "timestamp",
                        F.col("duration_minutes").cast("double").alias("duration_minutes"), "temperature",
@@ -806,7 +837,9 @@ FROM rates""")
 def rates_lake_roundtrip(spark, sf):
     from ..operators.rates import stamp_rates
     root = lake.new_lake_root(spark, "rates")
-    lake.write_unit_rates(stamp_rates(fx.rates(spark, sf)), root)
+    rates = stamp_rates(fx.rates(spark, sf))
+    for k in (0, 1, 0):     # disjoint loads of one day's rates, and a replay
+        lake.write_unit_rates(rates.filter(F.pmod(F.hour("valid_from"), F.lit(2)) == k), root)
     schema = ("valid_from timestamp_ntz, valid_to timestamp_ntz, value_inc_vat decimal(18,4), "
               "energy string, product string, tariff string, date date")
     back = spark.read.schema(schema).option("basePath", root).parquet(root)
@@ -825,6 +858,90 @@ def load_audit_days(spark, sf):
     return quality.audit_days(u, ["device_id"])
 
 
+@query("costed_lake_roundtrip", with_ctes("costed_left") + f"""
+SELECT event_id, {MSQL}, interval_start, interval_end, {money_sql('consumption')} AS consumption,
+       rate_valid_from, {money_sql('unit_rate')} AS unit_rate, {money_sql('cost')} AS cost, {day_sql('interval_end')} AS date
+FROM costed_left""")
+def costed_lake_roundtrip(spark, sf):
+    """Disjoint loads by meter, then by half of the day, and a replay."""
+    from ..operators.rates import rate_join
+    root = lake.new_lake_root(spark, "costed")
+    costed = rate_join(fx.consumption(spark, sf), fx.rates(spark, sf), how="left").checkpoint()
+    even = F.pmod(F.xxhash64(*M), F.lit(2)) == 0
+    for part in (even, ~even & (F.hour("interval_end") < 12), ~even & (F.hour("interval_end") >= 12), even):
+        lake.write_costed(costed.filter(part), root)
+    return _costed_out(spark, root)
+
+
+def _costed_out(spark, root):
+    back = spark.read.option("basePath", root).parquet(root)
+    return back.select("event_id", *M, "interval_start", "interval_end", money("consumption").alias("consumption"),
+                       "rate_valid_from", money("unit_rate").alias("unit_rate"), money("cost").alias("cost"),
+                       day("date").alias("date"))
+
+
+@query("consumption_lake_general", with_ctes("cons") + f"""
+SELECT {MSQL}, interval_start, interval_end, CAST(consumption AS DOUBLE) / 8 AS consumption, 'kWh' AS unit, false AS rejected FROM cons
+WHERE event_id % 50 <> 0
+UNION ALL SELECT {MSQL}, interval_start, NULL, CAST(consumption AS DOUBLE) / 8, 'kWh', true FROM cons WHERE event_id % 50 = 0""")
+def consumption_lake_general(spark, sf):
+    """Readings with more decimals, a column of their own and no event id or tariff; those without a usable end are kept aside."""
+    root = lake.new_lake_root(spark, "general")
+    c = fx.consumption(spark, sf)
+    end = F.when(F.pmod("event_id", F.lit(50)) == 0, F.lit("no time")).otherwise(
+        F.concat(F.date_format("interval_end", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+    raw = c.select(*M, "interval_start", end.alias("interval_end"), (F.col("consumption").cast("double") / 8).alias("consumption"),
+                   F.lit("kWh").alias("unit"))
+    lake.write_consumption(raw, root)
+    good = spark.read.option("basePath", root).parquet(root).select(
+        *[F.col(m).cast("string").alias(m) for m in M], "interval_start", "interval_end", F.col("consumption").cast("double").alias("consumption"), "unit",
+        F.lit(False).alias("rejected"))
+    kinds = "kind string, mpan_mprn string, serial string, interval_start string, consumption double, unit string"
+    bad = spark.read.parquet(root + "-quarantine").select(F.from_json("row", kinds).alias("r")).select("r.*")
+    bad = bad.select(*M, F.col("interval_start").cast("timestamp_ntz").alias("interval_start"),
+                     F.lit(None).cast("timestamp_ntz").alias("interval_end"), "consumption", "unit", F.lit(True).alias("rejected"))
+    return good.unionByName(bad)
+
+
+@query("missing_intervals_mixed_offsets", with_ctes("cons_raw") + f"""
+SELECT {MSQL}, count(*) AS actual,
+       CASE WHEN count(*) < 2 THEN count(*)
+            ELSE (epoch_us(max(interval_end)) - epoch_us(min(interval_end)) + 1800000000) // 1800000000 END AS expected
+FROM cons_raw GROUP BY ALL""")
+def missing_intervals_mixed_offsets(spark, sf):
+    """A1 over ISO strings of three notations: UTC, one hour east, and naive."""
+    from ..functions.timefns import plus_micros
+    c = fx.consumption_raw(spark, sf)
+    iso = "yyyy-MM-dd'T'HH:mm:ss"
+    k = F.pmod("event_id", F.lit(3))
+    text = (F.when(k == 0, F.concat(F.date_format("interval_end", iso), F.lit("Z")))
+            .when(k == 1, F.concat(F.date_format(plus_micros("interval_end", 3_600_000_000), iso), F.lit("+01:00")))
+            .otherwise(F.date_format("interval_end", iso)))
+    m = quality.missing_intervals(c.withColumn("interval_end", text), M)
+    return m.select(*M, "actual", "expected")
+
+
+@query("rate_far_future", with_ctes("costed_left") + f"""
+SELECT event_id, {MSQL}, interval_start, rate_valid_from, {money_sql('cost')} AS cost FROM costed_left""")
+def rate_far_future(spark, sf):
+    """Open rates written with the end 9999-12-31 cost what open rates cost."""
+    from ..functions.timefns import ntz_lit
+    from ..operators.rates import rate_join
+    rates = fx.rates(spark, sf).withColumn("valid_to", F.coalesce("valid_to", ntz_lit("9999-12-31 00:00:00")))
+    out = rate_join(fx.consumption(spark, sf), rates, how="left", strategy="bucket")
+    return out.select("event_id", *M, "interval_start", "rate_valid_from", money("cost").alias("cost"))
+
+
+@query("rate_empty", with_ctes("cons") + f"""
+SELECT {MSQL}, count(*) AS n_unmatched, {money_sql('sum(consumption)')} AS kwh_unmatched FROM cons GROUP BY ALL""")
+def rate_empty(spark, sf):
+    """Without any rate every reading is unmatched, and the later steps still find their columns."""
+    from ..operators.rates import rate_join, unmatched_intervals
+    out = rate_join(fx.consumption(spark, sf), fx.rates(spark, sf).limit(0), how="left")
+    assert {"unit_rate", "cost"} <= set(out.columns)
+    return unmatched_intervals(out, M).select(*M, "n_unmatched", money("kwh_unmatched").alias("kwh_unmatched"))
+
+
 LOAD_NOW = dt.datetime(2024, 1, 20, 12, 10)
 
 
@@ -834,10 +951,44 @@ SELECT event_id, {MSQL}, interval_start, interval_end, {money_sql('consumption')
        {day_sql('interval_end')} AS date
 FROM costed_left WHERE interval_end <= TIMESTAMP '2024-01-20 11:00:00'""")
 def scheduled_load(spark, sf):
+    """Two consecutive runs that resume from state give what one full load gives."""
+    return _scheduled(spark, sf)[0]
+
+
+def _scheduled(spark, sf):
     roots = [lake.new_lake_root(spark, t) for t in ("sched-lake", "sched-costed", "sched-state")]
-    ingest.scheduled_load(spark, fx.consumption_raw(spark, sf), fx.rates(spark, sf), roots[0], roots[1],
-                          roots[2] + "/state", LOAD_NOW)
-    back = spark.read.option("basePath", roots[1]).parquet(roots[1])
-    return back.select("event_id", *M, "interval_start", "interval_end", money("consumption").alias("consumption"),
-                       "rate_valid_from", money("unit_rate").alias("unit_rate"), money("cost").alias("cost"),
-                       day("date").alias("date"))
+    raw, rates = fx.consumption_raw(spark, sf), fx.rates(spark, sf)
+    days = (LOAD_NOW.date() - _days_of(raw)[0]).days + 1      # the first run takes all there is
+    for now in (LOAD_NOW - dt.timedelta(days=8), LOAD_NOW):
+        done = ingest.scheduled_load(spark, raw, rates, roots[0], roots[1], roots[2] + "/state", now, bootstrap_days=days)
+    return _costed_out(spark, roots[1]), done
+
+
+@query("scheduled_load_completeness", with_ctes("cons_raw") + f""",
+ready AS (SELECT * FROM cons_raw WHERE interval_end <= TIMESTAMP '2024-01-20 11:00:00'),
+mark AS (SELECT mpan_mprn, serial, max(interval_start) AS last FROM ready WHERE interval_end <= TIMESTAMP '2024-01-12 11:00:00' GROUP BY ALL),
+batch AS (SELECT r.* FROM ready r LEFT JOIN mark m ON r.mpan_mprn = m.mpan_mprn AND r.serial = m.serial
+          WHERE m.last IS NULL OR r.interval_start >= m.last - INTERVAL 1801 SECOND)
+SELECT {MSQL}, count(*) AS actual,
+       CASE WHEN count(*) < 2 THEN count(*)
+            ELSE (epoch_us(max(interval_end)) - epoch_us(min(interval_end)) + 1800000000) // 1800000000 END AS expected
+FROM batch GROUP BY ALL""")
+def scheduled_load_completeness(spark, sf):
+    """The completeness that the second run returns, of its own window."""
+    return _scheduled(spark, sf)[1].select(*M, "actual", "expected")
+
+
+@query("heating_load", f"""WITH {_EV_SQL}, {_DEMAND_SQL}, {_TEMPS_SQL}, {_UNIFIED_SQL}
+SELECT record_kind, coalesce(trv_id, device_id) AS trv, zone_id, heat_demand, timestamp, temperature, sensor_type, humidity FROM unified""")
+def heating_load(spark, sf):
+    """Two consecutive runs, the second over all reports: what was loaded is not loaded again."""
+    root, state_root = lake.new_lake_root(spark, "heat-load"), lake.new_lake_root(spark, "heat-state")
+    reports = fx.day_reports_json(spark, sf).checkpoint()
+    first, last = reports.agg(F.min("date"), F.max("date")).first()
+    middle = first + (last - first) / 2
+    hours = 24 * ((last - first).days + 2)
+    for until in (middle, last):
+        now = dt.datetime.combine(until, dt.time()) + dt.timedelta(days=1)
+        ingest.heating_load(spark, reports.filter(F.col("date") <= F.lit(until)), root, state_root, now, hours)
+    back = lake.read_lake(spark, root, lake.HEATING_LAKE)
+    return back.select("record_kind", "trv", "zone_id", "heat_demand", "timestamp", "temperature", "sensor_type", "humidity")

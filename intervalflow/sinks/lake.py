@@ -11,6 +11,8 @@ Writes
   read-then-overwrite lineage, so no task re-reads a partition being replaced), and only
   then written over the lake with ``partitionOverwriteMode=dynamic``.  A re-run of the
   same batch yields the same table.
+* Typed sinks are append-safe: a load replaces stored rows that have its keys and keeps all
+  others of the partitions it touches (another device, meter or half of the day).
   Plain Parquet has no multi-partition atomic commit; a table format would add that.
 
 Reads
@@ -22,8 +24,10 @@ DATE): partition inference would turn the id ``007`` into the number 7.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,11 +63,13 @@ def write_partitioned(df: DataFrame, root: str, partition_cols: Sequence[str] |
     """K1: optional de-dup (keep first), then write partitioned by ``partition_cols``.
 
     Spark omits partition columns from the files, as the reference drops them.  An empty
-    input touches no partition, so it is a no-op under dynamic overwrite.  Without
-    partition columns the data are written as is (``coalesce(1)`` only if a caller asks).
+    input is a no-op under dynamic overwrite, with or without partition columns.  Without
+    an ``order`` the smallest row of a duplicate set stays, so the result is the same on every run.
     """
     if dedup_cols:
-        df = keep_first(df, dedup_cols, order) if order else df.dropDuplicates(list(dedup_cols))
+        df = keep_first(df, dedup_cols, order)
+    if not partition_cols and mode == "dynamic" and df.isEmpty():
+        return
     w = df
     if partition_cols:
         w = df.hint("rebalance", *partition_cols)
@@ -134,27 +140,67 @@ def merge_partitions(df: DataFrame, root: str, schema: T.StructType, partition_c
     spark = df.sparkSession
     checkpoint_root(spark)  # checkpoint() below needs the shared folder registered
     cols = schema.fieldNames()
-    batch = df.select(*cols)
-    old = touched_partitions(spark, root, schema, batch, partition_cols)
-    if old is None:
-        return
-    rank_new, rank_old = {"new": (0, 1), "existing": (1, 0)}.get(prefer, (0, 0))
-    both = batch.withColumn("_side", F.lit(rank_new)).unionByName(old.withColumn("_side", F.lit(rank_old)))
-    order = [order] if isinstance(order, str) else list(order or [])
-    merged = keep_first(both, list(keys), ["_side", *order]).drop("_side")
-    sort = [c for c in METER_SORT if c in cols]
-    write_partitioned(merged.checkpoint(eager=True), root, partition_cols, mode="dynamic", sort_cols=sort)
+    batch = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)  # read for the dates, the partitions and the merge
+    try:
+        old = touched_partitions(spark, root, schema, batch, partition_cols)
+        if old is None:
+            return
+        rank_new, rank_old = {"new": (0, 1), "existing": (1, 0)}.get(prefer, (0, 0))
+        both = batch.withColumn("_side", F.lit(rank_new)).unionByName(old.withColumn("_side", F.lit(rank_old)))
+        merged = keep_first(both, list(keys), ["_side", *([order] if isinstance(order, str) else order or [])]).drop("_side")
+        sort = [c for c in METER_SORT if c in cols]
+        write_partitioned(merged.checkpoint(eager=True), root, partition_cols, mode="dynamic", sort_cols=sort)
+    finally:
+        batch.unpersist()
+
+
+def replace_keys(df: DataFrame, root: str, partition_cols: Sequence[str], keys: Sequence[str],
+                 schema: T.StructType | None = None, sort_cols: Sequence[str] = ()) -> None:
+    """Append-safe load without de-duplication: stored rows whose ``keys`` (nulls equal) occur in ``df``
+    are replaced by all of ``df``'s rows with those keys; every other stored row stays.
+
+    Loads that repeat a batch change nothing; loads of other keys only add.  Columns that only one side
+    has are kept, null on the other.
+    """
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    batch = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        schema = lake_schema(spark, root, schema or batch.schema, batch)
+        new = batch.select(*[(F.col(f.name) if f.name in batch.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+        old = touched_partitions(spark, root, schema, new, partition_cols)
+        if old is None:
+            return
+        mine = new.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        merged = new.unionByName(old.join(mine, same, "left_anti"))
+        write_partitioned(merged.checkpoint(eager=True), root, partition_cols, mode="dynamic",
+                          sort_cols=[c for c in sort_cols if c in merged.columns])
+    finally:
+        batch.unpersist()
+
+
+def lake_schema(spark: SparkSession, root: str, declared: T.StructType, batch: DataFrame) -> T.StructType:
+    """Declared columns, then other columns of the stored files, then other columns of the batch."""
+    fields = {f.name: f for f in declared}
+    if _path_exists(spark, root):
+        for f in spark.read.option("mergeSchema", "true").parquet(root).schema:
+            fields.setdefault(f.name, f)
+    for f in batch.schema:
+        fields.setdefault(f.name, f)
+    return T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()])
 
 
 # ---------------------------------------------------------------- typed sinks
 CONSUMPTION_LAKE = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("interval_start", T.TimestampNTZType()),
-    T.StructField("interval_end", T.TimestampNTZType()), T.StructField("consumption", T.DecimalType(18, 2)),
+    T.StructField("interval_end", T.TimestampNTZType()), T.StructField("consumption", T.DecimalType(18, 6)),
     T.StructField("tariff_code", T.StringType()),
     T.StructField("kind", T.StringType()), T.StructField("mpan_mprn", T.StringType()),
     T.StructField("serial", T.StringType()), T.StructField("date", T.DateType()),
     T.StructField("meter_bucket", T.IntegerType()),
 ])
+CONSUMPTION_KEYS = ["kind", "mpan_mprn", "serial", "interval_start", "interval_end"]
 
 
 HEATING_LAKE = T.StructType([
@@ -186,45 +232,64 @@ def prepare_consumption(df: DataFrame, meter: dict | None = None, buckets: int =
     return out
 
 
+def lake_rows(df: DataFrame, schema: T.StructType = CONSUMPTION_LAKE, buckets: int = METER_BUCKETS) -> DataFrame:
+    """Readings prepared for the lake, cast to the types of ``schema``; absent columns are NULL."""
+    p = prepare_consumption(df, buckets=buckets)
+    return p.select(*[(F.col(f.name) if f.name in p.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def write_consumption(df: DataFrame, root: str, order: str | None = "event_id", prefer: str = "order",
                       schema: T.StructType = CONSUMPTION_LAKE,
                       partition_cols: Sequence[str] = tuple(CONSUMPTION_PARTS),
-                      quarantine_root: str | None = None) -> None:
+                      quarantine_root: str | None = None, buckets: int = METER_BUCKETS) -> None:
     """K2 + D2 + K9: de-duplicate on (meter, interval) and merge into the lake.
 
-    ``partition_cols=REFERENCE_CONSUMPTION_PARTS`` writes the per-meter folder layout.
-    Rows whose ``interval_end`` does not parse (no ``date``) are appended to
-    ``quarantine_root`` when given (X12) instead of vanishing."""
+    Declared columns are cast to the lake's types (readings to DECIMAL(18,6)); all other columns are
+    kept.  ``order`` is the arrival order where the batch has that column; without it the smallest row
+    of a duplicate set stays.  ``partition_cols=REFERENCE_CONSUMPTION_PARTS`` writes the per-meter folder
+    layout; ``buckets`` is fixed per lake.  Rows whose ``interval_end`` does not parse (no ``date``) go
+    to ``quarantine_root``, by default the lake's path with ``-quarantine`` (X12); they never vanish."""
     # D2 happens inside the merge: its keep-first over (batch + stored) also resolves
     # duplicates within the batch, so no separate de-dup shuffle is needed.
-    prepared = prepare_consumption(df)
-    p, bad = quarantine(prepared, ["date"])
-    if quarantine_root:
-        bad.write.mode("append").parquet(quarantine_root)
-    merge_partitions(p, root, schema, list(partition_cols), ["kind", "mpan_mprn", "serial", "interval_start", "interval_end"],
-                     order=[order] if order else None, prefer=prefer)
+    spark = df.sparkSession
+    prepared = prepare_consumption(df, buckets=buckets)
+    full = lake_schema(spark, root, schema, prepared)
+    good, bad = quarantine(lake_rows(df, full, buckets), ["date"])
+    if not bad.isEmpty():
+        _append_rejected(quarantine(prepared, ["date"])[1], df, quarantine_root or root.rstrip("/") + "-quarantine")
+    merge_partitions(good, root, full, list(partition_cols), CONSUMPTION_KEYS,
+                     order=[order] if order and order in prepared.columns else None, prefer=prefer)
+
+
+def _append_rejected(bad: DataFrame, source: DataFrame, root: str) -> None:
+    """Rejected rows as one JSON text column: their raw columns may be of any type."""
+    bad.select(F.to_json(F.struct(*[F.col(c) for c in bad.columns if c in source.columns])).alias("row")).write.mode("append").parquet(root)
 
 
-def write_costed(df: DataFrame, root: str) -> None:
-    """K4: costed readings, partitioned like consumption, no de-dup (plain dynamic replace)."""
-    out = df.withColumn("date", F.to_date("interval_end")).withColumn("meter_bucket", meter_bucket())
-    write_partitioned(out, root, CONSUMPTION_PARTS, sort_cols=METER_SORT)
+def write_costed(df: DataFrame, root: str, buckets: int = METER_BUCKETS) -> None:
+    """K4: costed readings, partitioned like consumption, no de-dup; a load replaces the (meter, interval) rows
+    that it has and keeps all others."""
+    out = df.withColumn("date", F.to_date("interval_end")).withColumn("meter_bucket", meter_bucket(buckets))
+    replace_keys(out, root, CONSUMPTION_PARTS, CONSUMPTION_KEYS, sort_cols=METER_SORT)
 
 
-def write_unit_rates(df: DataFrame, root: str) -> None:
-    """K3 + D3: ``energy=/product=/tariff=/date=`` with ``date`` = UTC date of ``valid_from``."""
+def write_unit_rates(df: DataFrame, root: str, order: str | None = None) -> None:
+    """K3 + D3: ``energy=/product=/tariff=/date=`` with ``date`` = UTC date of ``valid_from``.  Conflicting rates of one
+    key resolve by ``order``, else to the smallest row; a load replaces the keys that it has."""
     keys = [c for c in ("valid_from", "valid_to", "tariff_code") if c in df.columns]
-    out = df.dropDuplicates(keys) if keys else df
+    out = keep_first(df, keys, order) if keys else df
     out = out.withColumn("product", F.col("product_code")).withColumn("tariff", F.col("tariff_code")) \
              .withColumn("date", F.to_date("valid_from"))
-    write_partitioned(out, root, RATE_PARTS)
+    replace_keys(out, root, RATE_PARTS, keys or RATE_PARTS)
 
 
 def write_heating(df: DataFrame, root: str) -> None:
-    """K5-K8: demand and temperature rows kept apart by ``record_kind`` (X2), per device/day."""
+    """K5-K8: demand and temperature rows kept apart by ``record_kind`` (X2), per device/day, no de-dup.  A load replaces
+    the (device, kind, sensor, time) rows that it has; other devices and times of the day stay."""
     out = df.withColumn("trv", F.coalesce(*[F.col(c) for c in ("trv_id", "device_id") if c in df.columns])) \
             .withColumn("date", F.to_date("timestamp"))
-    write_partitioned(out, root, HEATING_PARTS, sort_cols=HEATING_SORT)
+    keys = [c for c in ("record_kind", "trv", "sensor_type", "timestamp") if c in out.columns]
+    replace_keys(out, root, HEATING_PARTS, keys, sort_cols=HEATING_SORT)
 
 
 def write_curated(df: DataFrame, root: str, domain: str, date_col: str = "date") -> None:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.codes import first_present, repair_json_keys
+from ..functions.codes import first_present
 
 
 def read_text_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -92,16 +92,21 @@ def homes(me: DataFrame, text_col: str = "value") -> DataFrame:
     return h.select("h.id", "h.name", "h.dateTimeZone", "h.temperatureUnit")
 
 
-def parse_meter_config(df: DataFrame, text_col: str = "value") -> DataFrame:
-    """Meter list JSON, repairing unquoted keys when the strict parse fails.
-
-    ``config_ok`` is false for rows that still do not parse (to be quarantined by callers).
-    """
+def _meter_lists(df: DataFrame, text_col: str) -> DataFrame:
+    """``_m``: the parsed list (NULL if neither parse succeeds); ``repaired``: only the lenient parse did."""
     strict = F.from_json(F.col(text_col), schemas.METER_CONFIG)
-    repaired = F.from_json(repair_json_keys(F.col(text_col)), schemas.METER_CONFIG)
+    lenient = F.from_json(F.col(text_col), schemas.METER_CONFIG, {"allowUnquotedFieldNames": "true"})
+    return df.withColumn("_s", strict).withColumn("_m", F.coalesce("_s", lenient)).withColumn("repaired", F.col("_s").isNull()).drop("_s")
+
+
+def parse_meter_config(df: DataFrame, text_col: str = "value") -> DataFrame:
+    """Meter list JSON; lists with unquoted keys are read by Spark's lenient parser, which leaves
+    text inside strings alone.  Documents that do not parse are in :func:`bad_meter_configs`."""
     keep = [c for c in df.columns if c != text_col]
-    p = df.select(*keep, strict.alias("_s"), repaired.alias("_r"))
-    p = p.select(*keep, F.coalesce("_s", "_r").alias("_m"), F.col("_s").isNull().alias("repaired"))
-    good = p.filter(F.col("_m").isNotNull())
-    return good.select(*keep, "repaired", F.posexplode("_m").alias("entry_pos", "e")) \
-               .select(*keep, "repaired", "entry_pos", "e.*")
+    return _meter_lists(df, text_col).filter(F.col("_m").isNotNull()) \
+        .select(*keep, "repaired", F.posexplode("_m").alias("entry_pos", "e")).select(*keep, "repaired", "entry_pos", "e.*")
+
+
+def bad_meter_configs(df: DataFrame, text_col: str = "value") -> DataFrame:
+    """The documents that no parse reads, as they came, for quarantine."""
+    return _meter_lists(df, text_col).filter(F.col("_m").isNull()).select(*df.columns)

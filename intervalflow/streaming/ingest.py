@@ -1,11 +1,11 @@
 """Structured Streaming ingestion over landed files (ST1, ST5, ST6, ST11, D4), backfills
 (ST9, ST10) and late data (ST8).
 
-A stream reads landed Parquet/JSON files; re-delivered copies of the same record are
-dropped with ``dropDuplicatesWithinWatermark`` on the delivery id (ST5), and each
-micro-batch is handled in ``foreachBatch``: merge into the lake (K9, idempotent, so a
-replayed batch after a failure changes nothing) and only then advance the high-water
-state table (ST1, monotone ST6).  ``trigger(availableNow=True)`` lets any outside
+A stream reads landed Parquet/JSON files.  Each micro-batch is handled in ``foreachBatch``: merge
+into the lake (K9, idempotent on the meter interval, so re-delivered records and a
+batch replayed after a failure change nothing) and only then advance the high-water
+state table (ST1, monotone ST6).  ``run_stream`` can also drop re-delivered records of a source without
+such a key, within a watermark that the caller chooses (ST5).  ``trigger(availableNow=True)`` lets any outside
 scheduler run it at the reference's cadence (ST11).  The checkpoint gives file-level
 exactly-once; the state table gives key-level resume.
 """
@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,16 +29,32 @@ STATE_SCHEMA = T.StructType([T.StructField("source_key", T.StringType()),
                              T.StructField("last_interval", T.TimestampNTZType())])
 
 
+def _state_versions(spark: SparkSession, root: str) -> list[str]:
+    """Complete versions of a state table, oldest first."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = sorted(f.getPath().getName() for f in fs.listStatus(path) if f.getPath().getName().startswith("version="))
+    return [f"{root}/{n}" for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))]
+
+
 def read_state(spark: SparkSession, root: str) -> DataFrame:
-    if lake._path_exists(spark, root):
-        return spark.read.schema(STATE_SCHEMA).parquet(root)
-    return spark.createDataFrame([], STATE_SCHEMA)
+    versions = _state_versions(spark, root)
+    return spark.read.schema(STATE_SCHEMA).parquet(versions[-1]) if versions else spark.createDataFrame([], STATE_SCHEMA)
 
 
 def save_state(spark: SparkSession, state: DataFrame, root: str) -> None:
-    """Replace the state table from a checkpointed copy (never overwrite a path being read)."""
-    checkpoint_root(spark)
-    state.checkpoint(eager=True).write.mode("overwrite").parquet(root)
+    """Write the state as a new version; readers take the latest complete one, so a crash at any
+    time leaves the state before it.  The version before stays, older ones go."""
+    versions = _state_versions(spark, root)
+    last = int(versions[-1].rsplit("=", 1)[1]) if versions else 0
+    state.write.mode("overwrite").parquet(f"{root}/version={last + 1:012d}")
+    jvm = spark.sparkContext._jvm
+    for old in versions[:-1]:
+        path = jvm.org.apache.hadoop.fs.Path(old)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def update_state(spark: SparkSession, rows: DataFrame, root: str, key: Sequence[str] | F.Column,
@@ -75,18 +92,29 @@ def run_stream(spark: SparkSession, source: DataFrame, handle_batch: Callable[[D
 
 def stream_consumption(spark: SparkSession, landing: str, landing_schema: T.StructType,
                        to_readings: Callable[[DataFrame], DataFrame], lake_root: str, state_root: str,
-                       max_files_per_trigger: int = 2, dedup_id: str = "event_id", event_time: str = "ts",
-                       delay: str = "30 minutes", checkpoint: str | None = None) -> None:
-    """L1 as a stream: landed files -> readings -> merge into the lake -> advance state."""
+                       max_files_per_trigger: int = 2, checkpoint: str | None = None, late_root: str | None = None) -> None:
+    """L1 as a stream: landed files -> readings -> merge into the lake -> advance state.
+
+    No reading is dropped for its age: the merge is idempotent on (meter, interval), which also takes care of re-delivered
+    copies.  Readings that ended at or before their key's state at arrival go to ``late_root/epoch=`` as well (ST8), by default
+    the lake's path with ``-late``; an epoch that is replayed replaces its own folder.
+    """
+    from ..functions.codes import state_key
     src = (spark.readStream.schema(landing_schema).option("maxFilesPerTrigger", max_files_per_trigger)
                 .parquet(landing))
+    late_root = late_root or lake_root.rstrip("/") + "-late"
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        readings = to_readings(batch)
-        lake.write_consumption(readings, lake_root)
-        update_state(spark, readings, state_root, ["mpan_mprn", "serial"])
+        readings = to_readings(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            _, late = split_late(readings, read_state(spark, state_root), state_key("mpan_mprn", "serial"))
+            late.write.mode("overwrite").parquet(f"{late_root}/epoch={epoch}")
+            lake.write_consumption(readings, lake_root)
+            update_state(spark, readings, state_root, ["mpan_mprn", "serial"])
+        finally:
+            readings.unpersist()
 
-    run_stream(spark, src, handle, checkpoint, dedup_id, event_time, delay)
+    run_stream(spark, src, handle, checkpoint)
 
 
 def backfill(readings: DataFrame, lake_root: str, start: dt.date, end: dt.date, step_days: int | None = None,
@@ -122,24 +150,57 @@ def split_late(batch: DataFrame, state: DataFrame, key: F.Column, ts_col: str =
 
 
 def scheduled_load(spark: SparkSession, readings: DataFrame, rates: DataFrame, lake_root: str, costed_root: str,
-                   state_root: str, now: dt.datetime, by: Sequence[str] = ("tariff_code",)) -> DataFrame:
-    """L1 + L3 wired as one batch run (X8): safe horizon (P19), merge into the lake (K2/K9),
+                   state_root: str, now: dt.datetime, by: Sequence[str] = ("tariff_code",),
+                   bootstrap_days: int = st.BOOTSTRAP_DAYS) -> DataFrame:
+    """L1 + L3 wired as one batch run (X8): resume from state (ST2/ST3), safe horizon (P19), merge into the lake (K2/K9),
     advance state (ST1/ST6), then cost exactly the touched lake partitions (J1, K4) and return
     the per-meter completeness of the batch (A1).
 
-    Re-running the same batch gives the same lake, state and costed tables.
+    A meter's window starts at its state less the overlap, or ``bootstrap_days`` before ``now``.  Re-running the same
+    batch gives the same lake, state and costed tables.
     """
+    from ..functions.codes import state_key
     from ..functions.timefns import safe_horizon
     from ..operators.quality import missing_intervals
     from ..operators.rates import normalise_readings, rate_join
 
     horizon = safe_horizon(ntz_lit(now))
-    ready = normalise_readings(readings).filter(F.col("interval_end") <= horizon)
+    state = read_state(spark, state_root).select(F.col("source_key").alias("_k"), F.col("last_interval").alias("_last"))
+    ready = (normalise_readings(readings).filter(F.col("interval_end") <= horizon)
+             .withColumn("_k", state_key("mpan_mprn", "serial")).join(state, "_k", "left")
+             .filter(F.col("interval_start") >= st.resume_start("_last", now, bootstrap_days)).drop("_k", "_last")
+             .persist(StorageLevel.MEMORY_AND_DISK))
     lake.write_consumption(ready, lake_root)
     update_state(spark, ready, state_root, ["mpan_mprn", "serial"])
-    batch = lake.prepare_consumption(ready).select(*lake.CONSUMPTION_LAKE.fieldNames())
-    touched = lake.touched_partitions(spark, lake_root, lake.CONSUMPTION_LAKE, batch, lake.CONSUMPTION_PARTS)
+    schema = lake.lake_schema(spark, lake_root, lake.CONSUMPTION_LAKE, lake.prepare_consumption(ready))
+    touched = lake.touched_partitions(spark, lake_root, schema, lake.prepare_consumption(ready).select(*lake.CONSUMPTION_PARTS).distinct(),
+                                      lake.CONSUMPTION_PARTS)
     if touched is not None:
         costed = rate_join(touched.drop("date", "meter_bucket"), rates, by=list(by), how="left")
-        lake.write_costed(costed.checkpoint(eager=True), costed_root)
+        lake.write_costed(costed, costed_root)
     return missing_intervals(ready, ["kind", "mpan_mprn", "serial"])
+
+
+def heating_load(spark: SparkSession, reports: DataFrame, lake_root: str, state_root: str, now: dt.datetime,
+                 lookback_hours: int = 1) -> None:
+    """Heating load as one run: per-device start (ST4), skip of earlier reports, parse, newer than state (F8), write (K5-K8),
+    advance state (A3).
+
+    ``reports(device_id, zone_id, date, value)``.  A device starts at midnight of its last processed day, or ``lookback_hours``
+    before ``now``; of that day's report only records after the state are new.
+    """
+    from ..functions.codes import state_key
+    from ..operators import heating as heat
+
+    key = state_key("device_id", "zone_id")
+    state = read_state(spark, state_root).select(F.col("source_key").alias("_k"), "last_interval")
+    due = (reports.withColumn("_k", key).join(state, "_k", "left")
+           .filter(F.col("date") >= F.to_date(st.heating_resume_start("last_interval", now, lookback_hours))).drop("_k", "last_interval"))
+    records = heat.heating_records(heat.parse_day_reports(due))
+    records = records.withColumn("_k", state_key(F.coalesce("trv_id", "device_id"), "zone_id"))
+    fresh = st.newer_than_state(records, state, ["_k"]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        lake.write_heating(fresh.drop("_k"), lake_root)
+        update_state(spark, fresh, state_root, F.col("_k"), "timestamp")
+    finally:
+        fresh.unpersist()

@@ -64,10 +64,10 @@ def resume_start(state_col: str, now: dt.datetime, bootstrap_days: int = BOOTSTR
         _ts(now - dt.timedelta(days=bootstrap_days)))
 
 
-def heating_resume_start(state_col: str, now: dt.datetime) -> Column:
+def heating_resume_start(state_col: str, now: dt.datetime, lookback_hours: int = 1) -> Column:
     """ST4: midnight (UTC) of the last processed day; no state -> ``now - 1 h``."""
     return F.when(F.col(state_col).isNotNull(), floor_time(state_col, 86_400)).otherwise(
-        _ts(now) - F.expr("INTERVAL 1 HOUR"))
+        _ts(now - dt.timedelta(hours=lookback_hours)))
 
 
 def earliest_resume(starts: DataFrame, col: str = "resume_start") -> DataFrame:

@@ -53,14 +53,15 @@ def test_first_present_skips_empty(spark):
     assert got == ["z", "y", None]
 
 
-def test_repair_json_keys_then_parse(spark):
-    from intervalflow.sources.documents import parse_meter_config
+def test_unquoted_keys_parse(spark):
+    from intervalflow.sources.documents import bad_meter_configs, parse_meter_config
     rows = [(1, '[{kind:"electricity",mpan_or_mprn:"001",serial:"S1"}]'),
             (2, '[{"kind":"gas","mpan_or_mprn":"G2","serial":"S2","tariff_code":"G-1R-X-A"}]'),
-            (3, 'not json at all')]
+            (3, 'not json at all'), (4, '[{kind:"gas",mpan_or_mprn:"a, x:1",serial:"S"}]')]
     out = parse_meter_config(spark.createDataFrame(rows, "id int, value string")).orderBy("id").collect()
     assert [(r.id, r.repaired, r.kind, r.mpan_or_mprn) for r in out] == [(1, True, "electricity", "001"),
-                                                                         (2, False, "gas", "G2")]
+                                                                         (2, False, "gas", "G2"), (4, True, "gas", "a, x:1")]
+    assert [r.id for r in bad_meter_configs(spark.createDataFrame(rows, "id int, value string")).collect()] == [3]
 
 
 def test_state_key(spark):
@@ -89,3 +90,22 @@ def test_normalise_units(spark):
               .withColumn("v", F.col("v").cast("decimal(18,2)"))
     got = [float(r[0]) for r in df.select(codes.normalise_units("v", "kind", {"gas": "11.1"})).collect()]
     assert got == [22.2, 2.0]
+
+
+def test_plain_dates_are_utc_midnights_in_any_zone(spark):
+    from intervalflow.functions.timefns import to_utc
+    df = spark.createDataFrame([("2024-01-15",), ("2024-01-15T10:00:00-05:00",), ("",)], "s string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [str(r[0]) for r in df.select(to_utc("s")).collect()]
+            assert got == ["2024-01-15 00:00:00", "2024-01-15 15:00:00", "None"], zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_missing_intervals_without_an_end_column(spark):
+    from intervalflow.operators.quality import missing_intervals
+    r = missing_intervals(spark.createDataFrame([("m",), ("m",)], "meter string"), ["meter"]).first()
+    assert (r.expected, r.actual, r.missing) == (2, 2, 0)

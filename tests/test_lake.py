@@ -11,7 +11,7 @@ from intervalflow.sinks import lake
 
 def _readings(spark, rows):
     return spark.createDataFrame(rows, "event_id long, interval_end string, consumption double") \
-                .withColumn("consumption", F.col("consumption").cast("decimal(18,2)")) \
+                .withColumn("consumption", F.col("consumption").cast("decimal(18,6)")) \
                 .select("event_id", F.lit("electricity").alias("kind"), F.lit("0000000007").alias("mpan_mprn"),
                         F.lit("S1").alias("serial"), F.lit("T").alias("tariff_code"),
                         "interval_end", "consumption")
@@ -87,7 +87,7 @@ def test_unit_rate_sink_layout(spark):
 
 def test_compaction_preserves_rows(spark):
     root = lake.new_lake_root(spark, "t-compact")
-    c = lake.prepare_consumption(fx.consumption(spark, SF_SMALL)).select(*lake.CONSUMPTION_LAKE.fieldNames())
+    c = lake.lake_rows(fx.consumption(spark, SF_SMALL))
     for i in range(3):
         lake.write_partitioned(c.filter(F.pmod("event_id", F.lit(3)) == i), root, lake.CONSUMPTION_PARTS, mode="append")
     before = lake.read_lake(spark, root, lake.CONSUMPTION_LAKE).count()
@@ -99,7 +99,7 @@ def test_merge_reads_only_touched_partitions(spark):
     root = lake.new_lake_root(spark, "t-dpp")
     raw = fx.consumption_raw(spark, SF_SMALL)
     lake.write_consumption(raw, root)
-    batch = lake.prepare_consumption(raw.filter("event_id % 50 = 0")).select(*lake.CONSUMPTION_LAKE.fieldNames())
+    batch = lake.lake_rows(raw.filter("event_id % 50 = 0"))
     old = lake.touched_partitions(spark, root, lake.CONSUMPTION_LAKE, batch, lake.CONSUMPTION_PARTS)
     plan = old._jdf.queryExecution().executedPlan().toString()
     filters = plan[plan.index("PartitionFilters"):]
@@ -125,3 +125,37 @@ def test_costed_sink_roundtrip(spark):
     back = spark.read.option("basePath", root).parquet(root)
     assert back.count() == costed.count()
     assert {"cost", "unit_rate", "rate_valid_from", "date", "meter_bucket"} <= set(back.columns)
+
+
+def test_empty_input_leaves_an_unpartitioned_table(spark):
+    root = lake.new_lake_root(spark, "t-empty")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    lake.write_partitioned(df, root)
+    lake.write_partitioned(df.limit(0), root)
+    assert spark.read.parquet(root).count() == 2
+
+
+def test_loads_of_other_devices_and_times_only_add(spark):
+    root = lake.new_lake_root(spark, "t-append")
+    schema = "record_kind string, trv_id string, sensor_type string, temperature double, timestamp timestamp_ntz"
+    one = [("temperature", "7", "inside", 1.0, ts("2024-01-01 06:00:00")), ("temperature", "7", "inside", 2.0, ts("2024-01-01 06:00:00"))]
+    other = [("temperature", "8", "inside", 3.0, ts("2024-01-01 06:00:00")), ("temperature", "7", "inside", 4.0, ts("2024-01-01 18:00:00"))]
+    for rows in (one, other, one, [("temperature", "8", "inside", 9.0, ts("2024-01-01 06:00:00"))]):
+        lake.write_heating(spark.createDataFrame(rows, schema), root)
+    back = spark.read.option("basePath", root).parquet(root)
+    assert sorted(r.temperature for r in back.collect()) == [1.0, 2.0, 4.0, 9.0]
+
+
+def test_keep_first_with_null_order(spark):
+    from intervalflow.operators.dedup import keep_first
+    df = spark.createDataFrame([(1, None, "x"), (2, 5, "late"), (2, None, "none"), (2, 3, "first")], "k int, o int, v string")
+    assert sorted((r.k, r.v) for r in keep_first(df, ["k"], "o").collect()) == [(1, "x"), (2, "first")]
+
+
+def test_lake_keeps_other_columns_of_either_load(spark):
+    root = lake.new_lake_root(spark, "t-extra")
+    base = _readings(spark, [(1, "2024-01-01T00:30:00Z", 1.125)])
+    lake.write_consumption(base.withColumn("unit", F.lit("kWh")), root)
+    lake.write_consumption(_readings(spark, [(2, "2024-01-01T01:00:00Z", 2.0)]).withColumn("note", F.lit("n")), root)
+    rows = spark.read.option("mergeSchema", "true").parquet(root).orderBy("interval_end").collect()
+    assert [(float(r.consumption), r.unit, r.note) for r in rows] == [(1.125, "kWh", None), (2.0, None, "n")]

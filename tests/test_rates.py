@@ -179,8 +179,8 @@ def test_asof_plan_over_bound_shuffles_on_tariff_and_day(spark):
 
 
 def test_strategy_choice_follows_rate_shape(spark):
-    two = R._candidate_stats(R.normalise_rates(fx.rates(spark, SF_SMALL)), ["tariff_code"], "valid_from", None)
-    many = R._candidate_stats(R.normalise_rates(fx.rates(spark, SF_SMALL, "many")), ["tariff_code"], "valid_from", None)
+    two = R._candidate_stats(R.normalise_rates(fx.rates(spark, SF_SMALL)), ["tariff_code"], "valid_from")
+    many = R._candidate_stats(R.normalise_rates(fx.rates(spark, SF_SMALL, "many")), ["tariff_code"], "valid_from")
     assert two.strategy() == "bucket" and two.max_per_key > R.KEY_JOIN_MAX_CANDIDATES
     assert many.strategy() == "key" and many.max_per_key <= R.KEY_JOIN_MAX_CANDIDATES
-    assert two.clip is not None and two.bucket_rows >= two.rows
+    assert two.clip is not None and two.row_bytes > 0
