@@ -59,11 +59,11 @@ def gap_slots(df: DataFrame, by: Sequence[str], start_col: str = "interval_start
 
 
 def profile(df: DataFrame, time_cols: Sequence[str] = ("interval_start", "interval_end", "interval"),
-            id_markers: Sequence[str] = ("mpan", "mprn", "serial", "meter"), exact: bool = True) -> DataFrame:
+            id_markers: Sequence[str] = ("mpan", "mprn", "serial", "meter"), exact: bool = False) -> DataFrame:
     """One row: row count, min/max of the time columns present, distinct id counts.
 
-    Identifier columns are those whose name contains a marker.  ``exact=False`` switches to
-    ``approx_count_distinct`` (HyperLogLog) for very large tables.
+    Identifier columns are those whose name contains a marker, counted by HyperLogLog sketches;
+    ``exact=True`` counts distinct values, which expands the rows once for each column.
     """
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for c in time_cols:
@@ -99,9 +99,12 @@ def audit_days(df: DataFrame, by: Sequence[str], kind_col: str = "record_kind",
 
 
 def ingest_latency(df: DataFrame, by: Sequence[str], arrived_col: str = "ingested_at",
-                   end_col: str = "interval_end") -> DataFrame:
-    """Latency minutes from interval end to arrival: count, max and median per group."""
-    lat = (micros_between(end_col, arrived_col) / F.lit(60_000_000)).alias("_lat")
-    return (df.select(*by, lat).groupBy(*by)
-              .agg(F.count(F.lit(1)).alias("n"), F.max("_lat").alias("max_latency_min"),
-                   F.percentile("_lat", 0.5).alias("median_latency_min")))
+                   end_col: str = "interval_end", exact: bool = False) -> DataFrame:
+    """Latency seconds from interval end to arrival: count, max and median per group.
+
+    The median is a bounded sketch (``percentile_approx``); ``exact=True`` keeps all distinct latencies of a group."""
+    us = micros_between(end_col, arrived_col).alias("_us")
+    median = F.percentile("_us", 0.5) if exact else F.percentile_approx("_us", 0.5, 10_000)
+    g = df.select(*by, us).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.max("_us").alias("_max"), median.alias("_median"))
+    second = F.lit(1_000_000.0)
+    return g.select(*by, "n", (F.col("_max") / second).alias("max_latency_s"), (F.col("_median") / second).alias("median_latency_s"))

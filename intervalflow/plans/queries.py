@@ -73,6 +73,21 @@ def consumption_range(spark, sf):
     return r.select(*M, "interval_start", "interval_end", money("consumption").alias("consumption"))
 
 
+@query("consumption_range_meter", with_ctes("cons") + f""",
+one AS (SELECT kind AS k, mpan_mprn AS i, serial AS s FROM cons ORDER BY mpan_mprn, serial LIMIT 1)
+SELECT {MSQL}, interval_start, interval_end, {money_sql('consumption')} AS consumption FROM cons, one
+WHERE kind = k AND mpan_mprn = i AND serial = s
+  AND interval_start >= TIMESTAMP '2024-01-05 00:00:00' AND interval_start < TIMESTAMP '2024-01-08 00:00:00'""")
+def consumption_range_meter(spark, sf):
+    """One meter's range from the lake: date and bucket partitions are pruned."""
+    root = lake.new_lake_root(spark, "range")
+    c = fx.consumption(spark, sf)
+    lake.write_consumption(c, root)
+    one = c.orderBy("mpan_mprn", "serial").select(*M).first()
+    r = scans.consumption_range(lake.read_lake(spark, root, lake.CONSUMPTION_LAKE), *RANGE, meter=tuple(one), buckets=lake.METER_BUCKETS)
+    return r.select(*M, "interval_start", "interval_end", money("consumption").alias("consumption"))
+
+
 BASE_SINCE = dt.datetime(2024, 1, 15)
 
 
@@ -295,7 +310,8 @@ SELECT m2.account, m2.kind, m2.mpan_mprn, m2.serial,
 FROM m2 LEFT JOIN g ON m2.deployment = g.deployment AND m2.kind = g.kind
         LEFT JOIN active a ON m2.account = a.account AND m2.kind = a.kind""")
 def tariff_resolution(spark, sf):
-    acc = docs.read_accounts(fx.accounts_json(spark, sf))
+    # Parsed once; meters and agreements both read the parsed documents.
+    acc = docs.read_accounts(fx.accounts_json(spark, sf)).checkpoint()
     meters = docs.list_meters(acc).join(fx.customer_deployments(spark, sf), "account")
     k = F.col("c_custkey")
     override = F.when(F.pmod(k, F.lit(10)) == 0,
@@ -437,14 +453,12 @@ def heating_newer_than_state(spark, sf):
     u = _unified(spark, sf).select(F.coalesce("trv_id", "device_id").alias("device_id"), "timestamp")
     state = fx.heating_state(spark, sf).select("device_id", "last_interval")
     fresh = st.newer_than_state(u, state, ["device_id"])
-    marks = fresh.groupBy("device_id").agg(F.count(F.lit(1)).alias("n_new"), F.max("timestamp").alias("last_interval"))
-    new_state = st.advance_state(state, marks.select("device_id", "last_interval"), ["device_id"])
-    out = (state.withColumnRenamed("last_interval", "last_before")
-           .join(marks.select("device_id", "n_new"), "device_id", "full_outer")
-           .join(new_state.withColumnRenamed("last_interval", "last_after"), "device_id", "left"))
+    marks = fresh.groupBy("device_id").agg(F.count(F.lit(1)).alias("n_new"), F.max("timestamp").alias("_max"))
+    # The new state is the old one, advanced (ST6): one join gives the counts and both states.
+    out = state.withColumnRenamed("last_interval", "last_before").join(marks, "device_id", "full_outer")
     from ..functions.codes import state_key
     return out.select(state_key("device_id", "device_id").alias("source_key"), "last_before",
-                      F.coalesce("n_new", F.lit(0).cast("long")).alias("n_new"), "last_after")
+                      F.coalesce("n_new", F.lit(0).cast("long")).alias("n_new"), F.greatest("last_before", "_max").alias("last_after"))
 
 
 @query("late_heating_dropped", f"""WITH {_EV_SQL}, {_DEMAND_SQL}, {_TEMPS_SQL}, {_UNIFIED_SQL}, {_HSTATE_SQL},
@@ -679,7 +693,7 @@ SELECT count(*) AS n_rows, min(interval_start) AS min_interval_start, max(interv
        count(DISTINCT mpan_mprn) AS distinct_mpan_mprn, count(DISTINCT serial) AS distinct_serial FROM cons""")
 def profile(spark, sf):
     c = fx.consumption(spark, sf).select(*M, "interval_start", "interval_end", "consumption")
-    return quality.profile(c)
+    return quality.profile(c, exact=True)
 
 
 @query("dedup_keep_first", """
@@ -711,13 +725,11 @@ SELECT kind, mpan_mprn, serial, count(*) AS n, max(us) / 1000000.0 AS max_latenc
        quantile_cont(us, 0.5) / 1000000.0 AS median_latency_s
 FROM lat GROUP BY ALL""")
 def ingest_latency(spark, sf):
-    from ..functions.timefns import micros_between
-    ev = fx.table(spark, sf, "events").select("event_id", fx.arrival_time(F.col("event_id"), F.col("ts")).alias("ingested_at"))
-    c = fx.consumption_raw(spark, sf).join(ev, "event_id")
-    lat = c.select(*M, micros_between("interval_end", "ingested_at").alias("us"))
-    g = lat.groupBy(*M).agg(F.count(F.lit(1)).alias("n"), F.max("us").alias("mx"), F.percentile("us", 0.5).alias("md"))
-    return g.select(*M, "n", (F.col("mx") / F.lit(1_000_000.0)).alias("max_latency_s"),
-                    (F.col("md") / F.lit(1_000_000.0)).alias("median_latency_s"))
+    from ..functions.timefns import floor_time, plus_micros
+    ev = fx.table(spark, sf, "events")
+    c = ev.select(*fx.meter_columns(F.col("user_id")), plus_micros(floor_time("ts", 1800), fx.HALF_HOUR_US).alias("interval_end"),
+                  fx.arrival_time(F.col("event_id"), F.col("ts")).alias("ingested_at"))
+    return quality.ingest_latency(c, M, exact=True)
 
 
 # Daily standing charge per kind (a small configuration table).

@@ -18,6 +18,7 @@ from ..functions.timefns import ntz_lit
 
 HALF_HOUR = dt.timedelta(minutes=30)
 BASELINE = dt.datetime(2015, 1, 1)
+METER = ("kind", "mpan_mprn", "serial")
 
 
 def _ts(v) -> F.Column:
@@ -26,13 +27,23 @@ def _ts(v) -> F.Column:
 
 def consumption_range(df: DataFrame, start: dt.datetime, end: dt.datetime,
                       ts_col: str = "interval_start", date_col: str = "date",
-                      step: dt.timedelta = HALF_HOUR, ordered: bool = True) -> DataFrame:
-    """Rows with ``start <= ts < end`` (half-open), ascending by time."""
+                      step: dt.timedelta = HALF_HOUR, ordered: bool = True,
+                      meter: tuple[str, str, str] | None = None, buckets: int | None = None) -> DataFrame:
+    """Rows with ``start <= ts < end`` (half-open), ascending by time, then meter.
+
+    ``meter`` is (kind, id, serial).  On a lake with ``meter_bucket`` and ``buckets`` the meter's bucket is a constant, so
+    only its partitions are read."""
     cond = (F.col(ts_col) >= _ts(start)) & (F.col(ts_col) < _ts(end))
     if date_col in df.columns:
         cond = cond & F.col(date_col).between(F.lit((start + step).date()), F.lit((end + step).date()))
+    keys = [c for c in METER if c in df.columns]
+    if meter:
+        for c, v in zip(METER, meter):
+            cond = cond & (F.col(c) == v)
+        if buckets and "meter_bucket" in df.columns:
+            cond = cond & (F.col("meter_bucket") == F.pmod(F.xxhash64(*map(F.lit, meter)), F.lit(buckets)).cast("int"))
     out = df.filter(cond)
-    return out.orderBy(ts_col) if ordered else out
+    return out.orderBy(ts_col, *keys) if ordered else out
 
 
 def extremes(df: DataFrame, by: Sequence[str], ts_col: str = "interval_start",
