@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
+from .groups import whole_groups
 from .storage import stage
 
 #: Several independent structures even out the luck of one random code: 0.998 of random pairs at cosine 0.93 share a filter.
 STRUCTURES, BLOCKS, CODES, HEIGHT, SEED = 8, 2, 32, 2.7, 17
 #: Rows of a tile; filters of up to FEW rows are compared many at a time.
-TILE, FEW, CHUNK = 2048, 64, 20_000
+TILE, FEW = 2048, 64
 
 
 def codebooks(dim: int, blocks: int = BLOCKS, codes: int = CODES, seed: int = SEED) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -177,25 +178,12 @@ def _compare(rows: pa.Table, threshold: float) -> pa.RecordBatch:
 
 
 def _meet(met: DataFrame, threshold: float) -> DataFrame:
-    """Compare the rows of every (label, dim, filter, tile pair); a task streams its sorted groups in chunks."""
+    """Compare the rows of every (label, dim, filter, tile pair); a task streams its sorted groups."""
     order = ["label", "dim", "filter", "ti", "tj", "tile", "key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) < CHUNK:
-                continue
-            t = pa.Table.from_batches(held).combine_chunks()
-            last, cut = [t.column(c)[t.num_rows - 1].as_py() for c in order[:5]], t.num_rows
-            ids = [t.column(c).chunk(0) for c in order[:5]]
-            while cut and all(c[cut - 1].as_py() == x for c, x in zip(ids, last)):
-                cut -= 1
-            if cut:
-                yield _compare(t.slice(0, cut), threshold)
-            held = t.slice(cut).to_batches()
-        if held and sum(b.num_rows for b in held):
-            yield _compare(pa.Table.from_batches(held), threshold)
+        for rows in whole_groups(batches, order[:5]):
+            yield _compare(rows, threshold)
 
     return met.repartition(*order[:5]).sortWithinPartitions(*order).mapInArrow(run, "a long, b long, n long")
 
