@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.timefns import interval_minutes, to_utc, ntz_lit
-from .dedup import union_tagged
 
 
 CORRUPT = "_corrupt_record"
@@ -148,12 +147,6 @@ def heating_records(parsed: DataFrame, device_col: str = "device_id", zone_col:
     return out.withColumn("date", F.to_date("timestamp"))
 
 
-def heating_unified(demand: DataFrame, temps: DataFrame) -> DataFrame:
-    """U1 + K8 shape: one table tagged ``record_kind``, ``date`` from the UTC time stamp."""
-    u = union_tagged([("demand", demand), ("temperature", temps)])
-    return u.withColumn("date", F.to_date("timestamp"))
-
-
 def in_period(df: DataFrame, start: dt.datetime, end: dt.datetime, ts_col: str = "timestamp") -> DataFrame:
     """``start <= ts <= end`` (both inclusive)."""
     lo, hi = ntz_lit(start), ntz_lit(end)

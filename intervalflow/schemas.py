@@ -1,4 +1,4 @@
-"""Explicit schemas of the domain entities.
+"""Explicit schemas of the landed documents (E5-E7, E11, E12); the tables' schemas are with their sinks.
 
 Timestamps are TIMESTAMP_NTZ holding UTC wall-clock time, so results never depend
 on the session time zone.  Landed JSON keeps time stamps as STRING until they are
@@ -9,26 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-S, D, L, I, B = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType(), T.BooleanType()
-TS = T.TimestampNTZType()
+S, D, L = T.StringType(), T.DoubleType(), T.LongType()
 
 
 def _st(*fields):
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-# E1 meter dimension
-METER = _st(("kind", S), ("mpan_mprn", S), ("serial", S), ("tariff_code", S), ("product_code", S))
-
-# E2 consumption interval (fact)
-CONSUMPTION = _st(("interval_start", TS), ("interval_end", TS), ("consumption", T.DecimalType(18, 6)),
-                  ("kind", S), ("mpan_mprn", S), ("serial", S))
-
-# E3 unit rate (validity interval)
-UNIT_RATE = _st(("valid_from", TS), ("valid_to", TS), ("value_inc_vat", T.DecimalType(18, 6)),
-                ("value_ex_vat", T.DecimalType(18, 6)), ("product_code", S), ("tariff_code", S),
-                ("energy", S))
-
 # E5 account document
 _AGREEMENT = _st(("tariff_code", S), ("tariff", S), ("valid_from", S), ("valid_to", S))
 _METER_REF = _st(("serial_number", S), ("serial", S))
@@ -58,20 +45,11 @@ DAY_REPORT = _st(
     ("settings", _st(("dataIntervals", T.ArrayType(_SETTING)))),
 )
 
-# E8 demand event, E9 temperature record
-DEMAND_EVENT = _st(("trv_id", S), ("zone_id", S), ("requested", B), ("heat_demand", S),
-                   ("timestamp", TS), ("duration_minutes", I))
-TEMPERATURE = _st(("device_id", S), ("zone_id", S), ("temperature", D), ("timestamp", TS),
-                  ("sensor_type", S), ("humidity", D))
-
 # E11 zones -> devices, E12 homes
 ZONE = _st(("id", L), ("name", S), ("type", S))
 ZONES = T.ArrayType(ZONE)
 HOME = _st(("id", L), ("name", S), ("dateTimeZone", S), ("temperatureUnit", S))
 ME = _st(("homes", T.ArrayType(HOME)))
 
-# E13 high-water state table
-STATE = _st(("source_key", S), ("last_interval", TS))
-
 # Meter configuration entry
 METER_CONFIG = T.ArrayType(_st(("kind", S), ("mpan_or_mprn", S), ("serial", S), ("tariff_code", S)))
