@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import hmac
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa

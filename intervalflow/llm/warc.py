@@ -20,7 +20,6 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
