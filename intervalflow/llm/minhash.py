@@ -26,10 +26,12 @@ from pyspark.sql import functions as F
 
 from . import textops as tx
 from .graph import components
+from .groups import whole_groups
 from .storage import drop, stage
 
 BANDS, ROWS = 24, 5
-HUB_ROUNDS = 3
+#: Bands whose buckets are compared first; members of a bucket that is compared pair by pair; rows of a tile of a larger one.
+FIRST_BANDS, FEW, TILE = 2, 8, 256
 _MASK = tx.U((1 << 56) - 1)
 
 
@@ -127,11 +129,80 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return pd.Series(out, dtype=bool)
 
     check = F.pandas_udf(linked, "boolean")
-    with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
+    with_b = pairs.distinct().join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
     with_ab = with_b.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
     return with_ab.where(check("set_a", "set_b")).select("a", "b")
 
 
+def _with_component(buckets: DataFrame, comp: DataFrame) -> DataFrame:
+    return (buckets.join(comp.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left")
+            .withColumn("c", F.coalesce("c", "id")))
+
+
+def _apart(rows: DataFrame) -> DataFrame:
+    """Members of other components than their bucket's hub ``a``."""
+    hubs = rows.groupBy("band").agg(F.min("id").alias("a"), F.min_by("c", "id").alias("ca"), F.min("c").alias("lo"),
+                                    F.max("c").alias("hi")).where("lo < hi").select("band", "a", "ca")
+    return rows.join(stage(hubs, "hubs"), "band").where("c <> ca")
+
+
+def _edges(comp: DataFrame) -> DataFrame:
+    return comp.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+
+
+def _tiles(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between members of different components in the buckets of ``rows(band, id, c, n)``.
+
+    A bucket is cut into tiles; a member goes to every pair of tiles that holds its own.  A task counts the shared shingles of all
+    pairs of a tile pair by matrix products and emits the pairs that are linked."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ["band", "ti", "tj"]):
+            ids = np.stack([t.column(c).to_numpy() for c in ("band", "ti", "tj")])
+            cuts = np.concatenate([[0], np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1, [t.num_rows]])
+            key, comp, tile = (t.column(c).to_numpy() for c in ("id", "c", "tile"))
+            raw = t.column("set").to_pylist()
+            out = [np.zeros((0, 2), np.int64)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                own = [np.frombuffer(x, tx.U) for x in raw[lo:hi]]
+                size = np.array([len(x) for x in own])
+                shared = _overlaps(own)
+                k, c, part = key[lo:hi], comp[lo:hi], tile[lo:hi]
+                hit = 100 * shared >= percent * (size[:, None] + size[None, :] - shared)
+                hit &= (c[:, None] != c[None, :]) & (k[:, None] < k[None, :])
+                if ids[1, lo] != ids[2, lo]:
+                    hit &= part[:, None] != part[None, :]
+                x, y = np.nonzero(hit)
+                out.append(np.stack([k[x], k[y]], axis=1))
+            links = np.unique(np.concatenate(out), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["a", "b"])
+
+    tiled = (rows.withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
+             .withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+             .withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
+             .withColumn("ti", F.least("tile", "other")).withColumn("tj", F.greatest("tile", "other"))
+             .join(sets, "id").select("band", "ti", "tj", "tile", "id", "c", "set"))
+    return (tiled.repartition("band", "ti", "tj").sortWithinPartitions("band", "ti", "tj").mapInArrow(run, "a long, b long")
+            .distinct())
+
+
+def _overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """How many shingles each pair of sets shares.  Shingles of one set alone count only on the diagonal, which nobody reads."""
+    flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    distinct, col, n = np.unique(flat, return_inverse=True, return_counts=True)
+    place = np.cumsum(n > 1) - 1
+    use = n[col] > 1
+    row, col = row[use], place[col[use]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    total = np.zeros((len(sets), len(sets)), np.float64)
+    for at in range(0, int(col[-1]) + 1 if len(col) else 0, columns):
+        a, b = np.searchsorted(col, [at, at + columns])
+        m = np.zeros((len(sets), columns), np.float32)
+        m[row[a:b], col[a:b] - at] = 1
+        total += m @ m.T
+    return total.astype(np.int64)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` for every row of ``docs``.
@@ -141,50 +212,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows with a null id, which have a null component.  Rows that repeat an id share its component; where their texts
     differ, the smallest text is the one that is compared.  Other columns of ``docs`` are ignored.
 
-    Links inside a bucket are found by hubs: the smallest document of a bucket is compared with the members of
-    other components, then taken out of the bucket for good, since each member has now either been tested against
-    it or is in its component.  After ``HUB_ROUNDS`` such rounds, the buckets that still hold several components (small ones, in
-    practice) compare their remaining members across components.  No candidate is dropped, and a group of n near copies costs
-    about n comparisons a bucket.
+    A bucket never emits all its pairs.  Its hub is its smallest document.  First the hubs of a few bands meet their members; then
+    the hub of every bucket meets one member of every other component in it.  By then a large group of copies is one component.
+    Every bucket that still holds several components is then compared in full: up to ``FEW`` members pair by pair, more of them in tiles
+    inside tasks, which emit links only.  So no candidate is dropped, and the links found are those of all pairs that share a bucket.
     """
     spark = docs.sparkSession
     sig = stage(signatures(docs, id_col, text_col, k, bands, rows), "signatures")
     classes = stage(sig.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(
         F.min(F.struct("id", "bands")).alias("m"), F.count(F.lit(1)).alias("n")).select("digest", "m.id", "m.bands", "n"), "classes")
-    copies = classes.where("n > 1").select(F.col("digest"), F.col("id").alias("a"))
-    links = (sig.where("digest IS NOT NULL").join(copies, "digest").where("id <> a").select("a", F.col("id").alias("b")))
-    members = classes.select("id", F.explode("bands").alias("band"))
+    copies = stage(classes.where("n > 1").select("digest", F.col("id").alias("a")), "copies")
+    links = sig.where("digest IS NOT NULL").join(copies, "digest").where("id <> a").select("a", F.col("id").alias("b"))
+    members = classes.select("id", F.posexplode("bands").alias("i", "band"))
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     shared = stage(shared, "shared")
     buckets = stage(members.join(shared, "band"), "buckets")
     sets = stage(_sets_of(docs, id_col, text_col, buckets.select("id").distinct(), k), "sets")
 
-    found = stage(links, "links")
-    comp = None
-    live = buckets.withColumn("c", F.col("id"))
-    for turn in range(HUB_ROUNDS + 1):
-        if turn:
-            live = live.drop("c").join(comp.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left") \
-                .withColumn("c", F.coalesce("c", "id"))
-        hubs = live.groupBy("band").agg(F.min("id").alias("a"), F.min_by("c", "id").alias("ca"), F.min("c").alias("lo"),
-                                        F.max("c").alias("hi")).where("lo < hi").select("band", "a", "ca")
-        live = stage(live.join(stage(hubs, "hubs"), "band"), "live")
-        if live.isEmpty():
-            break
-        if turn < HUB_ROUNDS:
-            pairs = live.where("c <> ca").select("a", F.col("id").alias("b")).distinct()
-            live = live.where("id <> a").select("band", "id", "c")
-        else:
-            left, right = live.select("band", F.col("id").alias("a"), F.col("c").alias("c1")), \
-                live.select("band", F.col("id").alias("b"), F.col("c").alias("c2"))
-            pairs = left.join(right, "band").where("a < b AND c1 <> c2").select("a", "b").distinct()
-        more = stage(_confirm(pairs, sets, percent), "links")
-        if turn and more.isEmpty():
-            continue
-        found = found.unionByName(more)
-        comp = components(found)
-    if comp is None:
-        comp = components(found)
+    first = buckets.where(F.col("i") < FIRST_BANDS).withColumn("c", F.col("id"))
+    comp = components(stage(_confirm(_apart(first).select("a", F.col("id").alias("b")), sets, percent), "links"))
+    least = _apart(_with_component(buckets, comp)).groupBy("band", "c", "a").agg(F.min("id").alias("b"))
+    comp = components(_edges(comp).unionByName(stage(_confirm(least.select("a", "b"), sets, percent), "links")))
+
+    mixed = _with_component(buckets, comp)
+    several = mixed.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+    mixed = stage(mixed.join(stage(several.select("band", "n"), "several"), "band"), "mixed")
+    few = mixed.where(F.col("n") <= FEW)
+    pairs = (few.select("band", F.col("id").alias("a"), F.col("c").alias("c1")).join(
+        few.select("band", F.col("id").alias("b"), F.col("c").alias("c2")), "band").where("a < b AND c1 <> c2").select("a", "b"))
+    rest = stage(_confirm(pairs, sets, percent), "links").unionByName(stage(_tiles(mixed.where(F.col("n") > FEW), sets, percent), "links"))
+    comp = components(_edges(comp).unionByName(rest).unionByName(links))
     drop(spark, buckets, sets)
     return (sig.select("id", "n_shingles").join(comp.withColumnRenamed("node", "id"), "id", "left")
             .select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
