@@ -12,7 +12,6 @@ import pyarrow as pa
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15)                    # odd, so it has an inverse modulo 2**64
 _INV = U(pow(int(_BASE), -1, 1 << 64))
-_BLOCK = 1 << 16
 SLICE_BYTES = 2 << 20
 
 
@@ -34,27 +33,24 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 class Hasher:
-    """Holds the tables of powers of one task."""
+    """Holds the tables of powers of one task, as long as the longest text or slice it has seen."""
 
     def __init__(self) -> None:
-        self.pw, self.inv = powers(_BASE, _BLOCK), powers(_INV, _BLOCK)
-
-    def _at(self, table: np.ndarray, base: np.uint64, pos: np.ndarray) -> np.ndarray:
-        high = pos // _BLOCK
-        if not len(high) or not high.max():
-            return table[pos]
-        step = U(pow(int(base), _BLOCK, 1 << 64))
-        return table[pos % _BLOCK] * powers(step, int(high.max()) + 1)[high]
+        self.pw = self.inv = np.zeros(0, U)
 
     def segments(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hash of every byte range ``data[start:end]``; a whole range counts, however long."""
         if not len(starts):
             return np.zeros(0, U)
-        terms = data.astype(U) + U(1)
-        terms *= self._at(self.pw, _BASE, np.arange(len(data)))
+        if len(data) > len(self.pw):
+            n = max(len(data), SLICE_BYTES * 5 // 4)
+            self.pw, self.inv = powers(_BASE, n), powers(_INV, n)
         total = np.zeros(len(data) + 1, U)
-        np.cumsum(terms, out=total[1:])
-        h = (total[ends] - total[starts]) * self._at(self.inv, _INV, starts)
+        terms = total[1:]
+        np.add(data, U(1), out=terms)
+        terms *= self.pw[:len(data)]
+        np.cumsum(terms, out=terms)
+        h = (total[ends] - total[starts]) * self.inv[starts]
         return mix(h ^ mix((ends - starts).astype(U)))
 
 
@@ -73,8 +69,8 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
 
 
 def raw(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string column and the bounds of its rows; null is empty."""
-    col = col.fill_null("") if col.null_count else col
+    """Bytes of a string or binary column and the bounds of its rows; null is empty."""
+    col = col.fill_null("" if pa.types.is_string(col.type) else b"") if col.null_count else col
     kind = np.int64 if pa.types.is_large_string(col.type) else np.int32
     bounds = np.frombuffer(col.buffers()[1], dtype=kind, count=len(col) + 1 + col.offset)[col.offset:].astype(np.int64)
     buf = col.buffers()[2]

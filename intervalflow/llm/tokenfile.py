@@ -10,6 +10,7 @@ Spark writes and commits the files, so a lost executor costs its tasks alone and
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -21,69 +22,104 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textops as tx
+from . import wordmap
+from .storage import stage
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-#: Text bytes of one written part; words that a task has encoded are remembered up to MEMO.
-PART_BYTES, MEMO = 64 << 20, 1_000_000
+#: Text bytes of one written part.
+PART_BYTES = 64 << 20
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2000
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 
 
-class WordEncoder:
-    """Encodes texts with a tokenizer whose words never span ASCII white space, word by word with a memory.
-
-    The vocabulary file's pre-tokenizer drops white space and its merges stay inside a word, so the ids of a text are those of its words
-    in order.  Words are split at ASCII white space only; whatever else the tokenizer splits at stays inside them.
-    """
-
-    def __init__(self, path: str) -> None:
+#: 1 for ASCII letters, 2 for ASCII punctuation at which the pre-tokenizer always splits.  The apostrophe (contractions) and
+#: the characters of the special tokens are neither.
+_KIND = np.array([1 if chr(c).isalpha() and c < 128 else 2 if 33 <= c < 127 and not chr(c).isalnum() and chr(c) not in "'<|>" else 0
+                  for c in range(256)], np.uint8)
+
+
+def word_cut(texts: list[bytes]) -> wordmap.Cut:
+    """Words at ASCII white space, cut between ASCII letters and punctuation; words of ASCII alone are lower-cased, as the vocabulary's
+    normalizer does.  Words with ``<`` or ``|``, which may hold a special token, stay as they are."""
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    starts, ends, first = tx.word_bounds(data, bounds)
+    odd = np.concatenate([[0], np.cumsum((data >= 128) | (data == 60) | (data == 124))])
+    plain = odd[ends] == odd[starts]
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[starts[plain]] += 1
+    inside[ends[plain]] -= 1
+    inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
+    data = np.where(inside & (data >= 65) & (data <= 90), data | 32, data).astype(np.uint8)
+    kind = _KIND[data]
+    turn = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0) & inside[1:] & inside[:-1]) + 1
+    starts, ends = np.sort(np.concatenate([starts, turn])), np.sort(np.concatenate([ends, turn]))
+    return data, starts, ends, np.searchsorted(starts, bounds)
+
+
+def encode_words(words: DataFrame, tokenizer: str) -> DataFrame:
+    """``(chunk, n, ids)`` of ``(chunk, n)``.  Many words go through the tokenizer as one text, between special tokens."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.memo = Tokenizer.from_file(path), {}
-
-    def encode(self, text: bytes) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        words = text.split()
-        memo = self.memo
-        new = list(set(words).difference(memo))
-        if new:
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = list(set(words))
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            memo.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in coded)))
-        return b"".join(map(memo.__getitem__, words))
+        coder = Tokenizer.from_file(tokenizer)
+        mark = next((t for t in coder.get_added_tokens_decoder().values() if t.special), None)
+        mark_id = coder.token_to_id(mark.content) if mark else None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                todo = part.column(0).to_pylist()
+                joined = mark is not None and not any("<" in w or "|" in w for w in todo)
+                if joined:
+                    ids = np.array(coder.encode_batch_fast([mark.content.join(todo)], add_special_tokens=False)[0].ids, np.int32)
+                    gap = ids == mark_id
+                    joined = gap.sum() == len(todo) - 1
+                if joined:
+                    to = np.concatenate([[0], np.cumsum(~gap)])[np.concatenate([[0], np.flatnonzero(gap), [len(ids)]])]
+                    lists = pa.ListArray.from_arrays(pa.array(to.astype(np.int32)), pa.array(ids[~gap]))
+                else:
+                    lists = pa.array([e.ids for e in coder.encode_batch_fast(todo, add_special_tokens=False)], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], ["chunk", "n", "ids"])
+
+    return words.mapInArrow(run, "chunk string, n long, ids array<int>")
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text",
-                 end_id: int = END_ID, delta: bool = False) -> None:
+                 end_id: int = END_ID, delta: bool = False, dictionary_words: int = wordmap.DICTIONARY_WORDS) -> None:
     """Encode every row and write the folder ``path``.  A null text is empty and has the end id alone; null ids come first; rows that
-    repeat an id stand in the order of their text's hash.  An empty table writes an empty folder."""
+    repeat an id stand in the order of their text's hash.  An empty table writes an empty folder.
+
+    The vocabulary file's pre-tokenizer drops white space and its merges stay inside a word, so the ids of a text are those of its words
+    in order; each distinct word is encoded once (``wordmap``).  Words are cut only where that tokenizer cuts (``word_cut``)."""
+    from tokenizers import Tokenizer
     tokenizer = tokenizer or public_tokenizers.path(VOCABULARY)
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    words = stage(encode_words(wordmap.count(src, "text", word_cut), tokenizer), "words")
+    wide = Tokenizer.from_file(tokenizer).get_vocab_size() > 1 << 16
+    coded = wordmap.encode(src, "text", "packed", words, word_cut, wide, dictionary_words, packed=True)
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(-(-size // PART_BYTES), min(src.sparkSession.sparkContext.defaultParallelism, size // (1 << 20)), 1)
-    tie = F.xxhash64("text")
-    end = np.array([end_id], "<u4").tobytes()
+    kind = np.dtype("<u4" if wide else "<u2")
+    end = np.array([end_id], kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, at = WordEncoder(tokenizer), TaskContext.get().partitionId(), 0
+        part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for piece in tx.slices(batch, "text"):
-                data, bounds = tx.raw(piece.column(1))
-                data = data.tobytes()
-                ids = [encoder.encode(data[a:b]) + end for a, b in zip(bounds, bounds[1:])]
-                n = np.array([len(x) // 4 for x in ids])
+            for piece in tx.slices(batch, "packed"):
+                ids = [x + end for x in piece.column(1).to_pylist()]
+                n = np.array([len(x) // kind.itemsize for x in ids])
                 to = np.concatenate([[0], np.cumsum(n)])
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+                values = pa.array(np.frombuffer(b"".join(ids), kind).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array(np.full(len(n), part, np.int32)), pa.array(at + to[:-1]), pa.array(n),
                      pa.ListArray.from_arrays(pa.array(to.astype(np.int32)), values)],
                     ["doc_id", "part", "part_start", "n_tokens", "ids"])
                 at += int(to[-1])
 
-    writer = (src.repartitionByRange(int(parts), F.col("doc_id").asc_nulls_first(), tie)
-              .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie).mapInArrow(run, SCHEMA).write
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
+    writer = (coded.select("doc_id", "packed", F.xxhash64("text").alias("tie")).repartitionByRange(int(parts), *order)
+              .sortWithinPartitions(*order).select("doc_id", "packed").mapInArrow(run, SCHEMA).write
               .option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES)
               .option("parquet.page.size", PAGE_BYTES).option("parquet.page.row.count.limit", PAGE_ROWS))
     if delta:

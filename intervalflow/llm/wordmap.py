@@ -2,7 +2,7 @@
 
 The words (or other pieces) that a ``cut`` function finds in the texts are counted, each distinct one is encoded once by the caller, and the
 codes go back to the texts in their order.  The way back is a dictionary of the most frequent words, at most ``limit`` of them, sorted by a 64-bit
-hash: (hash, place, ids) in flat arrays, broadcast, about 22 bytes a word.  Words beyond it are resolved exactly by a join; only
+hash: (hash, place, ids) and an index of leading bits in flat arrays, broadcast, about 30 bytes a word.  Words beyond it are resolved exactly by a join; only
 texts that hold such a word are shuffled for that.
 """
 
@@ -19,13 +19,15 @@ from pyspark.sql import functions as F
 from . import textops as tx
 from .storage import stage
 
-#: The dictionary's bound: about 130 MB.
-DICTIONARY_WORDS = 6_000_000
-#: Distinct words that a counting task holds.
-COUNTER_WORDS = 500_000
+#: The dictionary's bound: about 150 MB.
+DICTIONARY_WORDS = 5_000_000
+#: Text that a counting task holds.
+COUNT_BYTES = 24 << 20
 #: Counts from here on are told apart no more when the dictionary's least count is chosen, so a bounded table comes to the driver.
 LEVELS = 100_000
 
+#: A function of Arrow batches and the columns that it adds, as DDL.
+Then = tuple[Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], str]
 #: Bytes of all texts, starts and ends of their words, and the index of the first word of every text (one more for the end).
 Cut = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
@@ -35,25 +37,32 @@ def text_bytes(col: pa.Array) -> list[bytes]:
 
 
 def count(docs: DataFrame, text_col: str, cut: Callable[[list[bytes]], Cut]) -> DataFrame:
-    """``(chunk, n)``: the distinct words of all texts.  Tasks count first, in memory for a bounded number of words."""
-    def flush(seen: dict[bytes, int]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64())],
-                                          ["chunk", "n"])
+    """``(chunk, n)``: the distinct words of all texts.  Tasks count first, in blocks of ``COUNT_BYTES`` of text."""
+    def distinct(held: list[tuple]) -> pa.RecordBatch:
+        """Words are told apart by hash; each one's bytes are copied once."""
+        sizes = np.cumsum([0] + [len(d) for d, *_ in held])
+        data = np.concatenate([d for d, *_ in held])
+        hashes, counts, starts, ends = (np.concatenate(x) for x in zip(*(
+            (h, n, s + at, e + at) for (_, h, n, s, e), at in zip(held, sizes))))
+        _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        size = (ends - starts)[first]
+        to = np.concatenate([[0], np.cumsum(size)])
+        flat = data[np.arange(to[-1]) - np.repeat(to[:-1] - starts[first], size)]
+        words = pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(to.astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())])
+        return pa.RecordBatch.from_arrays([words, pa.array(np.bincount(back, counts, len(first)).astype(np.int64))], ["chunk", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = tx.Hasher(), {}
+        hasher, held = tx.Hasher(), []
         for batch in batches:
             for part in tx.slices(batch, "text"):
                 data, starts, ends, _ = cut(text_bytes(part.column(0)))
-                _, at, n = np.unique(hasher.segments(data, starts, ends), return_index=True, return_counts=True)
-                raw = data.tobytes()
-                for a, b, k in zip(starts[at].tolist(), ends[at].tolist(), n.tolist()):
-                    chunk = raw[a:b]
-                    seen[chunk] = seen.get(chunk, 0) + k
-                if len(seen) > COUNTER_WORDS:
-                    yield flush(seen)
-                    seen = {}
-        yield flush(seen)
+                hashes, at, n = np.unique(hasher.segments(data, starts, ends), return_index=True, return_counts=True)
+                held.append((data, hashes, n, starts[at], ends[at]))
+                if sum(len(d) for d, *_ in held) > COUNT_BYTES:
+                    yield distinct(held)
+                    held = []
+        if held:
+            yield distinct(held)
 
     return (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "chunk string, n long")
             .groupBy("chunk").agg(F.sum("n").alias("n")))
@@ -82,19 +91,45 @@ def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray
     got = words.where(F.col("n") >= least).select("chunk", "ids").mapInArrow(run, "hash long, ids binary").toArrow()
     hashes = got.column("hash").to_numpy().view(tx.U)
     order = np.argsort(hashes)
-    ids = got.column("ids").take(pa.array(order)).combine_chunks()
-    size = np.concatenate([pa.compute.binary_length(c).to_numpy() for c in (ids.chunks if isinstance(ids, pa.ChunkedArray) else [ids])] or [np.zeros(0)])
-    flat = np.frombuffer(b"".join(ids.to_pylist()), kind)
-    return hashes[order], np.concatenate([[0], np.cumsum(size // kind.itemsize)]).astype(np.int32), flat, sum(k for _, k in per) - held
+    hashes = hashes[order]
+    ids = pa.concat_arrays(got.column("ids").chunks) if got.num_rows else pa.array([], pa.binary())
+    del got
+    ids = ids.take(pa.array(order))
+    data, bounds = tx.raw(ids)
+    return hashes, (bounds // kind.itemsize).astype(np.int32), data.view(kind).copy(), sum(k for _, k in per) - held
+
+
+def _find(wanted: np.ndarray, hashes: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """Place of each wanted hash in the sorted ``hashes``, or -1.  ``index`` has where each leading-bits value starts."""
+    shift = tx.U(64 - (len(index) - 1).bit_length() + 1)
+    lead = (wanted >> shift).astype(np.int64)
+    at, stop = index[lead], index[lead + 1]
+    out = np.full(len(wanted), -1, np.int64)
+    todo = np.flatnonzero(at < stop)
+    while len(todo):
+        hit = hashes[at[todo]] == wanted[todo]
+        out[todo[hit]] = at[todo[hit]]
+        todo = todo[~hit]
+        at[todo] += 1
+        todo = todo[at[todo] < stop[todo]]
+    return out
+
+
+def _index(hashes: np.ndarray) -> np.ndarray:
+    """Where each value of the leading bits starts in sorted hashes; about as many values as hashes."""
+    bits = max(1, len(hashes).bit_length())
+    lead = (hashes >> tx.U(64 - bits)).astype(np.int64)
+    return np.concatenate([[0], np.cumsum(np.bincount(lead, minlength=1 << bits))]).astype(np.int32)
 
 
 def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut: Callable[[list[bytes]], Cut], wide: bool,
-           limit: int = DICTIONARY_WORDS, packed: bool = False) -> DataFrame:
+           limit: int = DICTIONARY_WORDS, packed: bool = False, then: Then | None = None) -> DataFrame:
     """``docs`` with the ids of all words of the text in ``out_col``: array of int, or with ``packed`` binary, little-endian, of
-    four bytes each if ``wide``, else two.  ``words(chunk, n, ids)`` is a staged table."""
+    four bytes each if ``wide``, else two.  ``words(chunk, n, ids)`` is a staged table.  ``then`` works on the result's batches in
+    the same tasks: a function of them, and the columns that it adds (as DDL)."""
     kind = np.dtype("<u4" if wide else "<u2")
     hashes, to, flat, missing = dictionary(words, limit, kind)
-    shared = docs.sparkSession.sparkContext.broadcast((hashes, to, flat))
+    shared = docs.sparkSession.sparkContext.broadcast((hashes, _index(hashes), to, flat))
     del hashes, to, flat
     src = docs.drop(out_col).withColumn(text_col, F.col(text_col).cast("string"))
     cols, at = src.columns, src.columns.index(text_col)
@@ -104,22 +139,21 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
     listed = not packed and not missing
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, to, flat = shared.value
+        hashes, index, to, flat = shared.value
         hasher, row = tx.Hasher(), TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in tx.slices(batch, text_col):
                 data, starts, ends, first = cut(text_bytes(part.column(at)))
-                distinct, back = np.unique(hasher.segments(data, starts, ends), return_inverse=True)
-                place = np.minimum(np.searchsorted(hashes, distinct), max(len(hashes) - 1, 0))
-                known = hashes[place] == distinct if len(hashes) else np.zeros(len(distinct), bool)
-                begin = np.where(known, to[place], 0)[back]
-                n = np.where(known, to[place + 1] - to[place], 0)[back] if len(hashes) else np.zeros(len(back), np.int64)
+                place = _find(hasher.segments(data, starts, ends), hashes, index)
+                known = place >= 0
+                begin = np.where(known, to[place], 0)
+                n = np.where(known, to[np.minimum(place + 1, len(to) - 1)] - begin, 0)
                 stop = np.concatenate([[0], np.cumsum(n)])
                 ids = flat[np.arange(stop[-1]) - np.repeat(stop[:-1] - begin, n)]
                 bounds = stop[first]
                 arrays = [*part.columns, _lists(ids, bounds) if listed else _binary(ids, bounds)]
                 if missing:
-                    lost = np.flatnonzero(~known[back])
+                    lost = np.flatnonzero(~known)
                     mine = np.searchsorted(lost, first)
                     rel = stop[lost] - bounds[np.searchsorted(first, lost, side="right") - 1]
                     raw = data.tobytes()
@@ -130,11 +164,11 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
                 yield pa.RecordBatch.from_arrays(arrays, [*cols, *extra])
 
     plain = ", ".join(f"`{c}` {t}" for c, t in src.dtypes)
-    if listed:
-        return src.mapInArrow(run, f"{plain}, `{out_col}` array<int>")
-    coded = src.mapInArrow(run, ", ".join([plain, *(f"`{c}` {kinds[c]}" for c in extra)]))
+    after, added = then or ((lambda batches: batches), "")
+    added = added and f", {added}"
     if not missing:
-        return coded
+        return src.mapInArrow(lambda batches: after(run(batches)), f"{plain}, `{out_col}` {'binary' if packed else 'array<int>'}{added}")
+    coded = src.mapInArrow(run, ", ".join([plain, *(f"`{c}` {kinds[c]}" for c in extra)]))
     coded = stage(coded, "coded")
     holes = coded.where("size(__gaps) > 0")
     parts = holes.select("__row", F.posexplode("__gaps").alias("k", "gap")).select("__row", "k", "gap.at", "gap.chunk")
@@ -158,7 +192,7 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
                 flat = np.frombuffer(b"".join(out), kind)
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(cols)], _binary(flat, bounds) if packed else _lists(flat, bounds)], [*cols, out_col])
 
-    return both.mapInArrow(fill, f"{plain}, `{out_col}` {'binary' if packed else 'array<int>'}")
+    return both.mapInArrow(lambda batches: after(fill(batches)), f"{plain}, `{out_col}` {'binary' if packed else 'array<int>'}{added}")
 
 
 def _lists(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
