@@ -20,8 +20,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and whether they decode to it (the model writes a space for the character U+2581)."""
     model = sentencepieces.Model.load()
-    coded = sentencepieces.encode(_read(spark, sf_dir, "documents").select("doc_id", "text"), model=model)
-    back = sentencepieces.decode(coded, model=model)
+    back = sentencepieces.encode(_read(spark, sf_dir, "documents").select("doc_id", "text"), model=model, decoded_col="decoded")
     same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), sentencepieces.SPACE, " ")
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 

@@ -223,8 +223,9 @@ def _unknown_ids(model: Model) -> Column:
 # ---------------------------------------------------------------- documents
 
 def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", model: Model | None = None,
-           dictionary_words: int = wordmap.DICTIONARY_WORDS) -> DataFrame:
-    """``docs`` with the ids of the whole text in ``out_col`` (array of int, replacing a column of that name).
+           dictionary_words: int = wordmap.DICTIONARY_WORDS, decoded_col: str | None = None) -> DataFrame:
+    """``docs`` with the ids of the whole text in ``out_col`` (array of int, replacing a column of that name), and with the text that
+    they decode to in ``decoded_col``, if given (in the same tasks, so no second set of Python workers is needed).
 
     Null and empty texts have no ids.  Repeated rows are encoded alike.  Work on a chunk grows with its length; chunks longer than
     61 characters keep their state in an array."""
@@ -235,34 +236,40 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", model:
         return chunk_bounds(texts, prefix, alone)
 
     words = stage(encode_chunks(wordmap.count(docs, text_col, cut), model), "chunks")
-    return wordmap.encode(docs, text_col, out_col, words, cut, len(model.pieces) > 1 << 16, dictionary_words)
+    src = docs.drop(decoded_col) if decoded_col else docs
+    then = (_decoder(model, out_col, decoded_col), f"`{decoded_col}` string") if decoded_col else None
+    return wordmap.encode(src, text_col, out_col, words, cut, len(model.pieces) > 1 << 16, dictionary_words, then=then)
 
 
-def decode(coded: DataFrame, ids_col: str = "ids", out_col: str = "decoded", model: Model | None = None) -> DataFrame:
-    """``coded`` with the text of ``ids_col`` in ``out_col``; null ids give null.  Control pieces have no text; ids that the model
-    does not have are an error.  Byte pieces that are not UTF-8 become replacement characters."""
-    model = model or Model.load()
+def _decoder(model: Model, ids_col: str, out_col: str):
+    """A function that adds the decoded text to Arrow batches."""
     texts = [bytes([model.byte_ids.index(i)]) if k == "byte" else b"" if k in ("control", "unused") else
              " \u2047 ".encode() if k == "unknown" else p.replace(SPACE, " ").encode() for i, (p, k) in enumerate(zip(model.pieces, model.kinds))]
     bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     flat, prefix = np.frombuffer(b"".join(texts), np.uint8), model.dummy_prefix
-    src = coded.drop(out_col)
-    cols, at = src.columns, src.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                lists = part.column(at)
+                lists = part.column(part.schema.get_field_index(ids_col))
                 ids = lists.flatten().to_numpy().astype(np.int64)
                 if len(ids) and not 0 <= ids.min() <= ids.max() < len(bounds) - 1:
                     raise ValueError("an id that the model does not have")
                 n = bounds[ids + 1] - bounds[ids]
                 stop = np.concatenate([[0], np.cumsum(n)])
-                data = flat[np.arange(stop[-1]) - np.repeat(stop[:-1], n) + np.repeat(bounds[ids], n)].tobytes()
+                data = flat[np.arange(stop[-1]) - np.repeat(stop[:-1] - bounds[ids], n)].tobytes()
                 rows = np.concatenate([[0], np.cumsum([0 if v is None else v for v in lists.value_lengths().to_pylist()])])
                 out = [data[stop[a]:stop[b]].decode(errors="replace") for a, b in zip(rows, rows[1:])]
                 out = [None if not ok else t[1:] if prefix and t[:1] == " " else t for t, ok in zip(out, lists.is_valid().to_pylist())]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], [*cols, out_col])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], [*part.schema.names, out_col])
+
+    return run
 
-    return src.mapInArrow(run, ", ".join([f"`{c}` {t}" for c, t in src.dtypes] + [f"`{out_col}` string"]))
+
+def decode(coded: DataFrame, ids_col: str = "ids", out_col: str = "decoded", model: Model | None = None) -> DataFrame:
+    """``coded`` with the text of ``ids_col`` in ``out_col``; null ids give null.  Control pieces have no text; ids that the model
+    does not have are an error.  Byte pieces that are not UTF-8 become replacement characters."""
+    src = coded.drop(out_col)
+    schema = ", ".join([f"`{c}` {t}" for c, t in src.dtypes] + [f"`{out_col}` string"])
+    return src.mapInArrow(_decoder(model or Model.load(), ids_col, out_col), schema)

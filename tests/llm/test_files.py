@@ -37,6 +37,8 @@ def test_sentencepiece_equals_the_library(spark, words):
     for r in out:
         assert list(r.ids) == lib.encode(r.text or ""), r.text
         assert r.decoded == (r.text or "").replace("▁", " ") and r.part == "k"
+    fused = sp.encode(docs(spark), model=model, dictionary_words=words, decoded_col="decoded").collect()
+    assert sorted(map(str, fused)) == sorted(map(str, out))
     assert sp.encode(docs(spark).limit(0), model=model).count() == 0
 
 
