@@ -1,9 +1,9 @@
 """Encoding texts by their distinct words.
 
 The words (or other pieces) that a ``cut`` function finds in the texts are counted, each distinct one is encoded once by the caller, and the
-codes go back to the texts in their order.  The way back is a dictionary of the most frequent words, at most ``limit`` of them, sorted by a 64-bit
-hash: (hash, place, ids) and an index of leading bits in flat arrays, broadcast, about 30 bytes a word.  Words beyond it are resolved exactly by a join; only
-texts that hold such a word are shuffled for that.
+codes go back to the texts in their order.  The way back is a dictionary of the words that are frequent for their size, at most ``limit`` of them
+and at most ``DICTIONARY_BYTES``, sorted by a 64-bit hash: (hash, place, ids) and an index of leading bits in flat arrays, broadcast.  Words beyond
+it are resolved exactly by a join; only texts that hold such a word are shuffled for that.
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 from . import textops as tx
 from .storage import stage
 
-#: The dictionary's bound: about 150 MB.
-DICTIONARY_WORDS = 5_000_000
+#: The dictionary's bounds, whichever is met first.  A word counts with the bytes of its ids and, beside them, of its hash, its place and the index.
+DICTIONARY_WORDS, DICTIONARY_BYTES, WORD_BYTES = 5_000_000, 150_000_000, 20
 #: Text that a counting task holds.
 COUNT_BYTES = 24 << 20
-#: Counts from here on are told apart no more when the dictionary's least count is chosen, so a bounded table comes to the driver.
+#: Counts from here on are told apart no more when the dictionary's least counts are chosen, so a bounded table comes to the driver.
 LEVELS = 100_000
 
 #: A function of Arrow batches and the columns that it adds, as DDL.
@@ -69,13 +69,19 @@ def count(docs: DataFrame, text_col: str, cut: Callable[[list[bytes]], Cut]) ->
 
 
 def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(sorted hashes, bounds, ids) of the most frequent of ``words(chunk, n, ids)``, ``limit`` at most, and how many are not among them."""
-    per = sorted(words.groupBy(F.least("n", F.lit(LEVELS)).alias("n")).count().collect(), reverse=True)
-    least, held = LEVELS + 1, 0
-    for n, k in per:
-        if held + k > limit:
-            break
-        least, held = n, held + k
+    """(sorted hashes, bounds, ids) of the most frequent of ``words(chunk, n, ids)`` for their size, ``limit`` words and ``DICTIONARY_BYTES``
+    at most, and how many are not among them.
+
+    Words fall into classes by the bits of their number of ids; each class has its own least count, so long words never keep short ones out."""
+    level, kind_of = F.least("n", F.lit(LEVELS)), F.length(F.bin(F.size("ids")))
+    per = (words.groupBy(level.alias("n"), kind_of.alias("bits"))
+           .agg(F.count(F.lit(1)).alias("k"), F.sum(WORD_BYTES + kind.itemsize * F.size("ids").cast("long")).alias("bytes")).collect())
+    least, full, held, used = [LEVELS + 1] * 33, set(), 0, 0
+    for n, bits, k, size in sorted(per, key=lambda r: (-r.n / (1 << r.bits), r.bits)):
+        if bits in full or held + k > limit or used + size > DICTIONARY_BYTES:
+            full.add(bits)
+        else:
+            least[bits], held, used = n, held + k, used + size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = tx.Hasher()
@@ -88,7 +94,8 @@ def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray
                 yield pa.RecordBatch.from_arrays([pa.array(hasher.segments(data, bounds[:-1], bounds[1:]).view(np.int64)),
                                                   pa.array(packed, pa.binary())], ["hash", "ids"])
 
-    got = words.where(F.col("n") >= least).select("chunk", "ids").mapInArrow(run, "hash long, ids binary").toArrow()
+    taken = level >= F.element_at(F.array(*map(F.lit, least)), kind_of + 1)
+    got = words.where(taken).select("chunk", "ids").mapInArrow(run, "hash long, ids binary").toArrow()
     hashes = got.column("hash").to_numpy().view(tx.U)
     order = np.argsort(hashes)
     hashes = hashes[order]
@@ -96,7 +103,7 @@ def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray
     del got
     ids = ids.take(pa.array(order))
     data, bounds = tx.raw(ids)
-    return hashes, (bounds // kind.itemsize).astype(np.int32), data.view(kind).copy(), sum(k for _, k in per) - held
+    return hashes, (bounds // kind.itemsize).astype(np.int32), data.view(kind).copy(), sum(r.k for r in per) - held
 
 
 def _find(wanted: np.ndarray, hashes: np.ndarray, index: np.ndarray) -> np.ndarray:
@@ -180,7 +187,7 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tx.slices(batch, out_col):
+            for part in tx.slices(batch, text_col):
                 out = []
                 for ids, parts in zip(part.column(len(cols)).to_pylist(), part.column(len(cols) + 1).to_pylist()):
                     done, last = [], 0

@@ -42,6 +42,26 @@ def test_sentencepiece_equals_the_library(spark, words):
     assert sp.encode(docs(spark).limit(0), model=model).count() == 0
 
 
+def test_dictionary_is_bounded_by_bytes(spark, monkeypatch):
+    """Long words, and words beyond the bytes, take the join; a frequent short word stays however long the others are."""
+    import sentencepiece
+    kind = np.dtype("<u2")
+    rows = [("the", 90, [7])] + [(f"line {i} " * 40, 1, list(range(300))) for i in range(50)] + [(f"w{i}", 2, [1, i]) for i in range(20)]
+    words = spark.createDataFrame(rows, "chunk string, n long, ids array<int>")
+    assert wordmap.dictionary(words, 100, kind)[3] == 0
+    monkeypatch.setattr(wordmap, "DICTIONARY_BYTES", 1000)
+    hashes, to, flat, missing = wordmap.dictionary(words, 100, kind)
+    assert missing == 50 and len(hashes) == 21 and wordmap.WORD_BYTES * len(hashes) + flat.nbytes <= 1000
+    monkeypatch.setattr(wordmap, "DICTIONARY_BYTES", 100)
+    assert wordmap.dictionary(words, 100, kind)[2].tolist() == [7]
+    monkeypatch.setattr(wordmap, "DICTIONARY_BYTES", 2000)
+    texts = TEXTS + ["日本語の長い文" * 60 + str(i) for i in range(12)] + ["the cat"] * 5
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    lib = sentencepiece.SentencePieceProcessor(model_proto=_proto())
+    for r in sp.encode(table).collect():
+        assert list(r.ids) == lib.encode(r.text or ""), r.text
+
+
 def test_sentencepiece_pieces_encode_to_themselves(spark):
     """The fold replays the merges because every piece's own merges have better scores."""
     import sentencepiece
