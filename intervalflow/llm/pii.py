@@ -17,7 +17,9 @@ Formats and their checks:
 * dates written year-month-day or day.month.year that exist, from 1900 to 2099: permuted over those days
 * quoted secrets that follow a name such as token, password or api_key: hexadecimal digits stay such, other characters keep their class
 
-Numbers that fail their check are left alone, so ordinary numbers of the same length survive.
+Numbers that fail their check are left alone, so ordinary numbers of the same length survive.  Where a match fails because other characters
+stand beside the value, its parts are tried: spans of whole digit groups for cards, the country's own length and shorter ends for IBANs, fewer
+groups for telephone numbers, later starts for both.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import pyarrow as pa
 import regex
@@ -119,7 +122,7 @@ class Pseudonyms:
     def phone(self, m) -> str | None:
         n = sum(c in DIGITS for c in m.group())
         if not 10 <= n <= 15:
-            return None
+            return None             # its shorter ends are tried by ``phones``
         head = m.group("one") or m.group("country") or ""
         return head + self.characters("phone", m.group()[len(head):], lambda c: DIGITS if c in DIGITS else None)
 
@@ -130,22 +133,83 @@ class Pseudonyms:
         x = self.permute("ipv4", int.from_bytes(bytes(map(int, parts)), "big"), 1 << 32)
         return ".".join(map(str, x.to_bytes(4, "big")))
 
-    def card(self, m) -> str | None:
-        digits = [c for c in m.group() if c in DIGITS]
+    def card(self, text: str) -> str | None:
+        digits = [c for c in text if c in DIGITS]
         if not 13 <= len(digits) <= 19 or luhn(digits[:-1]) != digits[-1] or len(set(digits)) == 1:
             return None
         body = self.characters("card", "".join(digits[:-1]))
         fresh = iter(body + luhn(list(body)))
-        return "".join(next(fresh) if c in DIGITS else c for c in m.group())
+        return "".join(next(fresh) if c in DIGITS else c for c in text)
 
-    def iban(self, m) -> str | None:
-        text = m.group().replace(" ", "")
-        if not 15 <= len(text) <= 34 or _iban_rest(text) != 1:
+    def iban(self, text: str) -> str | None:
+        plain = text.replace(" ", "")
+        if not 15 <= len(plain) <= 34 or _iban_rest(plain) != 1:
             return None
-        body = self.characters("iban", text[4:])
-        check = f"{98 - _iban_rest(text[:2] + '00' + body):02d}"
-        fresh = iter(text[:2] + check + body)
-        return "".join(c if c == " " else next(fresh) for c in m.group())
+        body = self.characters("iban", plain[4:])
+        check = f"{98 - _iban_rest(plain[:2] + '00' + body):02d}"
+        fresh = iter(plain[:2] + check + body)
+        return "".join(c if c == " " else next(fresh) for c in text)
+
+    # -- what a match holds: each gets the text and a match, and returns [(start, end, replacement)], without overlaps
+
+    def cards(self, text: str, m) -> list[tuple[int, int, str]]:
+        """Of a run of digit groups the whole, else spans of groups: first those in a card's shape, then others of one separator."""
+        new = self.card(m.group())
+        if new is not None:
+            return [(*m.span(), new)]
+        groups = [g.span() for g in _DIGITS.finditer(text, *m.span())]
+        out, used = [], set()
+        for shaped in (True, False):
+            if not shaped and text[:m.start()][-1:] == "+":
+                break               # a telephone number
+            for i in range(len(groups)):
+                spans, n = [], 0
+                for j in range(i, len(groups)):
+                    n += groups[j][1] - groups[j][0]
+                    if n > 19 or j in used:
+                        break
+                    if n >= 13:
+                        spans.append((j, n))
+                for j, n in reversed(spans):
+                    sizes = tuple(b - a for a, b in groups[i:j + 1])
+                    if shaped != (len(sizes) == 1 or sizes in CARD_SHAPES):
+                        continue
+                    if not shaped and (min(sizes) < 2 or 3 * len(sizes) > n or len({text[a - 1] for a, _ in groups[i + 1:j + 1]}) > 1):
+                        continue    # a list of small numbers, or two numbers
+                    new = self.card(text[groups[i][0]:groups[j][1]])
+                    if new is not None:
+                        out.append((groups[i][0], groups[j][1], new))
+                        used.update(range(i, j + 1))
+                        break
+        return sorted(out)
+
+    def ibans(self, text: str, m, own: bool) -> list[tuple[int, int, str]]:
+        """The country's ``own`` length, or the longest that has right check digits; spaces stand between groups of four."""
+        ends, n = {}, 0
+        for i in range(*m.span()):
+            if text[i] == " ":
+                if n % 4:
+                    break
+                continue
+            n += 1
+            if n >= 15 and not (text[i + 1:i + 2].isascii() and text[i + 1:i + 2].isalnum()):
+                ends[n] = i + 1
+        known = IBAN_LENGTHS.get(m.group()[:2])
+        for n in [n for n in sorted(ends, reverse=True) if not own or n == known]:
+            new = self.iban(text[m.start():ends[n]])
+            if new is not None:
+                return [(m.start(), ends[n], new)]
+        return []
+
+    def phones(self, text: str, m) -> list[tuple[int, int, str]]:
+        """The whole match, else as many of its digit groups as a number may have."""
+        pattern, stops = m.re, [g.end() for g in _DIGITS.finditer(text, *m.span())]
+        for stop in reversed(stops):
+            part = m if stop == m.end() else pattern.match(text, m.start(), stop)
+            new = self.phone(part) if part and part.end() == stop else None
+            if new is not None:
+                return [(m.start(), stop, new)]
+        return []
 
     def ssn(self, m) -> str | None:
         area, group, serial = map(int, m.group().split("-"))
@@ -178,6 +242,17 @@ class Pseudonyms:
         return self.characters("secret", value)
 
 
+_DIGITS = regex.compile("[0-9]+")
+#: Digit groups in which cards are written.
+CARD_SHAPES = {(4, 4, 4, 4), (4, 4, 4, 4, 3), (4, 6, 5), (4, 6, 4)}
+#: Characters of a country's IBANs.
+IBAN_LENGTHS = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC",
+    33: "RU"}.items() for c in cs.split()}
+
+
 def luhn(digits: list[str]) -> str:
     """The check digit behind ``digits``."""
     total = 0
@@ -194,14 +269,14 @@ def _iban_rest(text: str) -> int:
 #: (format, pattern).  In this order; a replaced range is not looked at again.
 PATTERNS = (
     ("secret", r"""(?i:token|secret|password|passwd|api[_-]?key)\s*[=:]\s*(["'])(?P<value>[A-Za-z0-9+/_=-]{16,512})\1"""),
-    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}"
-              r"[A-Za-z]{2,24}(?![A-Za-z0-9@-])"),
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])"),
+    ("email", r"(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}"
+              r"[A-Za-z]{2,24}(?![A-Za-z0-9]|@[A-Za-z0-9])"),
+    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}"),
     ("ipv4", r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"),
     ("date", r"(?<![0-9./-])(?:(?P<y>[0-9]{4})(?P<sep1>[-/])(?P<m>[0-9]{2})(?P=sep1)(?P<d>[0-9]{2})"
              r"|(?P<d2>[0-9]{2})(?P<sep2>[./-])(?P<m2>[0-9]{2})(?P=sep2)(?P<y2>[0-9]{4}))(?![0-9]|[./-][0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    ("card", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])|(?<![0-9])[0-9]{13,19}(?![0-9])"),
+    ("card", r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}"),
     ("phone", r"(?<![0-9+])(?:(?P<one>\+1)[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?P<country>\+[0-9]{1,3})[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}"
               r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"),
 )
@@ -210,7 +285,9 @@ PATTERNS = (
 def replacer(key: bytes = KEY, back: bool = False):
     """A function from a text to (new text, [(format, start, end in the new text)])."""
     formats = Pseudonyms(key, back)
-    compiled = [(n, regex.compile(p), getattr(formats, n)) for n, p in PATTERNS]
+    # IBANs of their country's length come first, so that a code in front of one does not claim its start.
+    parts_of = {"card": [formats.cards], "phone": [formats.phones], "iban": [partial(formats.ibans, own=True), partial(formats.ibans, own=False)]}
+    compiled = [(n, regex.compile(p), getattr(formats, n), f) for n, p in PATTERNS for f in parts_of.get(n, [None])]
     digit = regex.compile("[0-9]")
 
     def replace(text: str) -> tuple[str, list[tuple[str, int, int]]]:
@@ -220,14 +297,21 @@ def replacer(key: bytes = KEY, back: bool = False):
             return text, []
         found: list[tuple[int, int, str, str]] = []
         rest = text         # what no format has claimed; claimed ranges are blanked, so that no later match reaches into them
-        for name, pattern, change in compiled:
+        for name, pattern, change, parts_in in compiled:
             if not {"secret": quoted, "email": at_sign}.get(name, number):
                 continue
-            mine = []
-            for m in pattern.finditer(rest):
-                new = change(m)
-                if new is not None:
-                    mine.append((*(m.span("value") if name == "secret" else m.span()), name, new))
+            mine, pos = [], 0
+            while (m := pattern.search(rest, pos)) is not None:
+                pos = m.end()
+                if parts_in:
+                    parts = parts_in(rest, m)
+                    mine += [(a, b, name, new) for a, b, new in parts]
+                    if name != "card":
+                        pos = parts[-1][1] if parts else m.start() + 1
+                else:
+                    new = change(m)
+                    if new is not None:
+                        mine.append((*(m.span("value") if name == "secret" else m.span()), name, new))
             if mine:
                 parts, at = [], 0
                 for a, b, *_ in mine:
