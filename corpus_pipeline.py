@@ -20,9 +20,20 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8) stays; rows that repeat a kept id stay with it."""
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("id").alias("__gone"))
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    """One row of each group of near copies (five words, similarity 0.8) stays.  Where an id repeats, rows are told apart by id and text, and
+    one row of each id and text stays.  Rows with a null id stay."""
+    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        gone = near_duplicates(docs).where("NOT kept").select(F.col("id").alias("__gone"))
+        return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    digest = F.coalesce(F.sha2("text", 256), F.lit(""))
+    once = (docs.where("doc_id IS NOT NULL").groupBy("doc_id", digest.alias("__digest"))
+            .agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*", "__digest"))
+    # Keys rise with the ids, so the smallest id of a group still stays.
+    keyed = once.orderBy(F.col("doc_id").cast("long"), "__digest").withColumn("__key", F.monotonically_increasing_id())
+    keyed = stage(keyed, "keyed")
+    gone = near_duplicates(keyed, id_col="__key").where("NOT kept").select(F.col("id").alias("__gone"))
+    kept = keyed.join(gone, F.col("__key") == F.col("__gone"), "left_anti").select(*docs.columns)
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

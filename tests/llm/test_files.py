@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from intervalflow.llm import queries, sentencepieces as sp, tokenfile, warc, wordmap
 from intervalflow.session import scratch_path
@@ -198,5 +199,19 @@ def test_pipeline(spark):
         assert step(spark, docs.limit(0), SF_SMALL).columns == docs.columns, name
 
 
+def test_near_dedup_drops_rows_not_ids(spark):
+    """An id with two texts loses the copy only; a near copy of its other text is found; rows that repeat id and text become one."""
+    import corpus_pipeline
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, b + " end"), (9, c), (9, c), (12, c), (None, a), (3, None), (3, ""), (20, "alone here")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    assert collections.Counter((r.doc_id, r.text) for r in got.collect()) == collections.Counter(
+        [(1, a), (5, b), (9, c), (None, a), (3, None), (3, ""), (20, "alone here")])
+    unique = docs.where("doc_id IN (1, 7, 12)").dropDuplicates(["doc_id"]).unionByName(docs.limit(1).withColumn("doc_id", F.lit(2).cast("long")))
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, unique, "").collect()) == [1, 7, 12]
+
+
 def test_scratch_needs_a_shared_folder_on_clusters(spark):
     assert uuid.UUID(scratch_path(spark, "x").rsplit("x-", 1)[1])
