@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intervalflow.session import scratch_path
 
-from . import langid, mixing, pii, quality, rules, sentencepieces, tokenfile, warc
+from . import fingerprints, langid, mixing, pii, quality, rules, sentencepieces, tokenfile, variants, warc, whitening
 from .capfilter import similar
 from .minhash import near_duplicates
 from .sampling import split_of
@@ -109,6 +109,68 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.digests(tokenfile.read_tokens(spark, path))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roots of every text and of its edited one, their likeness, and where the edit begins."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = fingerprints.with_next(docs, "doc_id", "text", {"body": F.col("text"), "tree": fingerprints.tree("text")})
+    rows = rows.withColumn("edited", fingerprints.edited(F.col("body"), F.col("next_body")))
+    rows = rows.select("doc_id", F.length("body").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                       "tree", fingerprints.tree("edited").alias("edited_tree"), "next_tree")
+    rows = rows.withColumns({f"{t}_leaves": fingerprints.leaves(t) for t in ("tree", "edited_tree", "next_tree")})
+
+    def like(other: str) -> Column:
+        return fingerprints.likeness(F.col("tree.root"), F.col("tree_leaves"), F.col(f"{other}.root"), F.col(f"{other}_leaves"))
+
+    return rows.select("doc_id", "n_chars", "edited_sha256", F.col("tree.root").alias("fingerprint"), F.col("edited_tree.root").alias("edited_fingerprint"),
+                       like("edited_tree").alias("near_edited"), like("next_tree").alias("near_next"),
+                       fingerprints.first_edit("tree", "edited_tree")["paragraph"].cast("long").alias("edit_paragraph"))
+
+
+def _tree_sql(text: str, name: str) -> str:
+    """DuckDB twin of ``fingerprints.tree``: root, distinct pieces and paragraph digests of each row of a table (doc_id, text)."""
+    return f"""
+{name}_p AS (SELECT doc_id, list_transform(string_split({text}, chr(10)), lambda l: list_transform(
+    regexp_extract_all(l, '{fingerprints.PIECE}'), lambda x: sha256('0' || x))) AS pieces FROM e),
+{name}_d AS (SELECT doc_id, pieces, list_transform(pieces, lambda p: sha256('1' || array_to_string(p, ''))) AS paras FROM {name}_p),
+{name}_e AS (SELECT *, list_filter(range(1, len(paras) + 1), lambda i: i = len(paras) OR len(pieces[i]) = 0 OR paras[i][1] IN ('0', '1')) AS ends FROM {name}_d),
+{name}_s AS (SELECT *, list_transform(range(1, len(ends) + 1), lambda k: sha256('2' || array_to_string(
+    paras[(CASE WHEN k = 1 THEN 1 ELSE ends[k - 1] + 1 END):ends[k]], ''))) AS secs FROM {name}_e),
+{name} AS (SELECT doc_id, paras, sha256('3' || array_to_string(secs, '')) AS root, list_distinct(flatten(pieces)) AS leaves FROM {name}_s)"""
+
+
+def _like_sql(a: str, b: str) -> str:
+    return (f"CASE WHEN {a}.root = {b}.root THEN 1.0 WHEN len({a}.leaves) + len({b}.leaves) = 0 THEN 0.0 "
+            f"ELSE 2.0::DOUBLE * len(list_intersect({a}.leaves, {b}.leaves)) / (len({a}.leaves) + len({b}.leaves)) END::DOUBLE")
+
+
+OP11_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+o AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_text, coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS next_id
+      FROM d WINDOW w AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+e AS (SELECT *, substring(text, 1, n - n // 4) || substring(next_text, 1, n // 4) AS edited FROM o),
+{_tree_sql("text", "a")},
+{_tree_sql("edited", "b")}
+SELECT e.doc_id, e.n AS n_chars, sha256(e.edited) AS edited_sha256, a.root AS fingerprint, b.root AS edited_fingerprint,
+       {_like_sql("a", "b")} AS near_edited, {_like_sql("a", "x")} AS near_next,
+       CASE WHEN a.root <> b.root THEN list_position(list_transform(range(1, greatest(len(a.paras), len(b.paras)) + 1),
+            lambda i: coalesce(a.paras[i], '') = coalesce(b.paras[i], '')), false)::BIGINT END AS edit_paragraph
+FROM e JOIN a USING (doc_id) JOIN b USING (doc_id) JOIN a x ON x.doc_id = e.next_id
+"""
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = whitening.whiten(_read(spark, sf_dir, "embeddings"))
+    explained = [] if model is None else model.explained.tolist()
+    return rows.select(F.col("id").alias("vec_id"), F.col("deviation").cast("long").alias("deviation"), F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"), "deviation", "whitened",
+        F.get(F.array(*map(F.lit, explained)).cast("array<double>"), F.col("at")).alias("explained"),
+        F.lit(model.identity_error if model else 0.0).alias("identity_error"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc_archives": op2_warc_archives,
@@ -120,6 +182,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_token_files": op10_token_files,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
-ORACLE: dict[str, str] = {"op2_warc_archives": OP2_SQL, "op8_quality_rules": OP8_SQL}
+ORACLE: dict[str, str] = {"op2_warc_archives": OP2_SQL, "op8_quality_rules": OP8_SQL, "op11_fingerprints": OP11_SQL}
