@@ -6,8 +6,8 @@ Spark has no user-facing as-of join, so it is composed from built-ins:
    with ``lead`` over each key (rates are a small, time-driven dimension).  A reading at
    instant ``t`` then matches at most one segment, exactly the one an as-of lookup picks
    (greatest ``valid_from <= t``, then the ``valid_to`` check).
-2. The segments are joined to readings by an equi-join plus a range residual.  Two
-   physical shapes, chosen from one cheap aggregate over the rates side:
+2. The segments are staged (they are read for statistics and for the join) and joined to readings in one
+   of three physical shapes, chosen from one aggregate over the staged table:
 
    * ``key``    - equi-join on ``by`` only; used when every key has few rates, so the
                   residual scans a short list per reading.
@@ -16,10 +16,13 @@ Spark has no user-facing as-of join, so it is composed from built-ins:
                   rates (the natural shape: few tariffs x many meters).  Open-ended
                   segments are clipped at the last rate instant, and readings after that
                   day look up the clip day, so nothing is unbounded.
+   * ``merge``  - readings and segments meet in order of (key, time): readings are dealt into groups
+                  of consecutive (key, time), each segment goes to the groups it covers, and inside a
+                  group the last segment before a reading is its rate.  No day rows, no clip day, no
+                  salts; one hot tariff is spread over as many tasks as its readings need.
 
-   The candidate side is broadcast only when the same aggregate proves its row count is
-   below ``broadcast_max_rows``; otherwise both sides shuffle on the join key and AQE
-   splits hot keys (skew join).  Readings are never collected or grouped.
+   ``key`` and ``bucket`` are taken where the same aggregate proves that the candidate side may be
+   broadcast; otherwise both sides are shuffled by ``merge``.  Readings are never collected or grouped.
 """
 
 from __future__ import annotations
@@ -31,51 +34,66 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import energy_from_code, parse_tariff_code
-from ..functions.timefns import micros_between, plus_micros, to_utc_col, utc_date, ntz_lit
+from ..functions.timefns import epoch_micros, micros_between, ntz_lit, plus_micros, to_utc_col, utc_date
+from ..session import staged
+from .ranges import group_bounds, group_of
 
 HALF_HOUR_US = 1_800_000_000
 KEY_JOIN_MAX_CANDIDATES = 64
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 << 20
 CLIP_SALTS = 16
+#: Readings in a group of the merge join.
+MERGE_GROUP_ROWS = 50_000
+_LEAST, _LAST = -(1 << 63), (1 << 63) - 1
 
 
 @dataclass(frozen=True)
 class CandidateStats:
     rows: int
     max_per_key: int
-    clip: object          # python datetime (NTZ) or None
-    row_bytes: float      # mean text size of a row
+    keys: int
+    floor: object         # first and last start, python datetimes (NTZ) or None
+    clip: object
+    day_rows: int         # (candidate, day) rows of the bucket join
+    row_bytes: float      # mean size of a row
 
-    def strategy(self) -> str:
-        return "key" if self.max_per_key <= KEY_JOIN_MAX_CANDIDATES else "bucket"
+    def strategy(self, max_rows: int = BROADCAST_MAX_ROWS) -> str:
+        shape, rows = ("key", self.rows) if self.max_per_key <= KEY_JOIN_MAX_CANDIDATES else ("bucket", self.day_rows)
+        return shape if self.may_broadcast(rows, max_rows) else "merge"
 
     def may_broadcast(self, rows: int, max_rows: int) -> bool:
         """A hint overrides Spark's own byte limit, so it needs a row bound and a byte bound."""
         return rows <= max_rows and rows * max(self.row_bytes, 1) <= BROADCAST_MAX_BYTES
 
 
-def _candidate_stats(cand: DataFrame, by: Sequence[str], lo: str) -> CandidateStats:
-    """One small job over the rate side: row count, largest key, size, and the clip instant.
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row: text by its bytes, other columns 16 each."""
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+    return sum(text, F.lit(16 * len(df.columns))).cast("long")
+
+
+def _candidate_stats(cand: DataFrame, by: Sequence[str], lo: str, hi: str) -> CandidateStats:
+    """One job over the staged rate side: row count, largest key, size, the clip instant and how many day rows there would be.
 
     The clip is the last ``lo``: no later day tells two candidates apart, so an end that is open or far in the
     future needs no day rows beyond it.
     """
-    size = F.octet_length(F.to_csv(F.struct(*[F.col(c).cast("string") for c in cand.columns])))
-    per_key = cand.groupBy(*by).agg(F.count(F.lit(1)).alias("k"), F.max(lo).alias("kmax"), F.sum(size).alias("bytes"))
-    row = per_key.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("rows"), F.coalesce(F.max("k"), F.lit(0)).alias("max_per_key"),
-                      F.max("kmax").alias("clip"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).collect()[0]
-    return CandidateStats(int(row["rows"]), int(row["max_per_key"]), row["clip"], row["bytes"] / max(int(row["rows"]), 1))
-
-
-def _day_range(cand: DataFrame, lo: str, hi: str, clip_day: Column) -> Column:
-    """The UTC days of ``[lo, hi)`` up to the clip day."""
-    return F.sequence(utc_date(lo), F.greatest(utc_date(lo), F.least(F.coalesce(utc_date(plus_micros(hi, -1)), clip_day), clip_day)))
+    clipped = cand.crossJoin(F.broadcast(cand.agg(F.max(lo).alias("_clip"))))          # one row
+    days = F.size(_day_range(lo, hi, utc_date(lo), utc_date("_clip")))
+    per_key = clipped.groupBy(*by).agg(F.count(F.lit(1)).alias("k"), F.min(lo).alias("floor"), F.max("_clip").alias("clip"),
+                                       F.sum(days).alias("days"), F.sum(_row_bytes(cand)).alias("bytes"))
+    row = per_key.agg(F.sum("k").alias("rows"), F.max("k").alias("max_per_key"), F.count(F.lit(1)).alias("keys"), F.min("floor").alias("floor"),
+                      F.max("clip").alias("clip"), F.sum("days").alias("days"), F.sum("bytes").alias("bytes")).first()
+    rows = int(row["rows"] or 0)
+    return CandidateStats(rows, int(row["max_per_key"] or 0), row["keys"], row["floor"], row["clip"], int(row["days"] or 0),
+                          (row["bytes"] or 0) / max(rows, 1))
 
 
-def _day_rows(cand: DataFrame, lo: str, hi: str, clip_day: Column) -> int:
-    """How many (candidate, day) rows the bucket join makes of the rate side."""
-    return cand.agg(F.coalesce(F.sum(F.size(_day_range(cand, lo, hi, clip_day))), F.lit(0))).first()[0]
+def _day_range(lo: str, hi: str, floor_day: Column, clip_day: Column) -> Column:
+    """The UTC days of ``[lo, hi)`` from the floor day up to the clip day."""
+    first = F.greatest(utc_date(lo), floor_day)
+    return F.sequence(first, F.greatest(first, F.least(F.coalesce(utc_date(plus_micros(hi, -1)), clip_day), clip_day)))
 
 
 def _ts_lit(value) -> Column:
@@ -122,31 +140,75 @@ def _prefixed(rates: DataFrame, by: Sequence[str], prefix: str = "rate_") -> Dat
     return rates.select(*[F.col(c).alias(prefix + c) for c in keep], *extra)
 
 
+def _salt(df: DataFrame) -> Column:
+    """A hash that tells rows of one key and time apart; columns that cannot be compared take no part."""
+    plain = [f.name for f in df.schema if f.dataType.typeName() not in ("map", "array", "struct", "variant")]
+    return F.xxhash64(*plain) if plain else F.lit(0).cast("long")
+
+
+def _meet_days(left: DataFrame, cand: DataFrame, lo: str, hi: str, days: Column, floor_day: Column, clip_day: Column) -> tuple[DataFrame, DataFrame, list[Column]]:
+    """Both sides with a row for each day they share: ``days`` of ``left``, and the days of ``[lo, hi)``.  All readings from the
+    last rate change on meet on the clip day: there they are salted, and the candidates repeat."""
+    salts = F.sequence(F.lit(0), F.lit(CLIP_SALTS - 1))
+    cand = cand.withColumn("_rb", F.explode(_day_range(lo, hi, floor_day, clip_day)))
+    cand = cand.withColumn("_rs", F.explode(F.when(F.col("_rb") == clip_day, salts).otherwise(F.array(F.lit(0)))))
+    salt = F.pmod(_salt(left), F.lit(CLIP_SALTS)).cast("int")
+    left = left.withColumn("_lb", F.explode(days))
+    left = left.withColumn("_ls", F.when(F.col("_lb") == clip_day, salt).otherwise(0))
+    return left, cand, [F.col("_lb") == F.col("_rb"), F.col("_ls") == F.col("_rs")]
+
+
 def _point_join(left: DataFrame, cand: DataFrame, by: Sequence[str], t: str, lo: str, hi: str,
                 how: str, strategy: str, stats: CandidateStats, broadcast_max_rows: int) -> DataFrame:
     """Readings whose instant ``t`` lies in a candidate's ``[lo, hi)`` (``hi`` NULL = open)."""
     cand = cand.filter(F.col(hi).isNull() | (F.col(hi) > F.col(lo)))
-    eq = [left[b] == cand["rate_" + b] for b in by]
-    rng = (F.col(t) >= F.col(lo)) & (F.col(hi).isNull() | (F.col(t) < F.col(hi)))
+    cond = (F.col(t) >= F.col(lo)) & (F.col(hi).isNull() | (F.col(t) < F.col(hi)))
+    for b in by:
+        cond = (F.col(b) == F.col("rate_" + b)) & cond
+    rows = stats.rows
     if strategy == "bucket":
         clip_day = F.to_date(_ts_lit(stats.clip))
-        rows = _day_rows(cand, lo, hi, clip_day)
-        cand = cand.withColumn("_rb", F.explode(_day_range(cand, lo, hi, clip_day)))
-        left = left.withColumn("_lb", F.least(utc_date(t), clip_day))
-        # All readings from the last rate change on meet on the clip day: their key is salted, and that day's candidates repeat.
-        salts = F.sequence(F.lit(0), F.lit(CLIP_SALTS - 1))
-        cand = cand.withColumn("_rs", F.explode(F.when(F.col("_rb") == clip_day, salts).otherwise(F.array(F.lit(0)))))
-        left = left.withColumn("_ls", F.when(F.col("_lb") == clip_day, F.pmod(F.xxhash64(*left.columns), F.lit(CLIP_SALTS)).cast("int")).otherwise(0))
-        eq = [left[b] == cand["rate_" + b] for b in by] + [left["_lb"] == cand["_rb"], left["_ls"] == cand["_rs"]]
-    else:
-        rows = stats.rows
+        left, cand, same_day = _meet_days(left, cand, lo, hi, F.array(F.least(utc_date(t), clip_day)), utc_date(lo), clip_day)
+        cond = same_day[0] & same_day[1] & cond
+        rows = stats.day_rows
     if stats.may_broadcast(rows, broadcast_max_rows):
         cand = F.broadcast(cand)
-    cond = eq[0]
-    for e in eq[1:]:
-        cond = cond & e
-    joined = left.join(cand, cond & rng, how)
-    return joined.drop(*[c for c in ("_lb", "_rb", "_ls", "_rs", "_seg_end") if c in joined.columns])
+    return left.join(cand, cond, how).drop("_lb", "_rb", "_ls", "_rs", "_seg_end")
+
+
+def _merge_join(left: DataFrame, cand: DataFrame, by: Sequence[str], t: str, lo: str, hi: str, how: str,
+                group_rows: int = MERGE_GROUP_ROWS) -> DataFrame:
+    """Readings with the candidate whose disjoint ``[lo, hi)`` holds their instant ``t``, by a merge in order of (key, time).
+
+    Readings are dealt into groups of consecutive (hash of the key, time, hash of the row), so even the readings of one key and instant
+    fill several groups.  A candidate is copied to the groups from its start to its end, all but the first of which it enters with a start
+    before theirs: that is the rate carried over.  In a group the last candidate before a reading decides."""
+    cand = cand.filter(F.col(hi).isNull() | (F.col(hi) > F.col(lo)))
+    for b in by:
+        cand = cand.filter(F.col("rate_" + b).isNotNull())
+    key = F.xxhash64(*[F.col(b).cast("string") for b in by])
+    at = F.coalesce(epoch_micros(t), F.lit(_LEAST))
+    keyed = left.select(key.alias("_k"), at.alias("_t"), _salt(left).alias("_s"), F.struct(*left.columns).alias("_row"))
+    bounds = group_bounds(keyed, ["_k", "_t", "_s"], group_rows)
+    rates = cand.select(F.xxhash64(*[F.col("rate_" + b).cast("string") for b in by]).alias("_k"), epoch_micros(lo).alias("_t"),
+                        F.coalesce(epoch_micros(hi) - 1, F.lit(_LAST)).alias("_to"), F.struct(*cand.columns).alias("_rate"))
+    k, least, last = F.col("_k"), F.lit(_LEAST), F.lit(_LAST)
+    rates = rates.withColumn("_g", F.explode(F.sequence(group_of(bounds, [k, F.col("_t"), least]), group_of(bounds, [k, F.col("_to"), last]))))
+    rows = keyed.withColumn("_g", group_of(bounds, [k, F.col("_t"), F.col("_s")]))
+    none = F.lit(None)
+    both = (rates.select("_g", *[F.col(f"_rate.rate_{b}").cast("string").alias(f"_by_{b}") for b in by], "_t", F.lit(0).alias("_side"),
+                         none.cast(rows.schema["_row"].dataType).alias("_row"), "_rate")
+            .unionByName(rows.select("_g", *[F.col(f"_row.{b}").cast("string").alias(f"_by_{b}") for b in by], "_t", F.lit(1).alias("_side"),
+                                     "_row", none.cast(rates.schema["_rate"].dataType).alias("_rate"))))
+    before = Window.partitionBy("_g", *[f"_by_{b}" for b in by]).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    found = (both.repartition(len(bounds), "_g").withColumn("_found", F.last("_rate", ignorenulls=True).over(before))
+             .filter("_side = 1").select("_row.*", "_found"))
+    end = F.col(f"_found.{hi}")
+    hit = F.col("_found").isNotNull() & (end.isNull() | (F.col(t) < end)) & F.col(t).isNotNull()
+    if how == "inner":
+        found = found.filter(hit)
+    names = [c for c in cand.columns if c != "_seg_end"]
+    return found.select(*left.columns, *[F.when(hit, F.col(f"_found.{c}")).alias(c) for c in names])
 
 
 def _with_cost(df: DataFrame, rate_cols: Sequence[str], per_row: bool = False) -> DataFrame:
@@ -170,7 +232,7 @@ def _no_rates(cons: DataFrame, rates: DataFrame, by: Sequence[str], how: str) ->
     """Readings when there is no rate: NULL rate columns of the right types for a left join."""
     if how != "left":
         return cons
-    cand = _prefixed(rates, by)
+    cand = _prefixed(normalise_rates(rates), by)
     out = cons.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in cand.schema if f.name.startswith("rate_")])
     return _with_cost(out, cand.columns)
 
@@ -191,71 +253,109 @@ def rate_join(cons: DataFrame, rates: DataFrame, by: Sequence[str] = ("tariff_co
     cons = normalise_readings(cons)
     if "valid_from" not in rates.columns:
         return cons
-    norm = normalise_rates(rates)
-    stats = _candidate_stats(norm, by, "valid_from")
+    cand, stats = staged_rates(normalise_rates(rates), by)
     if stats.rows == 0:
-        return _no_rates(cons, norm, by, how)
-    strategy = stats.strategy() if strategy == "auto" else strategy
-    cand = _prefixed(rate_segments(norm, by), by)
-    out = _point_join(cons, cand, by, "interval_start", "rate_valid_from", "_seg_end", how,
-                      strategy, stats, broadcast_max_rows)
+        return _no_rates(cons, rates, by, how)
+    strategy = stats.strategy(broadcast_max_rows) if strategy == "auto" else strategy
+    if strategy == "merge":
+        out = _merge_join(cons, cand, by, "interval_start", "rate_valid_from", "_seg_end", how)
+    else:
+        out = _point_join(cons, cand, by, "interval_start", "rate_valid_from", "_seg_end", how,
+                          strategy, stats, broadcast_max_rows)
     rate_cols = [c for c in cand.columns if c.startswith("rate_")]
     return _with_cost(out, rate_cols, per_row_rate)
 
 
+def staged_rates(rates: DataFrame, by: Sequence[str], disjoint: bool = True) -> tuple[DataFrame, CandidateStats]:
+    """Rates, as as-of segments if ``disjoint``, with the prefix of rate columns, written once to the shared folder, and their statistics:
+    however costly the rates are to make, it happens once."""
+    cand = staged(_prefixed(rate_segments(rates, by) if disjoint else rates, by), "rates")
+    return cand, _candidate_stats(cand, ["rate_" + b for b in by], "rate_valid_from", "_seg_end" if disjoint else "rate_valid_to")
+
+
 def rate_join_interval(cons: DataFrame, rates: DataFrame, by: Sequence[str] = ("tariff_code",),
                        how: str = "inner", strategy: str = "auto",
                        broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Every rate whose ``[valid_from, valid_to)`` covers ``interval_start``."""
     by = list(by)
     cons = normalise_readings(cons)
-    r = normalise_rates(rates)
-    stats = _candidate_stats(r, by, "valid_from")
+    cand, stats = staged_rates(normalise_rates(rates), by, disjoint=False)
     if stats.rows == 0:
-        return _no_rates(cons, r, by, how)
-    strategy = stats.strategy() if strategy == "auto" else strategy
-    cand = _prefixed(r, by)
+        return _no_rates(cons, rates, by, how)
+    # Overlapping rates: several may hold at once, so there is no merge; without a broadcast both sides meet by key and day.
+    if strategy == "auto":
+        strategy = "key" if stats.max_per_key <= KEY_JOIN_MAX_CANDIDATES else "bucket"
     out = _point_join(cons, cand, by, "interval_start", "rate_valid_from", "rate_valid_to", how,
                       strategy, stats, broadcast_max_rows)
     return _with_cost(out, [c for c in cand.columns if c.startswith("rate_")])
 
 
 def rate_join_prorated(cons: DataFrame, rates: DataFrame, by: Sequence[str] = ("tariff_code",),
-                       broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                       broadcast_max_rows: int = BROADCAST_MAX_ROWS, remainder: bool = False) -> DataFrame:
     """Split each reading over the as-of segments it overlaps.
 
     ``weight`` = overlap / reading length; ``cost`` = consumption x weight x unit rate.
     Overlap join on day buckets: a reading and a segment meet only in the first day both
     cover (clipped like :func:`rate_join`), so each pair is emitted once.
+
+    With ``remainder`` the parts of a reading that no segment covers come out too, with NULL rate columns and cost and, in
+    ``unpriced_from`` and ``unpriced_to``, what they cover; the weights of a reading then add up to 1.  The parts are the key's gaps:
+    before its first segment, between segments and after the last.  Without any rate the rate columns are there, all NULL.
     """
     by = list(by)
     cons = normalise_readings(cons)
-    norm = normalise_rates(rates)
-    stats = _candidate_stats(norm, by, "valid_from")
-    if stats.rows == 0:
+    if "valid_from" not in rates.columns:
         return cons
-    cand = _prefixed(rate_segments(norm, by), by).filter(F.col("_seg_end").isNull() | (F.col("_seg_end") > F.col("rate_valid_from")))
-    clip_day = F.to_date(_ts_lit(stats.clip))
-    s, e, a, b = F.col("interval_start"), F.col("interval_end"), F.col("rate_valid_from"), F.col("_seg_end")
-    rows = _day_rows(cand, "rate_valid_from", "_seg_end", clip_day)
-    cand = cand.withColumn("_rb", F.explode(_day_range(cand, "rate_valid_from", "_seg_end", clip_day)))
-    left = cons.withColumn("_lb", F.explode(F.sequence(F.least(utc_date(s), clip_day),
-                                                          F.least(utc_date(plus_micros(e, -1)), clip_day))))
-    if stats.may_broadcast(rows, broadcast_max_rows):
+    cand, stats = staged_rates(normalise_rates(rates), by)
+    rate_cols = [c for c in cand.columns if c.startswith("rate_")]
+    cand = cand.filter(F.col("_seg_end").isNull() | (F.col("_seg_end") > F.col("rate_valid_from")))
+    cand = cand.withColumns({"_lo": F.col("rate_valid_from"), "_hi": F.col("_seg_end"), **{f"_by_{b}": F.col(f"rate_{b}") for b in by}})
+    if remainder:
+        cand = cand.unionByName(_gaps(cand, by), allowMissingColumns=True)
+    none = F.lit(None).cast("date")
+    floor_day, clip_day = (F.to_date(_ts_lit(x)) if stats.rows else none for x in (stats.floor, stats.clip))
+    s, e, a, b = F.col("interval_start"), F.col("interval_end"), F.col("_lo"), F.col("_hi")
+    first = F.greatest(F.least(utc_date(s), clip_day), floor_day)
+    days = F.sequence(first, F.greatest(first, F.least(utc_date(plus_micros(e, -1)), clip_day)))
+    left, cand, same_day = _meet_days(cons, cand, "_lo", "_hi", F.coalesce(days, F.array(none)), floor_day, clip_day)
+    # A key's gaps have no more day rows than its segments, and those of all days from the floor to the clip.
+    span = (stats.clip.date() - stats.floor.date()).days + 2 if stats.rows else 0
+    if stats.may_broadcast(stats.day_rows + (stats.day_rows + stats.keys * span if remainder else 0), broadcast_max_rows):
         cand = F.broadcast(cand)
-    cond = F.col("_lb") == F.col("_rb")
+    cond = same_day[0] & same_day[1] & (a < e) & (b.isNull() | (s < b)) & \
+        (F.col("_lb") == F.least(F.greatest(utc_date(s), utc_date(a), floor_day), clip_day))
     for k in by:
-        cond = cond & (left[k] == cand["rate_" + k])
-    cond = cond & (a < e) & (b.isNull() | (s < b)) & \
-        (F.col("_lb") == F.least(F.greatest(utc_date(s), utc_date(a)), clip_day))
-    j = left.join(cand, cond, "inner")
-    ov_end = F.least(e, F.coalesce(b, e))
-    j = j.withColumn("overlap_us", micros_between(F.greatest(s, a), ov_end)) \
-         .withColumn("weight", F.col("overlap_us") / micros_between(s, e))
-    out = _with_cost(j.drop("_lb", "_rb"), [c for c in cand.columns if c.startswith("rate_")])
+        cond = (F.col(k) == F.col(f"_by_{k}")) & cond
+    j = left.join(cand, cond, "left" if remainder else "inner")
+    if remainder:
+        # A reading of a key without rates, or of unknown extent, is one unpriced part; on its other days nothing was found.
+        alone = a.isNull() & (F.col("_lb").isNull() | (F.col("_lb") == first))
+        j = j.filter(a.isNotNull() | alone)
+    start, end = F.greatest(s, a), F.least(e, F.coalesce(b, e))
+    j = j.withColumn("overlap_us", micros_between(start, end)).withColumn(
+        "weight", F.col("overlap_us") / F.nullif(micros_between(s, e), F.lit(0)))
+    if remainder:
+        bare = F.col("rate_valid_from").isNull()
+        j = j.withColumns({"weight": F.coalesce("weight", F.lit(1.0)), "unpriced_from": F.when(bare, start), "unpriced_to": F.when(bare, end)})
+    out = _with_cost(j, rate_cols)
     if "cost" in out.columns:
         out = out.withColumn("cost", F.col("cost").cast("double") * F.col("weight"))
-    return out.withColumnRenamed("_seg_end", "rate_segment_end")
+    return out.drop("_lb", "_rb", "_ls", "_rs", "_lo", "_hi", *[f"_by_{k}" for k in by]).withColumnRenamed("_seg_end", "rate_segment_end")
+
+
+#: Where the gap before a key's first rate begins.
+_EARLIEST = "0001-01-01 00:00:00"
+
+
+def _gaps(cand: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``(_by_*, _lo, _hi)``: the key's times that none of its disjoint segments covers."""
+    w = Window.partitionBy(*[f"_by_{b}" for b in by]).orderBy("_lo")
+    nxt, prev = F.lead("_lo").over(w), F.lag("_lo").over(w)
+    spans = cand.select(*[F.col(f"_by_{b}") for b in by], F.array(
+        F.when(prev.isNull(), F.struct(ntz_lit(_EARLIEST).alias("lo"), F.col("_lo").alias("hi"))),
+        F.when(F.col("_hi").isNotNull() & (nxt.isNull() | (F.col("_hi") < nxt)), F.struct(F.col("_hi").alias("lo"), nxt.alias("hi")))).alias("_gaps"))
+    gaps = spans.select(*[f"_by_{b}" for b in by], F.explode(F.filter("_gaps", lambda g: g.isNotNull())).alias("_g"))
+    return gaps.select(*[f"_by_{b}" for b in by], F.col("_g.lo").alias("_lo"), F.col("_g.hi").alias("_hi"))
 
 
 def unmatched_intervals(costed_left: DataFrame, by: Sequence[str]) -> DataFrame:

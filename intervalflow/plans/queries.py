@@ -161,6 +161,36 @@ def rate_prorated(spark, sf):
     return j.select(*M, "interval_start", "rate_valid_from", "rate_segment_end", "weight", "cost")
 
 
+@query("rate_asof_merge", with_ctes("costed_left") + f"""
+SELECT event_id, {MSQL}, interval_start, rate_valid_from, rate_valid_to, {money_sql('unit_rate')} AS unit_rate, {money_sql('cost')} AS cost
+FROM costed_left""")
+def rate_asof_merge(spark, sf):
+    """The as-of join by a merge in order of (tariff, time), as it is done where the rates are too many to broadcast: two hot tariffs."""
+    j = rate_ops.rate_join(fx.consumption(spark, sf), fx.rates(spark, sf), how="left", strategy="merge")
+    return j.select("event_id", *M, "interval_start", "rate_valid_from", "rate_valid_to", money("unit_rate").alias("unit_rate"), money("cost").alias("cost"))
+
+
+@query("rate_prorated_remainder", with_ctes("cons", "segments") + f""",
+r AS (SELECT * FROM segments WHERE tariff_code = '{fx.TARIFF_ELECTRICITY}' AND (seg_end IS NULL OR seg_end > valid_from)),
+o AS (SELECT *, lead(valid_from) OVER w AS nxt, lag(valid_from) OVER w AS prv FROM r WINDOW w AS (PARTITION BY tariff_code ORDER BY valid_from)),
+parts AS (
+  SELECT tariff_code, valid_from AS lo, seg_end AS hi, valid_from, value_inc_vat FROM r
+  UNION ALL SELECT tariff_code, seg_end, nxt, NULL, NULL FROM o WHERE seg_end IS NOT NULL AND (nxt IS NULL OR seg_end < nxt)
+  UNION ALL SELECT tariff_code, TIMESTAMP '0001-01-01 00:00:00', valid_from, NULL, NULL FROM o WHERE prv IS NULL),
+cut AS (SELECT c.*, p.lo, p.valid_from, p.value_inc_vat, greatest(c.interval_start, p.lo) AS a, least(c.interval_end, coalesce(p.hi, c.interval_end)) AS b
+  FROM cons c LEFT JOIN parts p ON c.tariff_code = p.tariff_code AND p.lo < c.interval_end AND (p.hi IS NULL OR c.interval_start < p.hi))
+SELECT event_id, {MSQL}, interval_start, valid_from AS rate_valid_from,
+       CASE WHEN lo IS NULL THEN 1.0 ELSE (epoch_us(b) - epoch_us(a)) / (epoch_us(interval_end) - epoch_us(interval_start)) END AS weight,
+       CASE WHEN valid_from IS NULL THEN a END AS unpriced_from, CASE WHEN valid_from IS NULL THEN b END AS unpriced_to,
+       CAST(CAST(consumption * value_inc_vat AS DECIMAL(18,6)) AS DOUBLE) * (epoch_us(b) - epoch_us(a)) / (epoch_us(interval_end) - epoch_us(interval_start)) AS cost
+FROM cut""")
+def rate_prorated_remainder(spark, sf):
+    """Gas has no rates here, electricity has gaps: what is not priced comes out as parts of its own."""
+    rates = fx.rates(spark, sf).filter(F.col("tariff_code") == fx.TARIFF_ELECTRICITY)
+    j = rate_ops.rate_join_prorated(fx.consumption(spark, sf), rates, remainder=True)
+    return j.select("event_id", *M, "interval_start", "rate_valid_from", "weight", "unpriced_from", "unpriced_to", "cost")
+
+
 _P = parse_sql("string_split(tariff_code, '-')")
 
 

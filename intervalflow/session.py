@@ -12,7 +12,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -55,3 +55,10 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh, never reused path below the shared checkpoint root; its writer creates it."""
     root = checkpoint_root(spark)
     return f"{root.rstrip('/')}/intervalflow-scratch/{tag}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to a fresh table in the shared folder and read back: computed once, and safe from lost executors."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

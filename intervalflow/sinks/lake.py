@@ -6,11 +6,13 @@ Writes
   hot partition over several tasks (several files in its folder) and packs small ones
   together, instead of one task per partition value as a plain ``repartition`` would.
 * Partition replace is idempotent (K9): the stored rows of the touched partitions are
-  unioned with the new rows, de-duplicated with an explicit precedence, materialised with
-  ``checkpoint()`` in the session's shared checkpoint folder (this cuts the
-  read-then-overwrite lineage, so no task re-reads a partition being replaced), and only
-  then written over the lake with ``partitionOverwriteMode=dynamic``.  A re-run of the
-  same batch yields the same table.
+  unioned with the new rows, de-duplicated with an explicit precedence and written over the
+  lake with ``partitionOverwriteMode=dynamic``.  Spark stages all new files and replaces
+  partitions only when every task has ended, so reading and replacing is one job and a lost
+  executor or a failed job leaves the lake as it was.  Null partition values are merged like
+  any other.  A re-run of the same batch yields the same table.
+* The lake's columns are kept in a small file beside it (``<root>-schema``), written when a
+  load brings a column that the lake does not have; no load opens the footers of the lake.
 * Typed sinks are append-safe: a load replaces stored rows that have its keys and keeps all
   others of the partitions it touches (another device, meter or half of the day).
   Plain Parquet has no multi-partition atomic commit; a table format would add that.
@@ -23,7 +25,9 @@ DATE): partition inference would turn the id ``007`` into the number 7.
 
 from __future__ import annotations
 
+import json
 import uuid
+from dataclasses import dataclass
 from functools import reduce
 from typing import Sequence
 
@@ -34,7 +38,8 @@ from pyspark.sql import types as T
 
 from ..operators.rates import normalise_readings
 from ..operators.dedup import keep_first
-from ..session import checkpoint_root, scratch_path
+from ..session import scratch_path
+from . import files
 
 # Default layout: day x meter hash bucket.  The reference's one-folder-per-meter-per-day
 # layout (``REFERENCE_CONSUMPTION_PARTS``) yields 48-row files - about 10^10 files at
@@ -49,13 +54,6 @@ HEATING_PARTS = ["record_kind", "date"]
 HEATING_SORT = ["trv", "timestamp"]
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def write_partitioned(df: DataFrame, root: str, partition_cols: Sequence[str] | None = None,
                       dedup_cols: Sequence[str] | None = None, order: str | None = None,
                       mode: str = "dynamic", max_records_per_file: int = 5_000_000,
@@ -91,7 +89,7 @@ def read_lake(spark: SparkSession, root: str, schema: T.StructType, legacy_root:
     """S7 (+S8): read the lake with an explicit schema; with ``legacy_root`` the old layout is
     read too and the new layout wins for rows with equal ``keys``."""
     def one(path: str) -> DataFrame | None:
-        if not _path_exists(spark, path):
+        if not files.exists(spark, path):
             return None
         return spark.read.schema(schema).option("basePath", path).parquet(path)
 
@@ -108,50 +106,90 @@ def read_lake(spark: SparkSession, root: str, schema: T.StructType, legacy_root:
         both.drop("_src").distinct()
 
 
+@dataclass(frozen=True)
+class Extent:
+    """What a batch touches: rows, first and last ``date``, and whether some partition value is null."""
+
+    rows: int
+    first: object = None
+    last: object = None
+    nulls: bool = False
+
+
+def _any_null(cols: Sequence[str]) -> F.Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+
+
+def batch_extent(batch: DataFrame, partition_cols: Sequence[str]) -> Extent:
+    """One aggregate over the batch's partition columns."""
+    day = "date" if "date" in partition_cols else None
+    row = batch.agg(F.count(F.lit(1)), F.min(day or F.lit(None)), F.max(day or F.lit(None)), F.bool_or(_any_null(partition_cols))).first()
+    return Extent(row[0], row[1], row[2], bool(row[3]))
+
+
 def touched_partitions(spark: SparkSession, root: str, schema: T.StructType, batch: DataFrame,
-                       partition_cols: Sequence[str]) -> DataFrame | None:
+                       partition_cols: Sequence[str], extent: Extent | None = None) -> DataFrame | None:
     """Stored rows of the partitions a batch touches (None for an empty batch).
 
     Static pruning that holds for any batch size - the batch's ``date`` range from a one-row,
     column-pruned aggregate - plus dynamic partition pruning from the semi-join on the exact
-    partition values.  Only these partitions are read, however large the lake is.
+    partition values.  Only these partitions are read, however large the lake is.  Partitions with a null
+    value, which an equi-join never finds, are looked up null-safely, if the batch has such rows.
     """
+    extent = extent or batch_extent(batch, partition_cols)
+    if not extent.rows:
+        return None
     stored = read_lake(spark, root, schema)
-    if "date" in partition_cols:
-        lo, hi = batch.agg(F.min("date"), F.max("date")).first()
-        if lo is None:
-            return None
-        stored = stored.filter(F.col("date").between(F.lit(lo), F.lit(hi)))
+    within = F.col("date").between(F.lit(extent.first), F.lit(extent.last)) if extent.first is not None else F.lit(True)
     touched = batch.select(*partition_cols).distinct()
-    return stored.join(touched, list(partition_cols), "left_semi").select(*schema.fieldNames())
+    cols = schema.fieldNames()
+    out = stored.filter(within).join(touched, list(partition_cols), "left_semi").select(*cols)
+    if extent.nulls:
+        if extent.first is not None:
+            within = within | F.col("date").isNull()
+        gaps = touched.filter(_any_null(partition_cols)).select(*[F.col(c).alias(f"_p_{c}") for c in partition_cols])
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in partition_cols])
+        out = out.unionByName(stored.filter(_any_null(partition_cols) & within).join(gaps, same, "left_semi").select(*cols))
+    return out
+
+
+def _stored_values(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Folder names do not tell an empty string from null: both are stored as null."""
+    text = [c for c in partition_cols if isinstance(df.schema[c].dataType, T.StringType)]
+    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in text}) if text else df
 
 
 def merge_partitions(df: DataFrame, root: str, schema: T.StructType, partition_cols: Sequence[str],
                      keys: Sequence[str], order: Sequence[str] | str | None = None,
-                     prefer: str = "order") -> None:
+                     prefer: str = "order", extent: Extent | None = None) -> None:
     """K9: idempotent replace of the partitions touched by ``df``.
 
     Rows equal on ``keys`` are resolved by ``prefer``: ``order`` keeps the row first in
     ``order`` wherever it is stored (keep-first arrival across loads), ``new`` / ``existing``
     rank that side first and use ``order`` within it.  Only touched partitions are read back: the stored lake is
     semi-joined with the batch's distinct partition values, which Spark turns into
-    partition pruning.
+    partition pruning.  A caller that has persisted ``df`` passes its ``extent``.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)  # checkpoint() below needs the shared folder registered
     cols = schema.fieldNames()
-    batch = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)  # read for the dates, the partitions and the merge
+    batch = _stored_values(df.select(*cols), partition_cols)
+    own = extent is None
+    if own:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read for its extent, its partitions and the merge
     try:
-        old = touched_partitions(spark, root, schema, batch, partition_cols)
+        extent = extent or batch_extent(batch, partition_cols)
+        old = touched_partitions(spark, root, schema, batch, partition_cols, extent)
         if old is None:
             return
         rank_new, rank_old = {"new": (0, 1), "existing": (1, 0)}.get(prefer, (0, 0))
         both = batch.withColumn("_side", F.lit(rank_new)).unionByName(old.withColumn("_side", F.lit(rank_old)))
         merged = keep_first(both, list(keys), ["_side", *([order] if isinstance(order, str) else order or [])]).drop("_side")
         sort = [c for c in METER_SORT if c in cols]
-        write_partitioned(merged.checkpoint(eager=True), root, partition_cols, mode="dynamic", sort_cols=sort)
+        save_schema(spark, root, schema)
+        write_partitioned(merged, root, partition_cols, mode="dynamic", sort_cols=sort)
     finally:
-        batch.unpersist()
+        if own:
+            batch.unpersist()
 
 
 def replace_keys(df: DataFrame, root: str, partition_cols: Sequence[str], keys: Sequence[str],
@@ -160,11 +198,10 @@ def replace_keys(df: DataFrame, root: str, partition_cols: Sequence[str], keys:
     are replaced by all of ``df``'s rows with those keys; every other stored row stays.
 
     Loads that repeat a batch change nothing; loads of other keys only add.  Columns that only one side
-    has are kept, null on the other.
+    has are kept, null on the other.  Keys must tell their partition: a row whose key moves to another partition stays in both.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)
-    batch = df.persist(StorageLevel.MEMORY_AND_DISK)
+    batch = _stored_values(df, partition_cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         schema = lake_schema(spark, root, schema or batch.schema, batch)
         new = batch.select(*[(F.col(f.name) if f.name in batch.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
@@ -174,18 +211,40 @@ def replace_keys(df: DataFrame, root: str, partition_cols: Sequence[str], keys:
         mine = new.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
         same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
         merged = new.unionByName(old.join(mine, same, "left_anti"))
-        write_partitioned(merged.checkpoint(eager=True), root, partition_cols, mode="dynamic",
+        save_schema(spark, root, schema)
+        write_partitioned(merged, root, partition_cols, mode="dynamic",
                           sort_cols=[c for c in sort_cols if c in merged.columns])
     finally:
         batch.unpersist()
 
 
+def _schema_folder(root: str) -> str:
+    return root.rstrip("/") + "-schema"
+
+
+def saved_schema(spark: SparkSession, root: str) -> T.StructType | None:
+    """The columns that the loads of a lake have written so far; None for a lake without such a record."""
+    found = [n for n in files.names(spark, _schema_folder(root)) if n.endswith(".json") and not n.startswith(".")]
+    return T.StructType.fromJson(json.loads(files.read_text(spark, f"{_schema_folder(root)}/{found[-1]}"))) if found else None
+
+
+def save_schema(spark: SparkSession, root: str, schema: T.StructType) -> None:
+    """Record the lake's columns in a new file, if they are not those recorded last."""
+    if saved_schema(spark, root) != schema:
+        done = [n for n in files.names(spark, _schema_folder(root)) if n.endswith(".json") and not n.startswith(".")]
+        number = int(done[-1].split(".")[0]) + 1 if done else 1
+        files.write_text(spark, f"{_schema_folder(root)}/{number:08d}.json", schema.json())
+
+
 def lake_schema(spark: SparkSession, root: str, declared: T.StructType, batch: DataFrame) -> T.StructType:
-    """Declared columns, then other columns of the stored files, then other columns of the batch."""
+    """Declared columns, then other columns of the lake, then other columns of the batch.  The lake's columns come from its own record;
+    a lake that other tools wrote has none, and its footers are read for its first load alone."""
     fields = {f.name: f for f in declared}
-    if _path_exists(spark, root):
-        for f in spark.read.option("mergeSchema", "true").parquet(root).schema:
-            fields.setdefault(f.name, f)
+    stored = saved_schema(spark, root)
+    if stored is None and files.exists(spark, root):
+        stored = spark.read.option("mergeSchema", "true").parquet(root).schema
+    for f in stored or []:
+        fields.setdefault(f.name, f)
     for f in batch.schema:
         fields.setdefault(f.name, f)
     return T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()])
@@ -252,60 +311,123 @@ def write_consumption(df: DataFrame, root: str, order: str | None = "event_id",
     # D2 happens inside the merge: its keep-first over (batch + stored) also resolves
     # duplicates within the batch, so no separate de-dup shuffle is needed.
     spark = df.sparkSession
-    prepared = prepare_consumption(df, buckets=buckets)
-    full = lake_schema(spark, root, schema, prepared)
-    good, bad = quarantine(lake_rows(df, full, buckets), ["date"])
-    if not bad.isEmpty():
-        _append_rejected(quarantine(prepared, ["date"])[1], df, quarantine_root or root.rstrip("/") + "-quarantine")
-    merge_partitions(good, root, full, list(partition_cols), CONSUMPTION_KEYS,
-                     order=[order] if order and order in prepared.columns else None, prefer=prefer)
+    full = lake_schema(spark, root, schema, prepare_consumption(df, buckets=buckets))
+    prepared = prepare_consumption(df.withColumn("_raw", F.struct(*df.columns)), buckets=buckets)
+    rows = prepared.select(*[(F.col(f.name) if f.name in prepared.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in full],
+                           F.when(F.col("date").isNull(), F.to_json("_raw")).alias("_rejected"))
+    rows = _stored_values(rows, partition_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        good, bad = quarantine(rows, ["date"])
+        every = batch_extent(rows, partition_cols)
+        n_bad = 0 if every.first is not None and not every.nulls else bad.count()
+        if n_bad:
+            append_rejected(bad.select(F.col("_rejected").alias("row")), quarantine_root or root.rstrip("/") + "-quarantine")
+        if every.first is not None:
+            extent = batch_extent(good, partition_cols) if n_bad else every
+            merge_partitions(good, root, full, list(partition_cols), CONSUMPTION_KEYS, prefer=prefer, extent=extent,
+                             order=[order] if order and order in prepared.columns else None)
+    finally:
+        rows.unpersist()
 
 
-def _append_rejected(bad: DataFrame, source: DataFrame, root: str) -> None:
-    """Rejected rows as one JSON text column: their raw columns may be of any type."""
-    bad.select(F.to_json(F.struct(*[F.col(c) for c in bad.columns if c in source.columns])).alias("row")).write.mode("append").parquet(root)
+def append_rejected(rows: DataFrame, root: str, reason: str = "no time") -> None:
+    """Rejected rows ``row`` (their raw columns as one JSON text, since they may be of any type) join the side table ``root``."""
+    rows.select("row", F.lit(reason).alias("reason")).write.mode("append").parquet(root)
+
+
+def _with_times(df: DataFrame, ts_col: str, root: str) -> DataFrame:
+    """Rows whose ``ts_col`` is known, with ``date``; the others join the side table."""
+    out = df.withColumn("date", F.to_date(ts_col))
+    bad = df.filter(F.to_date(ts_col).isNull())
+    if not bad.isEmpty():
+        append_rejected(bad.select(F.to_json(F.struct(*df.columns)).alias("row")), root.rstrip("/") + "-quarantine", f"no {ts_col}")
+    return out.filter(F.col("date").isNotNull())
 
 
 def write_costed(df: DataFrame, root: str, buckets: int = METER_BUCKETS) -> None:
     """K4: costed readings, partitioned like consumption, no de-dup; a load replaces the (meter, interval) rows
-    that it has and keeps all others."""
-    out = df.withColumn("date", F.to_date("interval_end")).withColumn("meter_bucket", meter_bucket(buckets))
-    replace_keys(out, root, CONSUMPTION_PARTS, CONSUMPTION_KEYS, sort_cols=METER_SORT)
+    that it has and keeps all others.  Rows without a usable end join ``<root>-quarantine``."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = _with_times(df, "interval_end", root).withColumn("meter_bucket", meter_bucket(buckets))
+        replace_keys(out, root, CONSUMPTION_PARTS, CONSUMPTION_KEYS, sort_cols=METER_SORT)
+    finally:
+        df.unpersist()
 
 
 def write_unit_rates(df: DataFrame, root: str, order: str | None = None) -> None:
     """K3 + D3: ``energy=/product=/tariff=/date=`` with ``date`` = UTC date of ``valid_from``.  Conflicting rates of one
-    key resolve by ``order``, else to the smallest row; a load replaces the keys that it has."""
+    key resolve by ``order``, else to the smallest row; a load replaces the keys that it has.  Codes without a product are
+    stored under the null product; rates without a start join ``<root>-quarantine``."""
     keys = [c for c in ("valid_from", "valid_to", "tariff_code") if c in df.columns]
-    out = keep_first(df, keys, order) if keys else df
-    out = out.withColumn("product", F.col("product_code")).withColumn("tariff", F.col("tariff_code")) \
-             .withColumn("date", F.to_date("valid_from"))
-    replace_keys(out, root, RATE_PARTS, keys or RATE_PARTS)
+    out = (keep_first(df, keys, order) if keys else df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        dated = _with_times(out, "valid_from", root).withColumn("product", F.col("product_code")).withColumn("tariff", F.col("tariff_code"))
+        replace_keys(dated, root, RATE_PARTS, keys or RATE_PARTS)
+    finally:
+        out.unpersist()
 
 
 def write_heating(df: DataFrame, root: str) -> None:
     """K5-K8: demand and temperature rows kept apart by ``record_kind`` (X2), per device/day, no de-dup.  A load replaces
-    the (device, kind, sensor, time) rows that it has; other devices and times of the day stay."""
-    out = df.withColumn("trv", F.coalesce(*[F.col(c) for c in ("trv_id", "device_id") if c in df.columns])) \
-            .withColumn("date", F.to_date("timestamp"))
-    keys = [c for c in ("record_kind", "trv", "sensor_type", "timestamp") if c in out.columns]
-    replace_keys(out, root, HEATING_PARTS, keys, sort_cols=HEATING_SORT)
+    the (device, kind, sensor, time) rows that it has; other devices and times of the day stay.  Records without a time join
+    ``<root>-quarantine``."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = _with_times(df, "timestamp", root).withColumn("trv", F.coalesce(*[F.col(c) for c in ("trv_id", "device_id") if c in df.columns]))
+        keys = [c for c in ("record_kind", "trv", "sensor_type", "timestamp") if c in out.columns]
+        replace_keys(out, root, HEATING_PARTS, keys, sort_cols=HEATING_SORT)
+    finally:
+        df.unpersist()
+
+
+def write_curated(df: DataFrame, root: str, domain: str, date_col: str = "date", keys: Sequence[str] = ("home_id", "date")) -> None:
+    """``domain=/date=`` layout.  A load replaces the rows that have its ``keys`` and keeps all others, so homes may come one by one."""
+    replace_keys(df.withColumn("domain", F.lit(domain)), root, ["domain", date_col], ["domain", *keys])
+
+
+#: Size that compaction packs files to.
+TARGET_BYTES = 256 << 20
 
 
-def write_curated(df: DataFrame, root: str, domain: str, date_col: str = "date") -> None:
-    """``domain=/date=`` layout."""
-    write_partitioned(df.withColumn("domain", F.lit(domain)), root, ["domain", date_col])
+def partition_files(spark: SparkSession, root: str, schema: T.StructType, partition_cols: Sequence[str]) -> DataFrame:
+    """``(*partition_cols, n_files, bytes)`` of a lake, from the listing of its folders: no file is opened."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(root)
+
+    def value(c: str) -> F.Column:
+        text = F.regexp_extract("path", f"/{c}=([^/]*)/", 1)
+        return F.when(text != "__HIVE_DEFAULT_PARTITION__", F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))).cast(schema[c].dataType)
+
+    return listed.select(*[value(c).alias(c) for c in partition_cols], "length").groupBy(*partition_cols).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
 
 
 def compact(spark: SparkSession, root: str, schema: T.StructType, partition_cols: Sequence[str],
-            where=None) -> None:
-    """Rewrite (some) partitions into fewer, larger files via a staged dynamic overwrite."""
-    checkpoint_root(spark)
-    df = read_lake(spark, root, schema)
+            where=None, target_bytes: int = TARGET_BYTES) -> None:
+    """Rewrite the partitions that have more files than their bytes need at ``target_bytes`` each; files of other partitions stay as
+    they are.  ``where`` (on the partition columns) limits the partitions looked at.  One job reads and replaces them, as in a merge."""
+    found = partition_files(spark, root, schema, partition_cols)
+    wanted = F.ceil(F.col("bytes") / F.lit(target_bytes)).cast("int")
+    todo = found.select(*partition_cols, "n_files", wanted.alias("_wanted")).filter(F.col("n_files") > F.col("_wanted"))
     if where is not None:
-        df = df.filter(where)
-    sort = [c for c in METER_SORT if c in schema.fieldNames()]
-    write_partitioned(df.checkpoint(eager=True), root, partition_cols, mode="dynamic", sort_cols=sort)
+        todo = todo.filter(where)
+    todo = todo.drop("n_files").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if todo.isEmpty():
+            return
+        df = read_lake(spark, root, schema)
+        known = ~_any_null(partition_cols)
+        mine = df.join(todo.filter(known), list(partition_cols)).select(*schema.fieldNames(), "_wanted")
+        gaps = todo.filter(~known).select(*[F.col(c).alias(f"_p_{c}") for c in partition_cols], "_wanted")
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in partition_cols])
+        mine = mine.unionByName(df.filter(~known).join(gaps, same).select(*schema.fieldNames(), "_wanted"))
+        sort = [c for c in METER_SORT if c in schema.fieldNames()] or [c for c in schema.fieldNames() if c not in partition_cols][:1]
+        piece = F.pmod(F.xxhash64(*sort[:3]), F.col("_wanted"))
+        packed = mine.withColumn("_piece", piece).repartition(*partition_cols, "_piece").sortWithinPartitions(*partition_cols, *sort)
+        (packed.drop("_wanted", "_piece").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_cols).parquet(root))
+    finally:
+        todo.unpersist()
 
 
 def quarantine(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -159,10 +159,9 @@ def test_asof_plan_broadcasts_checked_side_and_skips_reading_shuffle(spark):
     cons = fx.consumption(spark, SF_SMALL).checkpoint()
     rates = fx.rates(spark, SF_SMALL)
     plan = _plan(R.rate_join(cons, rates, strategy="bucket"))
-    segs = _plan(R.rate_segments(R.normalise_rates(rates), ["tariff_code"]))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    # every hash exchange belongs to building the rate segments: readings are not shuffled
-    assert plan.count("Exchange hashpartitioning") == segs.count("Exchange hashpartitioning")
+    # the rate segments are staged and the readings are not shuffled
+    assert "Exchange hashpartitioning" not in plan
 
 
 def test_asof_plan_over_bound_shuffles_on_tariff_and_day(spark):
@@ -179,8 +178,59 @@ def test_asof_plan_over_bound_shuffles_on_tariff_and_day(spark):
 
 
 def test_strategy_choice_follows_rate_shape(spark):
-    two = R._candidate_stats(R.normalise_rates(fx.rates(spark, SF_SMALL)), ["tariff_code"], "valid_from")
-    many = R._candidate_stats(R.normalise_rates(fx.rates(spark, SF_SMALL, "many")), ["tariff_code"], "valid_from")
+    two = R.staged_rates(R.normalise_rates(fx.rates(spark, SF_SMALL)), ["tariff_code"])[1]
+    many = R.staged_rates(R.normalise_rates(fx.rates(spark, SF_SMALL, "many")), ["tariff_code"])[1]
     assert two.strategy() == "bucket" and two.max_per_key > R.KEY_JOIN_MAX_CANDIDATES
     assert many.strategy() == "key" and many.max_per_key <= R.KEY_JOIN_MAX_CANDIDATES
     assert two.clip is not None and two.row_bytes > 0
+    assert two.strategy(0) == many.strategy(0) == "merge"           # nothing may be broadcast
+
+
+@pytest.mark.parametrize("shape", ["two", "many"])
+def test_merge_join_equals_the_others(spark, shape):
+    """One hot tariff and many, left join, groups far smaller than a tariff's readings, rows that cannot be hashed."""
+    cons = fx.consumption(spark, SF_SMALL) if shape == "two" else fx.consumption_many_keys(spark, SF_SMALL)
+    cons = cons.withColumn("extra", F.create_map(F.lit("k"), F.col("event_id")))
+    rates = fx.rates(spark, SF_SMALL, shape)
+    cols = ["event_id", "interval_start", "tariff_code", "rate_tariff_code", "rate_valid_from", "rate_valid_to", "rate_value_inc_vat"]
+    cand, _ = R.staged_rates(R.normalise_rates(rates), ["tariff_code"])
+    want = R.rate_join(cons, rates, how="left", strategy="bucket").select(*cols)
+    for rows in (40, 10**6):
+        got = R._merge_join(cons, cand, ["tariff_code"], "interval_start", "rate_valid_from", "_seg_end", "left", rows).select(*cols)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    inner = R.rate_join(cons, rates, broadcast_max_rows=0)
+    assert "unit_rate" in inner.columns and inner.count() == want.filter("rate_valid_from IS NOT NULL").count()
+
+
+def test_merge_join_shuffles_once_without_day_rows(spark):
+    cons = fx.consumption(spark, SF_SMALL).checkpoint()
+    cand, _ = R.staged_rates(R.normalise_rates(fx.rates(spark, SF_SMALL)), ["tariff_code"])
+    plan = _plan(R._merge_join(cons, cand, ["tariff_code"], "interval_start", "rate_valid_from", "_seg_end", "left", 200))
+    assert plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning(_g") == 1 and "Join" not in plan
+
+
+def test_merge_join_of_null_keys_and_times(spark):
+    t = "2024-01-01 00:00:00"
+    cons = spark.createDataFrame([(1, None, t), (2, "T", None), (3, "T", t), (4, "T", "2023-12-31 23:59:59"), (5, "U", t)], "id int, tariff_code string, s string") \
+                .select("id", "tariff_code", F.to_timestamp_ntz("s").alias("interval_start"))
+    rates = spark.createDataFrame([("T", t, 1.0), (None, t, 2.0)], "tariff_code string, valid_from string, value_inc_vat double")
+    got = {r.id: r.unit_rate for r in R.rate_join(cons, rates, how="left", strategy="merge").collect()}
+    assert got == {1: None, 2: None, 3: 1.0, 4: None, 5: None}
+
+
+def test_prorated_remainder_adds_up(spark):
+    rows = [("T", "2024-01-01 00:00:00", "2024-01-01 00:15:00", 0.3), ("T", "2024-01-01 00:20:00", "2024-01-02 00:10:00", 0.1), ("T", "2024-03-01 00:00:00", None, 0.5)]
+    rates = spark.createDataFrame(rows, "tariff_code string, valid_from string, valid_to string, value_inc_vat double")
+    times = ["2023-12-31 23:45:00", "2024-01-01 00:00:00", "2024-01-01 23:45:00", "2024-02-10 10:00:00", "2030-01-01 00:00:00", "1969-05-05 00:00:00"]
+    cons = spark.createDataFrame([(i, k, t, 1.0) for i, t in enumerate(times) for k in ("T", "U")], "id int, tariff_code string, s string, consumption double") \
+                .select("id", "tariff_code", F.to_timestamp_ntz("s").alias("interval_start"), (F.to_timestamp_ntz("s") + F.expr("INTERVAL 30 MINUTES")).alias("interval_end"), "consumption")
+    for empty in (False, True):
+        used = rates.limit(0) if empty else rates
+        out = R.rate_join_prorated(cons, used, remainder=True)
+        sums = out.groupBy("id", "tariff_code").agg(F.sum("weight").alias("w"), F.count("cost").alias("priced")).collect()
+        assert len(sums) == 12 and all(abs(r.w - 1) < 1e-12 for r in sums)
+        assert {"rate_valid_from", "unit_rate", "cost", "rate_segment_end"} <= set(out.columns)
+        got = sorted((r.id, str(r.unpriced_from)[11:16], str(r.unpriced_to)[11:16]) for r in out.filter("cost IS NULL AND tariff_code = 'T'").collect())
+        part = [(0, "23:45", "00:00"), (1, "00:15", "00:20"), (2, "00:10", "00:15"), (3, "10:00", "10:30"), (5, "00:00", "00:30")]
+        assert empty or got == part
+    assert R.rate_join_prorated(cons, rates.limit(0)).count() == 0
