@@ -118,7 +118,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, values: dict[str, Col
     """``docs`` with the columns ``values`` (expressions of a document) and ``next_<name>`` of each: its value in the next document in ascending
     order of the id, after the last one the first.
 
-    Null ids come first; rows that repeat an id stand in the order of their text's hash, so the next document of a repeated row may be its
+    Null ids come first (as the least 64-bit number); rows that repeat an id stand in the order of their text's hash, so the next document of a repeated row may be its
     repeat.  A single document is its own next one.  Documents are dealt into groups of consecutive ids; each group's first documents also
     go to the group before as guards, so one exchange is enough.  Documents that repeat both id and text share a group."""
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST))

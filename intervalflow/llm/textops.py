@@ -1,24 +1,27 @@
 """Vectorised text kernels used inside Arrow tasks: word and line hashes, shingles, n-grams.
 
-Words are ``[^\\x20\\x09-\\x0D]+`` everywhere.  All hashes are 64 bit; a segment's hash is a
-polynomial over its bytes, taken from one prefix sum, then mixed.
+Words are ``[^\\x20\\x09-\\x0D]+`` everywhere.  Hashes are 64 bit.  Up to eight bytes of UTF-8 hash one to one.  Up to 64 bytes run through two
+chains of 64 bits, each mixed after every eight bytes; longer ranges are digests (BLAKE2b).  ``Hasher.digests`` has 32 bits more, of which the same
+holds, for those who must tell any two words of a corpus apart.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-_BASE = U(0x9E3779B97F4A7C15)                    # odd, so it has an inverse modulo 2**64
-_INV = U(pow(int(_BASE), -1, 1 << 64))
 SLICE_BYTES = 1 << 20
+#: Odd constants without structure, and the longest range that is chained.
+_ONE, _TWO, _CHAINED = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93), 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (bijective)."""
-    x = np.asarray(x, dtype=U).copy()
-    x ^= x >> U(30)
+    x = np.asarray(x, dtype=U)
+    x = x ^ (x >> U(30))
     x *= U(0xBF58476D1CE4E5B9)
     x ^= x >> U(27)
     x *= U(0x94D049BB133111EB)
@@ -26,32 +29,59 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=U)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 class Hasher:
-    """Holds the tables of powers of one task, as long as the longest text or slice it has seen."""
-
-    def __init__(self) -> None:
-        self.pw = self.inv = np.zeros(0, U)
+    """Hashes of byte ranges."""
 
     def segments(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hash of every byte range ``data[start:end]``; a whole range counts, however long."""
+        return self.digests(data, starts, ends)[0]
+
+    def digests(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hash of every byte range and 32 more bits of its digest (zero for up to eight bytes, which need none)."""
         if not len(starts):
-            return np.zeros(0, U)
-        if len(data) > len(self.pw):
-            n = max(len(data), SLICE_BYTES * 5 // 4)
-            self.pw, self.inv = powers(_BASE, n), powers(_INV, n)
-        total = np.zeros(len(data) + 1, U)
-        terms = total[1:]
-        np.add(data, U(1), out=terms)
-        terms *= self.pw[:len(data)]
-        np.cumsum(terms, out=terms)
-        h = (total[ends] - total[starts]) * self.inv[starts]
-        return mix(h ^ mix((ends - starts).astype(U)))
+            return np.zeros(0, U), np.zeros(0, np.uint32)
+        words = np.zeros(len(data) // 8 + 3, U)
+        words.view(np.uint8)[:len(data)] = data
+
+        def block(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+            """Eight bytes from ``at`` on; of fewer the last one says how many there are, with a value that UTF-8 never has."""
+            i, shift = at >> 3, ((at & 7) << 3).astype(U)
+            v = (words[i] >> shift) | (words[i + 1] << U(1) << (U(63) - shift))
+            part = np.flatnonzero(n < 8)
+            bits = (n[part] << 3).astype(U)
+            v[part] = (v[part] & ((U(1) << bits) - U(1))) | (U(0xF8) + n[part].astype(U)) << U(56)
+            return v
+
+        starts, n = np.asarray(starts, np.int64), np.asarray(ends, np.int64) - starts
+        out = mix(block(starts, n))
+        extra = np.zeros(len(out), np.uint32)
+        some = np.flatnonzero((n > 8) & (n <= _CHAINED))
+        if len(some):
+            size = n[some]
+            a, b = mix(size.astype(U) * _ONE), mix(size.astype(U) * _TWO)
+            for k in range(0, _CHAINED, 8):
+                live = np.flatnonzero(size > k)
+                if not len(live):
+                    break
+                v = block(starts[some[live]] + k, np.minimum(size[live] - k, 8))
+                a[live], b[live] = mix(a[live] ^ v), mix((b[live] + v) * _TWO)
+            out[some] = mix(a + (b << U(32) | b >> U(32)))
+            extra[some] = mix(b ^ mix(a ^ _ONE)).astype(np.uint32) | np.uint32(1)
+        long_ = np.flatnonzero(n > _CHAINED)
+        if len(long_):
+            view = memoryview(np.ascontiguousarray(data))
+            made = b"".join(hashlib.blake2b(view[s:e], digest_size=16).digest() for s, e in zip(starts[long_].tolist(), (starts + n)[long_].tolist()))
+            both = np.frombuffer(made, U).reshape(-1, 2)
+            out[long_], extra[long_] = both[:, 0], both[:, 1].astype(np.uint32) | np.uint32(1)
+        return out, extra
+
+
+def chain(columns: list[np.ndarray]) -> np.ndarray:
+    """One hash of several, in their order; each is mixed in before the next."""
+    h = mix(columns[0] ^ _ONE)
+    for c in columns[1:]:
+        h = mix(h * _TWO + c)
+    return h
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
@@ -106,21 +136,17 @@ def shingles(words: np.ndarray, first: np.ndarray, k: int, short: bool = True) -
     a row of 1 to k-1 words has one shingle: its whole sequence."""
     n = np.diff(first)
     row = rows_of(first)
-    weights = powers(_INV, k)
     if len(words) >= k:
-        h = np.zeros(len(words) - k + 1, U)
-        for j in range(k):
-            h += words[j:len(words) - k + 1 + j] * weights[j]
-        at = np.flatnonzero(row[:len(h)] == row[k - 1:])
-        out_row, out_hash = row[at], mix(h[at])
+        at = np.flatnonzero(row[:len(words) - k + 1] == row[k - 1:])
+        out_row, out_hash = row[at], chain([words[at + j] for j in range(k)])
     else:
         at = out_row = np.zeros(0, np.int64)
         out_hash = np.zeros(0, U)
-    few = np.flatnonzero((n > 0) & (n < k)) if short else []
-    if len(few):
-        whole = np.array([(words[first[i]:first[i + 1]] * weights[:n[i]]).sum(dtype=U) + U(n[i]) for i in few], U)
+    for m in range(1, k) if short else ():
+        few = np.flatnonzero(n == m)
+        whole = chain([words[first[few] + j] for j in range(m)])
         out_row = np.concatenate([out_row, few])
-        out_hash = np.concatenate([out_hash, mix(mix(whole))])
+        out_hash = np.concatenate([out_hash, mix(whole + U(m))])
         at = np.concatenate([at, first[few]])
     return out_row, out_hash, at
 

@@ -2,8 +2,8 @@
 
 The words (or other pieces) that a ``cut`` function finds in the texts are counted, each distinct one is encoded once by the caller, and the
 codes go back to the texts in their order.  The way back is a dictionary of the words that are frequent for their size, at most ``limit`` of them
-and at most ``DICTIONARY_BYTES``, sorted by a 64-bit hash: (hash, place, ids) and an index of leading bits in flat arrays, broadcast.  Words beyond
-it are resolved exactly by a join; only texts that hold such a word are shuffled for that.
+and at most ``DICTIONARY_BYTES``, sorted by a 64-bit hash: (hash, 32 bits more of the digest, place, ids) and an index of leading bits in flat
+arrays, broadcast.  Words beyond it are resolved exactly by a join; only texts that hold such a word are shuffled for that.
 """
 
 from __future__ import annotations
@@ -20,9 +20,9 @@ from . import textops as tx
 from .storage import stage
 
 #: The dictionary's bounds, whichever is met first.  A word counts with the bytes of its ids and, beside them, of its hash, its place and the index.
-DICTIONARY_WORDS, DICTIONARY_BYTES, WORD_BYTES = 5_000_000, 150_000_000, 20
-#: Text that a counting task holds.
-COUNT_BYTES = 24 << 20
+DICTIONARY_WORDS, DICTIONARY_BYTES, WORD_BYTES = 5_000_000, 128_000_000, 18
+#: Text that a counting task holds, and words whose bytes are gathered at once.
+COUNT_BYTES, GATHERED_WORDS = 12 << 20, 1 << 15
 #: Counts from here on are told apart no more when the dictionary's least counts are chosen, so a bounded table comes to the driver.
 LEVELS = 100_000
 
@@ -39,16 +39,20 @@ def text_bytes(col: pa.Array) -> list[bytes]:
 def count(docs: DataFrame, text_col: str, cut: Callable[[list[bytes]], Cut]) -> DataFrame:
     """``(chunk, n)``: the distinct words of all texts.  Tasks count first, in blocks of ``COUNT_BYTES`` of text."""
     def distinct(held: list[tuple]) -> pa.RecordBatch:
-        """Words are told apart by hash; each one's bytes are copied once."""
+        """Words are told apart by 96 bits of digest; each one's bytes are copied once."""
         sizes = np.cumsum([0] + [len(d) for d, *_ in held])
         data = np.concatenate([d for d, *_ in held])
-        hashes, counts, starts, ends = (np.concatenate(x) for x in zip(*(
-            (h, n, s + at, e + at) for (_, h, n, s, e), at in zip(held, sizes))))
-        _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        hashes, checks, counts, starts, ends = (np.concatenate(x) for x in zip(*(
+            (h, c, n, s + at, e + at) for (_, h, c, n, s, e), at in zip(held, sizes))))
+        first, back = _distinct(hashes, checks)
         size = (ends - starts)[first]
         to = np.concatenate([[0], np.cumsum(size)])
-        flat = data[np.arange(to[-1]) - np.repeat(to[:-1] - starts[first], size)]
-        words = pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(to.astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())])
+        flat = np.empty(to[-1], np.uint8)
+        for k in range(0, len(first), GATHERED_WORDS):
+            a, b = to[k], to[min(k + GATHERED_WORDS, len(first))]
+            part = slice(k, k + GATHERED_WORDS)
+            flat[a:b] = data[np.arange(a, b) - np.repeat(to[:-1][part] - starts[first[part]], size[part])]
+        words = pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(to.astype(np.int32)), pa.py_buffer(flat)])
         return pa.RecordBatch.from_arrays([words, pa.array(np.bincount(back, counts, len(first)).astype(np.int64))], ["chunk", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,8 +60,9 @@ def count(docs: DataFrame, text_col: str, cut: Callable[[list[bytes]], Cut]) ->
         for batch in batches:
             for part in tx.slices(batch, "text"):
                 data, starts, ends, _ = cut(text_bytes(part.column(0)))
-                hashes, at, n = np.unique(hasher.segments(data, starts, ends), return_index=True, return_counts=True)
-                held.append((data, hashes, n, starts[at], ends[at]))
+                hashes, checks = hasher.digests(data, starts, ends)
+                at, back = _distinct(hashes, checks)
+                held.append((data, hashes[at], checks[at], np.bincount(back, minlength=len(at)), starts[at], ends[at]))
                 if sum(len(d) for d, *_ in held) > COUNT_BYTES:
                     yield distinct(held)
                     held = []
@@ -68,8 +73,17 @@ def count(docs: DataFrame, text_col: str, cut: Callable[[list[bytes]], Cut]) ->
             .groupBy("chunk").agg(F.sum("n").alias("n")))
 
 
-def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(sorted hashes, bounds, ids) of the most frequent of ``words(chunk, n, ids)`` for their size, ``limit`` words and ``DICTIONARY_BYTES``
+def _distinct(hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the first of each distinct (hash, check), and for every entry which of them it is."""
+    _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+    if not (checks == checks[first][back]).all():          # two words of one hash
+        both = np.rec.fromarrays([hashes, checks])
+        _, first, back = np.unique(both, return_index=True, return_inverse=True)
+    return first, back
+
+
+def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """(sorted hashes, their checks, bounds, ids) of the most frequent of ``words(chunk, n, ids)`` for their size, ``limit`` words and ``DICTIONARY_BYTES``
     at most, and how many are not among them.
 
     Words fall into classes by the bits of their number of ids; each class has its own least count, so long words never keep short ones out."""
@@ -91,30 +105,31 @@ def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray
                 to = part.column(1).offsets.to_numpy().astype(np.int64) * kind.itemsize
                 flat = np.ascontiguousarray(part.column(1).values.to_numpy(), kind).tobytes()
                 packed = [flat[a:b] for a, b in zip(to, to[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(hasher.segments(data, bounds[:-1], bounds[1:]).view(np.int64)),
-                                                  pa.array(packed, pa.binary())], ["hash", "ids"])
+                hashes, checks = hasher.digests(data, bounds[:-1], bounds[1:])
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(checks.view(np.int32)), pa.array(packed, pa.binary())],
+                                                 ["hash", "check", "ids"])
 
     taken = level >= F.element_at(F.array(*map(F.lit, least)), kind_of + 1)
-    got = words.where(taken).select("chunk", "ids").mapInArrow(run, "hash long, ids binary").toArrow()
-    hashes = got.column("hash").to_numpy().view(tx.U)
+    got = words.where(taken).select("chunk", "ids").mapInArrow(run, "hash long, check int, ids binary").toArrow()
+    hashes, checks = got.column("hash").to_numpy().view(tx.U), got.column("check").to_numpy().view(np.uint32)
     order = np.argsort(hashes)
-    hashes = hashes[order]
+    hashes, checks = hashes[order], checks[order]
     ids = pa.concat_arrays(got.column("ids").chunks) if got.num_rows else pa.array([], pa.binary())
     del got
     ids = ids.take(pa.array(order))
     data, bounds = tx.raw(ids)
-    return hashes, (bounds // kind.itemsize).astype(np.int32), data.view(kind).copy(), sum(r.k for r in per) - held
+    return hashes, checks, (bounds // kind.itemsize).astype(np.int32), data.view(kind).copy(), sum(r.k for r in per) - held
 
 
-def _find(wanted: np.ndarray, hashes: np.ndarray, index: np.ndarray) -> np.ndarray:
-    """Place of each wanted hash in the sorted ``hashes``, or -1.  ``index`` has where each leading-bits value starts."""
+def _find(wanted: np.ndarray, check: np.ndarray, hashes: np.ndarray, checks: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """Place of each wanted hash and check in the sorted ``hashes``, or -1.  ``index`` has where each leading-bits value starts."""
     shift = tx.U(64 - (len(index) - 1).bit_length() + 1)
     lead = (wanted >> shift).astype(np.int64)
     at, stop = index[lead], index[lead + 1]
     out = np.full(len(wanted), -1, np.int64)
     todo = np.flatnonzero(at < stop)
     while len(todo):
-        hit = hashes[at[todo]] == wanted[todo]
+        hit = (hashes[at[todo]] == wanted[todo]) & (checks[at[todo]] == check[todo])
         out[todo[hit]] = at[todo[hit]]
         todo = todo[~hit]
         at[todo] += 1
@@ -123,10 +138,10 @@ def _find(wanted: np.ndarray, hashes: np.ndarray, index: np.ndarray) -> np.ndarr
 
 
 def _index(hashes: np.ndarray) -> np.ndarray:
-    """Where each value of the leading bits starts in sorted hashes; about as many values as hashes."""
-    bits = max(1, len(hashes).bit_length())
-    lead = (hashes >> tx.U(64 - bits)).astype(np.int64)
-    return np.concatenate([[0], np.cumsum(np.bincount(lead, minlength=1 << bits))]).astype(np.int32)
+    """Where each value of the leading bits starts in sorted hashes; two to four hashes have one value."""
+    bits = max(1, len(hashes).bit_length() - 2)
+    edges = np.arange(1, 1 << bits, dtype=tx.U) << tx.U(64 - bits)
+    return np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]]).astype(np.int32)
 
 
 def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut: Callable[[list[bytes]], Cut], wide: bool,
@@ -135,9 +150,9 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
     four bytes each if ``wide``, else two.  ``words(chunk, n, ids)`` is a staged table.  ``then`` works on the result's batches in
     the same tasks: a function of them, and the columns that it adds (as DDL)."""
     kind = np.dtype("<u4" if wide else "<u2")
-    hashes, to, flat, missing = dictionary(words, limit, kind)
-    shared = docs.sparkSession.sparkContext.broadcast((hashes, _index(hashes), to, flat))
-    del hashes, to, flat
+    hashes, checks, to, flat, missing = dictionary(words, limit, kind)
+    shared = docs.sparkSession.sparkContext.broadcast((hashes, checks, _index(hashes), to, flat))
+    del hashes, checks, to, flat
     src = docs.drop(out_col).withColumn(text_col, F.col(text_col).cast("string"))
     cols, at = src.columns, src.columns.index(text_col)
     extra = ["__row", out_col, "__gaps"] if missing else [out_col]
@@ -146,12 +161,12 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
     listed = not packed and not missing
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, index, to, flat = shared.value
+        hashes, checks, index, to, flat = shared.value
         hasher, row = tx.Hasher(), TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in tx.slices(batch, text_col):
                 data, starts, ends, first = cut(text_bytes(part.column(at)))
-                place = _find(hasher.segments(data, starts, ends), hashes, index)
+                place = _find(*hasher.digests(data, starts, ends), hashes, checks, index)
                 known = place >= 0
                 begin = np.where(known, to[place], 0)
                 n = np.where(known, to[np.minimum(place + 1, len(to) - 1)] - begin, 0)

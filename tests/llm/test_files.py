@@ -49,12 +49,12 @@ def test_dictionary_is_bounded_by_bytes(spark, monkeypatch):
     kind = np.dtype("<u2")
     rows = [("the", 90, [7])] + [(f"line {i} " * 40, 1, list(range(300))) for i in range(50)] + [(f"w{i}", 2, [1, i]) for i in range(20)]
     words = spark.createDataFrame(rows, "chunk string, n long, ids array<int>")
-    assert wordmap.dictionary(words, 100, kind)[3] == 0
+    assert wordmap.dictionary(words, 100, kind)[4] == 0
     monkeypatch.setattr(wordmap, "DICTIONARY_BYTES", 1000)
-    hashes, to, flat, missing = wordmap.dictionary(words, 100, kind)
+    hashes, checks, to, flat, missing = wordmap.dictionary(words, 100, kind)
     assert missing == 50 and len(hashes) == 21 and wordmap.WORD_BYTES * len(hashes) + flat.nbytes <= 1000
     monkeypatch.setattr(wordmap, "DICTIONARY_BYTES", 100)
-    assert wordmap.dictionary(words, 100, kind)[2].tolist() == [7]
+    assert wordmap.dictionary(words, 100, kind)[3].tolist() == [7]
     monkeypatch.setattr(wordmap, "DICTIONARY_BYTES", 2000)
     texts = TEXTS + ["日本語の長い文" * 60 + str(i) for i in range(12)] + ["the cat"] * 5
     table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
@@ -63,6 +63,47 @@ def test_dictionary_is_bounded_by_bytes(spark, monkeypatch):
         assert list(r.ids) == lib.encode(r.text or ""), r.text
 
 
+def thue_morse(n):
+    """A word of a and b and its complement: the standard collision of polynomial hashes modulo powers of two."""
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_collide_elsewhere_have_their_own_ids(spark):
+    import sentencepiece
+    from tokenizers import Tokenizer
+    lib, coder = sentencepiece.SentencePieceProcessor(model_proto=_proto()), Tokenizer.from_file(public_tokenizers.path(tokenfile.VOCABULARY))
+    texts = dict(enumerate([w for n in (16, 64, 1024, 2048) for w in thue_morse(n)]))
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    assert all(list(r.ids) == lib.encode(r.text) for r in sp.encode(table).collect())
+    path = scratch_path(spark, "morse")
+    tokenfile.write_tokens(table, path)
+    for r in tokenfile.read_tokens(spark, path).collect():
+        assert list(r.ids) == coder.encode(texts[r.doc_id], add_special_tokens=False).ids + [tokenfile.END_ID]
+
+
+def test_equal_hashes_are_told_apart_by_the_check(spark, monkeypatch):
+    """Every word gets one hash; the other bits of the digest must do."""
+    plain = wordmap.tx.Hasher.digests
+
+    def crowded(self, data, starts, ends):
+        h, _ = plain(self, data, starts, ends)
+        return h & np.uint64(1 << 63), h.astype(np.uint32)
+    rows = [("one", 5, [1]), ("two", 4, [2, 2]), ("three", 3, [3]), ("four", 2, [4])]
+    data = np.frombuffer(b"twofouronetwosix", np.uint8)
+    starts, ends = np.array([0, 3, 7, 10, 13]), np.array([3, 7, 10, 13, 16])
+    words = np.frombuffer("".join(w for w, *_ in rows).encode(), np.uint8)
+    cut = np.cumsum([0] + [len(w) for w, *_ in rows])
+    monkeypatch.setattr(wordmap.tx.Hasher, "digests", crowded)
+    hasher = wordmap.tx.Hasher()
+    h, c = hasher.digests(words, cut[:-1], cut[1:])
+    order = np.argsort(h)
+    place = wordmap._find(*hasher.digests(data, starts, ends), h[order], c[order], wordmap._index(h[order]))
+    assert [rows[order[p]][0] if p >= 0 else None for p in place] == ["two", "four", "one", "two", None]
+    first, back = wordmap._distinct(*hasher.digests(data, starts, ends))
+    assert len(first) == 4 and back[0] == back[3] and len(set(back.tolist())) == 4
+
+
 def test_sentencepiece_pieces_encode_to_themselves(spark):
     """The fold replays the merges because every piece's own merges have better scores."""
     import sentencepiece

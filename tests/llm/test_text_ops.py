@@ -64,6 +64,29 @@ def test_word_hashes_and_shingles():
     assert list(row) == [0, 0, 1, 3] and len(set(sh.tolist())) == 4
 
 
+def test_hashes_have_no_written_collisions():
+    words = [b"a", b"a\x00", b"\x00", "é".encode(), b"abcdefgh", b"abcdefghi", b"abcdefg", "\U0010ffff".encode()]
+    for n in (8, 16, 32, 64, 128, 1024, 4096):
+        word = bytes(97 + (bin(i).count("1") & 1) for i in range(n))
+        words += [word, word.translate(bytes.maketrans(b"ab", b"ba")), word[::-1] + b"b"]
+    words = list(dict.fromkeys(words))
+    data, cut = np.frombuffer(b"".join(words), np.uint8), np.cumsum([0] + [len(w) for w in words])
+    h, check = tx.Hasher().digests(data, cut[:-1], cut[1:])
+    assert len(set(h.tolist())) == len(words) and all((c > 0) == (len(w) > 8) for w, c in zip(words, check))
+    alone = [tx.Hasher().segments(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0] for w in words]
+    assert alone == h.tolist()
+
+
+def test_rules_and_shingles_tell_such_words_apart(spark):
+    from intervalflow.llm import minhash
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = rules.ledger(spark.createDataFrame([(1, f"{word}\n{other}\n"), (2, f"{word}\n{word}\n")], "doc_id long, text string"))
+    assert sorted((r.doc_id, r.n_dup_lines) for r in rows.collect()) == [(1, 0), (2, 1)]
+    pairs = spark.createDataFrame([(1, " ".join([word] * 6)), (2, " ".join([other] * 6)), (3, " ".join([word] * 6))], "doc_id long, text string")
+    assert sorted((r.id, r.component_id) for r in minhash.near_duplicates(pairs).collect()) == [(1, 1), (2, 2), (3, 1)]
+
+
 def test_long_positions_hash_like_short_ones():
     data = np.frombuffer(b"x" * 200_000 + b" word " + b"y" * 70_000 + b" word", np.uint8)
     s, e, _ = tx.word_bounds(data, np.array([0, len(data)]))
