@@ -40,7 +40,8 @@ def unparsable_reports(parsed: DataFrame) -> DataFrame:
     Spark also flags a report with one ill-typed point as corrupt while parsing the rest; such
     a report is kept (the bad point is dropped by the flatteners), as in the reference."""
     nothing = F.col("rep.callForHeat").isNull() & F.col("rep.measuredData").isNull() & F.col("rep.settings").isNull()
-    return parsed.filter(F.col("rep").isNull() | (F.col(f"rep.{CORRUPT}").isNotNull() & nothing)).drop("rep")
+    bad = parsed.filter(F.col("rep").isNull() | (F.col(f"rep.{CORRUPT}").isNotNull() & nothing))
+    return bad.withColumn("value", F.col(f"rep.{CORRUPT}")).drop("rep")
 
 
 def trv_devices(devices: DataFrame, type_col: str = "device_type") -> DataFrame:
@@ -130,15 +131,15 @@ def temperature_records(parsed: DataFrame, device_col: str = "device_id", zone_c
     return _temperature_cols(_explode_records(parsed, [_inside_array(), _target_array()], device_col, zone_col))
 
 
-def heating_records(parsed: DataFrame, device_col: str = "device_id", zone_col: str = "zone_id") -> DataFrame:
+def heating_records(parsed: DataFrame, device_col: str = "device_id", zone_col: str = "zone_id", keep_invalid: bool = False) -> DataFrame:
     """U1 in one pass (R5): demand and temperature rows of every report from a single
-    explode, tagged ``record_kind``, with ``date`` from the UTC time stamp."""
+    explode, tagged ``record_kind``, with ``date`` from the UTC time stamp.  Records whose time does not parse (X14) go unless ``keep_invalid``."""
     r = _explode_records(parsed, [_demand_array(), _inside_array(), _target_array()], device_col, zone_col)
     f, t = F.col("ts_raw"), F.col("to_raw")
     is_d = F.col("record_kind") == "demand"
     bad_end = is_d & f.isNotNull() & (f != "") & t.isNotNull() & (t != "") & (to_utc(f).isNull() | to_utc(t).isNull())
     ts = to_utc(f)
-    out = r.filter(~bad_end & ts.isNotNull()).select(
+    out = r.filter(~bad_end & (ts.isNotNull() | F.lit(keep_invalid))).select(
         "record_kind",
         F.when(is_d, F.col("_device")).alias("trv_id"), F.col("_zone").alias("zone_id"),
         F.when(is_d, F.lit(True)).alias("requested"), "heat_demand", ts.alias("timestamp"),

@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timefns import micros_between, plus_micros, to_utc_col
+from ..functions.timefns import epoch_micros, epoch_ntz, micros_between, plus_micros, to_utc_col
 
 HALF_HOUR_US = 1_800_000_000
 
@@ -45,17 +45,42 @@ def missing_intervals(df: DataFrame, by: Sequence[str], end_col: str = "interval
     return g.drop("_mn", "_mx")
 
 
-def gap_slots(df: DataFrame, by: Sequence[str], start_col: str = "interval_start",
-              step: str = "30 minutes") -> DataFrame:
-    """A10: the missing slot starts between each group's first and last slot.
+def gap_runs(df: DataFrame, by: Sequence[str], start_col: str = "interval_start", step_us: int = HALF_HOUR_US) -> DataFrame:
+    """A10: ``(*by, run_start, run_end, n_slots)``, one row for each run of missing slots between a group's first and last slot; ``run_end`` is the
+    first slot after the run.
 
-    The expected grid is generated per group with ``sequence`` (its size is the group's own
-    span, never a cross product) and anti-joined with the slots present.
-    """
-    bounds = df.groupBy(*by).agg(F.min(start_col).alias("_lo"), F.max(start_col).alias("_hi"))
-    grid = bounds.select(*by, F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step}"))).alias("slot_start"))
-    present = df.select(*by, F.col(start_col).alias("slot_start"))
-    return grid.join(present, list(by) + ["slot_start"], "left_anti")
+    Gaps and islands: a group's distinct slots are sorted once and each looks at the next one; the grid itself is never built.  The grid
+    starts at the group's first slot; readings off it do not fill a slot.  A group is one meter's history, one row a slot at most."""
+    slots = df.select(*by, epoch_micros(start_col).alias("_t")).filter(F.col("_t").isNotNull()).distinct()
+    w = Window.partitionBy(*by)
+    lo, hi, step = F.min("_t").over(w), F.max("_t").over(w), F.lit(step_us)
+    end = F.col("_lo") + (F.floor((F.col("_hi") - F.col("_lo")) / step) + 1) * step
+    on_grid = slots.withColumns({"_lo": lo, "_hi": hi}).filter(F.pmod(F.col("_t") - F.col("_lo"), step) == 0)
+    runs = on_grid.withColumn("_next", F.coalesce(F.lead("_t").over(w.orderBy("_t")), end)).filter(F.col("_next") - F.col("_t") > step)
+    return runs.select(*by, plus_micros(epoch_ntz(), F.col("_t") + step).alias("run_start"), plus_micros(epoch_ntz(), F.col("_next")).alias("run_end"),
+                       (F.floor((F.col("_next") - F.col("_t")) / step) - 1).alias("n_slots"))
+
+
+def gap_slots(df: DataFrame, by: Sequence[str], start_col: str = "interval_start", step_us: int = HALF_HOUR_US) -> DataFrame:
+    """A10: the missing slot starts between each group's first and last slot: the runs of missing slots, one row a slot."""
+    slots = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n_slots") - 1), lambda k: plus_micros("run_start", k * step_us))
+    return gap_runs(df, by, start_col, step_us).select(*by, F.explode(slots).alias("slot_start"))
+
+
+def gap_trend(runs: DataFrame, by: Sequence[str] = (), step_us: int = HALF_HOUR_US) -> DataFrame:
+    """A10: ``(*by, date, n_missing, n_runs)`` of ``gap_runs`` rows: missing slots of each UTC day, and the runs they belong to.  A run is cut at
+    midnights only, so a long one makes a row a day, not a row a slot."""
+    days = runs.withColumn("date", F.explode(F.sequence(F.to_date("run_start"), F.to_date(plus_micros("run_end", -1)))))
+    start = epoch_micros("run_start")
+
+    def slots_before(t) -> F.Column:
+        """Slots of the run that start before an instant."""
+        return F.ceil((F.least(epoch_micros(t), epoch_micros("run_end")) - start) / F.lit(step_us))
+
+    midnight = F.col("date").cast("timestamp_ntz")
+    n = slots_before(F.date_add("date", 1).cast("timestamp_ntz")) - F.greatest(slots_before(midnight), F.lit(0).cast("long"))
+    per = days.withColumn("_n", n).filter(F.col("_n") > 0)
+    return per.groupBy(*by, "date").agg(F.sum("_n").alias("n_missing"), F.count(F.lit(1)).alias("n_runs"))
 
 
 def profile(df: DataFrame, time_cols: Sequence[str] = ("interval_start", "interval_end", "interval"),

@@ -118,6 +118,37 @@ def order_tariff_code(o: DataFrame) -> Column:
     return F.when(F.pmod("o_orderkey", F.lit(11)) == 0, F.concat(letter, F.lit("-1R"))).otherwise(full)
 
 
+# Length in days of a billing period and how many a meter has; every bill of the second and third residue of (user + number) mod 3
+# differs from the cost of its days by the given factor.
+BILL_DAYS, BILLS = 9, 4
+BILL_FACTORS = ("1.0000", "1.0050", "1.2000")
+
+
+def bills(spark: SparkSession, sf_dir: str, daily: DataFrame) -> DataFrame:
+    """Bills of every meter: periods of nine days that begin up to four days into January and so split months; the amount follows the cost of the
+    days (``daily`` totals).  Bills with (user + number) mod 7 = 3 were never sent; users with id mod 11 = 0 have one more, for June."""
+    uid = F.col("mpan_mprn").cast("long")
+    first = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(uid, F.lit(5)).cast("int"))
+    meters = daily.select(*METER_KEYS).distinct()
+    numbers = F.concat(F.sequence(F.lit(0), F.lit(BILLS - 1)), F.when(F.pmod(uid, F.lit(11)) == 0, F.array(F.lit(17))).otherwise(F.array().cast("array<int>")))
+    sent = meters.select(*METER_KEYS, F.explode(numbers).alias("no")).filter(F.pmod(uid + F.col("no"), F.lit(7)) != 3)
+    sent = sent.select(*METER_KEYS, "no", F.date_add(first, F.col("no") * BILL_DAYS).alias("period_start"), F.date_add(first, (F.col("no") + 1) * BILL_DAYS).alias("period_end"))
+    days = daily.select(*[F.col(k).alias(f"_{k}") for k in METER_KEYS], "usage_date", "cost")
+    inside = (F.col("usage_date") >= F.col("period_start")) & (F.col("usage_date") < F.col("period_end"))
+    same = (F.col("kind") == F.col("_kind")) & (F.col("mpan_mprn") == F.col("_mpan_mprn")) & (F.col("serial") == F.col("_serial"))
+    cost = sent.join(days, same & inside, "left").groupBy(*METER_KEYS, "no", "period_start", "period_end").agg(F.coalesce(F.sum("cost"), F.lit(5)).alias("c"))
+    factor = F.element_at(F.array(*[F.lit(f).cast("decimal(6,4)") for f in BILL_FACTORS]), (F.pmod(uid + F.col("no"), F.lit(3)) + 1).cast("int"))
+    return cost.select(*METER_KEYS, F.concat(F.col("mpan_mprn"), F.lit("/"), F.col("no").cast("string")).alias("bill_id"), "period_start", "period_end",
+                       (F.col("c").cast("decimal(18,6)") * factor).cast("decimal(18,6)").alias("billed_amount"))
+
+
+def rates_before(rates_now: DataFrame) -> DataFrame:
+    """What the rates were before a correction of about one in a hundred: others in value, in their end, or not known yet."""
+    pick = F.pmod(F.xxhash64("tariff_code", "valid_from"), F.lit(300))
+    return (rates_now.filter(pick != 0).withColumn("value_inc_vat", F.when(pick == 1, F.col("value_inc_vat") * 2).otherwise(F.col("value_inc_vat")).cast("decimal(18,4)"))
+            .withColumn("valid_to", F.when(pick == 2, plus_micros("valid_from", MINUTE_US)).otherwise(F.col("valid_to"))))
+
+
 # ---------------------------------------------------------------- documents
 DAY_US = 86_400_000_000
 AS_OF = "1998-01-01 00:00:00"

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import energy_from_code, parse_tariff_code
 from ..operators import quality, rates as rate_ops, rollups
 from ..operators.dedup import dedup_rates
+from ..session import staged
 from ..sources import scans
 from . import fixtures as fx
 from .sql_fixtures import energy_sql, money as money_sql, parse_sql, tariff_code_sql, with_ctes
@@ -260,6 +261,28 @@ def gap_slots(spark, sf):
     return quality.gap_slots(fx.consumption_raw(spark, sf), M).select(*M, "slot_start")
 
 
+_GRID_SQL = f"""
+, b AS (SELECT {MSQL}, min(interval_start) AS lo, max(interval_start) AS hi FROM cons_raw GROUP BY {MSQL})
+, grid AS (SELECT {MSQL}, unnest(generate_series(lo, hi, INTERVAL 30 MINUTE)) AS slot FROM b)
+, gaps AS (SELECT g.* FROM grid g WHERE NOT EXISTS (
+    SELECT 1 FROM cons_raw c WHERE c.kind = g.kind AND c.mpan_mprn = g.mpan_mprn AND c.serial = g.serial AND c.interval_start = g.slot))
+, numbered AS (SELECT *, epoch_us(slot) // 1800000000 - row_number() OVER (PARTITION BY {MSQL} ORDER BY slot) AS run FROM gaps)"""
+
+
+@query("gap_runs", with_ctes("cons_raw") + _GRID_SQL + f"""
+SELECT {MSQL}, min(slot) AS run_start, max(slot) + INTERVAL 30 MINUTE AS run_end, count(*) AS n_slots FROM numbered GROUP BY {MSQL}, run""")
+def gap_runs(spark, sf):
+    return quality.gap_runs(fx.consumption_raw(spark, sf), M)
+
+
+@query("gap_trend", with_ctes("cons_raw") + _GRID_SQL + f"""
+SELECT kind, {day_sql('slot')} AS date, count(*) AS n_missing, count(DISTINCT ({MSQL}, run)) AS n_runs
+FROM numbered GROUP BY kind, CAST(slot AS DATE)""")
+def gap_trend(spark, sf):
+    trend = quality.gap_trend(quality.gap_runs(fx.consumption_raw(spark, sf), M), ["kind"])
+    return trend.select("kind", day("date").alias("date"), "n_missing", "n_runs")
+
+
 # ---------------------------------------------------------------- tariff codes
 @query("tariff_parse", f"""
 SELECT o_orderkey, tariff_code, {_P['kind']} AS kind, {_P['register']} AS register,
@@ -787,6 +810,44 @@ def bill(spark, sf):
                     money("total_cost").alias("total_cost"))
 
 
+_FACTOR_SQL = "list_extract([" + ", ".join(f"CAST({f} AS DECIMAL(6,4))" for f in fx.BILL_FACTORS) + "], CAST((uid + no) % 3 AS INTEGER) + 1)"
+
+
+@query("bill_reconciliation", with_ctes("costed_left") + f""",
+daily AS (SELECT {MSQL}, CAST(interval_start AS DATE) AS d, sum(consumption) AS kwh, sum(cost) AS cost, count(*) AS n, count(cost) AS np
+          FROM costed_left GROUP BY ALL),
+meters AS (SELECT DISTINCT {MSQL}, CAST(mpan_mprn AS BIGINT) AS uid FROM daily),
+sent AS (SELECT *, DATE '2024-01-01' + CAST(uid % 5 AS INTEGER) + no * {fx.BILL_DAYS} AS p0, DATE '2024-01-01' + CAST(uid % 5 AS INTEGER) + (no + 1) * {fx.BILL_DAYS} AS p1
+         FROM (SELECT *, unnest(CASE WHEN uid % 11 = 0 THEN [0, 1, 2, 3, 17] ELSE [0, 1, 2, 3] END) AS no FROM meters) WHERE (uid + no) % 7 <> 3),
+amounts AS (SELECT s.*, mpan_mprn || '/' || CAST(no AS VARCHAR) AS bill_id,
+  CAST(CAST(coalesce((SELECT sum(cost) FROM daily d WHERE d.kind = s.kind AND d.mpan_mprn = s.mpan_mprn AND d.serial = s.serial AND d.d >= p0 AND d.d < p1), 5)
+       AS DECIMAL(18,6)) * {_FACTOR_SQL} AS DECIMAL(18,6)) AS billed FROM sent s),
+ch(kind, standing) AS (VALUES {", ".join(f"('{k}', CAST({v} AS DECIMAL(18,4)))" for k, v in {"electricity": "0.4500", "gas": "0.3000"}.items())}),
+billed AS (SELECT a.kind, a.mpan_mprn, a.serial, bill_id, p0, p1, billed, sum(kwh) AS kwh, sum(cost) AS energy, count(n) AS days_used,
+             coalesce(sum(n - np), 0) AS unpriced
+           FROM amounts a LEFT JOIN daily d ON d.kind = a.kind AND d.mpan_mprn = a.mpan_mprn AND d.serial = a.serial AND d.d >= p0 AND d.d < p1 GROUP BY ALL),
+open AS (SELECT {MSQL}, min(d) AS p0, max(d) + 1 AS p1, sum(kwh) AS kwh, sum(cost) AS energy, count(n) AS days_used, sum(n - np) AS unpriced
+         FROM daily d WHERE NOT EXISTS (SELECT 1 FROM amounts a WHERE d.kind = a.kind AND d.mpan_mprn = a.mpan_mprn AND d.serial = a.serial AND d.d >= p0 AND d.d < p1)
+         GROUP BY {MSQL}, date_trunc('month', d)),
+every AS (SELECT {MSQL}, bill_id, p0, p1, billed, kwh, energy, days_used, unpriced, coalesce(energy, 0) + standing * (p1 - p0) AS expected FROM billed JOIN ch USING (kind)
+          UNION ALL SELECT {MSQL}, NULL, p0, p1, NULL, kwh, energy, days_used, unpriced, energy FROM open)
+SELECT {MSQL}, bill_id, CAST(p0 AS TIMESTAMP) AS period_start, CAST(p1 AS TIMESTAMP) AS period_end, days_used, {money_sql('kwh')} AS kwh, {money_sql('energy')} AS energy_cost,
+       CAST(unpriced AS BIGINT) AS n_unpriced, {money_sql('expected')} AS expected, {money_sql('billed')} AS billed_amount, {money_sql('billed - expected')} AS variance,
+       CASE WHEN bill_id IS NULL THEN 'unbilled' WHEN days_used = 0 THEN 'no_usage' WHEN unpriced > 0 THEN 'unpriced'
+            WHEN abs(billed - expected) <= 0.05 * abs(expected) THEN 'within' WHEN billed > expected THEN 'over' ELSE 'under' END AS status
+FROM every""")
+def bill_reconciliation(spark, sf):
+    """Bills of nine days that split months, some never sent, some for days without readings, against cost and standing charges."""
+    j = rate_ops.rate_join(fx.consumption(spark, sf), fx.rates(spark, sf), how="left")
+    daily = staged(rollups.usage_daily(j, M), "daily")
+    charges = spark.createDataFrame([(k, v) for k, v in STANDING.items()], "kind string, standing_charge string") \
+                   .select("kind", F.col("standing_charge").cast("decimal(18,4)").alias("standing_charge"))
+    r = rollups.reconcile_bills(daily, fx.bills(spark, sf, daily), M, 0.05, charges, ["kind"])
+    return r.select(*M, "bill_id", day("period_start").alias("period_start"), day("period_end").alias("period_end"), "days_used", money("kwh").alias("kwh"),
+                    money("energy_cost").alias("energy_cost"), "n_unpriced", money("expected").alias("expected"), money("billed_amount").alias("billed_amount"),
+                    money("variance").alias("variance"), "status")
+
+
 @query("cross_domain_daily", with_ctes("cons") + f""", {_EV_SQL}, {_DEMAND_SQL}, {_TEMPS_SQL},
 energy AS (SELECT CAST(CAST(mpan_mprn AS BIGINT) AS VARCHAR) AS home_id, CAST(interval_start AS DATE) AS date,
                   sum(consumption) AS kwh FROM cons GROUP BY ALL),
@@ -811,7 +872,9 @@ def cross_domain_daily(spark, sf):
                                                        F.max("mt").alias("max_inside_temp"))
     joined = rollups.daily_cross_domain(energy, hd, ["home_id", "date"])
     root = lake.new_lake_root(spark, "curated")
-    lake.write_curated(joined, root, "cross_domain")
+    even = F.pmod(F.col("home_id").cast("long"), F.lit(2)) == 0
+    for part in (even, ~even, even):        # homes come in loads of their own, and one load again
+        lake.write_curated(joined.filter(part), root, "cross_domain")
     schema = "home_id string, kwh decimal(28,2), n_demand bigint, max_inside_temp double, domain string, date date"
     back = spark.read.schema(schema).option("basePath", root).parquet(root)
     return back.select("home_id", day("date").alias("date"), money("kwh").alias("kwh"),
@@ -1034,3 +1097,119 @@ def heating_load(spark, sf):
         ingest.heating_load(spark, reports.filter(F.col("date") <= F.lit(until)), root, state_root, now, hours)
     back = lake.read_lake(spark, root, lake.HEATING_LAKE)
     return back.select("record_kind", "trv", "zone_id", "heat_demand", "timestamp", "temperature", "sensor_type", "humidity")
+
+
+# ---------------------------------------------------------------- changes after the fact
+from ..operators import recost as recosting  # noqa: E402
+from ..sinks import totals  # noqa: E402
+
+_COSTED_OUT_SQL = f"""SELECT event_id, {MSQL}, interval_start, interval_end, {money_sql('consumption')} AS consumption,
+       rate_valid_from, {money_sql('unit_rate')} AS unit_rate, {money_sql('cost')} AS cost, {day_sql('interval_end')} AS date"""
+
+
+@query("recost_changed_rates", with_ctes("costed_left") + _COSTED_OUT_SQL + " FROM costed_left")
+def recost_changed_rates(spark, sf):
+    """Costed with rates of which one in a hundred is corrected later, and without the readings that come late: after both corrections
+    the costed table is what a full computation gives."""
+    roots = [lake.new_lake_root(spark, t) for t in ("recost-lake", "recost-costed")]
+    raw, new = fx.consumption_raw(spark, sf), staged(fx.rates(spark, sf), "rates")
+    old = fx.rates_before(new)
+    late = F.pmod("event_id", F.lit(97)) == 0
+    lake.write_consumption(raw.filter(~late), roots[0])
+    recosting.cost_touched(spark, *roots, raw.filter(~late), old)
+    recosting.recost(spark, *roots, old, new)
+    lake.write_consumption(raw.filter(late), roots[0])
+    recosting.cost_touched(spark, *roots, raw.filter(late), new)
+    return _costed_out(spark, roots[1])
+
+
+@query("rate_changes", with_ctes("cons", "segments") + f""",
+t AS (SELECT DISTINCT tariff_code, turn FROM (SELECT tariff_code, valid_from AS turn FROM segments UNION ALL SELECT tariff_code, seg_end FROM segments WHERE seg_end IS NOT NULL)),
+o AS (SELECT tariff_code, turn, lead(turn) OVER (PARTITION BY tariff_code ORDER BY turn) AS nxt FROM t),
+full_segments AS (SELECT * FROM segments WHERE seg_end IS NULL OR seg_end > valid_from)
+SELECT o.tariff_code, turn AS valid_from, nxt AS valid_to FROM o
+WHERE EXISTS (SELECT 1 FROM full_segments s WHERE s.tariff_code = o.tariff_code AND s.valid_from <= o.turn AND (s.seg_end IS NULL OR o.turn < s.seg_end)
+              AND hour(s.valid_from) = 7)""")
+def rate_changes(spark, sf):
+    """Intervals in which the price in force changes when all rates that begin in the hour after seven double."""
+    old = fx.rates(spark, sf)
+    new = old.withColumn("value_inc_vat", F.when(F.hour("valid_from") == 7, F.col("value_inc_vat") + 1).otherwise(F.col("value_inc_vat")).cast("decimal(18,4)"))
+    return recosting.rate_changes(old, new)
+
+
+@query("scheduled_recost", with_ctes("costed_left") + _COSTED_OUT_SQL + """
+FROM costed_left WHERE interval_end <= TIMESTAMP '2024-01-20 11:00:00'""")
+def scheduled_recost(spark, sf):
+    """Two scheduled runs.  Before the second, rates are corrected and readings arrive that are older than their meter's window."""
+    roots = [lake.new_lake_root(spark, t) for t in ("sr-lake", "sr-costed", "sr-state", "sr-rates")]
+    raw, new = fx.consumption_raw(spark, sf), staged(fx.rates(spark, sf), "rates")
+    days = (LOAD_NOW.date() - _days_of(raw)[0]).days + 1
+    run = lambda rows, rates, now: ingest.scheduled_load(spark, rows, rates, roots[0], roots[1], roots[2] + "/state", now, bootstrap_days=days,
+                                                         rates_root=roots[3] + "/rates")
+    run(raw.filter(F.pmod("event_id", F.lit(97)) != 0), fx.rates_before(new), LOAD_NOW - dt.timedelta(days=8))
+    run(raw, new, LOAD_NOW)
+    return _costed_out(spark, roots[1])
+
+
+@query("incremental_totals", with_ctes("costed_left") + f"""
+SELECT {MSQL}, {day_sql('usage_month')} AS usage_month, {day_sql('usage_date')} AS usage_date, {money_sql('sum(consumption)')} AS kwh,
+       {money_sql('sum(cost)')} AS cost, count(*) AS n_intervals,
+       CASE WHEN GROUPING(usage_date) = 0 THEN 'day' WHEN GROUPING(usage_month) = 0 THEN 'month' ELSE 'total' END AS grain
+FROM (SELECT *, CAST(date_trunc('month', CAST(interval_start AS DATE)) AS DATE) AS usage_month, CAST(interval_start AS DATE) AS usage_date FROM costed_left)
+GROUP BY {MSQL}, ROLLUP(usage_month, usage_date)""")
+def incremental_totals(spark, sf):
+    """Daily totals kept by three loads (one kind, the other, the readings that came late) and a correction of the rates; months and periods are
+    sums of the stored days."""
+    roots = [lake.new_lake_root(spark, t) for t in ("tot-lake", "tot-costed", "tot-daily")]
+    raw, new = fx.consumption_raw(spark, sf), staged(fx.rates(spark, sf), "rates")
+    old = fx.rates_before(new)
+    late, gas = F.pmod("event_id", F.lit(97)) == 0, F.col("kind") == "gas"
+
+    def load(rows, rates):
+        lake.write_consumption(rows, roots[0])
+        recosting.cost_touched(spark, roots[0], roots[1], rows, rates)
+        totals.update_daily_totals(spark, roots[1], roots[2], recosting.meter_days(rows))
+
+    load(raw.filter(~late & ~gas), old)
+    load(raw.filter(~late & gas), old)
+    changed = recosting.recost(spark, roots[0], roots[1], old, new)
+    if changed is not None:
+        totals.update_daily_totals(spark, roots[1], roots[2], changed)
+    load(raw.filter(late), new)
+    r = totals.totals_rollup(totals.read_daily_totals(spark, roots[2]))
+    return r.select(*M, day("usage_month").alias("usage_month"), day("usage_date").alias("usage_date"), money("kwh").alias("kwh"), money("cost").alias("cost"),
+                    "n_intervals", "grain")
+
+
+@query("backfill_resumed", with_ctes("cons") + _LAKE_OUT_SQL + " FROM cons")
+def backfill_resumed(spark, sf):
+    """A backfill in windows of four days that stops after two of them, goes on from its ledger, and finds nothing left in the end."""
+    root = lake.new_lake_root(spark, "resumed")
+    raw = fx.consumption_raw(spark, sf)
+    first, last = _days_of(raw)
+    left = [ingest.backfill(raw, root, first, last, 4, ledger_root=root + "-ledger", most=most) for most in (2, None, None)]
+    assert left[0] > 0 and left[1:] == [0, 0]
+    return _lake_out(lake.read_lake(spark, root, lake.CONSUMPTION_LAKE))
+
+
+@query("rejected_rows", f"""WITH {_EV_SQL}, {_DEMAND_SQL}, {_TEMPS_SQL}, {_UNIFIED_SQL}
+SELECT 'scheduled' AS load, 'no time' AS reason, count(*) AS n FROM events WHERE event_id % 50 = 0
+UNION ALL SELECT 'backfill', 'no interval_start', count(*) FROM events WHERE event_id % 50 = 0
+UNION ALL SELECT 'heating', 'unreadable report', count(DISTINCT (user_id, CAST(ts AS DATE))) FROM events WHERE user_id % 10 = 0
+UNION ALL SELECT 'heating', 'no timestamp', count(*) FROM demand WHERE CAST(trv_id AS BIGINT) % 10 = 1""")
+def rejected_rows(spark, sf):
+    """Every load keeps aside what it cannot use: readings without a time, reports that are no JSON, records without a start."""
+    roots = {k: lake.new_lake_root(spark, f"rej-{k}") for k in ("scheduled", "costed", "state", "backfill", "heating", "hstate")}
+    c = fx.consumption_raw(spark, sf)
+    text = F.concat(F.date_format("interval_end", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    bad_end = c.withColumn("interval_end", F.when(F.pmod("event_id", F.lit(50)) == 0, F.lit("no time")).otherwise(text))
+    ingest.scheduled_load(spark, bad_end, fx.rates(spark, sf), roots["scheduled"], roots["costed"], roots["state"] + "/s", NOW, bootstrap_days=3650)
+    start = F.concat(F.date_format("interval_start", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    bad_start = c.withColumn("interval_start", F.when(F.pmod("event_id", F.lit(50)) == 0, F.lit("?")).otherwise(start))
+    ingest.backfill(bad_start, roots["backfill"], *_days_of(c), step_days=20)
+    who = F.col("device_id").cast("long")
+    reports = fx.day_reports_json(spark, sf).withColumn("value", F.when(F.pmod(who, F.lit(10)) == 0, F.lit('{"callForHeat": [')).when(
+        F.pmod(who, F.lit(10)) == 1, F.replace(F.col("value"), F.lit('"from"'), F.lit('"since"'))).otherwise(F.col("value")))
+    ingest.heating_load(spark, reports, roots["heating"], roots["hstate"] + "/s", NOW, 24 * 3650)
+    sides = [spark.read.parquet(roots[k] + "-quarantine").withColumn("load", F.lit(k)) for k in ("scheduled", "backfill", "heating")]
+    return sides[0].unionByName(sides[1]).unionByName(sides[2]).groupBy("load", "reason").agg(F.count(F.lit(1)).alias("n"))

@@ -20,9 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timefns import ntz_lit
-from ..session import scratch_path
+from ..functions.codes import state_key
+from ..functions.timefns import ntz_lit, safe_horizon
+from ..operators import heating as heat
+from ..operators.quality import missing_intervals
+from ..operators.rates import normalise_readings
+from ..operators.recost import cost_touched, meter_days, recost
+from ..session import scratch_path, staged
 from ..sinks import lake
+from ..sinks.totals import update_daily_totals
 from . import state as st
 
 STATE_SCHEMA = T.StructType([T.StructField("source_key", T.StringType()),
@@ -60,7 +66,6 @@ def save_state(spark: SparkSession, state: DataFrame, root: str) -> None:
 def update_state(spark: SparkSession, rows: DataFrame, root: str, key: Sequence[str] | F.Column,
                  ts_col: str = "interval_start") -> None:
     """ST1/ST6: advance ``source_key -> max(ts)`` after the data write."""
-    from ..functions.codes import state_key
     k = state_key(*key) if isinstance(key, (list, tuple)) else key
     marks = st.high_water(rows.select(k.alias("source_key"), ts_col), ["source_key"], ts_col)
     new = st.advance_state(read_state(spark, root), marks, ["source_key"])
@@ -92,14 +97,18 @@ def run_stream(spark: SparkSession, source: DataFrame, handle_batch: Callable[[D
 
 def stream_consumption(spark: SparkSession, landing: str, landing_schema: T.StructType,
                        to_readings: Callable[[DataFrame], DataFrame], lake_root: str, state_root: str,
-                       max_files_per_trigger: int = 2, checkpoint: str | None = None, late_root: str | None = None) -> None:
+                       max_files_per_trigger: int = 2, checkpoint: str | None = None, late_root: str | None = None,
+                       rates: DataFrame | None = None, costed_root: str | None = None, totals_root: str | None = None,
+                       by: Sequence[str] = ("tariff_code",)) -> None:
     """L1 as a stream: landed files -> readings -> merge into the lake -> advance state.
 
     No reading is dropped for its age: the merge is idempotent on (meter, interval), which also takes care of re-delivered
     copies.  Readings that ended at or before their key's state at arrival go to ``late_root/epoch=`` as well (ST8), by default
     the lake's path with ``-late``; an epoch that is replayed replaces its own folder.
+
+    With ``rates`` and ``costed_root`` each batch's partitions are costed again, late readings included, and with ``totals_root`` the totals
+    of the batch's meters and days are summed again.
     """
-    from ..functions.codes import state_key
     src = (spark.readStream.schema(landing_schema).option("maxFilesPerTrigger", max_files_per_trigger)
                 .parquet(landing))
     late_root = late_root or lake_root.rstrip("/") + "-late"
@@ -110,6 +119,7 @@ def stream_consumption(spark: SparkSession, landing: str, landing_schema: T.Stru
             _, late = split_late(readings, read_state(spark, state_root), state_key("mpan_mprn", "serial"))
             late.write.mode("overwrite").parquet(f"{late_root}/epoch={epoch}")
             lake.write_consumption(readings, lake_root)
+            _after_merge(spark, readings, rates, lake_root, costed_root, totals_root, by)
             update_state(spark, readings, state_root, ["mpan_mprn", "serial"])
         finally:
             readings.unpersist()
@@ -117,23 +127,59 @@ def stream_consumption(spark: SparkSession, landing: str, landing_schema: T.Stru
     run_stream(spark, src, handle, checkpoint)
 
 
+def _after_merge(spark: SparkSession, readings: DataFrame, rates: DataFrame | None, lake_root: str, costed_root: str | None,
+                 totals_root: str | None, by: Sequence[str]) -> None:
+    """Bring costs and totals up to date with readings that have just been merged."""
+    if rates is not None and costed_root:
+        cost_touched(spark, lake_root, costed_root, readings, rates, by)
+        if totals_root:
+            update_daily_totals(spark, costed_root, totals_root, meter_days(normalise_readings(readings)))
+
+
+LEDGER = T.StructType([T.StructField("first_day", T.DateType()), T.StructField("last_day", T.DateType())])
+
+
+def open_windows(spark: SparkSession, start: dt.date, end: dt.date, step_days: int, ledger_root: str | None) -> list[tuple[dt.date, dt.date]]:
+    """The windows of ``step_days`` that ``[start, end]`` falls into, without those that the ledger has as finished."""
+    days = range((end - start).days // step_days + 1) if start <= end else ()
+    windows = [(start + dt.timedelta(days=i * step_days), min(end, start + dt.timedelta(days=(i + 1) * step_days - 1))) for i in days]
+    done = {tuple(r) for r in lake.read_lake(spark, ledger_root, LEDGER).distinct().collect()} if ledger_root else set()
+    return [w for w in windows if w not in done]
+
+
 def backfill(readings: DataFrame, lake_root: str, start: dt.date, end: dt.date, step_days: int | None = None,
-             prefer: str = "order") -> None:
-    """ST9/ST10: load ``[start, end]`` (UTC days of ``interval_start``).
+             prefer: str = "order", ledger_root: str | None = None, most: int | None = None) -> int:
+    """ST9/ST10: load ``[start, end]`` (UTC days of ``interval_start``); how many windows are still open is returned.
 
     ``step_days=None`` loads the range as one job (Spark tasks replace the day loop).  With
-    ``step_days`` the range is merged chunk by chunk; ``prefer='existing'`` never replaces
-    intervals already in the lake (chunked backfill that keeps newer data).
+    ``step_days`` the range is merged window by window; ``prefer='existing'`` never replaces
+    intervals already in the lake (chunked backfill that keeps newer data).  The source is read once a run: the readings of the open windows
+    are staged by window.  ``ledger_root`` records finished windows, so a run that stopped, or that was told to stop after ``most`` windows,
+    is resumed by the same call.  Readings whose time does not parse join the lake's quarantine.
     """
-    d = F.to_date("interval_start")
-    if step_days is None:
-        lake.write_consumption(readings.filter(d.between(F.lit(start), F.lit(end))), lake_root, prefer=prefer)
-        return
-    cur = start
-    while cur <= end:
-        hi = min(end, cur + dt.timedelta(days=step_days - 1))
-        lake.write_consumption(readings.filter(d.between(F.lit(cur), F.lit(hi))), lake_root, prefer=prefer)
-        cur = hi + dt.timedelta(days=1)
+    spark = readings.sparkSession
+    norm = normalise_readings(readings.withColumn("_raw", F.struct(*readings.columns)))
+    day = F.to_date("interval_start")
+    windows = open_windows(spark, start, end, step_days or max((end - start).days + 1, 1), ledger_root)
+    todo = windows[:most] if most is not None else windows
+    if not todo:
+        return len(windows)
+    number = F.floor(F.datediff(day, F.lit(start)) / (step_days or (end - start).days + 1)).cast("int")
+    wanted = [(lo - start).days // (step_days or (end - start).days + 1) for lo, _ in todo]
+    rows = norm.withColumn("_window", F.when(day.between(F.lit(start), F.lit(end)), number))
+    path = scratch_path(spark, "backfill")
+    known = rows.filter(day.isNull() | F.col("_window").isin(wanted))
+    known.hint("rebalance", "_window").write.partitionBy("_window").parquet(path)
+    kept = spark.read.schema(known.schema).option("basePath", path).parquet(path)
+    bad = kept.filter(F.col("_window").isNull()).select(F.to_json("_raw").alias("row"))
+    # Unreadable rows belong to no window: the run that begins with the first one records them.
+    if todo[0][0] == start and not bad.isEmpty():
+        lake.append_rejected(bad, lake_root.rstrip("/") + "-quarantine", "no interval_start")
+    for window, n in zip(todo, wanted):
+        lake.write_consumption(kept.filter(F.col("_window") == n).drop("_window", "_raw"), lake_root, prefer=prefer)
+        if ledger_root:
+            spark.createDataFrame([window], LEDGER).coalesce(1).write.mode("append").parquet(ledger_root)
+    return len(windows) - len(todo)
 
 
 def split_late(batch: DataFrame, state: DataFrame, key: F.Column, ts_col: str = "interval_end") -> tuple[DataFrame, DataFrame]:
@@ -151,34 +197,73 @@ def split_late(batch: DataFrame, state: DataFrame, key: F.Column, ts_col: str =
 
 def scheduled_load(spark: SparkSession, readings: DataFrame, rates: DataFrame, lake_root: str, costed_root: str,
                    state_root: str, now: dt.datetime, by: Sequence[str] = ("tariff_code",),
-                   bootstrap_days: int = st.BOOTSTRAP_DAYS) -> DataFrame:
+                   bootstrap_days: int = st.BOOTSTRAP_DAYS, rates_root: str | None = None, totals_root: str | None = None) -> DataFrame:
     """L1 + L3 wired as one batch run (X8): resume from state (ST2/ST3), safe horizon (P19), merge into the lake (K2/K9),
-    advance state (ST1/ST6), then cost exactly the touched lake partitions (J1, K4) and return
+    cost exactly the touched lake partitions (J1, K4), advance state (ST1/ST6) and return
     the per-meter completeness of the batch (A1).
 
     A meter's window starts at its state less the overlap, or ``bootstrap_days`` before ``now``.  Re-running the same
     batch gives the same lake, state and costed tables.
-    """
-    from ..functions.codes import state_key
-    from ..functions.timefns import safe_horizon
-    from ..operators.quality import missing_intervals
-    from ..operators.rates import normalise_readings, rate_join
 
+    Nothing is dropped on the way.  Readings before their meter's window that the lake does not have came late (ST8): they are merged and costed like the
+    others and recorded in ``<lake_root>-late``.  Readings whose times do not parse join ``<lake_root>-quarantine``.  With ``rates_root``, the rates
+    of the run before are kept there, and readings whose rate has changed since are costed again (:func:`..operators.recost.recost`).  With
+    ``totals_root`` the daily totals of all meters and days that were costed are brought up to date.
+    """
     horizon = safe_horizon(ntz_lit(now))
     state = read_state(spark, state_root).select(F.col("source_key").alias("_k"), F.col("last_interval").alias("_last"))
-    ready = (normalise_readings(readings).filter(F.col("interval_end") <= horizon)
-             .withColumn("_k", state_key("mpan_mprn", "serial")).join(state, "_k", "left")
-             .filter(F.col("interval_start") >= st.resume_start("_last", now, bootstrap_days)).drop("_k", "_last")
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    lake.write_consumption(ready, lake_root)
-    update_state(spark, ready, state_root, ["mpan_mprn", "serial"])
-    schema = lake.lake_schema(spark, lake_root, lake.CONSUMPTION_LAKE, lake.prepare_consumption(ready))
-    touched = lake.touched_partitions(spark, lake_root, schema, lake.prepare_consumption(ready).select(*lake.CONSUMPTION_PARTS).distinct(),
-                                      lake.CONSUMPTION_PARTS)
-    if touched is not None:
-        costed = rate_join(touched.drop("date", "meter_bucket"), rates, by=list(by), how="left")
-        lake.write_costed(costed, costed_root)
-    return missing_intervals(ready, ["kind", "mpan_mprn", "serial"])
+    norm = normalise_readings(readings.withColumn("_raw", F.struct(*readings.columns)))
+    known = F.col("interval_end").isNotNull() & F.col("interval_start").isNotNull()
+    kind = (F.when(~known, F.lit("bad")).when(F.col("interval_end") > horizon, F.lit("early"))
+            .when(F.col("interval_start") >= st.resume_start("_last", now, bootstrap_days), F.lit("ready"))
+            .when(F.col("_last").isNotNull(), F.lit("older")).otherwise(F.lit("before")))
+    rows = (norm.withColumn("_k", state_key("mpan_mprn", "serial")).join(state, "_k", "left").withColumn("_kind", kind)
+            .drop("_k", "_last").filter(F.col("_kind").isin("bad", "ready", "older")).persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        found = {r["_kind"] for r in rows.select("_kind").distinct().collect()}
+        if "bad" in found:
+            lake.append_rejected(rows.filter("_kind = 'bad'").select(F.to_json("_raw").alias("row")), lake_root.rstrip("/") + "-quarantine", "no time")
+        ready = rows.filter("_kind = 'ready'").drop("_kind", "_raw")
+        load = ready
+        if "older" in found:
+            late = staged(_not_stored(spark, rows.filter("_kind = 'older'").drop("_kind", "_raw"), lake_root), "late")
+            if not late.isEmpty():
+                late.write.mode("append").parquet(lake_root.rstrip("/") + "-late")
+                load = ready.unionByName(late)
+        lake.write_consumption(load, lake_root)
+        before = _latest(spark, rates_root) if rates_root else None
+        changed = recost(spark, lake_root, costed_root, before, rates, by) if before is not None else None
+        if changed is not None and totals_root:
+            update_daily_totals(spark, costed_root, totals_root, changed)
+        _after_merge(spark, load, rates, lake_root, costed_root, totals_root, by)
+        if rates_root:
+            save_state(spark, rates, rates_root)
+        update_state(spark, load, state_root, ["mpan_mprn", "serial"])
+        done = staged(missing_intervals(ready, ["kind", "mpan_mprn", "serial"]), "completeness")
+    finally:
+        rows.unpersist()
+    return done
+
+
+def _latest(spark: SparkSession, root: str) -> DataFrame | None:
+    """The last complete version of a table that ``save_state`` writes."""
+    versions = _state_versions(spark, root)
+    return spark.read.parquet(versions[-1]) if versions else None
+
+
+def _not_stored(spark: SparkSession, readings: DataFrame, lake_root: str) -> DataFrame:
+    """Readings whose (meter, interval) the lake does not have; only the partitions they belong to are read."""
+    prepared = lake.prepare_consumption(readings)
+    schema = lake.saved_schema(spark, lake_root) or lake.CONSUMPTION_LAKE
+    stored = lake.touched_partitions(spark, lake_root, schema, prepared.select(*lake.CONSUMPTION_PARTS).distinct(), lake.CONSUMPTION_PARTS)
+    if stored is None:
+        return readings
+    keys = stored.select(*[F.col(c).alias(f"_s_{c}") for c in lake.CONSUMPTION_KEYS])
+    same = None
+    for c in lake.CONSUMPTION_KEYS:
+        eq = F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+        same = eq if same is None else same & eq
+    return readings.join(keys, same, "left_anti")
 
 
 def heating_load(spark: SparkSession, reports: DataFrame, lake_root: str, state_root: str, now: dt.datetime,
@@ -187,20 +272,31 @@ def heating_load(spark: SparkSession, reports: DataFrame, lake_root: str, state_
     advance state (A3).
 
     ``reports(device_id, zone_id, date, value)``.  A device starts at midnight of its last processed day, or ``lookback_hours``
-    before ``now``; of that day's report only records after the state are new.
+    before ``now``; of that day's report only records after the state are new.  Reports that do not parse and records without a time
+    join ``<lake_root>-quarantine``.
     """
-    from ..functions.codes import state_key
-    from ..operators import heating as heat
-
-    key = state_key("device_id", "zone_id")
     state = read_state(spark, state_root).select(F.col("source_key").alias("_k"), "last_interval")
-    due = (reports.withColumn("_k", key).join(state, "_k", "left")
+    due = (reports.withColumn("_k", state_key("device_id", "zone_id")).join(state, "_k", "left")
            .filter(F.col("date") >= F.to_date(st.heating_resume_start("last_interval", now, lookback_hours))).drop("_k", "last_interval"))
-    records = heat.heating_records(heat.parse_day_reports(due))
-    records = records.withColumn("_k", state_key(F.coalesce("trv_id", "device_id"), "zone_id"))
-    fresh = st.newer_than_state(records, state, ["_k"]).persist(StorageLevel.MEMORY_AND_DISK)
+    load_reports(spark, due, lake_root, state_root)
+
+
+def load_reports(spark: SparkSession, reports: DataFrame, lake_root: str, state_root: str) -> None:
+    """Parse day reports, write the records that are newer than their device's state, keep aside what cannot be used, advance the state."""
+    parsed = heat.parse_day_reports(reports).persist(StorageLevel.MEMORY_AND_DISK)
+    state = read_state(spark, state_root).select(F.col("source_key").alias("_k"), "last_interval")
     try:
-        lake.write_heating(fresh.drop("_k"), lake_root)
-        update_state(spark, fresh, state_root, F.col("_k"), "timestamp")
+        bad = heat.unparsable_reports(parsed)
+        if not bad.isEmpty():
+            lake.append_rejected(bad.select(F.to_json(F.struct(*bad.columns)).alias("row")), lake_root.rstrip("/") + "-quarantine", "unreadable report")
+        records = heat.heating_records(parsed, keep_invalid=True).withColumn("_k", state_key(F.coalesce("trv_id", "device_id"), "zone_id"))
+        # A record without a time is newer than nothing; it goes to the sink, which keeps it aside.
+        fresh = st.newer_than_state(records.filter("timestamp IS NOT NULL"), state, ["_k"]).unionByName(records.filter("timestamp IS NULL"))
+        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            lake.write_heating(fresh.drop("_k"), lake_root)
+            update_state(spark, fresh, state_root, F.col("_k"), "timestamp")
+        finally:
+            fresh.unpersist()
     finally:
-        fresh.unpersist()
+        parsed.unpersist()
