@@ -21,6 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from intervalflow.operators.ranges import group_bounds, group_of
+
 from . import textops as tx
 from . import wordmap
 from .storage import stage
@@ -117,9 +119,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_co
                     ["doc_id", "part", "part_start", "n_tokens", "ids"])
                 at += int(to[-1])
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
-    writer = (coded.select("doc_id", "packed", F.xxhash64("text").alias("tie")).repartitionByRange(int(parts), *order)
-              .sortWithinPartitions(*order).select("doc_id", "packed").mapInArrow(run, SCHEMA).write
+    # The parts' bounds come from ids and hashes, so the encoding runs once (a range exchange of its result would sample that first).
+    key, tie = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("key"), F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")).alias("tie")
+    bounds = group_bounds(src.select(key, tie), ["key", "tie"], max(-(-src.count() // int(parts)), 1))
+    placed = coded.select("doc_id", "packed", key, tie).withColumn("part", group_of(bounds, [F.col("key"), F.col("tie")]))
+    writer = (placed.repartitionById(len(bounds), "part").sortWithinPartitions("key", "tie")
+              .select("doc_id", "packed").mapInArrow(run, SCHEMA).write
               .option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES)
               .option("parquet.page.size", PAGE_BYTES).option("parquet.page.row.count.limit", PAGE_ROWS))
     if delta:
