@@ -52,17 +52,22 @@ METER_SORT = ["kind", "mpan_mprn", "serial", "interval_start"]
 RATE_PARTS = ["energy", "product", "tariff", "date"]
 HEATING_PARTS = ["record_kind", "date"]
 HEATING_SORT = ["trv", "timestamp"]
+#: Batches of fewer rows are written by up to SPREAD_TASKS tasks, whatever their bytes.
+SMALL_BATCH, SPREAD_TASKS = 2_000_000, 64
 
 
 def write_partitioned(df: DataFrame, root: str, partition_cols: Sequence[str] | None = None,
                       dedup_cols: Sequence[str] | None = None, order: str | None = None,
                       mode: str = "dynamic", max_records_per_file: int = 5_000_000,
-                      sort_cols: Sequence[str] = ()) -> None:
+                      sort_cols: Sequence[str] = (), rows: int | None = None) -> None:
     """K1: optional de-dup (keep first), then write partitioned by ``partition_cols``.
 
     Spark omits partition columns from the files, as the reference drops them.  An empty
     input is a no-op under dynamic overwrite, with or without partition columns.  Without
     an ``order`` the smallest row of a duplicate set stays, so the result is the same on every run.
+
+    The ``rebalance`` hint packs small partitions into one task, which then opens their files one after another; a batch of known
+    size (``rows``) below ``SMALL_BATCH`` is spread over tasks by partition instead.
     """
     if dedup_cols:
         df = keep_first(df, dedup_cols, order)
@@ -70,7 +75,10 @@ def write_partitioned(df: DataFrame, root: str, partition_cols: Sequence[str] |
         return
     w = df
     if partition_cols:
-        w = df.hint("rebalance", *partition_cols)
+        if rows is not None and rows < SMALL_BATCH:
+            w = df.repartition(min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_TASKS), *partition_cols)
+        else:
+            w = df.hint("rebalance", *partition_cols)
         sort = [c for c in sort_cols if c in df.columns]
         if sort:
             w = w.sortWithinPartitions(*partition_cols, *sort)
@@ -186,7 +194,7 @@ def merge_partitions(df: DataFrame, root: str, schema: T.StructType, partition_c
         merged = keep_first(both, list(keys), ["_side", *([order] if isinstance(order, str) else order or [])]).drop("_side")
         sort = [c for c in METER_SORT if c in cols]
         save_schema(spark, root, schema)
-        write_partitioned(merged, root, partition_cols, mode="dynamic", sort_cols=sort)
+        write_partitioned(merged, root, partition_cols, mode="dynamic", sort_cols=sort, rows=extent.rows)
     finally:
         if own:
             batch.unpersist()
@@ -205,7 +213,8 @@ def replace_keys(df: DataFrame, root: str, partition_cols: Sequence[str], keys:
     try:
         schema = lake_schema(spark, root, schema or batch.schema, batch)
         new = batch.select(*[(F.col(f.name) if f.name in batch.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
-        old = touched_partitions(spark, root, schema, new, partition_cols)
+        extent = batch_extent(new, partition_cols)
+        old = touched_partitions(spark, root, schema, new, partition_cols, extent)
         if old is None:
             return
         mine = new.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
@@ -213,7 +222,7 @@ def replace_keys(df: DataFrame, root: str, partition_cols: Sequence[str], keys:
         merged = new.unionByName(old.join(mine, same, "left_anti"))
         save_schema(spark, root, schema)
         write_partitioned(merged, root, partition_cols, mode="dynamic",
-                          sort_cols=[c for c in sort_cols if c in merged.columns])
+                          sort_cols=[c for c in sort_cols if c in merged.columns], rows=extent.rows)
     finally:
         batch.unpersist()
 
