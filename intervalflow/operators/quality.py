@@ -93,7 +93,8 @@ def profile(df: DataFrame, time_cols: Sequence[str] = ("interval_start", "interv
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for c in time_cols:
         if c in df.columns:
-            aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+            t = to_utc_col(df, c)           # text is compared as instants; what does not parse counts as missing
+            aggs += [F.min(t).alias(f"min_{c}"), F.max(t).alias(f"max_{c}")]
     for c in df.columns:
         if any(m in c.lower() for m in id_markers):
             fn = F.count_distinct if exact else F.approx_count_distinct
@@ -101,6 +102,52 @@ def profile(df: DataFrame, time_cols: Sequence[str] = ("interval_start", "interv
     return df.agg(*aggs)
 
 
+#: Sketch sizes: 2**14 HyperLogLog registers (relative error 0.8 % at one deviation), KLL with k = 200 (rank error 1.33 % at 99 %).
+HLL_BITS, KLL_K = 14, 200
+
+
+def _id_cols(df: DataFrame, id_markers: Sequence[str]) -> list[str]:
+    return [c for c in df.columns if any(m in c.lower() for m in id_markers)]
+
+
+def profile_sketches(df: DataFrame, by: Sequence[str] = ("date",), time_cols: Sequence[str] = ("interval_start", "interval_end", "interval"),
+                     value_cols: Sequence[str] = ("consumption",), id_markers: Sequence[str] = ("mpan", "mprn", "serial", "meter")) -> DataFrame:
+    """A6 as mergeable parts: a row for each partition (``by``) with row count, range and unreadable count of each time column, a HyperLogLog
+    sketch of each identifier and a KLL sketch of each value column.  Stored with a load, such rows answer for any set of partitions, so
+    nothing is scanned again when the lake grows."""
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for c in [c for c in time_cols if c in df.columns]:
+        t = to_utc_col(df, c)
+        aggs += [F.min(t).alias(f"min_{c}"), F.max(t).alias(f"max_{c}"), F.count_if(t.isNull() & F.col(c).isNotNull()).alias(f"unreadable_{c}")]
+    aggs += [F.hll_sketch_agg(F.col(c).cast("string"), HLL_BITS).alias(f"ids_{c}") for c in _id_cols(df, id_markers) if c not in by]
+    aggs += [F.kll_sketch_agg_double(F.col(c).cast("double"), KLL_K).alias(f"values_{c}") for c in value_cols if c in df.columns]
+    return df.groupBy(*by).agg(*aggs)
+
+
+def merge_profiles(stored: DataFrame, by: Sequence[str] = (), quantiles: Sequence[float] = (0.5, 0.95)) -> DataFrame:
+    """The profile of all rows behind ``profile_sketches`` rows: counts add up, ranges widen, sketches are merged and then read."""
+    names = stored.columns
+    aggs = [F.sum("n_rows").alias("n_rows")]
+    aggs += [(F.min if c.startswith("min_") else F.max)(c).alias(c) for c in names if c.startswith(("min_", "max_"))]
+    aggs += [F.sum(c).alias(c) for c in names if c.startswith("unreadable_")]
+    aggs += [F.hll_sketch_estimate(F.hll_union_agg(c)).alias("distinct_" + c.removeprefix("ids_")) for c in names if c.startswith("ids_")]
+    for c in [c for c in names if c.startswith("values_")]:
+        merged = F.kll_merge_agg_double(c)
+        aggs += [F.kll_sketch_get_quantile_double(merged, F.lit(float(q))).alias(f"p{round(100 * q):02d}_{c.removeprefix('values_')}") for q in quantiles]
+    return stored.groupBy(*by).agg(*aggs) if by else stored.agg(*aggs)
+
+
+def dataset_report(df: DataFrame, n: int = 10) -> DataFrame:
+    """``(section, position, name, value)`` of a file-based table: its files and bytes, its columns with their types, its first ``n`` rows as JSON."""
+    spark = df.sparkSession
+    sizes = file_sizes(df).agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"))
+    size_rows = sizes.select(F.explode(F.array(*[F.struct(F.lit("size").alias("section"), F.lit(i).alias("position"), F.lit(c).alias("name"),
+                                                          F.col(c).cast("string").alias("value")) for i, c in enumerate(("files", "bytes"))])).alias("r")).select("r.*")
+    columns = spark.createDataFrame([("column", i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)], "section string, position int, name string, value string")
+    first = df.limit(n).select(F.lit("row").alias("section"), F.lit(0).alias("position"), F.lit("").alias("name"), F.to_json(F.struct(*df.columns)).alias("value"))
+    return size_rows.unionByName(columns).unionByName(first)
+
+
 def file_sizes(df: DataFrame) -> DataFrame:
     """A6 (bytes): size of every file behind a file-based DataFrame, from ``_metadata``."""
     return df.select("_metadata.file_path", "_metadata.file_size").distinct()

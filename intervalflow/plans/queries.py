@@ -377,23 +377,50 @@ def tariff_resolution(spark, sf):
 
 
 # ---------------------------------------------------------------- pages, config, homes, zones
-@query("paged_results", f"""
+_PAGED_SQL = f"""
 SELECT l_orderkey // {fx.PAGE_ORDERS} AS page_no,
        CAST(row_number() OVER (PARTITION BY l_orderkey // {fx.PAGE_ORDERS}
             ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS INTEGER) AS page_pos,
        (l_orderkey // {fx.PAGE_ORDERS} = (SELECT max(l_orderkey) // {fx.PAGE_ORDERS} FROM lineitem)) AS is_last_page,
        l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
        date_trunc('second', l_shipdate) AS l_shipdate
-FROM lineitem""")
+FROM lineitem"""
+
+
+@query("paged_results", _PAGED_SQL)
 def paged_results(spark, sf):
+    from ..functions.timefns import to_utc
+    return docs.read_pages(fx.lineitem_pages(spark, sf), _line_type()).withColumn("l_shipdate", to_utc("l_shipdate"))
+
+
+def _line_type():
     from pyspark.sql import types as T
-    rt = T.StructType([T.StructField(n, t) for n, t in [
+    return T.StructType([T.StructField(n, t) for n, t in [
         ("l_orderkey", T.LongType()), ("l_linenumber", T.IntegerType()), ("l_partkey", T.LongType()),
         ("l_suppkey", T.LongType()), ("l_quantity", T.DoubleType()), ("l_extendedprice", T.DoubleType()),
         ("l_shipdate", T.StringType())]])
-    rows = docs.read_pages(fx.lineitem_pages(spark, sf), rt)
+
+
+@query("landed_pages", _PAGED_SQL)
+def landed_pages(spark, sf):
+    """The same pages landed as files, one each, and read back by path."""
     from ..functions.timefns import to_utc
-    return rows.withColumn("l_shipdate", to_utc("l_shipdate"))
+    landing = lake.new_lake_root(spark, "pages")
+    fx.lineitem_pages(spark, sf).select("value", F.col("page_no").alias("page")).write.partitionBy("page").text(landing)
+    return docs.read_landed_pages(spark, landing, _line_type()).withColumn("l_shipdate", to_utc("l_shipdate"))
+
+
+@query("account_drift", """
+SELECT 'mystery' AS path, 'OBJECT<a: BIGINT>' AS type, count(*) AS n_values, count(*) AS n_documents FROM customer WHERE c_custkey % 7 = 0
+UNION ALL SELECT 'electricity_meter_points[].meters[].phase', 'BIGINT', 2 * count(*), count(*) FROM customer WHERE c_custkey % 5 = 0
+UNION ALL SELECT 'gas_meter_points[].meters[].phase', 'BIGINT', count(*), count(*) FROM customer WHERE c_custkey % 5 = 0""")
+def account_drift(spark, sf):
+    """Fields that account documents have and the declared schema does not, with the type and number of their values."""
+    from .. import schemas
+    k, v = F.col("c_custkey"), F.col("value")
+    more = F.when(F.pmod(k, F.lit(7)) == 0, F.replace(v, F.lit('{"number"'), F.lit('{"mystery":{"a":1},"number"'))).otherwise(v)
+    more = F.when(F.pmod(k, F.lit(5)) == 0, F.replace(more, F.lit('"meters":[{'), F.lit('"meters":[{"phase":3,'))).otherwise(more)
+    return docs.unknown_fields(fx.accounts_json(spark, sf).withColumn("value", more), schemas.ACCOUNT)
 
 
 @query("meter_config_repair", """
@@ -1213,3 +1240,63 @@ def rejected_rows(spark, sf):
     ingest.heating_load(spark, reports, roots["heating"], roots["hstate"] + "/s", NOW, 24 * 3650)
     sides = [spark.read.parquet(roots[k] + "-quarantine").withColumn("load", F.lit(k)) for k in ("scheduled", "backfill", "heating")]
     return sides[0].unionByName(sides[1]).unionByName(sides[2]).groupBy("load", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("heating_stream", f"""WITH {_EV_SQL}, {_DEMAND_SQL}, {_TEMPS_SQL}, {_UNIFIED_SQL}
+SELECT record_kind, coalesce(trv_id, device_id) AS trv, zone_id, heat_demand, timestamp, temperature, sensor_type, humidity FROM unified""")
+def heating_stream(spark, sf):
+    """Day reports land as files, the later half of the days first; then one day lands again."""
+    landing, root = lake.new_lake_root(spark, "reports"), lake.new_lake_root(spark, "heat-stream")
+    state_root, ckpt = lake.new_lake_root(spark, "hs-state") + "/s", lake.new_lake_root(spark, "hs-ckpt")
+    reports = fx.day_reports_json(spark, sf).select("value", "zone_id", "date").checkpoint()
+    first, last = reports.agg(F.min("date"), F.max("date")).first()
+    middle = F.lit(first + (last - first) / 2)
+    for part in (F.col("date") > middle, F.col("date") <= middle, F.col("date") == F.lit(first)):
+        reports.filter(part).repartition(8).write.mode("append").partitionBy("zone_id", "date").text(landing)
+        ingest.stream_reports(spark, landing, root, state_root, checkpoint=ckpt)
+    back = lake.read_lake(spark, root, lake.HEATING_LAKE)
+    return back.select("record_kind", "trv", "zone_id", "heat_demand", "timestamp", "temperature", "sensor_type", "humidity")
+
+
+@query("stream_watermark_dedup", "SELECT event_id, user_id, ts, value FROM events")
+def stream_watermark_dedup(spark, sf):
+    """Records that are delivered twice are dropped within a watermark, for sources whose sink has no key (ST5)."""
+    landing, root = lake.new_lake_root(spark, "wm-landing"), lake.new_lake_root(spark, "wm")
+    fx.land_event_splits(spark, sf, landing)
+    src = spark.readStream.schema(fx.table(spark, sf, "events").schema).option("maxFilesPerTrigger", 4).parquet(landing)
+    ingest.run_stream(spark, src, lambda batch, epoch: batch.select("event_id", "user_id", "ts", "value").write.mode("overwrite").parquet(f"{root}/epoch={epoch}"),
+                      dedup_id="event_id", event_time="ts", delay="60 days")
+    return spark.read.parquet(root).drop("epoch")
+
+
+@query("legacy_lake", with_ctes("cons") + _LAKE_OUT_SQL + " FROM cons")
+def legacy_lake(spark, sf):
+    """Gas in the layout of one folder a meter and day, with stale copies of some electricity, read with the present layout, which wins."""
+    new, old = lake.new_lake_root(spark, "new"), lake.new_lake_root(spark, "old")
+    raw = fx.consumption_raw(spark, sf)
+    stale = (F.col("kind") == "electricity") & (F.hour("interval_start") == 9)
+    lake.write_consumption(raw.filter("kind = 'gas'").unionByName(raw.filter(stale).withColumn("consumption", F.lit(-1).cast("decimal(18,2)"))), old,
+                           partition_cols=lake.REFERENCE_CONSUMPTION_PARTS)
+    lake.write_consumption(raw.filter("kind = 'electricity'"), new)
+    return _lake_out(lake.read_lake(spark, new, lake.CONSUMPTION_LAKE, legacy_root=old, keys=lake.CONSUMPTION_KEYS))
+
+
+@query("profile_merged", with_ctes("cons") + """
+SELECT count(*) AS n_rows, min(interval_start) AS min_interval_start, max(interval_start) AS max_interval_start, min(interval_end) AS min_interval_end,
+       max(interval_end) AS max_interval_end, CAST(0 AS BIGINT) AS unreadable_interval_start, true AS meters_within, true AS median_within FROM cons""")
+def profile_merged(spark, sf):
+    """The profile of two loads, from sketches that each load stored by day: exact counts and ranges, estimates within their stated errors."""
+    root = lake.new_lake_root(spark, "sketches")
+    c = fx.consumption(spark, sf).withColumn("date", F.to_date("interval_end"))
+    gas = F.col("kind") == "gas"
+    for part in (gas, ~gas):
+        quality.profile_sketches(c.filter(part), ["kind", "date"]).write.mode("append").parquet(root)
+    p = quality.merge_profiles(spark.read.parquet(root))
+    # The estimates' distance from exact figures, taken in one pass over the readings.
+    one = c.crossJoin(F.broadcast(p.select("p50_consumption", "distinct_mpan_mprn"))).agg(
+        F.count_distinct("mpan_mprn").alias("ids"), F.max("distinct_mpan_mprn").alias("est"),
+        F.avg(F.when(F.col("consumption").cast("double") <= F.col("p50_consumption"), 1.0).otherwise(0.0)).alias("rank"),
+        F.avg(F.when(F.col("consumption").cast("double") < F.col("p50_consumption"), 1.0).otherwise(0.0)).alias("below"))
+    near = one.select((F.abs(F.col("est") - F.col("ids")) <= 0.03 * F.col("ids") + 1).alias("meters_within"),
+                      ((F.col("rank") >= 0.47) & (F.col("below") <= 0.53)).alias("median_within"))
+    return p.select("n_rows", "min_interval_start", "max_interval_start", "min_interval_end", "max_interval_end", "unreadable_interval_start").crossJoin(F.broadcast(near))

@@ -17,10 +17,67 @@ from .. import schemas
 from ..functions.codes import first_present
 
 
-def read_text_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed file: ``(source_file, value)`` for whole-file JSON documents."""
-    return (spark.read.text(path, wholetext=True)
-                 .select(F.col("_metadata.file_path").alias("source_file"), "value"))
+def read_text_documents(spark: SparkSession, path: str, streaming: bool = False, glob: str = "*", max_files: int | None = None) -> DataFrame:
+    """One row per landed file below ``path``: ``(source_file, landed_at, value)`` for whole-file JSON documents, as a table or as a stream."""
+    reader = spark.readStream.schema("value string") if streaming else spark.read
+    if streaming and max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    files = reader.format("text").option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    return files.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_modification_time").alias("landed_at"), "value")
+
+
+def path_value(name: str, source_file: str = "source_file") -> F.Column:
+    """The value of a ``name=value`` folder in a file's path, as text; NULL if there is none.  The path is a URI, and folder names escape
+    special characters themselves."""
+    def plain(c: F.Column) -> F.Column:
+        return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    text = F.regexp_extract(plain(F.col(source_file)), f"/{name}=([^/]*)/", 1)
+    return F.when(~text.isin("", "__HIVE_DEFAULT_PARTITION__"), plain(text))
+
+
+def read_day_reports(spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None) -> DataFrame:
+    """Day reports landed below ``zone_id=/date=`` folders, one JSON file each: ``(device_id, zone_id, date, value, source_file, landed_at)``.
+    A zone's device has its id (P17).  The ids stay text, so leading zeros stay too."""
+    docs = read_text_documents(spark, path, streaming, max_files=max_files)
+    return docs.select(path_value("zone_id").alias("device_id"), path_value("zone_id").alias("zone_id"),
+                       path_value("date").try_cast("date").alias("date"), "value", "source_file", "landed_at")
+
+
+def read_landed_pages(spark: SparkSession, path: str, result_type: T.DataType) -> DataFrame:
+    """S1 over landed files, one page each: the page number is that of the ``page=`` folder, else the last number in the file's name."""
+    docs = read_text_documents(spark, path)
+    in_name = F.regexp_extract("source_file", "([0-9]+)[^0-9/]*$", 1).try_cast("long")
+    return read_pages(docs.withColumn("page_no", F.coalesce(path_value("page").try_cast("long"), in_name)), result_type)
+
+
+def _paths(kind: T.DataType, path: str = "") -> dict[str, T.DataType]:
+    """Every declared path below ``path``; an element of an array is ``[]``."""
+    if isinstance(kind, T.ArrayType):
+        return {f"{path}[]": kind.elementType, **_paths(kind.elementType, f"{path}[]")}
+    out = {}
+    for f in kind if isinstance(kind, T.StructType) else ():
+        child = f"{path}.{f.name}" if path else f.name
+        out.update({child: f.dataType, **_paths(f.dataType, child)})
+    return out
+
+
+def unknown_fields(df: DataFrame, declared: T.DataType, text_col: str = "value") -> DataFrame:
+    """Schema drift: ``(path, type, n_values, n_documents)`` of the fields that JSON documents have and ``declared`` does not.
+
+    Each document is parsed once, to a VARIANT, and walked as deep as the declared schema goes; an undeclared field is reported with the type of
+    its values and not entered.  Documents that do not parse have no fields."""
+    known = _paths(declared)
+    inner = [p for p, t in known.items() if isinstance(t, (T.StructType, T.ArrayType))]
+    level = df.select(F.monotonically_increasing_id().alias("doc"), F.lit("").alias("path"), F.try_parse_json(text_col).alias("v"))
+    spark, found, depth = df.sparkSession, None, 1 + max((p.count(".") + p.count("[]") for p in known), default=0)
+    for _ in range(depth):
+        children = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        step = F.when(F.col("key").isNull(), F.concat("path", F.lit("[]"))).when(F.col("path") == "", F.col("key")).otherwise(F.concat_ws(".", "path", "key"))
+        children = children.select("doc", step.alias("path"), F.col("value").alias("v"))
+        new = children.filter(~F.col("path").isin(list(known)))
+        found = new if found is None else found.unionByName(new)
+        level = children.filter(F.col("path").isin(inner))
+    return found.groupBy("path", F.schema_of_variant("v").alias("type")).agg(F.count(F.lit(1)).alias("n_values"), F.count_distinct("doc").alias("n_documents"))
 
 
 def read_pages(df: DataFrame, result_type: T.DataType, text_col: str = "value",

@@ -27,7 +27,8 @@ from ..operators.quality import missing_intervals
 from ..operators.rates import normalise_readings
 from ..operators.recost import cost_touched, meter_days, recost
 from ..session import scratch_path, staged
-from ..sinks import lake
+from ..sources import documents
+from ..sinks import files, lake
 from ..sinks.totals import update_daily_totals
 from . import state as st
 
@@ -35,41 +36,66 @@ STATE_SCHEMA = T.StructType([T.StructField("source_key", T.StringType()),
                              T.StructField("last_interval", T.TimestampNTZType())])
 
 
+#: Logs of marks that a reader combines before they are folded into one version.
+FOLD_AFTER = 16
+
+
+def _state_parts(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """Complete versions (``version=N``) and logs of marks (``marks-N``) of a state table, oldest first."""
+    found = [n for n in files.names(spark, root) if n.startswith(("version=", "marks-"))]
+    done = [n for n in found if files.exists(spark, f"{root}/{n}/_SUCCESS")]
+    return sorted((int(n[-12:]), f"{root}/{n}") for n in done)
+
+
 def _state_versions(spark: SparkSession, root: str) -> list[str]:
     """Complete versions of a state table, oldest first."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = sorted(f.getPath().getName() for f in fs.listStatus(path) if f.getPath().getName().startswith("version="))
-    return [f"{root}/{n}" for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))]
+    return [path for _, path in _state_parts(spark, root) if "/version=" in path]
+
+
+def _since_version(spark: SparkSession, root: str) -> list[str]:
+    """What makes up the state: the latest version, if there is one, and the logs after it."""
+    parts = [path for _, path in _state_parts(spark, root)]
+    start = max((i for i, path in enumerate(parts) if "/version=" in path), default=0)
+    return parts[start:]
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
-    versions = _state_versions(spark, root)
-    return spark.read.schema(STATE_SCHEMA).parquet(versions[-1]) if versions else spark.createDataFrame([], STATE_SCHEMA)
+    """``(source_key, last_interval)``: for each key the largest mark of the latest version and the logs since."""
+    parts = _since_version(spark, root)
+    if not parts:
+        return spark.createDataFrame([], STATE_SCHEMA)
+    rows = spark.read.schema(STATE_SCHEMA).parquet(*parts)
+    return rows if len(parts) == 1 else rows.groupBy("source_key").agg(F.max("last_interval").alias("last_interval"))
+
+
+def _next_number(spark: SparkSession, root: str) -> int:
+    parts = _state_parts(spark, root)
+    return parts[-1][0] + 1 if parts else 1
 
 
 def save_state(spark: SparkSession, state: DataFrame, root: str) -> None:
-    """Write the state as a new version; readers take the latest complete one, so a crash at any
-    time leaves the state before it.  The version before stays, older ones go."""
-    versions = _state_versions(spark, root)
-    last = int(versions[-1].rsplit("=", 1)[1]) if versions else 0
-    state.write.mode("overwrite").parquet(f"{root}/version={last + 1:012d}")
-    jvm = spark.sparkContext._jvm
-    for old in versions[:-1]:
-        path = jvm.org.apache.hadoop.fs.Path(old)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Write the whole state as a new version; readers take the latest complete one, so a crash at any
+    time leaves the state before it.  The version before stays, with the logs after it; what is older goes."""
+    before = _state_parts(spark, root)
+    state.write.mode("overwrite").parquet(f"{root}/version={_next_number(spark, root):012d}")
+    versions = [n for n, path in before if "/version=" in path]
+    for number, path in before:
+        if versions and number < versions[-1]:
+            files.delete(spark, path)
 
 
 def update_state(spark: SparkSession, rows: DataFrame, root: str, key: Sequence[str] | F.Column,
                  ts_col: str = "interval_start") -> None:
-    """ST1/ST6: advance ``source_key -> max(ts)`` after the data write."""
+    """ST1/ST6: advance ``source_key -> max(ts)`` after the data write.
+
+    The batch's own marks are appended to a log; since a reader takes the largest mark of a key, the state never goes back and a replay
+    changes nothing.  The other keys' marks are not read or written, but for every ``FOLD_AFTER`` th time, when the logs are folded into
+    a version."""
     k = state_key(*key) if isinstance(key, (list, tuple)) else key
     marks = st.high_water(rows.select(k.alias("source_key"), ts_col), ["source_key"], ts_col)
-    new = st.advance_state(read_state(spark, root), marks, ["source_key"])
-    save_state(spark, new, root)
+    marks.write.mode("overwrite").parquet(f"{root}/marks-{_next_number(spark, root):012d}")
+    if len(_since_version(spark, root)) > FOLD_AFTER:
+        save_state(spark, read_state(spark, root), root)
 
 
 def run_stream(spark: SparkSession, source: DataFrame, handle_batch: Callable[[DataFrame, int], None],
@@ -281,22 +307,47 @@ def heating_load(spark: SparkSession, reports: DataFrame, lake_root: str, state_
     load_reports(spark, due, lake_root, state_root)
 
 
-def load_reports(spark: SparkSession, reports: DataFrame, lake_root: str, state_root: str) -> None:
-    """Parse day reports, write the records that are newer than their device's state, keep aside what cannot be used, advance the state."""
+def load_reports(spark: SparkSession, reports: DataFrame, lake_root: str, state_root: str, keep_late: bool = False,
+                 epoch: int | None = None) -> None:
+    """Parse day reports, write the records, keep aside what cannot be used, advance the state.
+
+    Records at or before their device's state are dropped (ST7), or with ``keep_late`` stored like the others and recorded in
+    ``<lake_root>-late`` as well.  An ``epoch`` has folders of its own in the side tables, which a replay writes anew."""
     parsed = heat.parse_day_reports(reports).persist(StorageLevel.MEMORY_AND_DISK)
     state = read_state(spark, state_root).select(F.col("source_key").alias("_k"), "last_interval")
+    mode, part = ("append", "") if epoch is None else ("overwrite", f"/epoch={epoch}")
     try:
-        bad = heat.unparsable_reports(parsed)
-        if not bad.isEmpty():
-            lake.append_rejected(bad.select(F.to_json(F.struct(*bad.columns)).alias("row")), lake_root.rstrip("/") + "-quarantine", "unreadable report")
         records = heat.heating_records(parsed, keep_invalid=True).withColumn("_k", state_key(F.coalesce("trv_id", "device_id"), "zone_id"))
-        # A record without a time is newer than nothing; it goes to the sink, which keeps it aside.
-        fresh = st.newer_than_state(records.filter("timestamp IS NOT NULL"), state, ["_k"]).unionByName(records.filter("timestamp IS NULL"))
+        records = records.persist(StorageLevel.MEMORY_AND_DISK)
+        unreadable, timeless = heat.unparsable_reports(parsed), records.filter("timestamp IS NULL").drop("_k")
+        bad = unreadable.select(F.to_json(F.struct(*unreadable.columns)).alias("row"), F.lit("unreadable report").alias("reason")).unionByName(
+            timeless.select(F.to_json(F.struct(*timeless.columns)).alias("row"), F.lit("no timestamp").alias("reason")))
+        if epoch is not None or not bad.isEmpty():
+            bad.write.mode(mode).parquet(lake_root.rstrip("/") + "-quarantine" + part)
+        timed = records.filter("timestamp IS NOT NULL")
+        fresh = timed
+        if keep_late:
+            late = st.newer_than_state(timed, state, ["_k"], keep="late").drop("_k")
+            late.write.mode(mode).parquet(lake_root.rstrip("/") + "-late" + part)
+        else:
+            fresh = st.newer_than_state(timed, state, ["_k"])
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             lake.write_heating(fresh.drop("_k"), lake_root)
             update_state(spark, fresh, state_root, F.col("_k"), "timestamp")
         finally:
             fresh.unpersist()
+            records.unpersist()
     finally:
         parsed.unpersist()
+
+
+def stream_reports(spark: SparkSession, landing: str, lake_root: str, state_root: str, max_files_per_trigger: int = 10_000,
+                   checkpoint: str | None = None) -> None:
+    """L2 as a stream: day reports land as JSON files below ``zone_id=/date=`` folders, in any order.
+
+    Zone and date come from the path.  No record is dropped for its age: the sink replaces records of the same device, sensor and time, so
+    a report that is landed again, or a batch that is replayed, changes nothing; records at or before their device's state at arrival are
+    recorded in ``<lake_root>-late/epoch=``.  Files that do not parse and records without a time go to ``<lake_root>-quarantine/epoch=``."""
+    reports = documents.read_day_reports(spark, landing, streaming=True, max_files=max_files_per_trigger)
+    run_stream(spark, reports, lambda batch, epoch: load_reports(spark, batch, lake_root, state_root, keep_late=True, epoch=epoch), checkpoint)
