@@ -15,6 +15,7 @@ several filters counts in the smallest of them.  Out of a task come link counts
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +27,42 @@ from .graph import components
 from .groups import whole_groups
 from .storage import stage
 
-#: Several independent structures even out the luck of one random code: 0.998 of random pairs at cosine 0.93 share a filter.
-STRUCTURES, BLOCKS, CODES, HEIGHT, SEED = 8, 2, 32, 2.7, 17
+#: Several independent structures even out the luck of one random code.
+STRUCTURES, BLOCKS, SEED = 8, 2, 17
+#: Vectors that a filter should hold by chance, filters that a pair at the threshold should share on average, and the dimension below which
+#: all pairs of a label are compared: there the sums of two pieces are far from normal and a filter may have no members at all.
+OCCUPANCY, SHARED, EXACT_BELOW = 40.0, 20.0, 24
 #: Rows of a tile; filters of up to FEW rows are compared many at a time.
 TILE, FEW = 2048, 64
 
 
-def codebooks(dim: int, blocks: int = BLOCKS, codes: int = CODES, seed: int = SEED) -> tuple[np.ndarray, list[np.ndarray]]:
+def _coordinate(dim: int, points: int = 20_001) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(t, density, probability to exceed t) of a coordinate of a random unit vector.  A filter's direction has equal parts in all pieces and the
+    rotation is random, so an inner product with it is ``sqrt(blocks)`` times such a coordinate."""
+    t = np.linspace(-1, 1, points)
+    density = np.maximum(1 - t ** 2, 0) ** ((dim - 3) / 2)
+    tail = np.cumsum(density[::-1])[::-1]
+    return t, density / density.sum(), tail / tail[0]
+
+
+def settings(dim: int, rows: int, threshold: float, structures: int = STRUCTURES, blocks: int = BLOCKS) -> tuple[float, int]:
+    """``(height, codes)`` for a label of ``rows`` vectors.  The height lets about ``OCCUPANCY`` unrelated vectors into a filter however
+    many there are, and there are as many codes as it takes for a pair at the threshold to share ``SHARED`` filters: filters, not
+    their members, grow with the table, and a row goes to a few dozen of them at every size."""
+    t, density, tail = _coordinate(dim)
+    wanted = min(max(OCCUPANCY / max(rows, 1), 1e-9), 0.02)
+    least = float(t[np.argmax(tail <= wanted)])
+    # A vector at this cosine has the coordinate cosine * t + sin * sqrt(1 - t^2) * t', with t' of a random vector at right angles.
+    over = t >= least
+    cosine = min(threshold, 0.999)
+    need = (least - cosine * t[over]) / (math.sqrt(1 - cosine ** 2) * np.sqrt(np.maximum(1 - t[over] ** 2, 1e-12)))
+    t2, _, tail2 = _coordinate(dim - 1)
+    both = float((density[over] * np.interp(need, t2, tail2, left=1.0, right=0.0)).sum())
+    # In the units of ``list_decode``: deviations of the sum over all pieces.
+    return least * math.sqrt(dim), max(2, math.ceil((SHARED / (structures * both)) ** (1 / blocks)))
+
+
+def codebooks(dim: int, blocks: int, codes: int, seed: int = SEED) -> tuple[np.ndarray, list[np.ndarray]]:
     """A random rotation (so that no coordinate is special) and one (codes, piece) codebook of unit rows for each piece."""
     rng = np.random.default_rng([seed, dim])
     rotation = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
@@ -72,23 +102,28 @@ def _unit(column: pa.Array, dim: int) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
-def _filters(vectors: DataFrame, structures: int, blocks: int, codes: int, height: float, seed: int) -> DataFrame:
-    """``vectors(key, label, dim, v, weight)`` with the sorted array ``filters``."""
+def _filters(vectors: DataFrame, structures: int, blocks: int, plans: dict, seed: int) -> DataFrame:
+    """``vectors(key, label, dim, v, weight)`` with the sorted array ``filters``; ``plans`` has height and codes by dimension.  Vectors of few dimensions share one filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, list] = {}
         for batch in batches:
             dims = batch.column(2).to_numpy()
             for dim in map(int, np.unique(dims)):
+                part = batch.filter(pa.array(dims == dim))
+                if dim < EXACT_BELOW:
+                    one = pa.array([[0]] * part.num_rows, pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([*part.columns, one], [*batch.schema.names, "filters"])
+                    continue
+                height, codes = plans[dim] if dim in plans else plans[None]
                 if dim not in known:
                     known[dim] = [codebooks(dim, blocks, codes, seed + k) for k in range(structures)]
-                part = batch.filter(pa.array(dims == dim))
                 unit = _unit(part.column(3), dim)
                 found = [[f + k * codes ** blocks for f in list_decode(unit, *x, height)] for k, x in enumerate(known[dim])]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([np.concatenate(x) for x in zip(*found)], pa.list_(pa.int32()))],
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([np.concatenate(x) for x in zip(*found)], pa.list_(pa.int64()))],
                                                  [*batch.schema.names, "filters"])
 
     kinds = ", ".join(f"{c} {t}" for c, t in vectors.dtypes)
-    return vectors.mapInArrow(run, f"{kinds}, filters array<int>")
+    return vectors.mapInArrow(run, f"{kinds}, filters array<long>")
 
 
 def _shared_below(p: np.ndarray, q: np.ndarray, limit: np.ndarray, flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -189,14 +224,17 @@ def _meet(met: DataFrame, threshold: float) -> DataFrame:
 
 
 def similar(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str | None = "label",
-            threshold: float = 0.93, structures: int = STRUCTURES, blocks: int = BLOCKS, codes: int = CODES, height: float = HEIGHT, seed: int = SEED) -> DataFrame:
+            threshold: float = 0.93, structures: int = STRUCTURES, blocks: int = BLOCKS, codes: int | None = None, height: float | None = None,
+            seed: int = SEED) -> DataFrame:
     """``(id, n_links, component_id, kept)`` for every row.
 
     Rows are compared when their labels are equal and not null (all rows, with ``label_col=None``) and their dimensions are
     equal.  Vectors that are null, zero, empty or hold null or non-finite components, and rows with a null id, link with nothing and are kept.
     Equal vectors are one point with a weight, so copies cost nothing; ``n_links`` still counts every copy.
-    Rows that repeat an id with one vector count as copies.  The filters' recall is a matter of ``height`` and ``codes`` (see the README);
-    a link that is found is exact.
+    Rows that repeat an id with one vector count as copies.  
+    Below ``EXACT_BELOW`` dimensions all pairs of a label are compared, in tiles, and no link is lost; from there on the filters'
+    recall is a matter of ``height`` and ``codes``, which follow the largest label's size unless given (``settings``; figures in the README).  A link that is
+    found is exact.
     """
     label = F.col(label_col).cast("string") if label_col else F.lit("")
     v = F.col(vector_col)
@@ -209,7 +247,14 @@ def similar(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     points = stage(rows.where("point IS NOT NULL").groupBy("point", "label").agg(
         F.min("id").alias("key"), F.first("v").alias("v"), F.count(F.lit(1)).alias("weight")), "points")
 
-    listed = stage(_filters(points.select("key", "label", F.size("v").alias("dim"), "v", "weight"), structures, blocks, codes, height, seed), "filters")
+    plans = {}
+    if height is not None and codes is not None:
+        plans[None] = (height, codes)
+    else:
+        # A row for each dimension that occurs; vectors of a table usually have one.
+        for r in points.groupBy("label", F.size("v").alias("dim")).count().groupBy("dim").agg(F.max("count").alias("n")).where(F.col("dim") >= EXACT_BELOW).collect():
+            plans[r["dim"]] = settings(r["dim"], r["n"], threshold, structures, blocks)
+    listed = stage(_filters(points.select("key", "label", F.size("v").alias("dim"), "v", "weight"), structures, blocks, plans, seed), "filters")
     spread = listed.select("key", "label", "dim", F.explode("filters").alias("filter"))
     sizes = spread.groupBy("label", "dim", "filter").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     sizes = stage(sizes.withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int")), "sizes")

@@ -132,12 +132,13 @@ def fit_temperature(logits: np.ndarray, label: np.ndarray) -> float:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           per_label: int = PER_LABEL, sizes=NGRAMS, buckets: int = BUCKETS) -> tuple:
     """``(languages, weights with the idf multiplied in, bias, temperature, sizes, buckets)``, learned from rows outside the
-    held-out quarter with a language and a text.  A fifth of the sample fits the temperature.  Without such rows there are no languages."""
+    held-out quarter with a language and a text.  A fifth of the sample fits the temperature.  Without such rows there are no languages.  Rows that repeat an
+    id, or have none, are rows like others: the sample is drawn by id and text, and a row that is repeated as a whole teaches once."""
     rows = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).where(split_of(id_col) != 2)
             .select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")))
     df, n_rows = document_frequencies(rows, "text", sizes, buckets)
     idf = np.log((1 + n_rows) / (1 + df)) + 1
-    got = _bags(bounded_sample(rows, "id", "lang", per_label, SEED), ["id", "lang"], sizes, buckets).toArrow()
+    got = _bags(bounded_sample(rows, ["id", "text"], "lang", per_label, SEED), ["id", "lang"], sizes, buckets).toArrow()
     langs = sorted(set(got.column("lang").to_pylist()))
     index = {lang: i for i, lang in enumerate(langs)}
     order = np.lexsort((got.column("lang").to_numpy(zero_copy_only=False), got.column("id").to_numpy())) if got.num_rows else []

@@ -128,14 +128,19 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           per_label: int = PER_LABEL, seed: int = SEED) -> Model:
     """Fit on a bounded sample of the labelled rows outside the held-out quarter.  Rows with a null id, text or label,
-    or a label other than 0 and 1, teach nothing; an id that is labelled twice with different labels neither."""
+    or a label other than 0 and 1, teach nothing; an id that is labelled twice with different labels neither.  Where ids repeat in ``docs``,
+    every row of a labelled id is a row to learn from; of so many that the bound is passed, a sample by id and text is."""
     known = (labels.where(f"{label_col} IN (0, 1) AND {id_col} IS NOT NULL").groupBy(F.col(id_col).alias("id"))
              .agg(F.min(label_col).cast("int").alias("label"), F.max(label_col).cast("int").alias("hi"))
              .where("label = hi").where(split_of("id") != 2).select("id", "label"))
     # The sample is drawn from labels alone, so that texts of other rows never move.
-    chosen = bounded_sample(known, "id", "label", per_label, seed)
+    chosen = bounded_sample(known, ["id"], "label", per_label, seed)
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    got = bags(rows.join(F.broadcast(chosen), "id"), "text", ["id", "label"]).toArrow()
+    taught = rows.join(F.broadcast(chosen), "id")
+    # An id may stand in many rows: then these are sampled too, by id and text.
+    if taught.select("id").count() > 2 * per_label * 2:
+        taught = bounded_sample(taught, ["id", "text"], "label", per_label, seed)
+    got = bags(taught, "text", ["id", "label"]).toArrow()
     order = np.lexsort((np.arange(got.num_rows), got.column("id").to_numpy()))
     bucket, n, label = (got.column(c).combine_chunks() for c in ("bucket", "n", "label"))
     samples = [(bucket[int(i)].values.to_numpy(), n[int(i)].values.to_numpy(), label[int(i)].as_py()) for i in order]

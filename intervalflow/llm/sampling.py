@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,12 +13,15 @@ def split_of(id_col: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 4
 
 
-def bounded_sample(rows: DataFrame, id_col: str, label_col: str, per_label: int, seed: int) -> DataFrame:
-    """About ``per_label`` rows of every label (all rows of rarer ones), chosen by a hash of the id: the same on every run.
-    The number of labels must be small; one count of each comes to the driver."""
-    counts = rows.groupBy(label_col).count().collect()
-    u = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+def bounded_sample(rows: DataFrame, hashed: Sequence[str], label_col: str, per_label: int, seed: int) -> DataFrame:
+    """About ``per_label`` distinct rows of every label (all rows of rarer ones), chosen by a hash of the columns ``hashed``: the same on every run.
+
+    Those columns must tell different rows apart: of rows that are equal in them all or none are chosen, and copies of a whole row count
+    and come once, so the result is bounded whatever repeats.  The number of labels must be small; one count of each comes to the driver."""
+    h = F.xxhash64(*hashed, F.lit(seed))
+    counts = rows.groupBy(label_col).agg(F.approx_count_distinct(h, 0.02)).collect()
+    u = F.pmod(h, F.lit(1 << 30)) / F.lit(float(1 << 30))
     rate = F.lit(0.0)
     for r in counts:
-        rate = F.when(F.col(label_col) == r[0], F.lit(min(1.0, per_label / r["count"]))).otherwise(rate)
-    return rows.where(u < rate)
+        rate = F.when(F.col(label_col) == r[0], F.lit(min(1.0, per_label / max(r[1], 1)))).otherwise(rate)
+    return rows.where(u < rate).dropDuplicates()

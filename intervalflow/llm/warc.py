@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .storage import stage
@@ -39,10 +39,25 @@ READ = ("page_id long, url string, record_type string, payload_bytes long, paylo
         "payload binary, archive string, offset long, length long")
 
 
+#: Hadoop's names of stores that Arrow knows by another one.
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme and host that Spark resolves it with: a path without a scheme lies on the session's default file system,
+    which need not be the machine's own."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path.removeprefix("file:")
+    """Arrow's file system for a qualified path, and the path on it."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    if not rest.startswith("//"):
+        raise ValueError(f"not a qualified path: {path}")
+    return pafs.FileSystem.from_uri(f"{_ARROW_SCHEMES.get(scheme, scheme)}:{rest}")
 
 
 # ---------------------------------------------------------------- ZIP
@@ -182,7 +197,10 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
 
 def write_archives(plan: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES, zip64: bool = False, level: int = GZIP_LEVEL) -> DataFrame:
-    """Write ``PLAN`` rows into archives below ``folder``; the result is the staged manifest ``(archive, bytes, records)``."""
+    """Write ``PLAN`` rows into archives below ``folder``, a folder that all executors share; the result is the staged manifest
+    ``(archive, bytes, records)``."""
+    folder = qualified(plan.sparkSession, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = _open(folder)
         files.create_dir(base)
@@ -255,11 +273,15 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                             if entry is not None:
                                 held.append(entry)
 
-    return manifest.select("archive").repartition(F.col("archive")).mapInArrow(run, READ)
+    # An archive a task, the number said outright: adaptive execution would join the manifest's few bytes into one task.  The manifest has
+    # a row for each ``ARCHIVE_BYTES``, so numbering it is small work.
+    count = manifest.count()
+    numbered = manifest.select("archive", (F.row_number().over(Window.orderBy("archive")) - 1).alias("task"))
+    return numbered.repartitionById(max(count, 1), "task").select("archive").mapInArrow(run, READ)
 
 
 def read_record(archive: str, offset: int, length: int) -> tuple:
-    """One record by its place in an archive: a single range read."""
+    """One record by its place in an archive, named as in the manifest: a single range read."""
     files, name = _open(archive)
     with files.open_input_file(name) as file:
         return parse_record(zlib.decompress(file.read_at(length, offset), 31))

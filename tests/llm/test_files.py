@@ -177,7 +177,7 @@ def test_archives_round_trip(spark, zip64, size):
     one = warc.read_record(by[12].archive, by[12].offset, by[12].length)
     assert one[0] == 12 and one[6] == b"z" * 300_000
     path = by[12].archive.removeprefix("file://")
-    with zipfile.ZipFile(path) as z:                # another reader agrees
+    with zipfile.ZipFile(path.removeprefix("file:")) as z:                # another reader agrees
         assert z.namelist() == [warc.DATA, warc.INDEX] and z.testzip() is None
         assert all(i.compress_type == zipfile.ZIP_STORED for i in z.infolist())
     none = warc.write_archives(warc.plan_records(pages(spark).limit(0)), scratch_path(spark, "archives"))
@@ -256,3 +256,25 @@ def test_near_dedup_drops_rows_not_ids(spark):
 
 def test_scratch_needs_a_shared_folder_on_clusters(spark):
     assert uuid.UUID(scratch_path(spark, "x").rsplit("x-", 1)[1])
+
+
+def test_archives_lie_where_spark_resolves_them(spark):
+    """A folder without a scheme is resolved on the session's default file system, and each archive is read by a task of its own."""
+    import os.path
+    folder = scratch_path(spark, "plain").removeprefix("file:")
+    assert warc.qualified(spark, folder) == "file:" + folder
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "hdfs://nowhere:1")
+    try:
+        with pytest.raises(Exception, match="nowhere"):
+            warc.qualified(spark, "/x") and warc.read_record(warc.qualified(spark, "/x") + "/a", 0, 1)
+    finally:
+        conf.set("fs.defaultFS", before)
+    pages = spark.createDataFrame([(i, "u", "p" * (i + 1) * 500) for i in range(40)], "page_id long, url string, html string").repartition(3)
+    manifest = warc.write_archives(warc.plan_records(pages), folder, archive_bytes=300)
+    n = manifest.count()
+    back = warc.read_archives(manifest)
+    assert n > 10 and back.rdd.getNumPartitions() == n and back.count() == 40 and os.path.isdir(folder)
+    with pytest.raises(ValueError):
+        warc._open("relative/path")

@@ -122,18 +122,39 @@ def test_cap_filters_match_brute_force(spark, monkeypatch):
     assert capfilter.similar(table.limit(0)).count() == 0
 
 
-def test_filters_have_the_recall_the_readme_states():
-    rng = np.random.default_rng(4)
-    u = rng.normal(size=(400, 64))
+def pairs_at(cosine, n, dim, seed=4):
+    rng = np.random.default_rng([seed, dim])
+    u = rng.normal(size=(n, dim))
     u /= np.linalg.norm(u, axis=1, keepdims=True)
     w = rng.normal(size=u.shape)
     w -= (w * u).sum(1, keepdims=True) * u
-    v = 0.93 * u + np.sqrt(1 - 0.93 ** 2) * w / np.linalg.norm(w, axis=1, keepdims=True)
-    shared = np.zeros(400, bool)
+    return u, cosine * u + np.sqrt(1 - cosine ** 2) * w / np.linalg.norm(w, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("rows", [1_000, 100_000, 3_000_000])
+@pytest.mark.parametrize("dim", [24, 64, 256])
+def test_filters_have_the_recall_the_readme_states(dim, rows):
+    """Random pairs just at the threshold, with the settings of small and large labels; few unrelated vectors pass a filter."""
+    u, v = pairs_at(0.93, 200, dim)
+    height, codes = capfilter.settings(dim, rows, 0.93)
+    shared, passed = np.zeros(200, bool), 0
     for k in range(capfilter.STRUCTURES):
-        rot, books = capfilter.codebooks(64, seed=capfilter.SEED + k)
-        shared |= [len(np.intersect1d(a, b)) > 0 for a, b in zip(*(capfilter.list_decode(x, rot, books, capfilter.HEIGHT) for x in (u, v)))]
-    assert shared.mean() >= 0.98
+        rot, books = capfilter.codebooks(dim, capfilter.BLOCKS, codes, capfilter.SEED + k)
+        a, b = (capfilter.list_decode(x, rot, books, height) for x in (u, v))
+        shared |= [len(np.intersect1d(x, y)) > 0 for x, y in zip(a, b)]
+        passed += sum(map(len, a)) / 200
+    assert shared.mean() >= 0.97 and passed < 150
+
+
+@pytest.mark.parametrize("dim", [1, 4, 8, 12, 16, 23, 32])
+def test_no_link_is_lost_in_few_dimensions(spark, dim):
+    u, v = pairs_at(0.95, 150, dim) if dim > 1 else (np.ones((150, 1)), np.full((150, 1), 3.0))
+    x = np.concatenate([u, v])
+    got = {r.id: r.n_links for r in capfilter.similar(spark.createDataFrame([(i, r.tolist(), 1) for i, r in enumerate(x)], "vec_id long, embedding array<double>, label int")).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    found = sum(got.values()) / want.sum()
+    assert found == 1 if dim < capfilter.EXACT_BELOW else found >= 0.97
 
 
 def test_list_decoding_is_complete():

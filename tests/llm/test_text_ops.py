@@ -252,3 +252,22 @@ def test_temperature_calibrates():
 def test_held_out_rows_are_those_of_the_contract(spark):
     got = spark.range(200).select("id", split_of("id").alias("k")).collect()
     assert all(r.k == zlib.crc32(str(r.id).encode()) % 4 for r in got)
+
+
+def test_samples_stay_bounded_when_ids_repeat(spark):
+    from intervalflow.llm.sampling import bounded_sample
+    rows = [(None if k else 7, f"text {i}", "a") for i in range(6000) for k in (0, 1)] + [(1, "same", "b")] * 5000
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    got = collections.Counter(r.lang for r in bounded_sample(df, ["id", "text"], "lang", 500, 3).collect())
+    assert 400 < got["a"] < 600 and got["b"] == 1
+    texts = [f"good words number {i} stand here" for i in range(9000)]
+    docs = spark.createDataFrame([(8, t) for t in texts] + [(i, f"bad bad {i}") for i in range(100, 200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(8, 1)] + [(i, 0) for i in range(100, 200)], "doc_id long, quality int")
+    seen = []
+    plain = quality.fit
+    try:
+        quality.fit = lambda samples, *a, **k: seen.append(len(samples)) or plain(samples, *a, **k)
+        quality.train(docs, labels, per_label=300)
+    finally:
+        quality.fit = plain
+    assert 250 < seen[0] < 500
