@@ -49,6 +49,7 @@ def ngrams(texts: list[str], table: np.ndarray, sizes: tuple[int, ...], buckets:
 
 def document_frequencies(docs: DataFrame, text_col: str, sizes=NGRAMS, buckets: int = BUCKETS) -> tuple[np.ndarray, int]:
     """In how many rows each bucket occurs, over all rows, and the number of rows; each task sends one row per bucket it saw."""
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, df, rows = _letters(), np.zeros(buckets, np.int64), 0
         for batch in batches:
@@ -72,6 +73,7 @@ def document_frequencies(docs: DataFrame, text_col: str, sizes=NGRAMS, buckets:
 
 
 def _bags(docs: DataFrame, keep: list[str], sizes, buckets: int) -> DataFrame:
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _letters()
         for batch in batches:
@@ -163,6 +165,7 @@ def predict(docs: DataFrame, model: tuple, text_col: str = "text") -> DataFrame:
     cols = src.columns
     schema = ", ".join([f"`{c}` {t}" for c, t in src.dtypes] + ["lang_pred string", "score double"])
 
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, weights, bias, temperature, sizes, buckets = shared.value
         table = _letters()

@@ -78,6 +78,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int =
     bins = bands * rows
     assert bins <= 256, "the bin is taken from 8 bits of the hash"
 
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = tx.Hasher()
         for batch in batches:
@@ -99,6 +100,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int =
 
 def _sets_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, k: int) -> DataFrame:
     """``(id, set)`` of the wanted ids: all shingle hashes as little-endian bytes, sorted."""
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = tx.Hasher()
         for batch in batches:
@@ -155,6 +157,7 @@ def _tiles(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     A bucket is cut into tiles; a member goes to every pair of tiles that holds its own.  A task counts the shared shingles of all
     pairs of a tile pair by matrix products and emits the pairs that are linked."""
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, ["band", "ti", "tj"]):
             ids = np.stack([t.column(c).to_numpy() for c in ("band", "ti", "tj")])

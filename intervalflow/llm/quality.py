@@ -46,6 +46,7 @@ def features(part: pa.RecordBatch, column: str, hasher: tx.Hasher, ngrams: tuple
 
 def bags(docs: DataFrame, text_col: str, keep: list[str], ngrams: tuple[int, ...] = NGRAMS, buckets: int = BUCKETS) -> DataFrame:
     """The kept columns and each row's distinct buckets with their counts."""
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = tx.Hasher()
         for batch in batches:
@@ -111,6 +112,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
     cols = docs.columns
     schema = ", ".join([f"`{c}` {t}" for c, t in docs.dtypes] + [f"`{out_col}` double"])
 
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         margin, bias, ngrams, buckets = shared.value
         hasher = tx.Hasher()

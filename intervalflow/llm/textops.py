@@ -7,6 +7,8 @@ holds, for those who must tell any two words of a corpus apart.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 
 import numpy as np
@@ -84,6 +86,22 @@ def chain(columns: list[np.ndarray]) -> np.ndarray:
     return h
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system.  Python workers live on between stages, and what their allocators keep counts
+    against the executor while the next stage runs elsewhere."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):      # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run):
+    """A function of Arrow batches that releases memory when its last batch is out."""
+    def whole(batches):
+        yield from run(batches)
+        release()
+    return whole
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     """Parts of a batch whose texts add up to about ``limit`` bytes (one row at least)."""
     col = batch.column(batch.schema.get_field_index(column))

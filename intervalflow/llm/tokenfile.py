@@ -62,6 +62,7 @@ def word_cut(texts: list[bytes]) -> wordmap.Cut:
 
 def encode_words(words: DataFrame, tokenizer: str) -> DataFrame:
     """``(chunk, n, ids)`` of ``(chunk, n)``.  Many words go through the tokenizer as one text, between special tokens."""
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -105,6 +106,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_co
     kind = np.dtype("<u4" if wide else "<u2")
     end = np.array([end_id], kind).tobytes()
 
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -160,6 +162,7 @@ def _with_start(rows: DataFrame, whole: DataFrame | None = None) -> DataFrame:
 
 def digests(tokens: DataFrame) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` of ``read_tokens`` rows: the unsigned crc32 of the ids as little-endian 32-bit integers."""
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(3)

@@ -55,6 +55,7 @@ def count(docs: DataFrame, text_col: str, cut: Callable[[list[bytes]], Cut]) ->
         words = pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(to.astype(np.int32)), pa.py_buffer(flat)])
         return pa.RecordBatch.from_arrays([words, pa.array(np.bincount(back, counts, len(first)).astype(np.int64))], ["chunk", "n"])
 
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, held = tx.Hasher(), []
         for batch in batches:
@@ -97,6 +98,7 @@ def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray
         else:
             least[bits], held, used = n, held + k, used + size
 
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = tx.Hasher()
         for batch in batches:
@@ -160,6 +162,7 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
     gap_type = pa.list_(pa.struct([("at", pa.int32()), ("chunk", pa.string())]))
     listed = not packed and not missing
 
+    @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, checks, index, to, flat = shared.value
         hasher, row = tx.Hasher(), TaskContext.get().partitionId() << 40
@@ -200,6 +203,7 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
     both = (coded.where("size(__gaps) = 0").select(*cols, out_col, empty.alias("__parts"))
             .unionByName(holes.join(filled, "__row").select(*cols, out_col, "__parts")))
 
+    @tx.tidy
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tx.slices(batch, text_col):
