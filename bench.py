@@ -24,13 +24,14 @@ HEADLINE = [
     "missing_intervals", "gap_slots", "rates_overlapping", "tariff_parse", "active_tariffs", "list_meters",
     "tariff_resolution", "day_report_demand", "day_report_temperature", "heating_unified",
     "heating_newer_than_state", "device_day_grid", "resume_window", "paged_results", "profile",
-    "load_audit", "bill", "ingest_latency", "lake_roundtrip",
+    "load_audit", "bill", "ingest_latency", "lake_roundtrip", "rate_asof_merge", "rate_prorated_remainder", "gap_runs", "gap_trend",
+    "bill_reconciliation",
 ]
 #: Loads, merges and streams: each builds lakes of its own.
 LOADS = [
     "lake_merge_idempotent", "compaction", "backfill_range", "backfill_chunked", "stream_dedup_state", "stream_late", "late_reprocess",
     "heating_lake_roundtrip", "rates_lake_roundtrip", "costed_lake_roundtrip", "consumption_lake_general", "consumption_range_meter",
-    "scheduled_load", "heating_load", "cross_domain_daily",
+    "scheduled_load", "heating_load", "cross_domain_daily", "recost_changed_rates", "incremental_totals",
 ]
 
 

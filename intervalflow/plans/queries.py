@@ -655,9 +655,10 @@ def lake_merge_idempotent(spark, sf):
 @query("compaction", with_ctes("cons") + _LAKE_OUT_SQL + " FROM cons")
 def compaction(spark, sf):
     root = lake.new_lake_root(spark, "compact")
-    c = lake.lake_rows(fx.consumption(spark, sf))
+    c = staged(lake.lake_rows(fx.consumption(spark, sf)), "rows")
+    n = c.count()
     for i in range(4):  # four appends -> several small files per partition
-        lake.write_partitioned(c.filter(F.pmod("event_id", F.lit(4)) == i), root, lake.CONSUMPTION_PARTS, mode="append")
+        lake.write_partitioned(c.filter(F.pmod("event_id", F.lit(4)) == i), root, lake.CONSUMPTION_PARTS, mode="append", rows=n)
     lake.compact(spark, root, lake.CONSUMPTION_LAKE, lake.CONSUMPTION_PARTS)
     return _lake_out(lake.read_lake(spark, root, lake.CONSUMPTION_LAKE))
 

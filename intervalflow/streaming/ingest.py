@@ -232,7 +232,7 @@ def scheduled_load(spark: SparkSession, readings: DataFrame, rates: DataFrame, l
     batch gives the same lake, state and costed tables.
 
     Nothing is dropped on the way.  Readings before their meter's window that the lake does not have came late (ST8): they are merged and costed like the
-    others and recorded in ``<lake_root>-late``.  Readings whose times do not parse join ``<lake_root>-quarantine``.  With ``rates_root``, the rates
+    others and recorded in ``<lake_root>-late``.  What lies before the first run's window was never asked for; a backfill loads it.  Readings whose times do not parse join ``<lake_root>-quarantine``.  With ``rates_root``, the rates
     of the run before are kept there, and readings whose rate has changed since are costed again (:func:`..operators.recost.recost`).  With
     ``totals_root`` the daily totals of all meters and days that were costed are brought up to date.
     """
@@ -242,7 +242,8 @@ def scheduled_load(spark: SparkSession, readings: DataFrame, rates: DataFrame, l
     known = F.col("interval_end").isNotNull() & F.col("interval_start").isNotNull()
     kind = (F.when(~known, F.lit("bad")).when(F.col("interval_end") > horizon, F.lit("early"))
             .when(F.col("interval_start") >= st.resume_start("_last", now, bootstrap_days), F.lit("ready"))
-            .when(F.col("_last").isNotNull(), F.lit("older")).otherwise(F.lit("before")))
+            .when(F.col("_last").isNotNull() & (F.col("interval_start") >= ntz_lit(_loaded_since(spark, state_root, now, bootstrap_days))), F.lit("older"))
+            .otherwise(F.lit("before")))
     rows = (norm.withColumn("_k", state_key("mpan_mprn", "serial")).join(state, "_k", "left").withColumn("_kind", kind)
             .drop("_k", "_last").filter(F.col("_kind").isin("bad", "ready", "older")).persist(StorageLevel.MEMORY_AND_DISK))
     try:
@@ -271,6 +272,14 @@ def scheduled_load(spark: SparkSession, readings: DataFrame, rates: DataFrame, l
     return done
 
 
+def _loaded_since(spark: SparkSession, state_root: str, now: dt.datetime, bootstrap_days: int) -> str:
+    """Where the first run's window began, kept beside the state."""
+    path = state_root.rstrip("/") + "-since/start.txt"
+    if not files.exists(spark, path):
+        files.write_text(spark, path, (now - dt.timedelta(days=bootstrap_days)).strftime("%Y-%m-%d %H:%M:%S"))
+    return files.read_text(spark, path).strip()
+
+
 def _latest(spark: SparkSession, root: str) -> DataFrame | None:
     """The last complete version of a table that ``save_state`` writes."""
     versions = _state_versions(spark, root)

@@ -69,3 +69,49 @@ def test_resolve_tariff_precedence(spark):
     got = {r.mpan_mprn: (r.resolved_tariff, r.tariff_source) for r in TF.resolve_tariff(meters, globals_, found).collect()}
     assert got == {"m1": ("OVR", "override"), "m2": ("GLOBAL-G", "global"), "m3": ("FOUND-E", "discovered"),
                    "m4": (None, None)}
+
+
+def test_landed_readers_take_values_from_the_path(spark, tmp_path):
+    from intervalflow.sources import documents as docs
+    for name, text in (("page-2.json", '{"results": [{"a": 3}], "next": null}'), ("page-10.json", '{"results": []}'), ("page-1.json", '{"results": [{"a": 1}, {"a": 2}], "next": "p2"}')):
+        (tmp_path / name).write_text(text)
+    rows = docs.read_landed_pages(spark, str(tmp_path), T.StructType([T.StructField("a", T.IntegerType())])).orderBy("page_no", "page_pos").collect()
+    assert [(r.page_no, r.page_pos, r.is_last_page, r.a) for r in rows] == [(1, 0, False, 1), (1, 1, False, 2), (2, 0, True, 3)]
+    root = str(tmp_path / "reports")
+    spark.createDataFrame([("{}", "007", "2024-01-05"), ("[]", "a b/%+ü", "2024-01-06"), ("x", None, "no day")], "value string, zone_id string, date string") \
+        .write.partitionBy("zone_id", "date").text(root)
+    got = docs.read_day_reports(spark, root).collect()
+    assert sorted((str(r.zone_id), str(r.date), r.value.strip()) for r in got) == [("007", "2024-01-05", "{}"), ("None", "None", "x"), ("a b/%+ü", "2024-01-06", "[]")]
+    assert all(r.device_id == r.zone_id and r.landed_at is not None for r in got)
+
+
+def test_unknown_fields_of_nested_documents(spark):
+    from intervalflow.sources import documents as docs
+    declared = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.ArrayType(T.StructType([T.StructField("c", T.LongType())])))])
+    rows = ['{"a": "x", "b": [{"c": 1, "d": 2}, {"c": 1, "d": "t"}], "e": {"f": 1}}', '{"a": {"no": 1}, "b": {"q": 1}, "e": {"f": 1}}', "broken", None, "[]", '{"b": []}']
+    got = {(r.path, r.type): (r.n_values, r.n_documents) for r in docs.unknown_fields(spark.createDataFrame([(r,) for r in rows], "value string"), declared).collect()}
+    assert got == {("e", "OBJECT<f: BIGINT>"): (2, 2), ("b[].d", "BIGINT"): (1, 1), ("b[].d", "STRING"): (1, 1), ("b.q", "BIGINT"): (1, 1)}
+
+
+def test_profiles_merge_and_times_are_parsed(spark):
+    from intervalflow.operators import quality
+    rows = [("m1", "2024-01-01T00:30:00Z", 1.0, "a"), ("m2", "bad", 3.0, "a"), ("m2", "2024-01-01T02:00:00+01:00", 5.0, "b"), (None, None, None, "b")]
+    df = spark.createDataFrame(rows, "meter_id string, interval_end string, consumption double, part string")
+    p = quality.profile(df.drop("part"), exact=True).first()
+    assert str(p.min_interval_end) == "2024-01-01 00:30:00" and str(p.max_interval_end) == "2024-01-01 01:00:00" and p.distinct_meter_id == 2
+    m = quality.merge_profiles(quality.profile_sketches(df, ["part"])).first()
+    assert (m.n_rows, m.unreadable_interval_end, m.distinct_meter_id, m.p50_consumption) == (4, 1, 2, 3.0)
+    report = quality.dataset_report(fx_events(spark), 3).collect()
+    assert sum(r.section == "row" for r in report) == 3 and {r.name for r in report if r.section == "size"} == {"files", "bytes"}
+    assert any(r.section == "column" and r.name == "ts" and r.value == "timestamp_ntz" for r in report)
+
+
+def fx_events(spark):
+    from conftest import SF_SMALL
+    return spark.read.parquet(f"{SF_SMALL}/events.parquet")
+
+
+def test_union_with_a_tag(spark):
+    from intervalflow.operators.dedup import union_tagged
+    one, two = spark.createDataFrame([(1, "x")], "a int, b string"), spark.createDataFrame([(2, 3.0)], "a int, c double")
+    assert sorted(map(tuple, union_tagged([("demand", one), ("temperature", two)]).collect())) == [("demand", 1, "x", None), ("temperature", 2, None, 3.0)]

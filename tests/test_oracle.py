@@ -11,8 +11,6 @@ from intervalflow.plans.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-SLOW = {"stream_dedup_state", "lake_merge_idempotent", "compaction", "backfill_chunked", "late_reprocess",
-        "backfill_range", "lake_roundtrip"}
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +33,7 @@ def _rows(df):
     return sorted("|".join(norm(x) for x in r) for r in df[cols].itertuples(index=False, name=None))
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     got = _rows(E.queries()[name](spark, SF_SMALL).toPandas())
     want = _rows(con.execute(E.oracle_sql()[name]).df())

@@ -68,3 +68,62 @@ def test_state_survives_an_unfinished_write(spark):
     os.makedirs(f"{local}/version=999999999999")           # a version without its success mark
     assert newest == "version=000000000003" and len(os.listdir(local)) == 3
     assert ingest.read_state(spark, root).collect()[0].source_key == "a"
+
+
+def test_marks_are_a_log_that_is_folded_now_and_then(spark, monkeypatch):
+    """The state of N batches is the source's high-water mark; a batch writes its own keys only."""
+    import datetime as dt
+    import os
+    from intervalflow.streaming import state as st
+    monkeypatch.setattr(ingest, "FOLD_AFTER", 3)
+    root = lake.new_lake_root(spark, "t-marks")
+    local = root.removeprefix("file://")
+    rows = [(f"k{i % 4}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=(7 * i) % 12)) for i in range(12)]
+    schema = "source_key string, interval_start timestamp_ntz"
+    for i in range(0, 12, 2):
+        ingest.update_state(spark, spark.createDataFrame(rows[i:i + 2], schema), root, F.col("source_key"))
+        newest = max((n for n in os.listdir(local) if n.startswith("marks-")), key=lambda n: n[-12:])
+        assert spark.read.parquet(f"{root}/{newest}").count() <= 2
+        want = st.high_water(spark.createDataFrame(rows[:i + 2], schema), ["source_key"])
+        got = ingest.read_state(spark, root)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert any(n.startswith("version=") for n in os.listdir(local)) and len(ingest._since_version(spark, root)) <= 4
+
+
+def test_report_stream_counts_what_it_keeps_aside(spark):
+    """Files in any order; one is no JSON, one has a record without a time, one comes after its device's state."""
+    landing, root = lake.new_lake_root(spark, "t-land"), lake.new_lake_root(spark, "t-hs")
+    state_root, ckpt = lake.new_lake_root(spark, "t-hss"), lake.new_lake_root(spark, "t-hsc")
+    call = '{"callForHeat": {"dataIntervals": [{"from": "%s", "to": null, "value": "LOW"}]}}'
+    waves = [[(call % "2024-01-02T10:00:00Z", "007", "2024-01-02"), ("{oops", "8", "2024-01-02")],
+             [(call % "2024-01-01T10:00:00Z", "007", "2024-01-01"), (call % "", "9", "2024-01-01")]]
+    for wave in waves:
+        spark.createDataFrame(wave, "value string, zone_id string, date string").write.mode("append").partitionBy("zone_id", "date").text(landing)
+        ingest.stream_reports(spark, landing, root, state_root, checkpoint=ckpt)
+    got = lake.read_lake(spark, root, lake.HEATING_LAKE).collect()
+    assert sorted((r.trv_id, r.timestamp.day) for r in got) == [("007", 1), ("007", 2)]
+    aside = spark.read.parquet(root + "-quarantine").collect()
+    assert sorted((r.reason, r.epoch) for r in aside) == [("no timestamp", 1), ("unreadable report", 0)] and any("{oops" in r.row for r in aside)
+    assert [(r.trv_id, r.epoch) for r in spark.read.parquet(root + "-late").collect()] == [("007", 1)]
+    assert {r.source_key: r.last_interval.day for r in ingest.read_state(spark, state_root).collect()} == {"007:007": 2}
+
+
+def test_stream_costs_what_it_touches(spark):
+    landing = lake.new_lake_root(spark, "t-cl")
+    roots = [lake.new_lake_root(spark, t) for t in ("t-cr", "t-cc", "t-ct", "t-cs")]
+    fx.land_event_splits(spark, SF_SMALL, landing, splits=2, repeat=0)
+    rates = fx.rates(spark, SF_SMALL).checkpoint()
+
+    def readings(batch):
+        return _events_to_readings(batch).withColumn("tariff_code", F.when(F.col("kind") == "gas", F.lit(fx.TARIFF_GAS)).otherwise(F.lit(fx.TARIFF_ELECTRICITY)))
+    ingest.stream_consumption(spark, landing, fx.table(spark, SF_SMALL, "events").schema, readings, roots[0], roots[3] + "/s", max_files_per_trigger=50,
+                              rates=rates, costed_root=roots[1], totals_root=roots[2])
+    from intervalflow.operators.rates import rate_join
+    from intervalflow.sinks import totals
+    want = rate_join(fx.consumption(spark, SF_SMALL), rates, how="left")
+    got = spark.read.option("basePath", roots[1]).parquet(roots[1])
+    cols = ["event_id", "rate_valid_from", "unit_rate"]
+    assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0 and got.count() == want.count()
+    daily = totals.read_daily_totals(spark, roots[2])
+    assert daily.agg(F.sum("n_intervals")).first()[0] == want.count()
+    assert float(daily.agg(F.sum("kwh")).first()[0]) == float(want.agg(F.sum("consumption")).first()[0])
