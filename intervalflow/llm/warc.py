@@ -21,11 +21,11 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import stage
+from .storage import open_path as _open
+from .storage import qualified, stage
 
 MIN_REVISIT = 1000                  # payloads below this are never stored as revisits
 ARCHIVE_BYTES = 128 << 20           # an archive is closed beyond this
@@ -39,27 +39,6 @@ READ = ("page_id long, url string, record_type string, payload_bytes long, paylo
         "payload binary, archive string, offset long, length long")
 
 
-#: Hadoop's names of stores that Arrow knows by another one.
-_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
-
-
-def qualified(spark: SparkSession, folder: str) -> str:
-    """``folder`` with the scheme and host that Spark resolves it with: a path without a scheme lies on the session's default file system,
-    which need not be the machine's own."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-
-
-def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    """Arrow's file system for a qualified path, and the path on it."""
-    scheme, _, rest = path.partition(":")
-    if scheme == "file":
-        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
-    if not rest.startswith("//"):
-        raise ValueError(f"not a qualified path: {path}")
-    return pafs.FileSystem.from_uri(f"{_ARROW_SCHEMES.get(scheme, scheme)}:{rest}")
-
-
 # ---------------------------------------------------------------- ZIP
 
 class ZipWriter:

@@ -3,7 +3,8 @@
 The words (or other pieces) that a ``cut`` function finds in the texts are counted, each distinct one is encoded once by the caller, and the
 codes go back to the texts in their order.  The way back is a dictionary of the words that are frequent for their size, at most ``limit`` of them
 and at most ``DICTIONARY_BYTES``, sorted by a 64-bit hash: (hash, 32 bits more of the digest, place, ids) and an index of leading bits in flat
-arrays, broadcast.  Words beyond it are resolved exactly by a join; only texts that hold such a word are shuffled for that.
+arrays.  They are a file that Spark hands to every executor (``addFile``) and its Python workers map, so an executor has one copy of it
+however many workers it runs.  Words beyond it are resolved exactly by a join; only texts that hold such a word are shuffled for that.
 """
 
 from __future__ import annotations
@@ -12,12 +13,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles, TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from intervalflow.session import scratch_path
+
 from . import textops as tx
-from .storage import stage
+from .storage import open_path, qualified, stage
 
 #: The dictionary's bounds, whichever is met first.  A word counts with the bytes of its ids and, beside them, of its hash, its place and the index.
 DICTIONARY_WORDS, DICTIONARY_BYTES, WORD_BYTES = 5_000_000, 128_000_000, 18
@@ -146,6 +149,32 @@ def _index(hashes: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]]).astype(np.int32)
 
 
+#: Name of a shared file, and of each array in it type, place and length.
+Shared = tuple[str, list[tuple[str, int, int]]]
+
+
+def share(spark: SparkSession, arrays: list[np.ndarray]) -> Shared:
+    """Write arrays to one file in the shared folder and have Spark copy it to every executor."""
+    path, layout, at = qualified(spark, scratch_path(spark, "dictionary")), [], 0
+    files, name = open_path(path)
+    files.create_dir(name.rsplit("/", 1)[0])
+    with files.open_output_stream(name) as out:
+        for a in arrays:
+            layout.append((a.dtype.str, at, len(a)))
+            out.write(memoryview(np.ascontiguousarray(a)).cast("B") if len(a) else b"")
+            out.write(b"\0" * (-a.nbytes % 64))
+            at += a.nbytes + -a.nbytes % 64
+        out.write(b"\0" * 64)
+    spark.sparkContext.addFile(path)
+    return path.rsplit("/", 1)[1], layout
+
+
+def mapped(shared: Shared) -> list[np.ndarray]:
+    """The arrays of a shared file, in a task."""
+    raw = np.memmap(SparkFiles.get(shared[0]), np.uint8, "r")
+    return [raw[at:at + n * np.dtype(kind).itemsize].view(kind) for kind, at, n in shared[1]]
+
+
 def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut: Callable[[list[bytes]], Cut], wide: bool,
            limit: int = DICTIONARY_WORDS, packed: bool = False, then: Then | None = None) -> DataFrame:
     """``docs`` with the ids of all words of the text in ``out_col``: array of int, or with ``packed`` binary, little-endian, of
@@ -153,7 +182,7 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
     the same tasks: a function of them, and the columns that it adds (as DDL)."""
     kind = np.dtype("<u4" if wide else "<u2")
     hashes, checks, to, flat, missing = dictionary(words, limit, kind)
-    shared = docs.sparkSession.sparkContext.broadcast((hashes, checks, _index(hashes), to, flat))
+    shared = share(docs.sparkSession, [hashes, checks, _index(hashes), to, flat])
     del hashes, checks, to, flat
     src = docs.drop(out_col).withColumn(text_col, F.col(text_col).cast("string"))
     cols, at = src.columns, src.columns.index(text_col)
@@ -164,7 +193,7 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
 
     @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, checks, index, to, flat = shared.value
+        hashes, checks, index, to, flat = mapped(shared)
         hasher, row = tx.Hasher(), TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in tx.slices(batch, text_col):
