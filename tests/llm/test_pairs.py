@@ -131,8 +131,8 @@ def pairs_at(cosine, n, dim, seed=4):
     return u, cosine * u + np.sqrt(1 - cosine ** 2) * w / np.linalg.norm(w, axis=1, keepdims=True)
 
 
-@pytest.mark.parametrize("rows", [1_000, 100_000, 3_000_000])
-@pytest.mark.parametrize("dim", [24, 64, 256])
+@pytest.mark.parametrize("rows", [1_000, 100_000, 1_000_000])
+@pytest.mark.parametrize("dim", [24, 64])
 def test_filters_have_the_recall_the_readme_states(dim, rows):
     """Random pairs just at the threshold, with the settings of small and large labels; few unrelated vectors pass a filter."""
     u, v = pairs_at(0.93, 200, dim)
