@@ -3,8 +3,8 @@
 The words (or other pieces) that a ``cut`` function finds in the texts are counted, each distinct one is encoded once by the caller, and the
 codes go back to the texts in their order.  The way back is a dictionary of the words that are frequent for their size, at most ``limit`` of them
 and at most ``DICTIONARY_BYTES``, sorted by a 64-bit hash: (hash, 32 bits more of the digest, place, ids) and an index of leading bits in flat
-arrays.  They are a file that Spark hands to every executor (``addFile``) and its Python workers map, so an executor has one copy of it
-however many workers it runs.  Words beyond it are resolved exactly by a join; only texts that hold such a word are shuffled for that.
+arrays.  They are a file that Python workers map, so an executor has one copy of it however many workers it runs: on a shared folder that
+is mounted everywhere the file itself, else a copy that Spark hands to every executor (``addFile``).  Words beyond it are resolved exactly by a join; only texts that hold such a word are shuffled for that.
 """
 
 from __future__ import annotations
@@ -149,12 +149,12 @@ def _index(hashes: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]]).astype(np.int32)
 
 
-#: Name of a shared file, and of each array in it type, place and length.
+#: Path of a shared file (a bare name if Spark copies it to the executors), and of each array in it type, place and length.
 Shared = tuple[str, list[tuple[str, int, int]]]
 
 
 def share(spark: SparkSession, arrays: list[np.ndarray]) -> Shared:
-    """Write arrays to one file in the shared folder and have Spark copy it to every executor."""
+    """Write arrays to one file in the shared folder.  Tasks map it there if the folder is mounted; else Spark copies it to every executor."""
     path, layout, at = qualified(spark, scratch_path(spark, "dictionary")), [], 0
     files, name = open_path(path)
     files.create_dir(name.rsplit("/", 1)[0])
@@ -165,13 +165,16 @@ def share(spark: SparkSession, arrays: list[np.ndarray]) -> Shared:
             out.write(b"\0" * (-a.nbytes % 64))
             at += a.nbytes + -a.nbytes % 64
         out.write(b"\0" * 64)
+    if path.startswith("file:"):
+        return name, layout
     spark.sparkContext.addFile(path)
     return path.rsplit("/", 1)[1], layout
 
 
 def mapped(shared: Shared) -> list[np.ndarray]:
     """The arrays of a shared file, in a task."""
-    raw = np.memmap(SparkFiles.get(shared[0]), np.uint8, "r")
+    name = shared[0]
+    raw = np.memmap(name if name.startswith("/") else SparkFiles.get(name), np.uint8, "r")
     return [raw[at:at + n * np.dtype(kind).itemsize].view(kind) for kind, at, n in shared[1]]
 
 
