@@ -130,8 +130,8 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data | 32, data).astype(np.uint8)
 
 
-def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the index of the first word of every row (one more for the end)."""
+def word_edges(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every byte, whether it is in a word, is a word's first, is a word's last."""
     ink = ~((data == 32) | ((data >= 9) & (data <= 13)))
     cut = bounds[(bounds > 0) & (bounds < len(data))]
     first = ink.copy()
@@ -140,6 +140,12 @@ def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     last = ink.copy()
     last[:-1] &= ~ink[1:]
     last[cut - 1] = ink[cut - 1]
+    return ink, first, last
+
+
+def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the index of the first word of every row (one more for the end)."""
+    _, first, last = word_edges(data, bounds)
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     return starts, ends, np.searchsorted(starts, bounds)
 

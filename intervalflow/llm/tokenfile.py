@@ -35,28 +35,32 @@ ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2000
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 
 
-#: 1 for ASCII letters, 2 for ASCII punctuation at which the pre-tokenizer always splits.  The apostrophe (contractions) and
-#: the characters of the special tokens are neither.
-_KIND = np.array([1 if chr(c).isalpha() and c < 128 else 2 if 33 <= c < 127 and not chr(c).isalnum() and chr(c) not in "'<|>" else 0
-                  for c in range(256)], np.uint8)
+#: For ``bytes.translate``: 1 for ASCII letters, 2 for ASCII punctuation at which the pre-tokenizer always splits.  The apostrophe
+#: (contractions) and the characters of the special tokens are neither.
+_KIND = bytes(1 if chr(c).isalpha() and c < 128 else 2 if 33 <= c < 127 and not chr(c).isalnum() and chr(c) not in "'<|>" else 0
+              for c in range(256))
+_LETTER, _MARK = 1, 2
 
 
 def word_cut(texts: list[bytes]) -> wordmap.Cut:
     """Words at ASCII white space, cut between ASCII letters and punctuation; words of ASCII alone are lower-cased, as the vocabulary's
     normalizer does.  Words with ``<`` or ``|``, which may hold a special token, stay as they are."""
     bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    starts, ends, first = tx.word_bounds(data, bounds)
-    odd = np.concatenate([[0], np.cumsum((data >= 128) | (data == 60) | (data == 124))])
-    plain = odd[ends] == odd[starts]
-    inside = np.zeros(len(data) + 1, np.int8)
-    inside[starts[plain]] += 1
-    inside[ends[plain]] -= 1
-    inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
-    data = np.where(inside & (data >= 65) & (data <= 90), data | 32, data).astype(np.uint8)
-    kind = _KIND[data]
-    turn = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0) & inside[1:] & inside[:-1]) + 1
-    starts, ends = np.sort(np.concatenate([starts, turn])), np.sort(np.concatenate([ends, turn]))
+    joined = b"".join(texts)
+    data = np.frombuffer(joined, np.uint8)
+    plain, first, last = tx.word_edges(data, bounds)
+    odd = (data >= 128) | (data == 60) | (data == 124)
+    if odd.any():
+        starts = np.flatnonzero(first)
+        # White space is not odd, so a word's bytes and those up to the next word count alike.
+        strange = np.logical_or.reduceat(odd, starts)
+        plain[starts[0]:] &= np.repeat(~strange, np.diff(starts, append=len(data)))
+    kind = np.frombuffer(joined.translate(_KIND), np.uint8) * plain
+    turn = (kind[1:] ^ kind[:-1]) == _LETTER ^ _MARK
+    first[1:] |= turn
+    last[:-1] |= turn
+    data = data | ((data >= 65) & (data <= 90) & plain).view(np.uint8) << 5
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     return data, starts, ends, np.searchsorted(starts, bounds)
 
 
@@ -101,7 +105,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_co
     words = stage(encode_words(wordmap.count(src, "text", word_cut), tokenizer), "words")
     wide = Tokenizer.from_file(tokenizer).get_vocab_size() > 1 << 16
     coded = wordmap.encode(src, "text", "packed", words, word_cut, wide, dictionary_words, packed=True)
-    size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    key, tie = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("key"), F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")).alias("tie")
+    keys = stage(src.select(key, tie, F.octet_length("text").alias("size")), "keys")
+    rows, size = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     parts = max(-(-size // PART_BYTES), min(src.sparkSession.sparkContext.defaultParallelism, size // (1 << 20)), 1)
     kind = np.dtype("<u4" if wide else "<u2")
     end = np.array([end_id], kind).tobytes()
@@ -122,8 +128,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_co
                 at += int(to[-1])
 
     # The parts' bounds come from ids and hashes, so the encoding runs once (a range exchange of its result would sample that first).
-    key, tie = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("key"), F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")).alias("tie")
-    bounds = group_bounds(src.select(key, tie), ["key", "tie"], max(-(-src.count() // int(parts)), 1))
+    bounds = group_bounds(keys, ["key", "tie"], max(-(-rows // int(parts)), 1))
     placed = coded.select("doc_id", "packed", key, tie).withColumn("part", group_of(bounds, [F.col("key"), F.col("tie")]))
     writer = (placed.repartitionById(len(bounds), "part").sortWithinPartitions("key", "tie")
               .select("doc_id", "packed").mapInArrow(run, SCHEMA).write

@@ -47,7 +47,7 @@ def count(docs: DataFrame, text_col: str, cut: Callable[[list[bytes]], Cut]) ->
         data = np.concatenate([d for d, *_ in held])
         hashes, checks, counts, starts, ends = (np.concatenate(x) for x in zip(*(
             (h, c, n, s + at, e + at) for (_, h, c, n, s, e), at in zip(held, sizes))))
-        first, back = _distinct(hashes, checks)
+        first, n = _distinct(hashes, checks, counts)
         size = (ends - starts)[first]
         to = np.concatenate([[0], np.cumsum(size)])
         flat = np.empty(to[-1], np.uint8)
@@ -56,7 +56,7 @@ def count(docs: DataFrame, text_col: str, cut: Callable[[list[bytes]], Cut]) ->
             part = slice(k, k + GATHERED_WORDS)
             flat[a:b] = data[np.arange(a, b) - np.repeat(to[:-1][part] - starts[first[part]], size[part])]
         words = pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(to.astype(np.int32)), pa.py_buffer(flat)])
-        return pa.RecordBatch.from_arrays([words, pa.array(np.bincount(back, counts, len(first)).astype(np.int64))], ["chunk", "n"])
+        return pa.RecordBatch.from_arrays([words, pa.array(n)], ["chunk", "n"])
 
     @tx.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,8 +65,8 @@ def count(docs: DataFrame, text_col: str, cut: Callable[[list[bytes]], Cut]) ->
             for part in tx.slices(batch, "text"):
                 data, starts, ends, _ = cut(text_bytes(part.column(0)))
                 hashes, checks = hasher.digests(data, starts, ends)
-                at, back = _distinct(hashes, checks)
-                held.append((data, hashes[at], checks[at], np.bincount(back, minlength=len(at)), starts[at], ends[at]))
+                at, n = _distinct(hashes, checks)
+                held.append((data, hashes[at], checks[at], n, starts[at], ends[at]))
                 if sum(len(d) for d, *_ in held) > COUNT_BYTES:
                     yield distinct(held)
                     held = []
@@ -77,13 +77,19 @@ def count(docs: DataFrame, text_col: str, cut: Callable[[list[bytes]], Cut]) ->
             .groupBy("chunk").agg(F.sum("n").alias("n")))
 
 
-def _distinct(hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the first of each distinct (hash, check), and for every entry which of them it is."""
-    _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-    if not (checks == checks[first][back]).all():          # two words of one hash
-        both = np.rec.fromarrays([hashes, checks])
-        _, first, back = np.unique(both, return_index=True, return_inverse=True)
-    return first, back
+def _distinct(hashes: np.ndarray, checks: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index of one entry of each (hash, check) and the sum of its counts (one each by default).
+
+    Entries are sorted by their hash's leading bits with the index in the low ones, four times as fast as an argsort.  Where two hashes share
+    the leading bits, one may come out in several parts whose counts add up."""
+    if not len(hashes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    low = tx.U((1 << len(hashes).bit_length()) - 1)
+    order = (np.sort((hashes & ~low) | np.arange(len(hashes), dtype=tx.U)) & low).astype(np.int64)
+    h, c = hashes[order], checks[order]
+    edges = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])]))
+    n = np.diff(edges, append=len(order)) if counts is None else np.add.reduceat(counts[order], edges)
+    return order[edges], n.astype(np.int64)
 
 
 def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
