@@ -278,3 +278,40 @@ def test_archives_lie_where_spark_resolves_them(spark):
     assert n > 10 and back.rdd.getNumPartitions() == n and back.count() == 40 and os.path.isdir(folder)
     with pytest.raises(ValueError):
         warc._open("relative/path")
+
+
+def test_counts_by_one_sort_add_up():
+    """Entries that share a hash's leading bits may come out in parts; their counts add up to those of the whole."""
+    base = np.uint64(0xABCDEF0123400000)
+    hashes = np.array([base + np.uint64(k % 3) for k in range(50)] + [7, 7, 0], np.uint64)
+    checks = np.array([k % 2 for k in range(50)] + [1, 2, 0], np.uint32)
+    weights = np.arange(1, 54)
+    for counts in (None, weights):
+        want, got = collections.Counter(), collections.Counter()
+        for h, c, n in zip(hashes.tolist(), checks.tolist(), np.ones(53, int) if counts is None else counts):
+            want[h, c] += int(n)
+        at, n = wordmap._distinct(hashes, checks, counts)
+        for i, k in zip(at, n):
+            got[int(hashes[i]), int(checks[i])] += int(k)
+        assert got == want
+    assert [len(x) for x in wordmap._distinct(hashes[:0], checks[:0])] == [0, 0]
+
+
+@pytest.mark.parametrize("texts", [[""], ["", " \n"], ["Ab.c", "D'e,f"], ["É.A b.C", "<|x|>.Y", "z"], ["a", "b", ".", "."], ["x.." * 50, "1a2.b"]])
+def test_words_cover_the_text_in_order(texts):
+    """Words are neither empty nor across texts; together they are the text without white space, lower-cased where a word is ASCII alone."""
+    data, starts, ends, first = tokenfile.word_cut([t.encode() for t in texts])
+    assert (ends > starts).all() and (starts[1:] >= ends[:-1]).all()
+    for i, text in enumerate(texts):
+        words = [data[a:b].tobytes().decode() for a, b in zip(starts[first[i]:first[i + 1]], ends[first[i]:first[i + 1]])]
+        want = [w if any(ord(c) > 127 or c in "<|" for c in w) else w.lower() for w in text.split()]
+        assert "".join(words) == "".join(want)
+
+
+def test_dictionary_arrays_come_back(spark):
+    """Both ways to a shared file: where it lies, and a copy that Spark hands out."""
+    arrays = [np.arange(5, dtype=np.uint64), np.zeros(0, np.int32), np.arange(3, dtype="<u2")]
+    name, layout = wordmap.share(spark, arrays)
+    spark.sparkContext.addFile(name)
+    for where in (name, name.rsplit("/", 1)[1]):
+        assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, wordmap.mapped((where, layout))))
