@@ -9,6 +9,8 @@ then flattened with ``explode``/``posexplode`` - all JVM-side, no Python per row
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,11 +19,37 @@ from .. import schemas
 from ..functions.codes import first_present
 
 
-def read_text_documents(spark: SparkSession, path: str, streaming: bool = False, glob: str = "*", max_files: int | None = None) -> DataFrame:
-    """One row per landed file below ``path``: ``(source_file, landed_at, value)`` for whole-file JSON documents, as a table or as a stream."""
-    reader = spark.readStream.schema("value string") if streaming else spark.read
+#: Row groups of packed landing files: small enough that a few files are read by many tasks.
+PACK_BYTES = 16 << 20
+
+
+def land_packed(docs: DataFrame, root: str, folders: Sequence[str], text_col: str = "value") -> None:
+    """Land documents, each under its own path ``<folder>=<value>/.../part-0.json``, many to a file: Parquet rows ``(path, value)``.  A file
+    of its own for each small document costs more to create, list and open than to parse.  Appends; null and empty values are
+    stored as Spark names their folders."""
+    def folder(name: str) -> F.Column:
+        # Escaped as a folder name, and that as a URI, like the path of a file.
+        text = F.col(name).cast("string")
+        for _ in range(2):
+            text = F.replace(F.url_encode(text), F.lit("+"), F.lit("%20"))
+        return F.concat(F.lit(f"{name}="), F.coalesce(F.nullif(text, F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__")))
+
+    path = F.concat_ws("/", *[folder(c) for c in folders], F.lit("part-0.json"))
+    rows = docs.select(path.alias("path"), F.col(text_col).alias("value")).repartition(docs.sparkSession.sparkContext.defaultParallelism)
+    rows.write.mode("append").option("parquet.block.size", PACK_BYTES).parquet(root)
+
+
+def read_text_documents(spark: SparkSession, path: str, streaming: bool = False, glob: str = "*", max_files: int | None = None,
+                        packed: bool = False) -> DataFrame:
+    """One row per landed document below ``path``: ``(source_file, landed_at, value)``, as a table or as a stream.  Each file is a whole JSON
+    document, or with ``packed`` holds many (:func:`land_packed`), whose ``source_file`` is the file's path, ``!`` and their own."""
+    reader = spark.readStream.schema("path string, value string" if packed else "value string") if streaming else spark.read
     if streaming and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if packed:
+        reader = reader if streaming else reader.schema("path string, value string")
+        files = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).parquet(path)
+        return files.select(F.concat("_metadata.file_path", F.lit("!/"), "path").alias("source_file"), F.col("_metadata.file_modification_time").alias("landed_at"), "value")
     files = reader.format("text").option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
     return files.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_modification_time").alias("landed_at"), "value")
 
@@ -35,17 +63,17 @@ def path_value(name: str, source_file: str = "source_file") -> F.Column:
     return F.when(~text.isin("", "__HIVE_DEFAULT_PARTITION__"), plain(text))
 
 
-def read_day_reports(spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None) -> DataFrame:
-    """Day reports landed below ``zone_id=/date=`` folders, one JSON file each: ``(device_id, zone_id, date, value, source_file, landed_at)``.
+def read_day_reports(spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None, packed: bool = False) -> DataFrame:
+    """Day reports landed below ``zone_id=/date=`` folders, one JSON document each: ``(device_id, zone_id, date, value, source_file, landed_at)``.
     A zone's device has its id (P17).  The ids stay text, so leading zeros stay too."""
-    docs = read_text_documents(spark, path, streaming, max_files=max_files)
+    docs = read_text_documents(spark, path, streaming, max_files=max_files, packed=packed)
     return docs.select(path_value("zone_id").alias("device_id"), path_value("zone_id").alias("zone_id"),
                        path_value("date").try_cast("date").alias("date"), "value", "source_file", "landed_at")
 
 
-def read_landed_pages(spark: SparkSession, path: str, result_type: T.DataType) -> DataFrame:
-    """S1 over landed files, one page each: the page number is that of the ``page=`` folder, else the last number in the file's name."""
-    docs = read_text_documents(spark, path)
+def read_landed_pages(spark: SparkSession, path: str, result_type: T.DataType, packed: bool = False) -> DataFrame:
+    """S1 over landed documents, one page each: the page number is that of the ``page=`` folder, else the last number in the file's name."""
+    docs = read_text_documents(spark, path, packed=packed)
     in_name = F.regexp_extract("source_file", "([0-9]+)[^0-9/]*$", 1).try_cast("long")
     return read_pages(docs.withColumn("page_no", F.coalesce(path_value("page").try_cast("long"), in_name)), result_type)
 

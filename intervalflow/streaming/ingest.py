@@ -352,11 +352,11 @@ def load_reports(spark: SparkSession, reports: DataFrame, lake_root: str, state_
 
 
 def stream_reports(spark: SparkSession, landing: str, lake_root: str, state_root: str, max_files_per_trigger: int = 10_000,
-                   checkpoint: str | None = None) -> None:
-    """L2 as a stream: day reports land as JSON files below ``zone_id=/date=`` folders, in any order.
+                   checkpoint: str | None = None, packed: bool = False) -> None:
+    """L2 as a stream: day reports land as JSON documents below ``zone_id=/date=`` folders, in any order, in files of their own or ``packed``.
 
     Zone and date come from the path.  No record is dropped for its age: the sink replaces records of the same device, sensor and time, so
     a report that is landed again, or a batch that is replayed, changes nothing; records at or before their device's state at arrival are
     recorded in ``<lake_root>-late/epoch=``.  Files that do not parse and records without a time go to ``<lake_root>-quarantine/epoch=``."""
-    reports = documents.read_day_reports(spark, landing, streaming=True, max_files=max_files_per_trigger)
+    reports = documents.read_day_reports(spark, landing, streaming=True, max_files=max_files_per_trigger, packed=packed)
     run_stream(spark, reports, lambda batch, epoch: load_reports(spark, batch, lake_root, state_root, keep_late=True, epoch=epoch), checkpoint)

@@ -85,6 +85,25 @@ def test_landed_readers_take_values_from_the_path(spark, tmp_path):
     assert all(r.device_id == r.zone_id and r.landed_at is not None for r in got)
 
 
+def test_packed_documents_read_like_files_of_their_own(spark, tmp_path):
+    """Many documents to a file: as many files as tasks, and the same ids, dates, pages and values as from one file each."""
+    from intervalflow.sources import documents as docs
+    rows = [("{}", "007", "2024-01-05"), ("[]", "a b/%+ü", "2024-01-06"), ("x", None, "no day"), ("y", "", None)]
+    df = spark.createDataFrame(rows + [(f'{{"n": {i}}}', f"z{i}", "2024-01-07") for i in range(200)], "value string, zone_id string, date string")
+    df.write.partitionBy("zone_id", "date").text(str(tmp_path / "files"))
+    docs.land_packed(df, str(tmp_path / "packed"), ["zone_id", "date"])
+    assert len(list((tmp_path / "packed").glob("*.parquet"))) <= spark.sparkContext.defaultParallelism
+    got = docs.read_day_reports(spark, str(tmp_path / "packed"), packed=True).collect()
+    plain = docs.read_day_reports(spark, str(tmp_path / "files")).collect()
+    key = lambda r: (str(r.device_id), str(r.zone_id), str(r.date), r.value.strip())
+    assert len(got) == 204 and sorted(map(key, got)) == sorted(map(key, plain))
+    assert len({r.source_file for r in got}) == 204 and all(r.landed_at is not None for r in got)
+    pages = spark.createDataFrame([(2, '{"results": [{"a": 3}], "next": null}'), (10, '{"results": []}'), (1, '{"results": [{"a": 1}, {"a": 2}], "next": "p2"}')], "page long, value string")
+    docs.land_packed(pages, str(tmp_path / "pages"), ["page"])
+    back = docs.read_landed_pages(spark, str(tmp_path / "pages"), T.StructType([T.StructField("a", T.IntegerType())]), packed=True).collect()
+    assert sorted((r.page_no, r.page_pos, r.is_last_page, r.a) for r in back) == [(1, 0, False, 1), (1, 1, False, 2), (2, 0, True, 3)]
+
+
 def test_unknown_fields_of_nested_documents(spark):
     from intervalflow.sources import documents as docs
     declared = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.ArrayType(T.StructType([T.StructField("c", T.LongType())])))])

@@ -127,3 +127,19 @@ def test_stream_costs_what_it_touches(spark):
     daily = totals.read_daily_totals(spark, roots[2])
     assert daily.agg(F.sum("n_intervals")).first()[0] == want.count()
     assert float(daily.agg(F.sum("kwh")).first()[0]) == float(want.agg(F.sum("consumption")).first()[0])
+
+
+def test_packed_reports_stream_like_files_of_their_own(spark):
+    """Two waves, the later day first, each landed in a few files: a late record and an unreadable report are kept aside."""
+    from intervalflow.sources import documents
+    landing, root = lake.new_lake_root(spark, "t-pland"), lake.new_lake_root(spark, "t-phs")
+    state_root, ckpt = lake.new_lake_root(spark, "t-phss"), lake.new_lake_root(spark, "t-phsc")
+    call = '{"callForHeat": {"dataIntervals": [{"from": "%s", "to": null, "value": "LOW"}]}}'
+    waves = [[(call % "2024-01-02T10:00:00Z", "007", "2024-01-02"), ("{oops", "8", "2024-01-02")], [(call % "2024-01-01T10:00:00Z", "007", "2024-01-01")]]
+    for wave in waves:
+        documents.land_packed(spark.createDataFrame(wave, "value string, zone_id string, date string"), landing, ["zone_id", "date"])
+        ingest.stream_reports(spark, landing, root, state_root, checkpoint=ckpt, packed=True)
+    got = lake.read_lake(spark, root, lake.HEATING_LAKE).collect()
+    assert sorted((r.trv_id, r.zone_id, r.timestamp.day) for r in got) == [("007", "007", 1), ("007", "007", 2)]
+    assert [(r.reason, r.epoch) for r in spark.read.parquet(root + "-quarantine").collect()] == [("unreadable report", 0)]
+    assert [(r.trv_id, r.epoch) for r in spark.read.parquet(root + "-late").collect()] == [("007", 1)]
