@@ -48,6 +48,7 @@ from . import files
 METER_BUCKETS = 8
 CONSUMPTION_PARTS = ["date", "meter_bucket"]
 REFERENCE_CONSUMPTION_PARTS = ["kind", "mpan_mprn", "serial", "date"]
+METER_KEYS = ["kind", "mpan_mprn", "serial"]
 METER_SORT = ["kind", "mpan_mprn", "serial", "interval_start"]
 RATE_PARTS = ["energy", "product", "tariff", "date"]
 HEATING_PARTS = ["record_kind", "date"]
@@ -59,7 +60,7 @@ SMALL_BATCH, SPREAD_TASKS = 2_000_000, 64
 def write_partitioned(df: DataFrame, root: str, partition_cols: Sequence[str] | None = None,
                       dedup_cols: Sequence[str] | None = None, order: str | None = None,
                       mode: str = "dynamic", max_records_per_file: int = 5_000_000,
-                      sort_cols: Sequence[str] = (), rows: int | None = None) -> None:
+                      sort_cols: Sequence[str] = (), rows: int | None = None, deal_by: Sequence[str] | None = None) -> None:
     """K1: optional de-dup (keep first), then write partitioned by ``partition_cols``.
 
     Spark omits partition columns from the files, as the reference drops them.  An empty
@@ -67,7 +68,8 @@ def write_partitioned(df: DataFrame, root: str, partition_cols: Sequence[str] |
     an ``order`` the smallest row of a duplicate set stays, so the result is the same on every run.
 
     The ``rebalance`` hint packs small partitions into one task, which then opens their files one after another; a batch of known
-    size (``rows``) below ``SMALL_BATCH`` is spread over tasks by partition instead.
+    size (``rows``) below ``SMALL_BATCH`` is spread over tasks by partition instead.  Rows go to tasks by ``deal_by``, if given: where it
+    leaves out the last partition columns, one task makes a parent folder, and the commit moves that as a whole.
     """
     if dedup_cols:
         df = keep_first(df, dedup_cols, order)
@@ -76,9 +78,9 @@ def write_partitioned(df: DataFrame, root: str, partition_cols: Sequence[str] |
     w = df
     if partition_cols:
         if rows is not None and rows < SMALL_BATCH:
-            w = df.repartition(min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_TASKS), *partition_cols)
+            w = df.repartition(min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_TASKS), *(deal_by or partition_cols))
         else:
-            w = df.hint("rebalance", *partition_cols)
+            w = df.hint("rebalance", *(deal_by or partition_cols))
         sort = [c for c in sort_cols if c in df.columns]
         if sort:
             w = w.sortWithinPartitions(*partition_cols, *sort)
@@ -193,8 +195,11 @@ def merge_partitions(df: DataFrame, root: str, schema: T.StructType, partition_c
         both = batch.withColumn("_side", F.lit(rank_new)).unionByName(old.withColumn("_side", F.lit(rank_old)))
         merged = keep_first(both, list(keys), ["_side", *([order] if isinstance(order, str) else order or [])]).drop("_side")
         sort = [c for c in METER_SORT if c in cols]
+        # A lake that is not there yet has no partitions to replace one by one.
+        mode = "dynamic" if files.exists(spark, root) else "append"
+        by_meter = list(METER_KEYS) if set(METER_KEYS) < set(partition_cols) else None
         save_schema(spark, root, schema)
-        write_partitioned(merged, root, partition_cols, mode="dynamic", sort_cols=sort, rows=extent.rows)
+        write_partitioned(merged, root, partition_cols, mode=mode, sort_cols=sort, rows=extent.rows, deal_by=by_meter)
     finally:
         if own:
             batch.unpersist()
