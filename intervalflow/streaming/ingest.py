@@ -186,6 +186,8 @@ def backfill(readings: DataFrame, lake_root: str, start: dt.date, end: dt.date,
     spark = readings.sparkSession
     norm = normalise_readings(readings.withColumn("_raw", F.struct(*readings.columns)))
     day = F.to_date("interval_start")
+    # Only rejected rows need their raw columns; the others would be staged twice.
+    norm = norm.withColumn("_raw", F.when(day.isNull(), F.col("_raw")))
     windows = open_windows(spark, start, end, step_days or max((end - start).days + 1, 1), ledger_root)
     todo = windows[:most] if most is not None else windows
     if not todo:

@@ -220,3 +220,17 @@ def test_bills_of_all_kinds(spark):
     got = sorted((r.bill_id or "", r.status, r.days_used, r.expected) for r in rollups.reconcile_bills(daily, bills, ["meter"]).collect())
     assert got == [("", "unbilled", 1, 7.0), ("", "unbilled", 1, 10.0), ("1", "within", 3, 30.0), ("2", "over", 4, 40.0), ("3", "under", 2, 20.0),
                    ("4", "unpriced", 1, 10.0), ("5", "no_usage", 0, 0.0)]
+
+
+def test_backfill_stages_raw_columns_of_rejected_rows_only(spark, monkeypatch):
+    """What is staged by window has a usable reading once; a reading without a time keeps its raw columns for the quarantine."""
+    root, held = lake.new_lake_root(spark, "t-raw"), lake.new_lake_root(spark, "t-raw-staged")
+    monkeypatch.setattr(ingest, "scratch_path", lambda spark, tag: held)
+    rows = [(1, "2024-01-01T00:00:00Z", 1.0), (2, "?", 2.0), (3, "2024-01-02T00:00:00Z", 3.0)]
+    raw = spark.createDataFrame(rows, "event_id long, interval_start string, consumption double").select(
+        "event_id", F.lit("gas").alias("kind"), F.lit("7").alias("mpan_mprn"), F.lit("S").alias("serial"), F.lit("T").alias("tariff_code"), "interval_start",
+        F.lit("2024-01-03T00:00:00Z").alias("interval_end"), "consumption")
+    assert ingest.backfill(raw, root, dt.date(2024, 1, 1), dt.date(2024, 1, 2), 1) == 0
+    assert {r.event_id: r._raw is not None for r in spark.read.parquet(held).collect()} == {1: False, 2: True, 3: False}
+    assert [r.reason for r in spark.read.parquet(root + "-quarantine").collect()] == ["no interval_start"]
+    assert lake.read_lake(spark, root, lake.CONSUMPTION_LAKE).count() == 2
