@@ -104,8 +104,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_co
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     words = stage(encode_words(wordmap.count(src, "text", word_cut), tokenizer), "words")
     wide = Tokenizer.from_file(tokenizer).get_vocab_size() > 1 << 16
-    coded = wordmap.encode(src, "text", "packed", words, word_cut, wide, dictionary_words, packed=True)
     key, tie = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("key"), F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")).alias("tie")
+    # The hash is taken before the encoding, so the texts need not come back from it.
+    coded = wordmap.encode(src.select("doc_id", "text", tie), "text", "packed", words, word_cut, wide, dictionary_words, packed=True, keep_text=False)
     keys = stage(src.select(key, tie, F.octet_length("text").alias("size")), "keys")
     rows, size = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     parts = max(-(-size // PART_BYTES), min(src.sparkSession.sparkContext.defaultParallelism, size // (1 << 20)), 1)
@@ -129,7 +130,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_co
 
     # The parts' bounds come from ids and hashes, so the encoding runs once (a range exchange of its result would sample that first).
     bounds = group_bounds(keys, ["key", "tie"], max(-(-rows // int(parts)), 1))
-    placed = coded.select("doc_id", "packed", key, tie).withColumn("part", group_of(bounds, [F.col("key"), F.col("tie")]))
+    placed = coded.select("doc_id", "packed", key, "tie").withColumn("part", group_of(bounds, [F.col("key"), F.col("tie")]))
     writer = (placed.repartitionById(len(bounds), "part").sortWithinPartitions("key", "tie")
               .select("doc_id", "packed").mapInArrow(run, SCHEMA).write
               .option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES)

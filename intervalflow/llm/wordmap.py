@@ -185,16 +185,18 @@ def mapped(shared: Shared) -> list[np.ndarray]:
 
 
 def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut: Callable[[list[bytes]], Cut], wide: bool,
-           limit: int = DICTIONARY_WORDS, packed: bool = False, then: Then | None = None) -> DataFrame:
+           limit: int = DICTIONARY_WORDS, packed: bool = False, then: Then | None = None, keep_text: bool = True) -> DataFrame:
     """``docs`` with the ids of all words of the text in ``out_col``: array of int, or with ``packed`` binary, little-endian, of
     four bytes each if ``wide``, else two.  ``words(chunk, n, ids)`` is a staged table.  ``then`` works on the result's batches in
-    the same tasks: a function of them, and the columns that it adds (as DDL)."""
+    the same tasks: a function of them, and the columns that it adds (as DDL).  Without ``keep_text`` the text goes to the tasks but does not
+    come back from them."""
     kind = np.dtype("<u4" if wide else "<u2")
     hashes, checks, to, flat, missing = dictionary(words, limit, kind)
     shared = share(docs.sparkSession, [hashes, checks, _index(hashes), to, flat])
     del hashes, checks, to, flat
     src = docs.drop(out_col).withColumn(text_col, F.col(text_col).cast("string"))
-    cols, at = src.columns, src.columns.index(text_col)
+    at = src.columns.index(text_col)
+    cols = [c for c in src.columns if keep_text or c != text_col]
     extra = ["__row", out_col, "__gaps"] if missing else [out_col]
     kinds = {"__row": "long", out_col: "binary", "__gaps": "array<struct<at: int, chunk: string>>"}
     gap_type = pa.list_(pa.struct([("at", pa.int32()), ("chunk", pa.string())]))
@@ -214,19 +216,20 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
                 stop = np.concatenate([[0], np.cumsum(n)])
                 ids = flat[np.arange(stop[-1]) - np.repeat(stop[:-1] - begin, n)]
                 bounds = stop[first]
-                arrays = [*part.columns, _lists(ids, bounds) if listed else _binary(ids, bounds)]
+                own = part.columns if keep_text else part.columns[:at] + part.columns[at + 1:]
+                arrays = [*own, _lists(ids, bounds) if listed else _binary(ids, bounds)]
                 if missing:
                     lost = np.flatnonzero(~known)
                     mine = np.searchsorted(lost, first)
                     rel = stop[lost] - bounds[np.searchsorted(first, lost, side="right") - 1]
                     raw = data.tobytes()
                     gaps = [{"at": int(i), "chunk": raw[a:b].decode()} for i, a, b in zip(rel, starts[lost], ends[lost])]
-                    arrays = [*part.columns, pa.array(np.arange(row, row + part.num_rows)), arrays[-1],
+                    arrays = [*own, pa.array(np.arange(row, row + part.num_rows)), arrays[-1],
                               pa.array([gaps[a:b] for a, b in zip(mine, mine[1:])], gap_type)]
                     row += part.num_rows
                 yield pa.RecordBatch.from_arrays(arrays, [*cols, *extra])
 
-    plain = ", ".join(f"`{c}` {t}" for c, t in src.dtypes)
+    plain = ", ".join(f"`{c}` {t}" for c, t in src.dtypes if c in cols)
     after, added = then or ((lambda batches: batches), "")
     added = added and f", {added}"
     if not missing:
@@ -244,7 +247,7 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
     @tx.tidy
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tx.slices(batch, text_col):
+            for part in tx.slices(batch, text_col if keep_text else out_col):
                 out = []
                 for ids, parts in zip(part.column(len(cols)).to_pylist(), part.column(len(cols) + 1).to_pylist()):
                     done, last = [], 0
