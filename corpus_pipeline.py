@@ -48,7 +48,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every document that is left, repeats included, with the text that they decode to."""
-    coded = sentencepieces.encode(docs, decoded_col="decoded")
+    coded = sentencepieces.encode(docs, decoded_col="decoded", keep_text=False)
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").alias("text"))
 
 

@@ -223,9 +223,10 @@ def _unknown_ids(model: Model) -> Column:
 # ---------------------------------------------------------------- documents
 
 def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", model: Model | None = None,
-           dictionary_words: int = wordmap.DICTIONARY_WORDS, decoded_col: str | None = None) -> DataFrame:
+           dictionary_words: int = wordmap.DICTIONARY_WORDS, decoded_col: str | None = None, keep_text: bool = True) -> DataFrame:
     """``docs`` with the ids of the whole text in ``out_col`` (array of int, replacing a column of that name), and with the text that
-    they decode to in ``decoded_col``, if given (in the same tasks, so no second set of Python workers is needed).
+    they decode to in ``decoded_col``, if given (in the same tasks, so no second set of Python workers is needed).  Without ``keep_text`` the
+    column ``text_col`` is not in the result.
 
     Null and empty texts have no ids.  Repeated rows are encoded alike.  Work on a chunk grows with its length; chunks longer than
     61 characters keep their state in an array."""
@@ -238,7 +239,7 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", model:
     words = stage(encode_chunks(wordmap.count(docs, text_col, cut), model), "chunks")
     src = docs.drop(decoded_col) if decoded_col else docs
     then = (_decoder(model, out_col, decoded_col), f"`{decoded_col}` string") if decoded_col else None
-    return wordmap.encode(src, text_col, out_col, words, cut, len(model.pieces) > 1 << 16, dictionary_words, then=then)
+    return wordmap.encode(src, text_col, out_col, words, cut, len(model.pieces) > 1 << 16, dictionary_words, then=then, keep_text=keep_text)
 
 
 def _decoder(model: Model, ids_col: str, out_col: str):
