@@ -55,6 +55,9 @@ HEATING_PARTS = ["record_kind", "date"]
 HEATING_SORT = ["trv", "timestamp"]
 #: Batches of fewer rows are written by up to SPREAD_TASKS tasks, whatever their bytes.
 SMALL_BATCH, SPREAD_TASKS = 2_000_000, 64
+#: On a machine's own disk (``file:``; other stores ignore this) and without Hadoop's native library every file that is created starts a ``chmod``
+#: process, and with its checksum file beside it several.  Parquet files of a layout of many folders are small, so these took most of a load.
+_LOCAL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 
 
 def write_partitioned(df: DataFrame, root: str, partition_cols: Sequence[str] | None = None,
@@ -84,7 +87,7 @@ def write_partitioned(df: DataFrame, root: str, partition_cols: Sequence[str] |
         sort = [c for c in sort_cols if c in df.columns]
         if sort:
             w = w.sortWithinPartitions(*partition_cols, *sort)
-    writer = w.write.option("maxRecordsPerFile", max_records_per_file)
+    writer = w.write.options(**_LOCAL_FILES).option("maxRecordsPerFile", max_records_per_file)
     if mode == "dynamic":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:

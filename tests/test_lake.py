@@ -159,3 +159,16 @@ def test_lake_keeps_other_columns_of_either_load(spark):
     lake.write_consumption(_readings(spark, [(2, "2024-01-01T01:00:00Z", 2.0)]).withColumn("note", F.lit("n")), root)
     rows = spark.read.option("mergeSchema", "true").parquet(root).orderBy("interval_end").collect()
     assert [(float(r.consumption), r.unit, r.note) for r in rows] == [(1.125, "kWh", None), (2.0, None, "n")]
+
+
+def test_layouts_of_many_folders_leave_one_file_a_folder(spark, tmp_path):
+    """No checksum file beside each small Parquet file (on a local disk each file that is made costs a process); partitions that were
+    written with checksum files are replaced whole."""
+    root = str(tmp_path / "lake")
+    rows = spark.createDataFrame([(i, i % 7, f"d{i % 3}") for i in range(60)], "id int, m int, date string")
+    rows.filter("id < 30").write.partitionBy("m", "date").parquet(root)
+    assert list((tmp_path / "lake").rglob(".*.parquet.crc"))
+    lake.write_partitioned(rows, root, ["m", "date"], rows=60)
+    files = [f for f in (tmp_path / "lake").rglob("*") if f.is_file() and f.parent.name.startswith("date=")]
+    assert len(files) == 21 and all(f.name.endswith(".parquet") for f in files)
+    assert sorted(map(tuple, spark.read.parquet(root).select("id", "m", "date").collect())) == sorted(map(tuple, rows.collect()))
