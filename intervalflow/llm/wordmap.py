@@ -2,7 +2,7 @@
 
 The words (or other pieces) that a ``cut`` function finds in the texts are counted, each distinct one is encoded once by the caller, and the
 codes go back to the texts in their order.  The way back is a dictionary of the words that are frequent for their size, at most ``limit`` of them
-and at most ``DICTIONARY_BYTES``, sorted by a 64-bit hash: (hash, 32 bits more of the digest, place, ids) and an index of leading bits in flat
+and at most ``DICTIONARY_BYTES``, sorted by leading bits of a 64-bit hash: (hash, 32 bits more of the digest, place, ids) and an index of leading bits in flat
 arrays.  They are a file that Python workers map, so an executor has one copy of it however many workers it runs: on a shared folder that
 is mounted everywhere the file itself, else a copy that Spark hands to every executor (``addFile``).  Words beyond it are resolved exactly by a join; only texts that hold such a word are shuffled for that.
 """
@@ -26,6 +26,8 @@ from .storage import open_path, qualified, stage
 DICTIONARY_WORDS, DICTIONARY_BYTES, WORD_BYTES = 5_000_000, 128_000_000, 18
 #: Text that a counting task holds, and words whose bytes are gathered at once.
 COUNT_BYTES, GATHERED_WORDS = 12 << 20, 1 << 15
+#: Rows of an Arrow batch, if the session does not say.  Texts are long, and Spark holds a batch three times: its vectors, its message, the worker's copy.
+BATCH_ROWS, _BATCH_KEY = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Counts from here on are told apart no more when the dictionary's least counts are chosen, so a bounded table comes to the driver.
 LEVELS = 100_000
 
@@ -39,6 +41,13 @@ def text_bytes(col: pa.Array) -> list[bytes]:
     return [t or b"" for t in col.cast(pa.binary()).to_pylist()]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand texts to Python in batches of ``BATCH_ROWS``, unless it has a setting of its own.  Tasks are planned when the
+    result is asked for, so the setting stays."""
+    if spark.conf.get(_BATCH_KEY) == "10000":               # Spark's default
+        spark.conf.set(_BATCH_KEY, str(BATCH_ROWS))
+
+
 def count(docs: DataFrame, text_col: str, cut: Callable[[list[bytes]], Cut]) -> DataFrame:
     """``(chunk, n)``: the distinct words of all texts.  Tasks count first, in blocks of ``COUNT_BYTES`` of text."""
     def distinct(held: list[tuple]) -> pa.RecordBatch:
@@ -73,6 +82,7 @@ def count(docs: DataFrame, text_col: str, cut: Callable[[list[bytes]], Cut]) ->
         if held:
             yield distinct(held)
 
+    small_batches(docs.sparkSession)
     return (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "chunk string, n long")
             .groupBy("chunk").agg(F.sum("n").alias("n")))
 
@@ -93,8 +103,8 @@ def _distinct(hashes: np.ndarray, checks: np.ndarray, counts: np.ndarray | None
 
 
 def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
-    """(sorted hashes, their checks, bounds, ids) of the most frequent of ``words(chunk, n, ids)`` for their size, ``limit`` words and ``DICTIONARY_BYTES``
-    at most, and how many are not among them.
+    """(hashes, their checks, bounds, ids) of the most frequent of ``words(chunk, n, ids)`` for their size, ``limit`` words and ``DICTIONARY_BYTES``
+    at most, and how many are not among them.  They are sorted by the hashes' leading bits, equal ones by falling count (its number of bits).
 
     Words fall into classes by the bits of their number of ids; each class has its own least count, so long words never keep short ones out."""
     level, kind_of = F.least("n", F.lit(LEVELS)), F.length(F.bin(F.size("ids")))
@@ -117,13 +127,15 @@ def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray
                 flat = np.ascontiguousarray(part.column(1).values.to_numpy(), kind).tobytes()
                 packed = [flat[a:b] for a, b in zip(to, to[1:])]
                 hashes, checks = hasher.digests(data, bounds[:-1], bounds[1:])
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(checks.view(np.int32)), pa.array(packed, pa.binary())],
-                                                 ["hash", "check", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(checks.view(np.int32)), part.column(2),
+                                                  pa.array(packed, pa.binary())], ["hash", "check", "often", "ids"])
 
     taken = level >= F.element_at(F.array(*map(F.lit, least)), kind_of + 1)
-    got = words.where(taken).select("chunk", "ids").mapInArrow(run, "hash long, check int, ids binary").toArrow()
+    often = F.length(F.bin("n")).cast("tinyint").alias("often")
+    got = words.where(taken).select("chunk", "ids", often).mapInArrow(run, "hash long, check int, often tinyint, ids binary").toArrow()
     hashes, checks = got.column("hash").to_numpy().view(tx.U), got.column("check").to_numpy().view(np.uint32)
-    order = np.argsort(hashes)
+    low = tx.U((1 << 64 - _lead_bits(len(hashes))) - 1)
+    order = np.argsort((hashes & ~low) + (tx.U(64) - got.column("often").to_numpy().astype(tx.U)))
     hashes, checks = hashes[order], checks[order]
     ids = pa.concat_arrays(got.column("ids").chunks) if got.num_rows else pa.array([], pa.binary())
     del got
@@ -133,24 +145,36 @@ def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray
 
 
 def _find(wanted: np.ndarray, check: np.ndarray, hashes: np.ndarray, checks: np.ndarray, index: np.ndarray) -> np.ndarray:
-    """Place of each wanted hash and check in the sorted ``hashes``, or -1.  ``index`` has where each leading-bits value starts."""
+    """Place of each wanted hash and check in ``hashes``, or -1.  These are sorted by their leading bits; ``index`` has where each value of them
+    starts.  Most are found at the first place of their value, if the frequent ones stand there."""
+    if not len(hashes):
+        return np.full(len(wanted), -1, np.int64)
     shift = tx.U(64 - (len(index) - 1).bit_length() + 1)
     lead = (wanted >> shift).astype(np.int64)
-    at, stop = index[lead], index[lead + 1]
-    out = np.full(len(wanted), -1, np.int64)
-    todo = np.flatnonzero(at < stop)
+    at = index.take(lead)
+    # Where no hash has these leading bits, this is the place of others, or the last.
+    out = np.minimum(at, len(hashes) - 1).astype(np.int64)
+    todo = np.flatnonzero((hashes.take(out) != wanted) | (checks.take(out) != check))
+    out[todo] = -1
+    at, stop, wanted, check = at[todo] + 1, index.take(lead[todo] + 1), wanted[todo], check[todo]
     while len(todo):
-        hit = (hashes[at[todo]] == wanted[todo]) & (checks[at[todo]] == check[todo])
-        out[todo[hit]] = at[todo[hit]]
-        todo = todo[~hit]
-        at[todo] += 1
-        todo = todo[at[todo] < stop[todo]]
+        live = np.flatnonzero(at < stop)
+        todo, at, stop, wanted, check = todo[live], at[live], stop[live], wanted[live], check[live]
+        same = (hashes.take(at) == wanted) & (checks.take(at) == check)
+        out[todo[same]] = at[same]
+        more = np.flatnonzero(~same)
+        todo, at, stop, wanted, check = todo[more], at[more] + 1, stop[more], wanted[more], check[more]
     return out
 
 
+def _lead_bits(n: int) -> int:
+    """Leading bits by which ``n`` hashes are told apart; two to four hashes have one value."""
+    return max(1, n.bit_length() - 2)
+
+
 def _index(hashes: np.ndarray) -> np.ndarray:
-    """Where each value of the leading bits starts in sorted hashes; two to four hashes have one value."""
-    bits = max(1, len(hashes).bit_length() - 2)
+    """Where each value of the leading bits starts in hashes that are sorted by them."""
+    bits = _lead_bits(len(hashes))
     edges = np.arange(1, 1 << bits, dtype=tx.U) << tx.U(64 - bits)
     return np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]]).astype(np.int32)
 
@@ -190,6 +214,7 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
     four bytes each if ``wide``, else two.  ``words(chunk, n, ids)`` is a staged table.  ``then`` works on the result's batches in
     the same tasks: a function of them, and the columns that it adds (as DDL).  Without ``keep_text`` the text goes to the tasks but does not
     come back from them."""
+    small_batches(docs.sparkSession)
     kind = np.dtype("<u4" if wide else "<u2")
     hashes, checks, to, flat, missing = dictionary(words, limit, kind)
     shared = share(docs.sparkSession, [hashes, checks, _index(hashes), to, flat])
@@ -214,7 +239,7 @@ def encode(docs: DataFrame, text_col: str, out_col: str, words: DataFrame, cut:
                 begin = np.where(known, to[place], 0)
                 n = np.where(known, to[np.minimum(place + 1, len(to) - 1)] - begin, 0)
                 stop = np.concatenate([[0], np.cumsum(n)])
-                ids = flat[np.arange(stop[-1]) - np.repeat(stop[:-1] - begin, n)]
+                ids = flat.take(np.arange(stop[-1]) - np.repeat(stop[:-1] - begin, n))
                 bounds = stop[first]
                 own = part.columns if keep_text else part.columns[:at] + part.columns[at + 1:]
                 arrays = [*own, _lists(ids, bounds) if listed else _binary(ids, bounds)]

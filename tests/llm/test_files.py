@@ -328,3 +328,46 @@ def test_texts_need_not_come_back_from_the_encoding(spark, limit):
     want = sorted((r.doc_id, r.tie or 0, list(r.ids)) for r in whole.collect())
     assert sorted((r.doc_id, r.tie or 0, list(r.ids)) for r in bare.collect()) == want
     assert [x[2] for x in want] == [[1, 2, 2, 1, 3], [], [], [3, 4, 5, 4, 5]]
+
+
+def test_words_between_numerals_have_the_ids_that_they_have_alone(spark):
+    """Words join into one text between numerals that none of them holds, beside symbols, marks and other numerals too."""
+    from tokenizers import Tokenizer
+    vocabulary = public_tokenizers.path(tokenfile.VOCABULARY)
+    coder = Tokenizer.from_file(vocabulary)
+    assert [c for c, _ in tokenfile._separators(coder)] == list("²½0123456789")
+    odd = ["a", "it's", "'s", "...", "<b>", "a|b", "12", "²", "x²", "½", "́a", "̸", "≠", "Été", "ΣΣ", "<|end", "oftext|>",
+           "a b", "　", "中文", "\U0001f600", "٠", "한", "!?", "don't", ""]
+    for extra in ([], ["<|endoftext|>"], list("0123456789")):
+        words = [w for w in odd if extra or not any(c.isdigit() for c in w)] + extra
+        got = tokenfile.encode_words(spark.createDataFrame([(w, 1) for w in words], "chunk string, n long").coalesce(1), vocabulary).collect()
+        assert [(r.chunk, r.ids) for r in got] == [(w, coder.encode(w, add_special_tokens=False).ids) for w in words]
+
+
+def test_frequent_words_stand_first_among_equal_leading_bits(spark):
+    """The dictionary is in order of the hashes' leading bits, then of falling counts, so a text's words are mostly found at the first look."""
+    rows = [(f"word{i}", 1 << i % 7, [i]) for i in range(900)]
+    hashes, checks, to, flat, missing = wordmap.dictionary(spark.createDataFrame(rows, "chunk string, n long, ids array<int>"), 1000, np.dtype("<u2"))
+    lead = hashes >> np.uint64(64 - wordmap._lead_bits(len(hashes)))
+    often = np.array([1 << int(i) % 7 for i in flat[to[:-1]]])
+    assert missing == 0 and (np.diff(lead.astype(np.int64)) >= 0).all()
+    assert (often[1:] <= often[:-1])[lead[1:] == lead[:-1]].all() and (lead[1:] == lead[:-1]).any()
+    index = wordmap._index(hashes)
+    assert wordmap._find(hashes, checks, hashes, checks, index).tolist() == list(range(900))
+    assert (wordmap._find(hashes ^ np.uint64(1), checks, hashes, checks, index) == -1).all()
+    assert (wordmap._find(hashes, checks ^ np.uint32(2), hashes, checks, index) == -1).all()
+    none = np.zeros(0, np.uint64)
+    assert wordmap._find(hashes[:2], checks[:2], none, none.astype(np.uint32), wordmap._index(none)).tolist() == [-1, -1]
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """Spark holds a batch of texts three times; a session's own setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.createDataFrame([("a b a",)], "text string")
+    try:
+        for own, then in (("10000", "2000"), ("300", "300")):
+            spark.conf.set(key, own)
+            assert {r.chunk: r.n for r in wordmap.count(docs, "text", tokenfile.word_cut).collect()} == {"a": 2, "b": 1}
+            assert spark.conf.get(key) == then
+    finally:
+        spark.conf.unset(key)
