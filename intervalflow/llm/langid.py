@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from . import textops as tx
 from .sampling import bounded_sample, split_of
+from .storage import collected, release
 
 #: Production parameters.  ``per_label`` bounds the training sample: about that many rows of each language.
 BUCKETS, NGRAMS, PER_LABEL, EPOCHS, SEED = 1 << 15, (1, 2, 3), 1500, 3, 5
@@ -140,20 +141,24 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             .select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")))
     df, n_rows = document_frequencies(rows, "text", sizes, buckets)
     idf = np.log((1 + n_rows) / (1 + df)) + 1
-    got = _bags(bounded_sample(rows, ["id", "text"], "lang", per_label, SEED), ["id", "lang"], sizes, buckets).toArrow()
+    got = collected(_bags(bounded_sample(rows, ["id", "text"], "lang", per_label, SEED), ["id", "lang"], sizes, buckets), "bags")
     langs = sorted(set(got.column("lang").to_pylist()))
     index = {lang: i for i, lang in enumerate(langs)}
     order = np.lexsort((got.column("lang").to_numpy(zero_copy_only=False), got.column("id").to_numpy())) if got.num_rows else []
     lang, bucket, n = (got.column(c).combine_chunks() for c in ("lang", "bucket", "n"))
-    data = []
-    for i in map(int, order):
+
+    def row(i: int) -> tuple[np.ndarray, np.ndarray, int]:
         at, k = bucket[i].values.to_numpy(), n[i].values.to_numpy()
-        data.append((at, SCALE * k / k.sum() * idf[at], index[lang[i].as_py()]))
+        return at, SCALE * k / k.sum() * idf[at], index[lang[i].as_py()]
+
+    data = [row(int(i)) for i in order]
     fitted = [d for i, d in enumerate(data) if i % 5]
     held = [d for i, d in enumerate(data) if not i % 5]
     w = fit_ftrl(fitted, max(1, len(langs)), buckets)
     logits = np.array([x @ w[at] + w[buckets] for at, x, _ in held]).reshape(len(held), w.shape[1])
     temperature = fit_temperature(logits, np.array([c for *_, c in held], int))
+    del got, lang, bucket, n, data, fitted, held
+    release()
     return langs, (SCALE * idf[:, None] * w[:buckets]).astype(np.float32), w[buckets], temperature, sizes, buckets
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from . import textops as tx
 from .sampling import bounded_sample, split_of
+from .storage import collected, release
 
 #: Production parameters.  ``per_label`` bounds the training sample: at most about that many rows of either label.
 BUCKETS, DIM, NGRAMS, PER_LABEL, EPOCHS, RATE, SEED = 1 << 16, 12, (2, 3), 3000, 4, 1.0, 11
@@ -142,13 +143,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # An id may stand in many rows: then these are sampled too, by id and text.
     if taught.select("id").count() > 2 * per_label * 2:
         taught = bounded_sample(taught, ["id", "text"], "label", per_label, seed)
-    got = bags(taught, "text", ["id", "label"]).toArrow()
+    got = collected(bags(taught, "text", ["id", "label"]), "bags")
     order = np.lexsort((np.arange(got.num_rows), got.column("id").to_numpy()))
-    bucket, n, label = (got.column(c).combine_chunks() for c in ("bucket", "n", "label"))
-    samples = [(bucket[int(i)].values.to_numpy(), n[int(i)].values.to_numpy(), label[int(i)].as_py()) for i in order]
+    taught = [(bucket.values.to_numpy(), n.values.to_numpy(), label.as_py()) for bucket, n, label in zip(*map(got.column, ("bucket", "n", "label")))]
+    samples = [taught[i] for i in order]
     n = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     total = sum(n.values()) or 1
-    return fit(samples, (n.get(0, total / 2) / total, n.get(1, total / 2) / total))
+    model = fit(samples, (n.get(0, total / 2) / total, n.get(1, total / 2) / total))
+    del got, taught, samples
+    release()
+    return model
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 
 from intervalflow.session import scratch_path
@@ -21,8 +23,40 @@ def drop(spark: SparkSession, *tables: DataFrame) -> None:
     for t in tables:
         for f in {x.rsplit("/", 1)[0] for x in t.inputFiles()}:
             if "-scratch/" in f:
-                path = spark._jvm.org.apache.hadoop.fs.Path(f)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+                _delete(spark, f)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def collected(df: DataFrame, tag: str) -> pa.Table:
+    """The rows of ``df``, of which there must be a bounded number, in this process.  Tasks write them to the shared folder and the files are
+    read here one at a time, in the order of the partitions: ``toArrow`` has all rows on the heap of the driver's JVM on their way, several
+    times over.  It is used only where Arrow does not know the folder's store.  Who is done with the rows calls ``release``."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    try:
+        files, folder = open_path(qualified(spark, path))
+        names = [f.path for f in files.get_file_info(pafs.FileSelector(folder)) if f.base_name.startswith("part-")]
+    except (ValueError, OSError, NotImplementedError):
+        got = spark.read.schema(df.schema).parquet(path).toArrow()
+    else:
+        got = pa.concat_tables([_read(files, x) for x in sorted(names, key=lambda x: (len(x), x))])
+    _delete(spark, path)
+    release()
+    return got
+
+
+def release() -> None:
+    """Give memory that Arrow has freed in this process back to the system; its allocator keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+
+
+def _read(files: pafs.FileSystem, name: str) -> pa.Table:
+    with files.open_input_file(name) as f:
+        return pq.ParquetFile(f).read(use_threads=False)
 
 
 #: Hadoop's names of stores that Arrow knows by another one.

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from intervalflow.session import scratch_path
 
 from . import textops as tx
-from .storage import open_path, qualified, stage
+from .storage import collected, open_path, qualified, release, stage
 
 #: The dictionary's bounds, whichever is met first.  A word counts with the bytes of its ids and, beside them, of its hash, its place and the index.
 DICTIONARY_WORDS, DICTIONARY_BYTES, WORD_BYTES = 5_000_000, 128_000_000, 18
@@ -132,7 +132,8 @@ def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray
 
     taken = level >= F.element_at(F.array(*map(F.lit, least)), kind_of + 1)
     often = F.length(F.bin("n")).cast("tinyint").alias("often")
-    got = words.where(taken).select("chunk", "ids", often).mapInArrow(run, "hash long, check int, often tinyint, ids binary").toArrow()
+    coded = words.where(taken).select("chunk", "ids", often).mapInArrow(run, "hash long, check int, often tinyint, ids binary")
+    got = collected(coded, "dictionary")
     hashes, checks = got.column("hash").to_numpy().view(tx.U), got.column("check").to_numpy().view(np.uint32)
     low = tx.U((1 << 64 - _lead_bits(len(hashes))) - 1)
     order = np.argsort((hashes & ~low) + (tx.U(64) - got.column("often").to_numpy().astype(tx.U)))
@@ -141,7 +142,10 @@ def dictionary(words: DataFrame, limit: int, kind: np.dtype) -> tuple[np.ndarray
     del got
     ids = ids.take(pa.array(order))
     data, bounds = tx.raw(ids)
-    return hashes, checks, (bounds // kind.itemsize).astype(np.int32), data.view(kind).copy(), sum(r.k for r in per) - held
+    bounds, flat = (bounds // kind.itemsize).astype(np.int32), data.view(kind).copy()
+    del ids, data
+    release()
+    return hashes, checks, bounds, flat, sum(r.k for r in per) - held
 
 
 def _find(wanted: np.ndarray, check: np.ndarray, hashes: np.ndarray, checks: np.ndarray, index: np.ndarray) -> np.ndarray:

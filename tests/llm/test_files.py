@@ -371,3 +371,35 @@ def test_texts_go_to_python_in_small_batches(spark):
             assert spark.conf.get(key) == then
     finally:
         spark.conf.unset(key)
+
+
+def test_gathered_rows_do_not_pass_the_jvm_of_the_driver(spark, monkeypatch):
+    """Training samples and the dictionary come from files; only the languages' bucket counts (two flat columns) come by toArrow."""
+    from intervalflow.llm import langid, quality
+    seen, frame = [], type(spark.range(0))
+    plain = frame.toArrow
+    monkeypatch.setattr(frame, "toArrow", lambda self: seen.append(self.dtypes) or plain(self))
+    texts = spark.createDataFrame([(i, "good words stand here " * 9 if i % 2 else "der Hund und die Katze " * 9, "en" if i % 2 else "de") for i in range(80)],
+                                  "doc_id long, text string, lang string").repartition(4)
+    labels = texts.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    scores = {r.doc_id: r.score for r in quality.quality_scores(texts, labels).collect()}
+    assert min(s for i, s in scores.items() if i % 2) > max(s for i, s in scores.items() if not i % 2)
+    words = spark.createDataFrame([("ab", 3, [1, 2]), ("c", 9, [3])], "chunk string, n long, ids array<int>")
+    assert sorted(wordmap.dictionary(words, 9, np.dtype("<u2"))[3].tolist()) == [1, 2, 3]
+    assert wordmap.dictionary(words.limit(0), 9, np.dtype("<u2"))[4] == 0 and not seen
+    assert langid.train(texts)[0] == ["de", "en"]
+    assert [kind for table in seen for _, kind in table] == ["bigint", "bigint"]
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_collected_rows_come_in_the_order_of_the_partitions(spark, monkeypatch, known):
+    from intervalflow.llm import storage
+    if not known:
+        monkeypatch.setattr(storage, "open_path", lambda path: storage.pafs.FileSystem.from_uri("strange://host/folder"))
+    rows = [(i, None if i % 7 == 0 else f"t{i}", [i, i + 1], bytes([i])) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, t string, v array<int>, b binary").repartitionByRange(5, "id").sortWithinPartitions("id")
+    got = storage.collected(df, "few")
+    assert [tuple(r.values()) for r in got.to_pylist()] == rows if known else sorted(tuple(r.values()) for r in got.to_pylist()) == rows
+    assert storage.collected(df.limit(0), "few").schema.names == ["id", "t", "v", "b"]
+    folder = storage.qualified(spark, scratch_path(spark, "x")).rsplit("/", 1)[0].removeprefix("file:")
+    assert not [f for f in os.listdir(folder) if f.startswith("few-")]
