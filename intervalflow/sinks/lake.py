@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from ..operators.rates import normalise_readings
 from ..operators.dedup import keep_first
 from ..session import scratch_path
-from . import files
+from . import files, folders
 
 # Default layout: day x meter hash bucket.  The reference's one-folder-per-meter-per-day
 # layout (``REFERENCE_CONSUMPTION_PARTS``) yields 48-row files - about 10^10 files at
@@ -55,6 +55,8 @@ HEATING_PARTS = ["record_kind", "date"]
 HEATING_SORT = ["trv", "timestamp"]
 #: Batches of fewer rows are written by up to SPREAD_TASKS tasks, whatever their bytes.
 SMALL_BATCH, SPREAD_TASKS = 2_000_000, 64
+#: A layout of many small folders costs by its folders, not its bytes: a task gets at most about so many rows.
+FOLDER_ROWS, FOLDER_TASKS = 25_000, 10_000
 #: On a machine's own disk (``file:``; other stores ignore this) and without Hadoop's native library every file that is created starts a ``chmod``
 #: process, and with its checksum file beside it several.  Parquet files of a layout of many folders are small, so these took most of a load.
 _LOCAL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
@@ -71,8 +73,10 @@ def write_partitioned(df: DataFrame, root: str, partition_cols: Sequence[str] |
     an ``order`` the smallest row of a duplicate set stays, so the result is the same on every run.
 
     The ``rebalance`` hint packs small partitions into one task, which then opens their files one after another; a batch of known
-    size (``rows``) below ``SMALL_BATCH`` is spread over tasks by partition instead.  Rows go to tasks by ``deal_by``, if given: where it
-    leaves out the last partition columns, one task makes a parent folder, and the commit moves that as a whole.
+    size (``rows``) below ``SMALL_BATCH`` is spread over tasks by partition instead.  ``deal_by`` (the first of the partition columns) marks a
+    layout of many small folders: rows go to tasks by it, to more tasks the more rows there are whatever their bytes, and on
+    a machine's own disk the tasks make the folders themselves (``folders.write``); elsewhere one task makes a parent folder, and the commit moves
+    that as a whole.
     """
     if dedup_cols:
         df = keep_first(df, dedup_cols, order)
@@ -80,13 +84,19 @@ def write_partitioned(df: DataFrame, root: str, partition_cols: Sequence[str] |
         return
     w = df
     if partition_cols:
-        if rows is not None and rows < SMALL_BATCH:
-            w = df.repartition(min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_TASKS), *(deal_by or partition_cols))
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if deal_by:
+            w = _stored_values(df, partition_cols).repartition(min(max(cores, (rows or 0) // FOLDER_ROWS), FOLDER_TASKS), *deal_by)
+        elif rows is not None and rows < SMALL_BATCH:
+            w = df.repartition(min(cores, SPREAD_TASKS), *partition_cols)
         else:
-            w = df.hint("rebalance", *(deal_by or partition_cols))
+            w = df.hint("rebalance", *partition_cols)
         sort = [c for c in sort_cols if c in df.columns]
-        if sort:
+        if sort or deal_by:
             w = w.sortWithinPartitions(*partition_cols, *sort)
+        if deal_by and mode in ("dynamic", "append") and folders.fits(df.sparkSession, root, df.schema, partition_cols):
+            folders.write(w, root, partition_cols, mode == "dynamic", max_records_per_file)
+            return
     writer = w.write.options(**_LOCAL_FILES).option("maxRecordsPerFile", max_records_per_file)
     if mode == "dynamic":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -109,7 +119,8 @@ def read_lake(spark: SparkSession, root: str, schema: T.StructType, legacy_root:
     new = one(root)
     if legacy_root is None:
         return new if new is not None else spark.createDataFrame([], schema)
-    old = one(legacy_root)
+    old = folders.read(spark, legacy_root, schema) if files.exists(spark, legacy_root) else None
+    old = one(legacy_root) if old is None else old
     if old is None:
         return new if new is not None else spark.createDataFrame([], schema)
     if new is None:

@@ -2,11 +2,12 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, ts
 from intervalflow.plans import fixtures as fx
-from intervalflow.sinks import lake
+from intervalflow.sinks import folders, lake
 
 
 def _readings(spark, rows):
@@ -172,3 +173,101 @@ def test_layouts_of_many_folders_leave_one_file_a_folder(spark, tmp_path):
     files = [f for f in (tmp_path / "lake").rglob("*") if f.is_file() and f.parent.name.startswith("date=")]
     assert len(files) == 21 and all(f.name.endswith(".parquet") for f in files)
     assert sorted(map(tuple, spark.read.parquet(root).select("id", "m", "date").collect())) == sorted(map(tuple, rows.collect()))
+
+
+_ODD = [None, "0000000007", "a b", "x/y", "50%25", "\u00fc\u20ac", "k=v:+{}[]^", "it's", "."]
+_PARTS = lake.REFERENCE_CONSUMPTION_PARTS
+
+
+def _odd_readings(spark, n=3):
+    rows = [(i, float(j) if j else None, ts(f"2024-01-0{1 + j % 2} 0{j}:30:00"), "gas", m, None if m is None else f"S{i % 2}", None if i == 3 else dt.date(2024, 1, 1 + j % 2))
+            for i, m in enumerate(_ODD) for j in range(n)]
+    df = spark.createDataFrame(rows, "event_id long, consumption double, interval_end timestamp_ntz, kind string, mpan_mprn string, serial string, date date")
+    return df.withColumn("consumption", F.col("consumption").cast("decimal(18,6)"))
+
+
+def _folders(root):
+    return sorted({str(f.parent.relative_to(root)) for f in root.rglob("*.parquet")})
+
+
+def test_small_folders_are_those_that_spark_writes(spark, tmp_path):
+    df = _odd_readings(spark)
+    lake.write_partitioned(df, str(tmp_path / "ours"), _PARTS, mode="append", rows=df.count(), deal_by=lake.METER_KEYS)
+    df.write.partitionBy(*_PARTS).parquet(str(tmp_path / "sparks"))
+    assert _folders(tmp_path / "ours") == _folders(tmp_path / "sparks")
+    assert not [f.name for f in (tmp_path / "ours").iterdir() if f.name.startswith(".staging")]
+    for root in ("ours", "sparks"):
+        plain, by_tasks = spark.read.schema(df.schema).parquet(str(tmp_path / root)), folders.read(spark, str(tmp_path / root), df.schema)
+        assert by_tasks.schema == plain.schema and sorted(by_tasks.collect(), key=str) == sorted(plain.collect(), key=str)
+        assert sorted(by_tasks.select(*df.columns).collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_small_folders_are_replaced_whole_and_others_stay(spark, tmp_path):
+    root, df = tmp_path / "lake", _odd_readings(spark)
+    df.write.partitionBy(*_PARTS).parquet(str(root))
+    batch = _odd_readings(spark, 1).filter("event_id in (0, 1, 3)").withColumn("consumption", F.lit(9).cast("decimal(18,6)"))
+    for _ in range(2):
+        lake.write_partitioned(batch, str(root), _PARTS, rows=3, deal_by=lake.METER_KEYS, max_records_per_file=1)
+    touched = batch.select(*_PARTS).distinct().withColumnsRenamed({c: f"_{c}" for c in _PARTS})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _PARTS]
+    want = df.join(touched, same, "left_anti").unionByName(batch)
+    assert sorted(spark.read.schema(df.schema).parquet(str(root)).select(*df.columns).collect(), key=str) == sorted(want.collect(), key=str)
+    assert len([f for f in root.rglob("*") if f.is_file() and "mpan_mprn=0000000007/serial=S1/date=2024-01-01" in str(f)]) == 1  # no checksum file of the old one
+
+
+def test_small_folders_fill_files_up_to_the_limit(spark, tmp_path):
+    df = spark.range(10).select("id", F.lit("m").alias("m"), F.lit("d").alias("d"))
+    lake.write_partitioned(df, str(tmp_path / "lake"), ["m", "d"], mode="append", rows=10, deal_by=["m"], max_records_per_file=4)
+    files = list((tmp_path / "lake").rglob("*.parquet"))
+    assert sorted(spark.read.parquet(str(f)).count() for f in files) == [2, 4, 4]
+
+
+def test_small_folders_of_a_large_batch_are_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    """However few its bytes: a layout of many folders costs by its folders."""
+    monkeypatch.setattr(lake, "SMALL_BATCH", 100)
+    monkeypatch.setattr(lake, "FOLDER_ROWS", 50, raising=False)
+    df = spark.range(400).select("id", F.lit("gas").alias("kind"), (F.col("id") % 80).cast("string").alias("mpan_mprn"), F.lit("S").alias("serial"),
+                                 F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("date"))
+    lake.write_partitioned(df, str(tmp_path / "lake"), _PARTS, mode="append", rows=400, deal_by=lake.METER_KEYS)
+    parts = [f.name.split("-")[1] for f in (tmp_path / "lake").rglob("*.parquet")]
+    assert len(parts) == 240 and len(set(parts)) == 8 and max(parts.count(p) for p in parts) < 80
+
+
+def test_legacy_lake_is_listed_by_tasks_and_pruned_before_files_are_opened(spark, tmp_path):
+    root, new = tmp_path / "old", str(tmp_path / "new")
+    lake.write_consumption(_readings(spark, [(1, "2024-01-01T00:30:00Z", 1.5), (2, "2024-01-02T01:00:00Z", 2.5)]), str(root), partition_cols=_PARTS)
+    lake.write_consumption(_readings(spark, [(3, "2024-01-01T00:30:00Z", 3.5)]), new)
+    both = lake.read_lake(spark, new, lake.CONSUMPTION_LAKE, legacy_root=str(root), keys=lake.CONSUMPTION_KEYS)
+    assert "MapInArrow" in both._jdf.queryExecution().toString()
+    old = folders.read(spark, str(root), lake.CONSUMPTION_LAKE)
+    day = next(root.rglob("date=2024-01-02"))
+    (day / "other.parquet").write_bytes(b"no parquet")
+    (day.parent / "date=2024-01-01" / "empty.parquet").write_bytes(b"")
+    assert [r.event_id for r in old.filter("date = DATE'2024-01-01'").collect()] == [1]
+    assert [r.event_id for r in old.filter("mpan_mprn = 'x'").collect()] == []
+    with pytest.raises(Exception, match="(?i)parquet"):
+        old.collect()
+    (day / "other.parquet").unlink()
+    (day.parent / "stray.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception, match="not in the layout"):  # not left out
+        folders.read(spark, str(root), lake.CONSUMPTION_LAKE).collect()
+
+
+def test_legacy_files_of_other_types_are_read_as_declared(spark, tmp_path):
+    root = str(tmp_path / "old")
+    t = spark.sql("SELECT 7 AS EVENT_ID, timestamp'2024-01-01 00:30:00' AS interval_end, CAST(1.5 AS DECIMAL(9,2)) AS consumption, "
+                  "'gas' AS kind, '007' AS mpan_mprn, 'S' AS serial, DATE'2024-01-01' AS date")
+    t.write.partitionBy(*_PARTS).parquet(root)
+    row = folders.read(spark, root, lake.CONSUMPTION_LAKE).first()
+    assert (row.event_id, row.interval_end, str(row.consumption), row.mpan_mprn, row.tariff_code) == (7, ts("2024-01-01 00:30:00"), "1.500000", "007", None)
+    assert folders.read(spark, str(tmp_path / "old" / "kind=gas" / "mpan_mprn=007" / "serial=S" / "date=2024-01-01"), lake.CONSUMPTION_LAKE) is None
+
+
+def test_failed_load_of_small_folders_leaves_the_lake_as_it_was(spark, tmp_path):
+    root, df = tmp_path / "lake", _odd_readings(spark)
+    lake.write_partitioned(df, str(root), _PARTS, mode="append", rows=df.count(), deal_by=lake.METER_KEYS)
+    before = sorted(str(f) for f in root.rglob("*") if f.is_file())
+    bad = df.withColumn("consumption", F.when(F.col("event_id") == 5, F.raise_error(F.lit("no reading")).cast("decimal(18,6)")).otherwise(F.col("consumption")))
+    with pytest.raises(Exception, match="no reading"):
+        lake.write_partitioned(bad, str(root), _PARTS, rows=df.count(), deal_by=lake.METER_KEYS)
+    assert sorted(str(f) for f in root.rglob("*") if f.is_file()) == before and not list(root.glob(".staging-*"))
